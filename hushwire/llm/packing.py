@@ -94,6 +94,20 @@ def knapsack(values: np.ndarray, sizes: np.ndarray, capacity: int) -> np.ndarray
     return out
 
 
+def inverted(a: np.ndarray) -> np.ndarray:
+    """Gauss-Jordan inverse; small enough to need no threaded library."""
+    m = len(a)
+    w = np.concatenate([a.astype(float), np.eye(m)], 1)
+    for k in range(m):
+        r = k + int(np.abs(w[k:, k]).argmax())
+        w[[k, r]] = w[[r, k]]
+        w[k] /= w[k, k]
+        rest = np.flatnonzero(w[:, k])
+        rest = rest[rest != k]
+        w[rest] -= w[rest, k][:, None] * w[k]
+    return w[:, m:]
+
+
 def patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int]]:
     """Patterns with their uses that cover the demand exactly or with a few slots to spare.  sizes
     ascend; demand is positive."""
@@ -119,7 +133,7 @@ def patterns(sizes: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple
         inverse -= np.outer(d, row)
         inverse[r] = row
         if pivot % 200 == 199:
-            inverse = np.linalg.inv(columns)
+            inverse = inverted(columns)
             x = np.maximum(inverse @ demand, 0)
     left = demand.astype(np.int64).copy()
     found: list[tuple[np.ndarray, int]] = []
