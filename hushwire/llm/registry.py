@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from hushwire.llm import bpe, fingerprints, language, packing, quality, simhash
+from hushwire.llm import bpe, fingerprints, language, packing, pii, quality, secrets, simhash, vectors
 
 
 def queries() -> dict:
     return {
         "op1_fingerprints": fingerprints.op1_fingerprints,
         "op2_quality": quality.op2_quality,
+        "op3_secrets": secrets.op3_secrets,
+        "op4_pii": pii.op4_pii,
         "op6_packing": packing.op6_packing,
         "op7_bpe": bpe.op7_bpe,
         "op8_simhash": simhash.op8_simhash,
         "op9_language": language.op9_language,
+        "op10_embeddings": vectors.op10_embeddings,
     }
 
 
