@@ -56,11 +56,11 @@ def slices(batch: pa.RecordBatch, column: str, most: int = BATCH_BYTES) -> Itera
             yield batch.slice(a, b - a)
 
 
-def map_arrow(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema: str, text: str | None = None) -> DataFrame:
+def map_arrow(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema: str | StructType, text: str | None = None) -> DataFrame:
     """Map Arrow batches.  make() runs once a task and returns the batch function, which takes and
     returns a dict of columns (lists or Arrow arrays); an empty dict yields no rows.  With `text`,
     batches are cut by the bytes of that column, so memory follows bytes and not rows."""
-    kind = StructType.fromDDL(schema)
+    kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -164,3 +164,19 @@ def score_quality(docs: DataFrame, model: Model | None) -> DataFrame:
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return score_quality(docs, learn(docs, table(spark, sf_dir, "labels").select("doc_id", "quality")))
+
+
+def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows of docs, all columns, whose score reaches the threshold; all rows without a model."""
+    if model is None:
+        return docs
+
+    def make():
+        def run(c):
+            x = np.stack([features(t) for t in c["text"].to_pylist()])
+            good = np.flatnonzero(model.score(x) >= THRESHOLD)
+            return {k: v.take(good) for k, v in c.items()}
+
+        return run
+
+    return map_arrow(docs, make, docs.schema, "text")

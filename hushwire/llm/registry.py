@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from hushwire.llm import bpe, fingerprints, language, packing, pii, quality, secrets, simhash, vectors
+from hushwire.llm import bpe, fingerprints, language, packing, passages, pii, quality, secrets, simhash, vectors
 
 
 def queries() -> dict:
+    import corpus_pipeline
+
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_fingerprints": fingerprints.op1_fingerprints,
         "op2_quality": quality.op2_quality,
         "op3_secrets": secrets.op3_secrets,
         "op4_pii": pii.op4_pii,
+        "op5_passages": passages.op5_passages,
         "op6_packing": packing.op6_packing,
         "op7_bpe": bpe.op7_bpe,
         "op8_simhash": simhash.op8_simhash,
@@ -20,4 +24,5 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict:
+    """None of these has an SQL form that is tractable on whole tables; tests compare with brute force."""
     return {}
