@@ -130,10 +130,12 @@ def windows(docs: DataFrame) -> DataFrame:
 
 
 def pairs(found: DataFrame) -> DataFrame:
-    """Pairs of a text with the first text of one of its keys, where enough functions agree, and the
-    positions of both (b, a) that collide."""
+    """Pairs of a text with the first text of one of its keys, and with the one before it (whose passage
+    may differ from the first's), where enough functions agree, and the positions (b, a) that collide."""
     order = Window.partitionBy("key").orderBy("doc_id", "c")
-    led = found.withColumn("lead", F.first(F.struct("doc_id", "c")).over(order)).where(F.col("lead.doc_id") != F.col("doc_id"))
+    here = F.struct("doc_id", "c")
+    led = found.withColumn("lead", F.first(here).over(order)).withColumn("prev", F.lag(here).over(order)).where(F.col("lead.doc_id") != F.col("doc_id"))
+    led = led.select("key", "doc_id", "c", F.explode(F.array_distinct(F.array("lead", "prev"))).alias("lead")).where(F.col("lead.doc_id") != F.col("doc_id"))
     hit = F.struct(F.col("c").alias("b"), F.col("lead.c").alias("a"), F.expr("CAST(key & 7 AS int)").alias("f"))
     both = led.groupBy("doc_id", F.col("lead.doc_id").alias("source_id")).agg(F.collect_list(hit).alias("hits"))
     return both.where(F.size(F.array_distinct("hits.f")) >= ENOUGH).select("doc_id", "source_id", F.col("hits.b").alias("b"), F.col("hits.a").alias("a"))
