@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hushwire.functions import patterns as P
-from hushwire.functions.text import normalize_type, priority, tokens
+from hushwire.functions.text import normalize_type, priority
 
 
 def rule_entities(text: str, name: str) -> Column:
@@ -59,8 +59,15 @@ def saved_entities(text: str, saved: str) -> Column:
 def spoken_numbers(df: DataFrame, key: str, text: str) -> DataFrame:
     """Runs of spoken digits: islands of tokens that are separators, digits, number words or repeaters
     of what follows.  Seven digits or more are an entity; under ten they need a hint word nearby."""
-    t = df.select(key, F.col(text).alias("text"), F.posexplode(tokens(text, keep_empty=True)).alias("i", "t"))
+    some = F.col(text).rlike(r"[0-9]|(?i)\b(" + "|".join(P.NUMBER_WORDS) + r")\b")
+    # tokens and the pieces between them, a row each: offsets are running sums, linear in the text
+    pieces = F.arrays_zip(F.regexp_extract_all(text, F.lit(P.TOKEN), F.lit(0)).alias("m"), F.split(text, P.TOKEN, -1).alias("s"))
+    t = df.where(some).select(key, F.col(text).alias("text"), F.posexplode(pieces).alias("i", "z"))
     by = Window.partitionBy(key).orderBy("i")
+    stop = F.sum(F.length("z.s") + F.length("z.m")).over(by)
+    t = t.where("z.m IS NOT NULL").select(
+        key, "text", "i", F.struct(F.regexp_replace(F.lower("z.m"), "[^a-z0-9]+", "").alias("norm"), (stop - F.length("z.m")).cast("int").alias("start"), stop.cast("int").alias("stop")).alias("t")
+    )
     norm, nxt = F.col("t.norm"), F.lead("t.norm").over(by)
     word = lambda c: c.isin(*P.NUMBER_WORDS)
     single = lambda c: word(c) | c.rlike("^[0-9]$")

@@ -12,9 +12,9 @@ def entity_spans(entities: DataFrame, words: DataFrame, keys: list[str], pad: fl
     end_sec are null for entities that overlap no word."""
     one = words.groupBy(*keys).agg(F.collect_list(F.struct("w_start", "w_end", "start_char", "end_char")).alias("ws"), F.max("duration").alias("duration"))
     hit = F.filter("ws", lambda w: (w["end_char"] > F.col("start")) & (w["start_char"] < F.col("end")))
-    j = entities.join(one, keys, "left").withColumn("hit", hit)
-    j = j.withColumn("lo", F.greatest(F.lit(0.0), F.array_min(F.transform("hit", lambda w: w["w_start"])) - pad))
-    j = j.withColumn("hi", F.least(F.col("duration"), F.array_max(F.transform("hit", lambda w: w["w_end"])) + pad))
+    j = entities.join(one, keys, "left").withColumn("hit", F.nullif(hit, F.array().cast(one.schema["ws"].dataType)))
+    j = j.withColumn("lo", F.when(F.col("hit").isNotNull(), F.greatest(F.lit(0.0), F.array_min(F.transform("hit", lambda w: w["w_start"])) - pad)))
+    j = j.withColumn("hi", F.when(F.col("hit").isNotNull(), F.least(F.col("duration"), F.array_max(F.transform("hit", lambda w: w["w_end"])) + pad)))
     short, mid = (F.col("hi") - F.col("lo")) < least, (F.col("lo") + F.col("hi")) / 2
     lo = F.when(short, F.greatest(F.lit(0.0), mid - least / 2)).otherwise(F.col("lo"))
     j = j.withColumn("start_sec", lo)

@@ -2,5 +2,488 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hushwire.functions import patterns as P
+from hushwire.functions import text as T
+from hushwire.operators import audio, consensus, entities, files, reports, spans, state
+from hushwire.plans import views
+
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
+TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
+
+
+def query(name: str, oracle: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if oracle:
+            ORACLE_SQL[name] = oracle
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def view(spark: SparkSession, d: str, sql: str, name: str, **fill: str) -> DataFrame:
+    """A derived table: its SQL over the one table it names."""
+    text = sql.format(**fill).replace("{", "{{").replace("}", "}}")
+    return spark.sql(text.replace(f"FROM {name}", "FROM {t}"), t=table(spark, d, name))
+
+
+def pii(spark, d):
+    # the table is one small file: spread it before the pattern work
+    return view(spark, d, views.PII_TEXT, "customer").repartition(8, "id")
+
+
+def asr(spark, d):
+    return view(spark, d, views.ASR, "conversations", g="")
+
+
+def span_rows(spark, d):
+    return view(spark, d, views.SPANS, "lineitem", end="end")
+
+
+def calls(spark, d):
+    return view(spark, d, views.CALLS, "documents")
+
+
+PII, ASR, SPANS, CALLS, STATUS = (f"({x})" for x in (views.PII_TEXT, views.ASR.format(g=", 'g'"), views.SPANS.format(end="stop"), views.CALLS, views.STATUS))
+
+
+def sql(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+# ---- patterns
+
+
+def offsets_sql(pattern: str, group: int, source: str, where: str = "") -> str:
+    p = sql(pattern)
+    return f"""WITH a AS (SELECT id, regexp_extract_all(text, {p}, 0) AS m, regexp_extract_all(text, {p}, {group}) AS g, string_split_regex(text, {p}) AS s FROM {source} v),
+    b AS (SELECT id, m, g, s, unnest(range(1, len(m) + 1)) AS i FROM a),
+    c AS (SELECT id, g[i] AS text, CAST(list_sum(list_transform(s[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i], lambda x: length(x))), 0) - length(g[i]) AS INT) AS "start" FROM b)
+    SELECT id, text, "start", CAST("start" + length(text) AS INT) AS "end" FROM c {where}"""
+
+
+def _pattern_query(name: str, pattern: str, group: int) -> None:
+    where = ""
+    if name == "card":
+        where = "WHERE length(regexp_replace(text, '[^0-9]', '', 'g')) BETWEEN 13 AND 19"
+    if name == "id":
+        where = "WHERE length(regexp_replace(text, '[^A-Za-z0-9]', '', 'g')) >= 4 AND regexp_matches(text, '[0-9]')"
+
+    def run(spark, d, name=name):
+        return pii(spark, d).select("id", F.inline(entities.rule_entities("text", name))).select("id", "text", "start", "end")
+
+    QUERIES[f"rx_{name}"] = run
+    if name != "phone":  # its look-behind has no form there; see rx_phone below
+        ORACLE_SQL[f"rx_{name}"] = offsets_sql(pattern, group, PII, where)
+
+
+for _d in P.DETECTORS:
+    _pattern_query(_d[0], _d[1], _d[2])
+
+ORACLE_SQL["rx_phone_texts"] = rf"""SELECT id, unnest(regexp_extract_all(text, '(?:^|\D)((?:\+?\d{{1,3}}[-.\s]?)?(?:\(?\d{{3}}\)?[-.\s]?)?\d{{3}}[-.\s]?\d{{4}})(?:\D|$)', 1)) AS text
+  FROM (SELECT id, substr(text, strpos(text, ' call '), 20) AS text FROM {PII} v) w"""
+
+
+@query("rx_phone_texts", ORACLE_SQL["rx_phone_texts"])
+def rx_phone_texts(spark, d):
+    t = pii(spark, d).select("id", F.expr("substr(text, instr(text, ' call '), 20)").alias("text"))
+    return t.select("id", F.inline(entities.rule_entities("text", "phone"))).select("id", "text")
+
+
+_NAMES = " UNION ALL ".join(
+    f"SELECT id, unnest(regexp_extract_all(text, {sql(rf'(?i)\b{lead}\s+{P.NAME}(?:\s+(?:{stops})\b|[.,;!?]|$)')}, 1)) AS text FROM {PII} v" for lead, stops in P.NAMES
+)
+
+
+@query("rule_names", f"SELECT id, text FROM ({_NAMES}) n WHERE NOT list_has_any(string_split(lower(text), ' '), [{', '.join(map(sql, P.NAME_BLACKLIST))}])")
+def rule_names(spark, d):
+    return pii(spark, d).select("id", F.inline(entities.name_entities("text"))).select("id", "text")
+
+
+@query("entity_totals")
+def entity_totals(spark, d):
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    found = entities.detect(docs, "id")
+    return found.groupBy("type").agg(F.count("*").alias("n"), F.count_distinct("id").alias("docs"))
+
+
+@query("detect_all")
+def detect_all(spark, d):
+    return entities.detect(pii(spark, d), "id")
+
+
+_WORDS = ", ".join(f"({sql(w)}, {sql(n)})" for w, n in P.NUMBER_WORDS.items())
+_SPOKEN = rf"""WITH toks AS (SELECT id, text, i, regexp_replace(lower(m[i]), '[^a-z0-9]+', '', 'g') AS norm, list_sum(list_transform(s[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0) AS a, length(m[i]) AS n
+   FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (SELECT id, text, regexp_extract_all(text, {sql(P.TOKEN)}) AS m, string_split_regex(text, {sql(P.TOKEN)}) AS s FROM {PII} v) x) y),
+ w(word, digit) AS (VALUES {_WORDS}),
+ f AS (SELECT t.*, w.digit IS NOT NULL OR regexp_matches(norm, '^[0-9]$') AS single, coalesce(w.digit, CASE WHEN regexp_matches(norm, '^[0-9]+$') THEN norm END) AS digits FROM toks t LEFT JOIN w ON w.word = t.norm),
+ g AS (SELECT *, lag(norm) OVER o AS before, coalesce(lead(single) OVER o, false) AS next_single FROM f WINDOW o AS (PARTITION BY id ORDER BY i)),
+ h AS (SELECT *, norm IN ('dash', 'hyphen', 'minus', 'space', 'spaces') OR (norm IN ('double', 'triple') AND next_single) OR digits IS NOT NULL AS ok,
+   coalesce(length(digits) * CASE WHEN single AND before = 'double' THEN 2 WHEN single AND before = 'triple' THEN 3 ELSE 1 END, 0) AS k FROM g),
+ r AS (SELECT *, sum(CASE WHEN ok THEN 0 ELSE 1 END) OVER (PARTITION BY id ORDER BY i) AS run FROM h),
+ z AS (SELECT id, any_value(text) AS text, min(a) AS a, max(a + n) AS b, sum(k) AS k FROM r WHERE ok GROUP BY id, run HAVING sum(k) >= 7)
+ SELECT id, substr(text, CAST(a + 1 AS BIGINT), CAST(b - a AS BIGINT)) AS text, CASE WHEN k >= 10 THEN 'PHONE' ELSE 'ID_NUMBER' END AS type, CAST(a AS INT) AS "start", CAST(b AS INT) AS "end" FROM z
+ WHERE k >= 10 OR regexp_matches(lower(substr(text, CAST(greatest(0, a - 100) + 1 AS BIGINT), CAST(b + 100 - greatest(0, a - 100) AS BIGINT))), '{P.NUMBER_HINTS}')"""
+
+
+@query("spoken_numbers", _SPOKEN)
+def spoken_numbers(spark, d):
+    return entities.spoken_numbers(pii(spark, d), "id", "text").select("id", "text", "type", "start", "end")
+
+
+@query("saved_json_entities", f"SELECT id, substr(text, strpos(text, 'mail '), 4) AS text, 'PERSON_NAME' AS type, CAST(strpos(text, 'mail ') - 1 AS INT) AS \"start\" FROM {PII} v")
+def saved_json_entities(spark, d):
+    saved = F.lit('[{"text": "MAIL USER", "type": "first name", "category": "pii"}, {"text": "card", "type": "x", "category": "other"}]')
+    t = pii(spark, d).withColumn("saved", saved)
+    out = t.select("id", F.inline(entities.saved_entities("text", "saved")))
+    return out.select("id", F.substring("text", 1, 4).alias("text"), "type", "start")
+
+
+_LABELS = "SELECT p_partkey AS id, CASE p_partkey % 6 WHEN 0 THEN ' phone-number' WHEN 1 THEN 'Date of Birth' WHEN 2 THEN 'drug' WHEN 3 THEN '' WHEN 4 THEN NULL ELSE p_brand END AS label, CASE p_partkey % 3 WHEN 0 THEN 'b-city' WHEN 1 THEN 'I-SURNAME' ELSE 'O' END AS tag FROM part"
+
+
+@query("type_normalize", f"SELECT id, CASE t WHEN 'PHONE_NUMBER' THEN 'PHONE' WHEN 'DATE_OF_BIRTH' THEN 'DOB' WHEN 'DRUG' THEN 'MEDICATION' ELSE t END AS type, CASE id % 3 WHEN 0 THEN 'LOCATION' WHEN 1 THEN 'PERSON_NAME' END AS tag FROM (SELECT id, translate(upper(trim(CASE WHEN coalesce(label, '') = '' THEN 'PII' ELSE label END)), ' -', '__') AS t FROM ({_LABELS}) a) b")
+def type_normalize(spark, d):
+    t = view(spark, d, _LABELS, "part")
+    return t.select("id", T.normalize_type(F.col("label")).alias("type"), T.normalize_tag(F.col("tag")).alias("tag"))
+
+
+# ---- text
+
+_ASCII = "text NOT SIMILAR TO '.*[^\\x00-\\x7F].*'"
+_LINES = "SELECT conv_id, turn, regexp_replace(text, '[^A-Za-z0-9 .,!?'']+', ' '{g}) AS text FROM conversations"
+LINES = f"({_LINES.format(g=', ' + sql('g'))})"
+_NORM = "trim(regexp_replace(regexp_replace(regexp_replace(lower(trim(text)), '\\s+', ' ', 'g'), '[^a-z0-9\\s'']+', ' ', 'g'), '\\s+', ' ', 'g'))"
+
+
+def lines(spark, d):
+    return view(spark, d, _LINES, "conversations", g="")
+
+
+@query("normalize_text", f"SELECT conv_id, turn, {_NORM} AS norm, regexp_replace(text, '\\s+', ' ', 'g') AS collapsed, regexp_replace(lower(text), '[^a-z0-9]+', '', 'g') AS token, regexp_replace(text, '[^0-9]', '', 'g') AS digits FROM {LINES} t")
+def normalize_text(spark, d):
+    c = F.col("text")
+    return lines(spark, d).select("conv_id", "turn", T.normalize_for_consensus(c).alias("norm"), T.collapse_space(c).alias("collapsed"), T.normalize_token(c).alias("token"), T.digits_only(c).alias("digits"))
+
+
+@query(
+    "tokenize_spans",
+    f"""SELECT conv_id, turn, m[i] AS token, CAST(list_sum(list_transform(s[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0) AS INT) AS "start"
+    FROM (SELECT *, unnest(range(1, len(m) + 1)) AS i FROM (SELECT conv_id, turn, regexp_extract_all(text, {sql(P.TOKEN)}) AS m, string_split_regex(text, {sql(P.TOKEN)}) AS s FROM {LINES} t) a) b WHERE regexp_matches(lower(m[i]), '[a-z0-9]')""",
+)
+def tokenize_spans(spark, d):
+    return lines(spark, d).select("conv_id", "turn", F.inline(T.tokens("text"))).select("conv_id", "turn", "token", "start")
+
+
+_PAIRS = "SELECT a.file_id, a.engine AS e1, b.engine AS e2, {n}(a.transcript) AS x, {n}(b.transcript) AS y"
+
+
+@query(
+    "cer_jaccard",
+    f"""WITH n AS (SELECT file_id, engine, {_NORM.replace("text", "transcript")} AS x FROM {ASR} t WHERE error IS NULL)
+    SELECT a.file_id, a.engine AS e1, b.engine AS e2, round(levenshtein(a.x, b.x) / greatest(1, length(a.x)), 6) AS cer,
+     round(CASE WHEN a.x = '' AND b.x = '' THEN 1.0 ELSE len(list_intersect(list_distinct(list_filter(string_split(a.x, ' '), lambda w: w <> '')), list_filter(string_split(b.x, ' '), lambda w: w <> ''))) / len(list_distinct(list_filter(string_split(a.x || ' ' || b.x, ' '), lambda w: w <> ''))) END, 6) AS jaccard
+    FROM n a JOIN n b ON a.file_id = b.file_id""",
+)
+def cer_jaccard(spark, d):
+    n = asr(spark, d).where("error IS NULL").select("file_id", F.col("engine").alias("e1"), T.normalize_for_consensus(F.col("transcript")).alias("x"))
+    j = n.join(n.select("file_id", F.col("e1").alias("e2"), F.col("x").alias("y")), "file_id")
+    return j.select("file_id", "e1", "e2", F.round(T.cer(F.col("x"), F.col("y")), 6).alias("cer"), F.round(T.jaccard(F.col("x"), F.col("y")), 6).alias("jaccard"))
+
+
+@query("similarity_pairs")
+def similarity_pairs(spark, d):
+    n = asr(spark, d).where("error IS NULL").select("file_id", F.col("engine").alias("e1"), T.normalize_for_consensus(F.col("transcript")).alias("x"))
+    j = n.join(n.select("file_id", F.col("e1").alias("e2"), F.col("x").alias("y")), "file_id")
+    return j.select("file_id", "e1", "e2", F.round(T.wer("x", "y"), 6).alias("wer"), F.round(T.similarity("x", "y"), 6).alias("similarity"))
+
+
+_RATES = "SELECT p_partkey AS id, CASE p_partkey % 7 WHEN 0 THEN '64k' WHEN 1 THEN '96000' WHEN 2 THEN '24.5k' WHEN 3 THEN 'fast' WHEN 4 THEN '' WHEN 5 THEN ' 128K ' ELSE CAST(p_size AS STRING) END AS v, p_size FROM part"
+
+
+@query("bitrate_choice", f"SELECT id, CAST(CASE WHEN n IS NULL THEN 64 ELSE greatest(1, CAST(round_even(CASE WHEN k THEN n WHEN n >= 1000 THEN n / 1000 ELSE n END, 0) AS INT)) END AS INT) AS kbps FROM (SELECT id, s LIKE '%k' AS k, TRY_CAST(CASE WHEN s LIKE '%k' THEN substr(s, 1, length(s) - 1) ELSE s END AS DOUBLE) AS n FROM (SELECT id, lower(trim(v)) AS s FROM ({_RATES}) a) b) c")
+def bitrate_choice(spark, d):
+    return view(spark, d, _RATES, "part").select("id", T.bitrate_kbps(F.col("v")).cast("int").alias("kbps"))
+
+
+# ---- entities and spans
+
+_ENT = "SELECT l_orderkey AS file_id, CAST(l_quantity AS INT) AS {s}, CAST(l_quantity AS INT) + l_linenumber - 1 AS {e}, CASE l_linenumber % 4 WHEN 0 THEN 'SSN' WHEN 1 THEN 'PHONE' WHEN 2 THEN 'ZIP' ELSE 'OTHER' END AS type, CASE WHEN l_linenumber % 2 = 0 THEN ' A ' ELSE 'a' END AS text, round(l_discount, 2) AS score, 'x' AS source, l_linenumber * 1000000 + l_partkey AS ord FROM lineitem"
+
+
+@query("entity_dedupe", f"SELECT file_id, s AS \"start\", e AS \"end\", type, score FROM (SELECT *, row_number() OVER (PARTITION BY file_id, s, e, lower(trim(text)) ORDER BY CASE type WHEN 'SSN' THEN 1 WHEN 'PHONE' THEN 5 WHEN 'ZIP' THEN 23 ELSE 999 END, score DESC, ord) AS n FROM ({_ENT.format(s='s', e='e')}) t WHERE e > s) u WHERE n = 1")
+def entity_dedupe(spark, d):
+    return entities.dedupe(view(spark, d, _ENT, "lineitem", s="start", e="end"), ["file_id"]).select("file_id", "start", "end", "type", "score")
+
+
+@query("entity_resolve")
+def entity_resolve(spark, d):
+    return entities.resolve(entities.dedupe(view(spark, d, _ENT, "lineitem", s="start", e="end"), ["file_id"]), ["file_id"])
+
+
+def _merge_sql(both: bool) -> str:
+    ch = "-1" if both else "channel"
+    return f"""WITH s AS (SELECT file_id, CAST({ch} AS INT) AS channel, start, stop, duration, type, text, source, ord FROM {SPANS} t),
+    a AS (SELECT *, max(stop) OVER (PARTITION BY file_id, channel ORDER BY start, stop, ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS far FROM s),
+    b AS (SELECT *, sum(CASE WHEN far IS NULL OR start > far + 0.05 THEN 1 ELSE 0 END) OVER w AS island, row_number() OVER w AS pos FROM a WINDOW w AS (PARTITION BY file_id, channel ORDER BY start, stop, ord)),
+    c AS (SELECT *, row_number() OVER (PARTITION BY file_id, channel, island ORDER BY pos) AS k FROM b)
+    SELECT file_id, channel, min(start) AS "start", max(stop) AS "end", count(*) AS n, min_by(type, pos) AS type, string_agg(DISTINCT type, ',' ORDER BY type) AS types,
+     string_agg(DISTINCT source, ',' ORDER BY source) AS sources, string_agg(text, '|' ORDER BY pos) FILTER (WHERE k = 1 OR text <> '') AS texts,
+     round(CASE WHEN count(*) > 1 THEN max(stop) - min(start) ELSE min_by(duration, pos) END, 6) AS duration FROM c GROUP BY file_id, channel, island"""
+
+
+def _merged(spark, d, both):
+    m = spans.merge_spans(span_rows(spark, d), both=both)
+    return m.select("file_id", F.col("channel").cast("int").alias("channel"), "start", "end", "n", "type", "types", "sources", "texts", F.round("duration", 6).alias("duration"))
+
+
+@query("merge_spans_channel", _merge_sql(False))
+def merge_spans_channel(spark, d):
+    return _merged(spark, d, False)
+
+
+@query("merge_spans_both", _merge_sql(True))
+def merge_spans_both(spark, d):
+    return _merged(spark, d, True)
+
+
+_W = "SELECT o_orderkey AS file_id, o_orderkey % 7 AS k, 60.0 AS duration FROM orders"
+_TIMED = "SELECT file_id, k, duration, i, i * 0.4 AS w_start, i * 0.4 + 0.3 AS w_end, i * 6 AS start_char, i * 6 + 5 AS end_char FROM ({w}) o CROSS JOIN (SELECT 0 AS i UNION ALL SELECT 1 UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4 UNION ALL SELECT 5) n"
+_ENTS = "SELECT file_id, k * 6 + 2 AS s, k * 6 + 2 + k AS e, 'e' || k AS text, k AS ord FROM ({w}) o"
+
+
+@query(
+    "entity_word_overlap",
+    f"""WITH w AS ({_TIMED.format(w=_W)}), e AS ({_ENTS.format(w=_W)}), j AS (SELECT e.file_id, e.text, min(w_start) AS a, max(w_end) AS b, 60.0 AS d FROM e LEFT JOIN w ON w.file_id = e.file_id AND w.end_char > e.s AND w.start_char < e.e GROUP BY e.file_id, e.text),
+    p AS (SELECT *, greatest(0, a - 0.12) AS lo, least(d, b + 0.12) AS hi FROM j), q AS (SELECT *, CASE WHEN a IS NULL THEN NULL WHEN hi - lo < 0.3 THEN greatest(0, (lo + hi) / 2 - 0.15) ELSE lo END AS st FROM p)
+    SELECT file_id, text, CAST(round(st, 6) AS DOUBLE) AS start_sec, CAST(round(CASE WHEN a IS NULL THEN NULL WHEN hi - lo < 0.3 THEN least(d, st + 0.3) ELSE hi END, 6) AS DOUBLE) AS end_sec FROM q""",
+)
+def entity_word_overlap(spark, d):
+    orders = {"t": table(spark, d, "orders")}
+    w = spark.sql(_TIMED.format(w=_W).replace("FROM orders", "FROM {t}"), **orders).selectExpr("file_id", "CAST(duration AS DOUBLE) duration", "CAST(w_start AS DOUBLE) w_start", "CAST(w_end AS DOUBLE) w_end", "start_char", "end_char")
+    e = spark.sql(_ENTS.format(w=_W).replace("FROM orders", "FROM {t}"), **orders).withColumnsRenamed({"s": "start", "e": "end"})
+    return spans.entity_spans(e, w, ["file_id"]).select("file_id", "text", F.round("start_sec", 6).alias("start_sec"), F.round("end_sec", 6).alias("end_sec"))
+
+
+@query("unmapped_entities", f"SELECT file_id, CAST(60.0 AS DOUBLE) AS end_sec, substr(string_agg(text, ' | ' ORDER BY ord), 1, 500) AS text FROM ({_ENTS.format(w=_W)}) e WHERE s >= 36 GROUP BY file_id")
+def unmapped_entities(spark, d):
+    e = spark.sql(_ENTS.format(w=_W).replace("FROM orders", "FROM {t}"), t=table(spark, d, "orders")).where("s >= 36").withColumn("duration", F.lit(60.0))
+    return spans.unmapped_spans(e, ["file_id"]).select("file_id", "end_sec", "text")
+
+
+@query("failsafe_spans", f"SELECT file_id, CAST(unnest(range(0, greatest(1, least(CASE WHEN channels = 0 THEN 2 ELSE channels END, 2)))) AS INT) AS channel, CAST(greatest(0, duration) AS DOUBLE) AS end_sec FROM {CALLS} t")
+def failsafe_spans(spark, d):
+    return spans.failsafe_spans(calls(spark, d).withColumn("duration", F.col("duration").cast("double"))).select("file_id", "channel", "end_sec")
+
+
+# ---- consensus
+
+
+@query("consensus_full")
+def consensus_full(spark, d):
+    return consensus.consensus(asr(spark, d), "alpha", ["alpha", "beta", "gamma", "delta"])
+
+
+@query(
+    "consensus_majority",
+    f"""WITH n AS (SELECT file_id, channel, engine, engine_ord, {_NORM.replace("text", "transcript")} AS x FROM {ASR} t WHERE error IS NULL), g AS (SELECT file_id, x, count(*) AS n, max(engine = 'alpha') AS has, min(engine_ord) AS o FROM n WHERE x <> '' GROUP BY file_id, x),
+    r AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY n DESC, has DESC, length(x) DESC, o) AS k FROM g) SELECT file_id, n AS agreement_count FROM r WHERE k = 1 AND n >= 3""",
+)
+def consensus_majority(spark, d):
+    return consensus_full(spark, d).where("method = 'strict_majority'").select("file_id", "agreement_count")
+
+
+@query("detection_items", f"""WITH f AS (SELECT file_id, 'final_consensus' AS source, transcript AS text, 0 AS o FROM {ASR} t WHERE engine_ord = 0 UNION ALL SELECT file_id, 'engine:' || engine, transcript, engine_ord + 1 FROM {ASR} t WHERE error IS NULL)
+  SELECT file_id, source, trim(text) AS text FROM f WHERE trim(text) <> ''""")
+def detection_items(spark, d):
+    a = asr(spark, d)
+    b = a.groupBy("file_id", "channel").agg(F.max(F.when(F.col("engine_ord") == 0, F.col("transcript"))).alias("final"), F.array_sort(F.collect_list(F.struct("engine_ord", "engine", F.col("transcript").alias("text"), "error"))).alias("engines"))
+    return reports.detection_items(b).select("file_id", "source", "text")
+
+
+# ---- files
+
+
+@query("discover_exclude", f"SELECT file_id, path FROM {CALLS} t WHERE NOT starts_with(path, '/calls/src1/') AND path NOT LIKE '%/tmp/%'")
+def discover_exclude(spark, d):
+    return files.exclude(calls(spark, d), ["/calls/src1"], ["*/tmp/*"], "/calls").select("file_id", "path")
+
+
+@query("shard_limit", f"SELECT path FROM (SELECT path, row_number() OVER (ORDER BY path) - 1 AS i FROM {CALLS} t) u WHERE i % 3 = 1 ORDER BY path LIMIT 50")
+def shard_limit(spark, d):
+    return files.shard(calls(spark, d).select("path"), 3, 1, 50).select("path")
+
+
+@query("micro_batches", f"SELECT path, (row_number() OVER (ORDER BY path) - 1) // 8 AS batch FROM {CALLS} t")
+def micro_batches(spark, d):
+    return files.micro_batches(calls(spark, d).select("path"), 8).select("path", "batch")
+
+
+@query("expected_channels", f"SELECT file_id, CAST(unnest(range(0, least(2, greatest(1, channels)))) AS INT) AS channel FROM {CALLS} t")
+def expected_channels(spark, d):
+    return calls(spark, d).select("file_id", F.explode(files.expected_channels(F.col("channels"))).alias("channel"))
+
+
+@query("format_check", f"SELECT file_id, lower(codec) = 'opus' AND rate = 48000 AND channels = 2 AS ok FROM {CALLS} t")
+def format_check(spark, d):
+    return calls(spark, d).select("file_id", files.required_format(F.col("codec"), F.col("rate"), F.col("channels")).alias("ok"))
+
+
+@query("strategy_route", f"SELECT file_id, CASE WHEN duration > 5000 THEN 'too_long' WHEN duration > 1800 THEN 'temp_wav' ELSE 'single_decode' END AS strategy FROM {CALLS} t")
+def strategy_route(spark, d):
+    return calls(spark, d).select("file_id", files.strategy(F.col("duration"), 5000.0).alias("strategy"))
+
+
+@query("output_paths", f"SELECT file_id, '/out/' || regexp_replace(substr(path, 8), '\\.[^./]+$', '') || '.opus' AS out_path, '/out/' || regexp_replace(substr(path, 8), '\\.[^./]+$', '') || '.opus.json' AS sidecar FROM {CALLS} t")
+def output_paths(spark, d):
+    out = files.output_path(F.col("path"), "/calls", "/out")
+    return calls(spark, d).select("file_id", out.alias("out_path"), F.concat(out, F.lit(".json")).alias("sidecar"))
+
+
+@query("decoded_gb_guard", f"SELECT file_id % 50 AS grp, CASE WHEN count(*) = count(duration) THEN round(CAST(sum(duration) AS DOUBLE) * 48000 * 2 * 4 / 1073741824, 6) END AS gb FROM {CALLS} t GROUP BY 1")
+def decoded_gb_guard(spark, d):
+    g = files.decoded_gb(calls(spark, d).withColumn("grp", F.col("file_id") % 50), ["grp"])
+    return g.select("grp", F.round(F.col("gb").cast("double"), 6).alias("gb"))
+
+
+_ADAPT = "SELECT p_partkey AS id, CAST(p_size AS BIGINT) AS size, CAST(p_partkey % 16 AS DOUBLE) AS free FROM part"
+
+
+@query("adaptive_sizes", f"SELECT id, CAST(CASE WHEN free < 8 AND size > 2 THEN greatest(2, size // 2) ELSE size END AS BIGINT) AS shrunk, CAST(CASE WHEN free >= 8 THEN least(32, greatest(size + 1, 2 * size)) ELSE size END AS BIGINT) AS recovered FROM ({_ADAPT}) t")
+def adaptive_sizes(spark, d):
+    t = view(spark, d, _ADAPT, "part")
+    size, free = F.col("size"), F.col("free")
+    return t.select("id", files.shrunk(size, free, 8.0, 2).cast("long").alias("shrunk"), files.recovered(size, F.lit(32), free, 8.0).cast("long").alias("recovered"))
+
+
+_PROBE = """SELECT doc_id AS id, '{{"streams": [{{"codec_name": "opus", "sample_rate": "' || CASE WHEN doc_id % 5 = 0 THEN '48000.0' ELSE '48000' END || '", "channels": ' || (doc_id % 3) || ', "duration": "' || CASE WHEN doc_id % 4 = 0 THEN '0.0' ELSE CAST(n_chars AS STRING) || '.5' END || '"}}], "format": {{"duration": "7.25", "bit_rate": "64000", "format_name": "ogg"}}}}' AS j FROM documents"""
+
+
+@query("probe_json_parse", f"SELECT id, CASE WHEN id % 5 <> 0 THEN 48000 END AS sample_rate, id % 3 AS channels, CASE WHEN id % 4 = 0 THEN 7.25 ELSE CAST(j ->> '$.streams[0].duration' AS DOUBLE) END AS duration, CAST(j ->> '$.format.bit_rate' AS BIGINT) AS bit_rate FROM ({_PROBE.format()}) t".replace("7.25 ELSE", "CAST(7.25 AS DOUBLE) ELSE").replace("THEN 48000 END", "THEN CAST(48000 AS BIGINT) END"))
+def probe_json_parse(spark, d):
+    return files.probed(view(spark, d, _PROBE, "documents"), "j").select("id", "sample_rate", "channels", "duration", "bit_rate")
+
+
+@query("validate_outputs", f"SELECT file_id, lower(codec) = 'opus' AND rate = 48000 AND channels = 2 AND coalesce(abs((duration + (file_id % 3) * 0.15) - duration) <= 0.2, true) AS valid FROM {CALLS} t")
+def validate_outputs(spark, d):
+    t = calls(spark, d).withColumns({"out_codec": F.col("codec"), "out_rate": F.col("rate"), "out_channels": F.col("channels"), "out_duration": F.expr("duration + (file_id % 3) * 0.15")})
+    return files.validated(t).select("file_id", "valid")
+
+
+@query("error_rows", f"SELECT file_id, engine, '' AS transcript, CASE WHEN error IS NULL THEN 'Error' ELSE string_split(error, ':')[1] END AS error FROM {ASR} t WHERE transcript IS NULL")
+def error_rows(spark, d):
+    return asr(spark, d).where("transcript IS NULL").select("file_id", "engine", F.lit("").alias("transcript"), files.short_error(F.col("error")).alias("error"))
+
+
+# ---- state and reports
+
+
+@query("upsert_status", f"SELECT file_id, updated_at, status, valid FROM (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY updated_at % 2 DESC, updated_at DESC) AS n FROM {STATUS} t) u WHERE n = 1")
+def upsert_status(spark, d):
+    s = view(spark, d, views.STATUS, "orders")
+    return state.upsert(s.where("updated_at % 2 = 0"), s.where("updated_at % 2 = 1"), ["file_id"], ["updated_at"])
+
+
+@query("cache_complete", f"SELECT file_id FROM {ASR} t WHERE error IS NULL AND channel < 1 GROUP BY file_id HAVING count(DISTINCT engine) = 4")
+def cache_complete(spark, d):
+    return state.complete_files(asr(spark, d), ["alpha", "beta", "gamma", "delta"], 1, with_errors=False)
+
+
+@query("missing_work", f"SELECT DISTINCT f.file_id, e.engine, 0 AS channel FROM {ASR} f CROSS JOIN (SELECT DISTINCT engine FROM {ASR} t) e WHERE NOT EXISTS (SELECT 1 FROM {ASR} r WHERE r.file_id = f.file_id AND r.engine = e.engine AND r.error IS NULL)")
+def missing_work(spark, d):
+    a = asr(spark, d)
+    f = a.select("file_id").distinct().withColumn("channel_list", F.array(F.lit(0)))
+    engines = spark.createDataFrame([("alpha",), ("beta",), ("gamma",), ("delta",)], "engine string")
+    return state.missing_work(f, engines, a).select("file_id", "engine", "channel")
+
+
+@query("resume_anti", f"SELECT c_custkey AS file_id FROM customer WHERE c_custkey NOT IN (SELECT file_id FROM {STATUS} t WHERE starts_with(status, 'success') AND valid)")
+def resume_anti(spark, d):
+    return state.pending(table(spark, d, "customer").select(F.col("c_custkey").alias("file_id")), view(spark, d, views.STATUS, "orders"))
+
+
+@query("run_counters", f"SELECT file_id % 10 AS shard, count(*) AS processed, count(*) FILTER (WHERE starts_with(status, 'success') OR status = 'skipped_existing') AS success, count(*) FILTER (WHERE status = 'failed') AS failed, count(*) FILTER (WHERE status = 'skipped_existing') AS skipped FROM {STATUS} t GROUP BY 1")
+def run_counters(spark, d):
+    s = view(spark, d, views.STATUS, "orders").withColumn("shard", F.col("file_id") % 10)
+    return reports.run_counters(s, ["shard"]).drop("failsafe")
+
+
+@query("last_n_report", f"SELECT file_id, updated_at FROM {STATUS} t ORDER BY updated_at DESC LIMIT 100")
+def last_n_report(spark, d):
+    return reports.last_rows(view(spark, d, views.STATUS, "orders").select("file_id", "updated_at"), 100, "updated_at")
+
+
+@query("union_header", "SELECT NULL AS acctbal, r_regionkey AS key, r_name AS name FROM region UNION ALL SELECT s_acctbal, s_suppkey, NULL FROM supplier")
+def union_header(spark, d):
+    r = table(spark, d, "region").select(F.col("r_regionkey").cast("long").alias("key"), F.col("r_name").alias("name"))
+    return reports.union_all([r, table(spark, d, "supplier").select(F.col("s_suppkey").alias("key"), F.col("s_acctbal").alias("acctbal"))])
+
+
+@query("bench_summary", """SELECT o_custkey % 20 AS run, count(*) FILTER (WHERE o_orderstatus <> 'F') AS success, count(*) FILTER (WHERE o_orderstatus = 'F') AS failed, round(sum(o_totalprice) / 3600, 4) AS audio_hours,
+  round(CASE WHEN o_custkey % 20 = 0 THEN 0 ELSE count(*) / (o_custkey % 20) * 3600 END, 4) AS files_per_hour, min(least(o_totalprice, 500)) AS min_free, max(greatest(o_totalprice, 500)) AS max_free FROM orders GROUP BY 1, o_custkey % 20""")
+def bench_summary(spark, d):
+    o = table(spark, d, "orders").select(
+        (F.col("o_custkey") % 20).alias("run"), F.when(F.col("o_orderstatus") == "F", "failed").otherwise("success").alias("status"), F.col("o_totalprice").alias("duration_sec"),
+        (F.col("o_custkey") % 20).alias("elapsed_sec"), F.array("o_totalprice", F.lit(500.0)).alias("free"),
+    )
+    return reports.bench_summary(o, ["run"]).select("run", "success", "failed", F.round("audio_hours", 4).alias("audio_hours"), F.round("files_per_hour", 4).alias("files_per_hour"), "min_free", "max_free")
+
+
+@query("stage_timing", "SELECT user_id, event_type AS stage, round(sum(value), 4) AS seconds FROM events GROUP BY 1, 2")
+def stage_timing(spark, d):
+    e = table(spark, d, "events").select("user_id", F.col("event_type").alias("stage"), F.col("value").alias("seconds"))
+    return reports.stage_timing(e, ["user_id"]).select("user_id", F.explode("stages").alias("stage", "seconds")).withColumn("seconds", F.round("seconds", 4))
+
+
+_FINAL = "SELECT file_id, file_id % 13 = 0 AS no_transcript, file_id % 3 AS entities, file_id % 2 AS mapped, duration, lower(codec) = 'opus' AS matches FROM ({c}) t"
+
+
+@query("finalize_status", f"SELECT file_id, {reports.FINAL} AS status FROM ({_FINAL.format(c=views.CALLS)}) u")
+def finalize_status(spark, d):
+    return reports.final_status(view(spark, d, _FINAL.format(c=views.CALLS), "documents")).select("file_id", "status")
+
+
+@query("engine_maps", f"SELECT file_id, engine, transcript FROM {ASR} t WHERE error IS NULL")
+def engine_maps(spark, d):
+    m = asr(spark, d).groupBy("file_id").agg(F.map_from_entries(F.collect_list(F.struct("engine", "transcript"))).alias("m"))
+    return m.select("file_id", F.explode(F.map_filter("m", lambda k, v: v.isNotNull())).alias("engine", "transcript"))
+
+
+@query("words_json_roundtrip", f"SELECT file_id, engine, length(transcript) AS n FROM {ASR} t WHERE error IS NULL")
+def words_json_roundtrip(spark, d):
+    t = asr(spark, d).where("error IS NULL").select("file_id", "engine", F.to_json(F.struct("transcript")).alias("j"))
+    return t.select("file_id", "engine", F.length(F.from_json("j", "transcript string")["transcript"]).cast("long").alias("n"))
+
+
+# ---- samples
+
+_PCM = "SELECT l_orderkey AS id, l_linenumber AS k, l_quantity / 32 AS x, l_extendedprice AS secs FROM lineitem"
+
+
+@query("sample_index", f"SELECT id, k, CAST(round_even(x * 16, 0) AS BIGINT) AS at, CAST(trunc(greatest(-1, least(1, x - 0.75)) * 32767) AS SMALLINT) AS pcm FROM ({_PCM}) t")
+def sample_index(spark, d):
+    t = view(spark, d, _PCM, "lineitem")
+    return t.select("id", "k", audio.sample_index(F.col("x"), 16).alias("at"), audio.pcm16(F.col("x") - 0.75).alias("pcm"))
+
+
+@query("peak_silence", f"""WITH a AS (SELECT id, list(x - 0.75 ORDER BY k, secs) AS xs FROM ({_PCM}) t GROUP BY id)
+  SELECT id, CASE WHEN list_max(list_transform(xs, lambda v: abs(v))) = 0 THEN 1 ELSE list_max(list_transform(xs, lambda v: abs(v))) END AS peak, round(coalesce(list_sum(xs[1:1]), 0) + coalesce(list_sum(xs[4:]), 0), 6) AS total FROM a""")
+def peak_silence(spark, d):
+    t = view(spark, d, _PCM, "lineitem").groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "secs", "x"))), lambda s: s["x"] - 0.75).alias("xs"))
+    quiet = audio.silence(F.col("xs"), F.lit(1), F.lit(3))
+    return t.select("id", audio.peak(F.col("xs")).alias("peak"), F.round(F.aggregate(quiet, F.lit(0.0), lambda a, v: a + v), 6).alias("total"))
+
+
+@query("fade_envelope", """WITH a AS (SELECT p_partkey AS id, p_size AS n, greatest(1, least(4, CASE WHEN p_size // 2 < 1 THEN 1 ELSE p_size // 2 END)) AS f FROM part), b AS (SELECT *, unnest(range(0, n)) AS i FROM a)
+  SELECT id, round(sum(CASE WHEN f <= 1 OR n <= 2 THEN 1 WHEN i < f THEN i / (f - 1) WHEN i >= n - f THEN (n - 1 - i) / (f - 1) ELSE 1 END), 6) AS total FROM b GROUP BY id""")
+def fade_envelope(spark, d):
+    t = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").alias("n"))
+    return t.select("id", F.round(F.aggregate(audio.fade(F.col("n"), F.lit(4)), F.lit(0.0), lambda a, v: a + v), 6).alias("total"))
