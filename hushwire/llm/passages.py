@@ -21,7 +21,7 @@ from hushwire.llm.common import keep, map_arrow, table
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Shortest passage in words, hash functions, and functions that must agree for a pair of texts.
-LEAST_WORDS, HASHES, ENOUGH = 50, 5, 1
+LEAST_WORDS, HASHES, ENOUGH = 50, 5, 2
 #: Tokens that may differ between matching stretches of one passage: two words changed side by side.
 GAP = 2 * SHINGLE
 #: Ids that may be broadcast (8 bytes each); beyond it the texts are joined by shuffle.
