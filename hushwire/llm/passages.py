@@ -22,6 +22,8 @@ from hushwire.llm.common import keep, map_arrow, table
 SHINGLE, SIMILARITY = 5, 0.8
 #: Shortest passage in words, hash functions, and functions that must agree for a pair of texts.
 LEAST_WORDS, HASHES, ENOUGH = 50, 5, 2
+#: Words by which two collisions' shifts may differ within one passage.
+SHIFT = 20
 #: Tokens that may differ between matching stretches of one passage: two words changed side by side.
 GAP = 2 * SHINGLE
 #: Ids that may be broadcast (8 bytes each); beyond it the texts are joined by shuffle.
@@ -118,6 +120,9 @@ def windows(docs: DataFrame) -> DataFrame:
                 h[~real] = 0
                 _, at, _ = compact_windows(h, WIDTH)
                 of = np.searchsorted(start, at, side="right") - 1
+                # a text that repeats itself has one key at many places; the first stands for them all
+                first = np.unique(np.stack([of, h[at].view(np.int64)], 1), axis=0, return_index=True)[1]
+                at, of = at[first], of[first]
                 out["key"].append(h[at].view(np.int64))
                 out["doc_id"].append(doc[of])
                 out["c"].append((at - start[of]).astype(np.int32))
@@ -138,7 +143,11 @@ def pairs(found: DataFrame) -> DataFrame:
     led = led.select("key", "doc_id", "c", F.explode(F.array_distinct(F.array("lead", "prev"))).alias("lead")).where(F.col("lead.doc_id") != F.col("doc_id"))
     hit = F.struct(F.col("c").alias("b"), F.col("lead.c").alias("a"), F.expr("CAST(key & 7 AS int)").alias("f"))
     both = led.groupBy("doc_id", F.col("lead.doc_id").alias("source_id")).agg(F.collect_list(hit).alias("hits"))
-    return both.where(F.size(F.array_distinct("hits.f")) >= ENOUGH).select("doc_id", "source_id", F.col("hits.b").alias("b"), F.col("hits.a").alias("a"))
+    both = both.where(F.size(F.array_distinct("hits.f")) >= ENOUGH)
+    # collisions of one passage have nearly one shift: sorted by it, neighbours of two functions meet
+    both = both.withColumn("along", F.array_sort(F.transform("hits", lambda h: F.struct((h["b"] - h["a"]).alias("d"), h["f"].alias("f")))))
+    near = f"exists(sequence(1, size(along) - 1), i -> along[i].d - along[i - 1].d <= {SHIFT} AND along[i].f <> along[i - 1].f)"
+    return both.where(near).select("doc_id", "source_id", F.col("hits.b").alias("b"), F.col("hits.a").alias("a"))
 
 
 def runs(matched: np.ndarray, gap: int) -> list[tuple[int, int]]:
@@ -164,11 +173,9 @@ def passages(wb: np.ndarray, wa: np.ndarray, b: np.ndarray, a: np.ndarray) -> li
     def verify(i: int, j: int) -> bool:
         if j - i < WIDTH:
             return False
-        hits = (b >= i) & (b < j)
-        if not hits.any():
-            return False
-        shift = int(np.median(a[hits].astype(np.int64) - b[hits]))
         own = i + np.flatnonzero(matched[i:j])
+        hits = (b >= i) & (b < j)
+        shift = int(np.median(a[hits].astype(np.int64) - b[hits] if hits.any() else where[own] - own))
         far = np.abs(where[own] - own - shift) > (j - i) // 4 + GAP
         near = where[own[~far]]
         if not len(near):
