@@ -1,0 +1,276 @@
+"""The training-data operators against brute force, on edge cases and small tables."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+
+from hushwire.llm import bpe, fingerprints, language, packing, passages, pii, quality, secrets, simhash, vectors
+
+ROWS = [
+    (1, "", "x"), (2, None, "y"), (3, "one two", None), (4, "One  two\n\nthree é 😀 " * 3, "x"), (5, "One  two\n\nthree é 😀 " * 3, "x"),
+    (6, " ".join(f"w{i}" for i in range(3000)), "x"), (7, "token = abcdefgh1234 a@b.co +1 (415) 555-1234", "x"), (8, " ".join(f"w{i}" for i in range(3000)) + " end", "x"),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(ROWS, "doc_id long, text string, key string")
+
+
+@pytest.fixture(scope="module")
+def none(docs):
+    return docs.where("doc_id < 0")
+
+
+def test_fingerprints(docs, none):
+    got = {r["doc_id"]: r for r in fingerprints.fingerprint_chain(docs).collect()}
+    texts = [t or "" for _, t, _ in ROWS]
+    for i, (doc, _, _) in enumerate(ROWS):
+        t, n = texts[i], texts[(i + 1) % len(texts)]
+        k = len(t) // 4
+        edited = t[: len(t) - k] + n[:k]
+        assert got[doc]["n_chars"] == len(t)
+        assert got[doc]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert got[doc]["edited_fingerprint"] == fingerprints.Prefixes(edited).fingerprint()
+        assert 0 <= got[doc]["near_next"] <= 1
+    assert got[4]["near_next"] == 1 and got[4]["fingerprint"] == got[5]["fingerprint"] != got[6]["fingerprint"]
+    assert fingerprints.fingerprint_chain(none).count() == 0
+
+
+def test_extension():
+    r = random.Random(1)
+    for _ in range(50):
+        a, b = ("".join(r.choice("ab") for _ in range(40)) for _ in range(2))
+        i, j = r.randrange(40), r.randrange(40)
+        n = 0
+        while i + n < 40 and j + n < 40 and a[i + n] == b[j + n]:
+            n += 1
+        assert fingerprints.Prefixes(a).common_extension(i, fingerprints.Prefixes(b), j) == n
+
+
+def test_quality(docs, none):
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS quality")
+    rows = quality.score_quality(docs, quality.learn(docs, labels)).collect()
+    assert len(rows) == len(ROWS) and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in rows)
+    assert quality.score_quality(none, None).count() == 0 and quality.learn(none, labels.where("false")) is None
+
+
+def test_risk_separates():
+    r = np.random.default_rng(0)
+    good, bad = r.normal(1, 1, (9000, 5)), r.normal(-1, 1, (3000, 5))
+    model = quality.fit(good[:3000], np.concatenate([good[3000:8000], bad[:1667]]), 0.75)
+    # without a single labelled bad row, as many samples as the operator's own
+    assert (model.score(good[8000:]) > 0.3).mean() > 0.9 and (model.score(bad[1667:]) < 0.3).mean() > 0.8
+
+
+def base_secrets(t):
+    a = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
+    out = [(m.start(), 0, "assign", m.end()) for m in a.finditer(t) if len(m[2]) >= 8]
+    out += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 16]
+    return sorted(out + [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 32])
+
+
+def test_secrets(spark, none):
+    r = random.Random(2)
+    bits = ["token", "secret: ", "API_key=", '"password" : "', "passwd=", "AKIA", "ABCDEFGH12345678", "abcdef0123", "é😀 ", " ", "\n", "x.y", "ghp_A8sd7Fh3kLq9ZxPw2VbN4mTrY6uE", "0" * 30]
+    rows = [(i, "".join(r.choice(bits) for _ in range(r.randint(0, 14)))) for i in range(300)] + [(300, None)]
+    got = secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    for g in got:
+        want = base_secrets(rows[g["doc_id"]][1] or "")
+        assert g["base_sha256"] == hashlib.sha256(pii.listed(want).encode()).hexdigest()
+        assert set(filter(None, pii.listed(want).split(","))) <= set(g["spans"].split(","))
+    assert secrets.scan(none).count() == 0
+    one = spark.createDataFrame([(1, "a ghp_A8sd7Fh3kLq9ZxPw2VbN4mTrY6uE b", 0, "k")], "doc_id long, text string, n_chars long, z string")
+    assert secrets.masked(one).first()["text"] == "a <SECRET> b"
+
+
+def entropy(w):
+    n = np.array([w.count(c) for c in set(w)]) / len(w)
+    return float(-(n * np.log2(n)).sum())
+
+
+def test_window_entropy(spark):
+    r = random.Random(4)
+    rows = [(i, "".join(r.choice("abcdefghijklmnopqrstuvwyz0123456789"[: r.randint(3, 35)]) for _ in range(r.randint(20, 45)))) for i in range(150)]
+    got = {x["doc_id"]: x["spans"] for x in secrets.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, s in rows:
+        if re.search("[0-9]", s) and not re.search(secrets.ALLOWED.replace("(?i:", "(?:"), s) and not base_secrets(s):
+            limit = 3.0 if re.fullmatch("[0-9a-fA-F]+", s) else 3.9
+            best = max(entropy(s[k : k + 20]) for k in range(len(s) - 19))
+            if abs(best - limit) > 1e-6:
+                assert ("entropy" in got[i]) == (best >= limit), s
+
+
+def test_pii(docs, none):
+    got = {r["doc_id"]: r for r in pii.scan(docs).collect()}
+    assert (got[7]["n_email"], got[7]["n_phone"]) == (1, 1) and got[2]["spans"] == "" and pii.scan(none).count() == 0
+    assert [s[2] for s in pii.base_spans("4111 1111 1111 1111, 1.2.3.4, 1.2.3.400, 4111111111111112")] == ["card", "ip"]
+
+
+def test_bpe(docs, none):
+    import tiktoken
+
+    ranks = bpe.load_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    public = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    chunks, decoder, _ = bpe.tools(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), bpe.pattern_with_space(public_tokenizers.PATTERN))
+    r = random.Random(1)
+    texts = ["".join(r.choice("abcdeABC éß漢字 \n\t'’.,!?01239-_😀 \x1c\x85") for _ in range(r.randint(0, 40))) for _ in range(1500)]
+    texts += [t or "" for _, t, _ in ROWS] + ["".join(r.choice("abcd") for _ in range(5000))]
+    for t in texts:
+        ids = np.frombuffer(chunks.ids(t), "<u4")
+        assert ids.tolist() == public.encode_ordinary(t)
+        assert decoder.decode(ids) == t.encode() and decoder.final_state(ids) == bpe.DONE
+        assert "".join(decoder.stream(ids.tolist())) == t
+    assert bpe.encode_decode(none, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).count() == 0
+    for raw in (b"\xc0\x80", b"\xed\xa0\x80", b"\xf5", b"\xe2\x82", "é漢😀".encode()):
+        state = bpe.DONE
+        for b in raw:
+            state = bpe.utf8_step(state, b)
+        try:
+            raw.decode()
+            assert state == bpe.DONE
+        except UnicodeDecodeError:
+            assert state != bpe.DONE
+
+
+def test_packing(docs, none):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    t.encode_special_tokens = True
+    got = packing.pack(docs, path).toPandas()
+    for doc, text, _ in ROWS:
+        ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
+        own = got[got.doc_id == doc].sort_values("start")
+        assert own.length.sum() == len(ids) == own.doc_tokens.iloc[0]
+        for p in own.itertuples():
+            assert zlib.crc32(ids[p.start : p.start + p.length].tobytes()) == p.ids_crc32
+    by = got.sort_values(["sequence_id", "offset"]).groupby("sequence_id")
+    assert by.length.sum().max() <= 1024 and ((by.length.cumsum() - got.length).loc[got.index] == got.offset).all()
+    assert packing.pack(none, path).count() == 0
+
+
+def test_cutting_stock():
+    r = np.random.default_rng(3)
+    sizes = np.arange(1, 33)
+    demand = r.integers(1, 90, 32)
+    found = packing.patterns(sizes, demand, 32)
+    assert (sum(a * u for a, u in found) == demand).all() and all((a * sizes).sum() <= 32 for a, _ in found)
+    # no worse than first fit by decreasing size, no better than the volume allows
+    assert (sizes * demand).sum() / 32 <= sum(u for _, u in found) <= len(packing.first_fit(sizes, demand, 32))
+
+
+def test_simhash(spark, docs, none):
+    r = random.Random(6)
+    base = [r.getrandbits(64) for _ in range(30)]
+    prints = set(base)
+    for b in base:
+        for _ in range(6):
+            b ^= (1 << r.randrange(64)) | (1 << r.randrange(64))
+            prints.add(b)
+    prints |= {base[0] ^ (1 << i) ^ (1 << j) for i in range(20) for j in range(i)}  # a large group
+    prints = sorted(prints)
+    signed = lambda p: p - (1 << 64) if p >> 63 else p
+    found = {(a["a"], a["b"]) for a in simhash.near_links(spark.createDataFrame([(signed(p),) for p in prints], "print long")).collect()}
+    root = {signed(p): signed(p) for p in prints}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in found:
+        assert ((a ^ b) & (1 << 64) - 1).bit_count() <= 2
+        root[find(a)] = find(b)
+    for i, a in enumerate(prints):
+        for b in prints[:i]:
+            if (a ^ b).bit_count() <= 2:
+                assert find(signed(a)) == find(signed(b))
+    got = {x["doc_id"]: x for x in simhash.near_duplicates(docs).collect()}
+    assert got[1]["fingerprint"] == got[2]["fingerprint"] == "0" * 16 and got[5]["component_id"] == 4
+    assert simhash.near_duplicates(none).count() == 0
+
+
+def test_passages(spark, none):
+    r = random.Random(8)
+    word = lambda: "".join(r.choice("abcdefg") for _ in range(5))
+    text = lambda n: " ".join(word() for _ in range(n))
+    shared = text(60)
+    changed = shared.split()
+    changed[30] = "new"
+    rows = [(i, text(150)) for i in range(20)] + [(20 + i, f"{text(80)} {shared} {text(40)}") for i in range(12)] + [(40, f"{text(70)} {' '.join(changed)}"), (41, None), (42, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = passages.repeated_passages(docs).collect()
+    assert {g["doc_id"] for g in got} == {*range(21, 32), 40}
+    texts = dict(rows)
+    for g in got:
+        if g["doc_id"] < 40:
+            assert " ".join(texts[g["doc_id"]].split()[g["start_word"] : g["end_word"]]) == shared
+    left = {x["doc_id"]: x["text"] for x in passages.without_passages(docs).collect()}
+    assert left[20] == texts[20] and shared not in left[25] and len(left) == len(rows) and left[41] is None
+    assert passages.repeated_passages(none).count() == 0
+
+
+def test_compact_windows():
+    r = np.random.default_rng(1)
+    for _ in range(100):
+        n, t = int(r.integers(1, 50)), int(r.integers(1, 10))
+        h = r.integers(1, 10, n).astype(np.uint64)
+        got = set(zip(*(x.tolist() for x in passages.compact_windows(h, t)), strict=True))
+        want = set()
+        for i in range(n):
+            a = b = i
+            while a > 0 and h[a - 1] > h[i]:
+                a -= 1
+            while b < n - 1 and h[b + 1] >= h[i]:
+                b += 1
+            if b - a + 1 >= t:
+                want.add((a, i, b))
+        assert got == want
+
+
+def test_language(docs, spark, none):
+    rows = [(i, r, t) for i in range(60) for r, t in [("en", "the house and the garden")]] + [(100 + i, "de", "das Haus und der Garten") for i in range(60)] + [(500, None, None), (501, "en", "12 34")]
+    d = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    model = language.learn(d, public_tokenizers.path("piece_bpe_32k.model"))
+    got = {x["doc_id"]: x for x in language.identify(d, model).collect()}
+    assert got[1]["lang_pred"] == "en" and got[101]["lang_pred"] == "de" and got[500]["lang_pred"] == got[501]["lang_pred"] == "und"
+    assert language.identify(none, None).count() == 0
+
+
+def test_forward():
+    pieces = ["▁", "a", "b", "ab", "▁a", "ba"]
+    p = np.array([[0.1], [0.2], [0.15], [0.25], [0.2], [0.1], [1e-6]])
+    f = language.Forward(pieces, p)
+
+    def total(s):
+        return 1.0 if not s else sum((p[pieces.index(s[:n])][0] if s[:n] in pieces else p[-1][0] if n == 1 else 0.0) * total(s[n:]) for n in range(1, len(s) + 1))
+
+    for w in ("ab", "abba", "b", "axb"):
+        assert abs(f.words([w])[0, 0] - np.log(total("▁" + w))) < 1e-9
+
+
+def test_vectors(spark):
+    r = np.random.default_rng(2)
+    centres = r.normal(size=(20, 16))
+    rows = []
+    for i in range(400):
+        v = centres[i % 20] + r.normal(size=16) * 0.08
+        rows.append((i, [float(x) for x in v], i % 2))
+    rows += [(400, rows[0][1], 0), (401, None, 0), (402, [0.0] * 16, 0), (403, [float("nan")] * 16, 0), (404, rows[0][1], None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {x["vec_id"]: x for x in vectors.near_vectors(df).collect()}
+    good = [x for x in rows if x[0] < 401]
+    x = np.array([v for _, v, _ in good])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    link = (x @ x.T >= 0.98) & (np.array([a[2] for a in good])[:, None] == np.array([a[2] for a in good]))
+    np.fill_diagonal(link, False)
+    assert sum(got[i]["n_links"] for i in range(401)) >= 0.99 * link.sum() and len(got) == len(rows)
+    assert got[400]["component_id"] == 0 and not got[400]["kept"]
+    assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in (401, 402, 403, 404))
