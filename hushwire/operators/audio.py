@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -38,16 +43,23 @@ def fade(n: Column, fade_samples: Column) -> Column:
     )
 
 
-def beep(samples: Column, start: Column, stop: Column, rate: int, hertz: float = 1000.0, gain: float = 0.2) -> Column:
-    """A sine of gain times the peak within the span."""
+def beep(samples: Column, start: Column, stop: Column, rate: int, hertz: float = 1000.0, gain: float = 0.2, fade_ms: float = 8.0) -> Column:
+    """A sine of gain times the peak within the span, faded in and out."""
     top = peak(samples) * gain
-    return F.transform(samples, lambda v, i: F.when((i >= start) & (i < stop), top * F.sin(2 * 3.141592653589793 * hertz * (i - start) / rate)).otherwise(v))
+    n = F.least(stop, F.size(samples)) - start
+    rise = fade(F.greatest(n, F.lit(1)), F.lit(max(1, int(rate * fade_ms / 1000))))
+    wave = lambda i: top * F.sin(2 * math.pi * hertz * (i - start) / rate) * F.get(rise, i - start)
+    return F.transform(samples, lambda v, i: F.when((i >= start) & (i < stop), wave(i)).otherwise(v))
 
 
 def mono_mix(frames: Column) -> Column:
     return F.transform(frames, lambda f: F.aggregate(f, F.lit(0.0), lambda a, v: a + v) / F.size(f))
 
 
+def one_channel(frames: Column, channel: Column) -> Column:
+    return F.transform(frames, lambda f: F.get(f, channel))
+
+
 def target_channels(channel: Column, n: int) -> Column:
     """The channels that a span masks: all for -1, null and channels that are not there."""
     every = F.array(*[F.lit(i) for i in range(n)])
@@ -57,3 +69,70 @@ def target_channels(channel: Column, n: int) -> Column:
 def output_bitrate(source: Column, configured: Column, floor: int = 8) -> Column:
     """Kilobits: the input's own (halves to even) or the configured, at least max(8, floor)."""
     return F.greatest(F.lit(max(8, floor)), F.coalesce(F.bround(F.nullif(source, F.lit(0)) / 1000, 0).cast("int"), configured))
+
+
+def low_pass(up: int, down: int, half: int = 10) -> np.ndarray:
+    """A sinc cut at the lower of the two rates under a Kaiser window (beta 5), of gain `up`."""
+    widest = max(up, down)
+    at = np.arange(-half * widest, half * widest + 1)
+    taps = np.sinc(at / widest) * np.kaiser(len(at), 5.0)
+    return taps * (up / taps.sum())
+
+
+def resampled(x: np.ndarray, source: int, target: int) -> np.ndarray:
+    """x at another rate: ceil(n * target / source) samples.  Each output phase is one short filter over
+    the input, so zeros between samples are never made."""
+    g = math.gcd(source, target)
+    up, down = target // g, source // g
+    if up == down or not len(x):
+        return x.astype(np.float32)
+    taps = low_pass(up, down)
+    middle, n = len(taps) // 2, -(-len(x) * up // down)
+    out = np.zeros(n)
+    for phase in range(min(up, n)):
+        place = np.arange(phase, n, up) * down + middle  # in the upsampled signal, delayed by the filter
+        own = taps[place[0] % up :: up]
+        full = np.convolve(x.astype(np.float64), own)
+        k = place // up
+        out[phase::up] = np.where(k < len(full), full[np.minimum(k, len(full) - 1)], 0.0)
+    return out.astype(np.float32)
+
+
+def resample(recordings: DataFrame, source: int, target: int) -> DataFrame:
+    """recordings (id, samples) at another rate; a null recording stays null."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"id": b["id"], "samples": [None if s is None else resampled(np.asarray(s, np.float32), source, target) for s in b["samples"]]})
+
+    return recordings.select("id", "samples").mapInPandas(run, "id long, samples array<float>")
+
+
+def envelope(n: int, fade_samples: int) -> np.ndarray:
+    """The envelope of `fade`, for whole recordings."""
+    f = min(fade_samples, max(1, n // 2))
+    if f <= 1 or n <= 2:
+        return np.ones(n)
+    i = np.arange(n)
+    return np.minimum(1.0, np.minimum(i, n - 1 - i) / (f - 1))
+
+
+def noise(recordings: DataFrame, rate: int, gain: float = 0.03, fade_ms: float = 8.0, seed: int = 42) -> DataFrame:
+    """recordings (id, samples, spans: array of start, end in seconds) with each span replaced by faded
+    noise of gain times the peak.  One generator a recording gives the spans their noise in order,
+    so a task that runs again gives the same samples."""
+
+    def masked(samples, spans) -> np.ndarray:
+        x, draw = np.array(samples, np.float32), np.random.default_rng(seed)
+        top = float(np.abs(x).max(initial=0.0)) or 1.0
+        for s in () if spans is None else spans:
+            a, b = max(0, round(s["start"] * rate)), min(len(x), round(s["end"] * rate))
+            if b > a:
+                x[a:b] = draw.normal(0.0, gain * top, b - a).astype(np.float32) * envelope(b - a, max(1, int(rate * fade_ms / 1000)))
+        return x
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"id": b["id"], "samples": [None if s is None else masked(s, p) for s, p in zip(b["samples"], b["spans"], strict=True)]})
+
+    return recordings.select("id", "samples", "spans").mapInPandas(run, "id long, samples array<float>")

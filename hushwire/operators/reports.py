@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -62,3 +62,65 @@ FINAL = """CASE WHEN no_transcript AND duration IS NULL THEN 'failed' WHEN no_tr
 def final_status(files: DataFrame) -> DataFrame:
     """Status by the finalize table: files with no_transcript, entities, mapped, duration, matches."""
     return files.withColumn("status", F.expr(FINAL))
+
+
+def result_rows(transcripts: DataFrame, entities: DataFrame, spans: DataFrame) -> DataFrame:
+    """One row a file: words over all its transcripts (word_count), its entities and its merged spans."""
+    each = [
+        transcripts.select("file_id", F.col("word_count").cast("long").alias("w"), F.lit(0).alias("e"), F.lit(0).alias("s")),
+        entities.select("file_id", F.lit(0).cast("long").alias("w"), F.lit(1).alias("e"), F.lit(0).alias("s")),
+        spans.select("file_id", F.lit(0).cast("long").alias("w"), F.lit(0).alias("e"), F.lit(1).alias("s")),
+    ]
+    # one shuffle for the three tables, each counted before it
+    return reduce(DataFrame.unionByName, each).groupBy("file_id").agg(F.sum("w").alias("num_words"), F.sum("e").alias("num_entities"), F.sum("s").alias("num_spans"))
+
+
+def merged_metrics(parts: DataFrame, keys: list[str], shared: bool = False) -> DataFrame:
+    """parts: keys, ord, stages (map of seconds), engines (map of seconds), samples (array).  Seconds add up
+    name by name and samples are appended in order.  With `shared`, stage seconds are those of a whole
+    micro-batch and are kept as batch_stages, not to be summed over its files."""
+
+    def summed(column: str) -> DataFrame:
+        one = parts.select(*keys, F.explode(column).alias("name", "sec")).groupBy(*keys, "name").agg(F.sum("sec").alias("sec"))
+        return one.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "sec")))).alias(column))
+
+    rows = parts.groupBy(*keys).agg(F.flatten(F.array_sort(F.collect_list(F.struct("ord", F.coalesce("samples", F.array()).alias("x"))))["x"]).alias("samples"))
+    out = rows.join(summed("stages"), keys, "left").join(summed("engines"), keys, "left")
+    return out.withColumnRenamed("stages", "batch_stages") if shared else out
+
+
+def report_tail(spark: SparkSession, path: str, skip: int, schema: str) -> DataFrame:
+    """The records of a JSON-lines report after its first `skip` physical lines, blank lines counted but not
+    read: line (from 0) and the record.  Lines are numbered within the blocks that tasks read, and blocks
+    shifted by the sizes of those before; one row a block is all that is ordered in one place."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_i"))
+    local = lines.withColumn("_r", F.row_number().over(Window.partitionBy("_block").orderBy("_i")))
+    sizes = lines.groupBy("_block").agg(F.count("*").alias("_n"))
+    base = sizes.select("_block", F.coalesce(F.sum("_n").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
+    placed = local.join(base, "_block").withColumn("line", F.col("_base") + F.col("_r") - 1)
+    return placed.where((F.col("line") >= skip) & (F.trim("value") != "")).select("line", F.from_json("value", schema).alias("record"))
+
+
+def transcript_rows(bundles: DataFrame) -> DataFrame:
+    """bundles (see words.bundles) as rows: the consensus, then each engine's result."""
+    row = lambda kind, engine, text, n, error: F.struct(F.lit(kind).alias("kind"), engine.alias("engine"), F.coalesce(text, F.lit("")).alias("transcript"), n.cast("int").alias("word_count"), error.alias("error"))
+    none = F.lit(None).cast("string")
+    engines = F.transform("engine_results", lambda r: row("engine", r["engine"], r["transcript"], F.coalesce(F.size(r["words"]), F.lit(0)), r["error"]))
+    first = F.array(row("consensus", F.lit("consensus"), F.col("final_transcript"), F.size(F.filter(F.split("final_transcript", " "), lambda w: w != "")), none))
+    return bundles.select("file_id", "channel", F.inline(F.concat(first, engines)))
+
+
+def enriched(found: DataFrame) -> DataFrame:
+    """Entities by text (file_id, channel, source, entities) as one list of rows with where they come
+    from; an engine's text names that engine."""
+    engine = F.when(F.col("source").startswith("engine:"), F.substring("source", 8, 1_000_000))
+    return found.select("file_id", "channel", F.col("source").alias("transcript_source"), engine.alias("asr_engine"), F.inline("entities"))
+
+
+def sidecar(files: DataFrame) -> DataFrame:
+    """files: file_id, path, out_path, status, entities (array), spans (array) as one JSON document a file."""
+    body = F.struct(
+        F.struct(F.col("path").alias("input_path"), F.col("out_path").alias("output_path")).alias("files"), "status",
+        F.size("entities").alias("num_entities"), F.size("spans").alias("num_spans"), "entities", "spans",
+    )
+    return files.select("file_id", F.to_json(body).alias("document"))

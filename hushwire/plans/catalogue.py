@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hushwire.functions import patterns as P
 from hushwire.functions import text as T
 from hushwire.operators import audio, consensus, entities, files, reports, spans, state
+from hushwire.operators import words as timed
 from hushwire.plans import views
 
 QUERIES: dict = {}
@@ -487,3 +488,179 @@ def peak_silence(spark, d):
 def fade_envelope(spark, d):
     t = table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").alias("n"))
     return t.select("id", F.round(F.aggregate(audio.fade(F.col("n"), F.lit(4)), F.lit(0.0), lambda a, v: a + v), 6).alias("total"))
+
+
+_NOISY = "SELECT id, k, x, secs, k % 4 - 1 AS channel FROM ({p}) q"
+
+
+@query("mask_beep", f"""WITH a AS (SELECT id, list(x - 0.75 ORDER BY k, secs) AS xs FROM ({_PCM}) t GROUP BY id), b AS (SELECT *, CASE WHEN list_max(list_transform(xs, lambda v: abs(v))) = 0 THEN 1 ELSE list_max(list_transform(xs, lambda v: abs(v))) END AS p FROM a)
+  SELECT id, round(xs[1] + CASE WHEN len(xs) > 2 THEN 0.2 * p * sin(pi() / 4) ELSE 0 END + coalesce(list_sum(xs[4:]), 0), 6) AS total FROM b""")
+def mask_beep(spark, d):
+    t = view(spark, d, _PCM, "lineitem").groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "secs", "x"))), lambda s: s["x"] - 0.75).alias("xs"))
+    return t.select("id", F.round(F.aggregate(audio.beep(F.col("xs"), F.lit(1), F.lit(3), 8000), F.lit(0.0), lambda a, v: a + v), 6).alias("total"))
+
+
+def recordings(spark, d):
+    t = view(spark, d, _PCM, "lineitem").groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "secs", "x"))), lambda s: s["x"] - 0.75).alias("samples"))
+    return t.withColumn("samples", F.flatten(F.array_repeat("samples", 12)))
+
+
+@query("mask_noise")
+def mask_noise(spark, d):
+    t = recordings(spark, d).withColumn("spans", F.expr("array(named_struct('start', 0.001D, 'end', 0.003D))"))
+    return audio.noise(t, 8000).select("id", F.size("samples").alias("n"), F.expr("round(aggregate(samples, 0D, (a, v) -> a + v), 4)").alias("total"))
+
+
+@query("resample_pcm")
+def resample_pcm(spark, d):
+    return audio.resample(recordings(spark, d), 48000, 16000).select("id", F.size("samples").alias("n"), F.expr("round(aggregate(samples, 0D, (a, v) -> a + v), 3)").alias("total"))
+
+
+@query("mono_mix_split", f"SELECT id, channel, round(sum(v), 6) AS total FROM (SELECT id, c.channel, CASE c.channel WHEN -1 THEN (x + k) / 2 WHEN 0 THEN x ELSE k END AS v FROM ({_PCM}) t CROSS JOIN (VALUES (-1), (0), (1)) c(channel)) u GROUP BY id, channel")
+def mono_mix_split(spark, d):
+    t = view(spark, d, _PCM, "lineitem").groupBy("id").agg(F.collect_list(F.array("x", F.col("k").cast("double"))).alias("f"))
+    rows = t.select("id", "f", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("channel"))
+    own = F.when(F.col("channel") < 0, audio.mono_mix(F.col("f"))).otherwise(audio.one_channel(F.col("f"), F.greatest(F.lit(0), "channel")))
+    return rows.select("id", "channel", F.round(F.aggregate(own, F.lit(0.0), lambda a, v: a + v), 6).alias("total"))
+
+
+@query("target_channels", f"SELECT id, k, c.target FROM ({_NOISY.format(p=_PCM)}) t JOIN (VALUES (0), (1)) c(target) ON t.channel NOT IN (0, 1) OR t.channel = c.target")
+def target_channels(spark, d):
+    t = view(spark, d, _NOISY.format(p=_PCM), "lineitem")
+    return t.select("id", "k", F.explode(audio.target_channels(F.col("channel").cast("int"), 2)).alias("target"))
+
+
+_BITS = "SELECT p_partkey AS id, CASE WHEN p_partkey % 4 = 0 THEN 0 WHEN p_partkey % 4 = 1 THEN NULL ELSE p_size * 2500 END AS bits, 16 + p_partkey % 32 AS kbps FROM part"
+
+
+@query("output_bitrate", f"SELECT id, CAST(greatest(24, CASE WHEN bits > 0 THEN round_even(bits / 1000, 0) ELSE kbps END) AS INT) AS kbps FROM ({_BITS}) t")
+def output_bitrate(spark, d):
+    t = view(spark, d, _BITS, "part")
+    return t.select("id", audio.output_bitrate(F.col("bits"), F.col("kbps").cast("int"), 24).cast("int").alias("kbps"))
+
+
+# ---- timed words
+
+_SAID = f"""(SELECT conv_id * 1000 + turn AS file_id, 0 AS channel, unnest(string_split(text, ' ')) AS word, unnest(range(0, len(string_split(text, ' ')))) AS ord FROM {LINES} l)"""
+
+
+def said(spark, d):
+    t = lines(spark, d).select((F.col("conv_id") * 1000 + F.col("turn")).alias("file_id"), F.lit(0).alias("channel"), F.posexplode(F.split("text", " ")).alias("ord", "word"))
+    return t.withColumns({"start": F.col("ord") * 0.4, "end": F.col("ord") * 0.4 + 0.3})
+
+
+@query("canonical_words", f"""SELECT file_id, ord, word, CAST(coalesce(sum(length(word) + 1) OVER (PARTITION BY file_id ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INT) AS start_char
+  FROM {_SAID} w WHERE word <> ''""")
+def canonical_words(spark, d):
+    return timed.canonical_words(said(spark, d)).select("file_id", "ord", "word", "start_char")
+
+
+@query("canonical_transcript", f"SELECT file_id, string_agg(word, ' ' ORDER BY ord) AS transcript, count(*) AS word_count FROM {_SAID} w WHERE word <> '' GROUP BY file_id")
+def canonical_transcript(spark, d):
+    return timed.canonical_transcript(said(spark, d)).select("file_id", "transcript", "word_count")
+
+
+_LOOSE = "SELECT l_orderkey AS file_id, l_linenumber AS ord, l_quantity - 3 AS start, l_quantity - 3 + l_tax * 10 - 0.2 AS {e}, CASE WHEN l_linenumber = 5 THEN NULL ELSE 40.0 END AS duration FROM lineitem"
+
+
+@query(
+    "clamp_words",
+    f"""SELECT file_id, ord, round(CASE WHEN duration IS NULL THEN start ELSE least(greatest(0, start), 40) END, 6) AS "start",
+    round(CASE WHEN duration IS NULL THEN greatest(start, stop) ELSE least(greatest(start, stop, 0), 40) END, 6) AS "end",
+    stop < start OR coalesce(start < -1 OR greatest(start, stop) > duration + 1, false) AS suspicious FROM ({_LOOSE.format(e="stop")}) t""",
+)
+def clamp_words(spark, d):
+    t = view(spark, d, _LOOSE, "lineitem", e="end").withColumn("duration", F.col("duration").cast("double"))
+    return timed.clamped(t).select("file_id", "ord", F.round("start", 6).alias("start"), F.round("end", 6).alias("end"), "suspicious")
+
+
+_SEGMENTS = "SELECT conv_id * 1000 + turn AS file_id, 0 AS channel, turn AS segment_id, CAST(turn * 1.5 AS DOUBLE) AS a, CAST(turn * 1.5 + conv_id % 3 AS DOUBLE) AS b, text FROM ({t}) l"
+
+
+@query(
+    "interpolate_words",
+    f"""WITH s AS (SELECT file_id, least(a, 6) AS a, least(greatest(least(a, 6), b), 6) AS b, list_filter(string_split(text, ' '), lambda w: w <> '') AS w FROM ({_SEGMENTS.format(t=LINES)}) q),
+    i AS (SELECT *, greatest(0.01, b - a) AS n, unnest(w) AS word, unnest(range(0, len(w))) AS i FROM s)
+    SELECT file_id, i, word, CAST(floor((a + n * i / len(w)) * 1000) AS BIGINT) AS start_ms, CAST(floor((a + n * (i + 1) / len(w)) * 1000) AS BIGINT) AS end_ms FROM i""",
+)
+def interpolate_words(spark, d):
+    t = lines(spark, d).selectExpr("conv_id * 1000 + turn AS file_id", "0 AS channel", "turn AS segment_id", "turn * 1.5D AS start", "turn * 1.5D + conv_id % 3 AS end", "text", "6D AS duration")
+    return timed.interpolated(t).select("file_id", "i", "word", F.floor(F.col("start") * 1000).alias("start_ms"), F.floor(F.col("end") * 1000).alias("end_ms"))
+
+
+@query("align_words")
+def align_words(spark, d):
+    words = said(spark, d)
+    spoken = words.where("ord % 7 <> 3").withColumn("word", F.expr("if(ord % 5 = 1, concat(word, 'x'), word)"))
+    return timed.align(timed.canonical_transcript(spoken), words).select("file_id", "word", "start_char", "end_char", F.round("start", 6).alias("start"), "anchor_word")
+
+
+@query("text_chunks")
+def text_chunks(spark, d):
+    return timed.text_chunks(table(spark, d, "documents"), "doc_id").select("doc_id", "start", F.length("chunk").alias("length"))
+
+
+_PICK = "SELECT file_id, CASE WHEN file_id % 3 = 0 THEN 'gamma' ELSE 'delta' END AS selected_engine"
+_HAS = "(engine_ord IN (1, 2) OR (engine_ord = 0 AND file_id % 2 = 0))"
+
+
+def made_bundles(spark, d):
+    r = asr(spark, d).withColumn("words", F.expr(f"if({_HAS}, array(engine), CAST(array() AS array<string>))"))
+    chosen = r.where("engine = if(file_id % 3 = 0, 'gamma', 'delta')").select("file_id", "channel", F.col("engine").alias("selected_engine"), F.col("transcript").alias("final_transcript"))
+    return timed.bundles(r.where("file_id % 5 = 0"), r, chosen, "alpha")
+
+
+_BUNDLES = f"""(WITH r AS (SELECT *, {_HAS} AS has FROM {ASR} t), a AS (SELECT file_id, channel, min_by(engine, CASE WHEN engine = 'alpha' THEN -1 ELSE engine_ord END) FILTER (WHERE has) AS anchor_engine FROM r GROUP BY 1, 2),
+   f AS (SELECT file_id, engine AS selected_engine, trim(coalesce(transcript, '')) AS final, has FROM r WHERE engine = CASE WHEN file_id % 3 = 0 THEN 'gamma' ELSE 'delta' END)
+   SELECT a.file_id, a.channel, f.final AS final_transcript, f.selected_engine, a.anchor_engine, CASE WHEN f.has THEN 'selected' WHEN trim(r.transcript) = f.final THEN 'anchor' WHEN f.final <> '' THEN 'aligned' ELSE 'none' END AS words_from
+   FROM a JOIN f USING (file_id) JOIN r ON r.file_id = a.file_id AND r.engine = a.anchor_engine)"""
+
+
+@query("bundle_group", f"SELECT file_id, channel, final_transcript, selected_engine, anchor_engine, words_from, 4 AS n FROM {_BUNDLES} b")
+def bundle_group(spark, d):
+    return made_bundles(spark, d).select("file_id", "channel", "final_transcript", "selected_engine", "anchor_engine", "words_from", F.size("engine_results").alias("n"))
+
+
+@query("transcript_rows", f"""SELECT file_id, 'consensus' AS engine, final_transcript AS transcript, len(list_filter(string_split(final_transcript, ' '), lambda w: w <> '')) AS word_count FROM {_BUNDLES} b
+  UNION ALL SELECT file_id, engine, coalesce(transcript, ''), CASE WHEN {_HAS} THEN 1 ELSE 0 END FROM {ASR} t""")
+def transcript_rows(spark, d):
+    return reports.transcript_rows(made_bundles(spark, d)).select("file_id", "engine", "transcript", F.col("word_count").cast("long").alias("word_count"))
+
+
+@query("cached_anchor_guard", f"SELECT g AS file_id FROM (SELECT file_id // 10 AS g, max(CASE WHEN engine = 'alpha' AND file_id % 7 <> 0 THEN 1 ELSE 0 END) AS ok FROM {ASR} t GROUP BY file_id // 10, file_id % 2) u GROUP BY g HAVING min(ok) = 1")
+def cached_anchor_guard(spark, d):
+    r = asr(spark, d).selectExpr("file_id DIV 10 AS file_id", "CAST(file_id % 2 AS int) AS channel", "engine", "error", "if(file_id % 7 <> 0, array(engine), NULL) AS words")
+    return timed.anchored_files(r, "alpha")
+
+
+@query("result_rows", """SELECT o_orderkey AS file_id, CAST(o_custkey AS BIGINT) AS num_words, coalesce(e, 0) AS num_entities, coalesce(s, 0) AS num_spans FROM orders
+  LEFT JOIN (SELECT l_orderkey, count(*) AS e, count(*) FILTER (WHERE l_linenumber < 3) AS s FROM lineitem GROUP BY 1) l ON l_orderkey = o_orderkey""")
+def result_rows(spark, d):
+    orders, items = table(spark, d, "orders"), table(spark, d, "lineitem").withColumnRenamed("l_orderkey", "file_id")
+    items = items.join(orders.select(F.col("o_orderkey").alias("file_id")), "file_id", "left_semi")
+    return reports.result_rows(orders.selectExpr("o_orderkey AS file_id", "o_custkey AS word_count"), items, items.where("l_linenumber < 3"))
+
+
+@query("perf_merge", """SELECT e.user_id, event_type AS name, round(sum(value), 4) AS sec, round(sum(value / 2), 4) AS engine_sec, any_value(samples) AS samples FROM events e
+  JOIN (SELECT user_id, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS samples FROM events GROUP BY 1) s ON s.user_id = e.user_id GROUP BY 1, 2""")
+def perf_merge(spark, d):
+    parts = table(spark, d, "events").select(
+        "user_id", F.col("event_id").alias("ord"), F.create_map("event_type", "value").alias("stages"), F.create_map("event_type", F.col("value") / 2).alias("engines"), F.array("event_id").alias("samples"),
+    )
+    m = reports.merged_metrics(parts, ["user_id"])
+    rows = m.select("user_id", "engines", F.array_join(F.col("samples").cast("array<string>"), ",").alias("samples"), F.explode("stages").alias("name", "sec"))
+    return rows.select("user_id", "name", F.round("sec", 4).alias("sec"), F.round(F.col("engines")[F.col("name")], 4).alias("engine_sec"), "samples")
+
+
+@query("entity_enrich", f"""SELECT id, CASE WHEN id % 2 = 0 THEN 'engine:beta' ELSE 'final_consensus' END AS transcript_source, CASE WHEN id % 2 = 0 THEN 'beta' END AS asr_engine, text, "start" FROM ({ORACLE_SQL["rx_email"]}) e""")
+def entity_enrich(spark, d):
+    t = pii(spark, d).select(F.col("id").alias("file_id"), F.lit(0).alias("channel"), F.expr("if(id % 2 = 0, 'engine:beta', 'final_consensus')").alias("source"), entities.rule_entities("text", "email").alias("entities"))
+    # an entity has its detector in `source`; the text's source goes by its own name
+    return reports.enriched(t).select(F.col("file_id").alias("id"), "transcript_source", "asr_engine", "text", "start")
+
+
+@query("sidecar_json", f"SELECT file_id, path, '/out/' || file_id AS out_path, 'success' AS status, CAST(channels AS BIGINT) AS num_entities FROM {CALLS} t")
+def sidecar_json(spark, d):
+    c = calls(spark, d).select("file_id", "path", F.expr("'/out/' || file_id").alias("out_path"), F.lit("success").alias("status"), F.array_repeat(F.struct("codec"), F.col("channels")).alias("entities"), F.array(F.struct("rate")).alias("spans"))
+    doc = F.from_json("document", "files struct<input_path:string,output_path:string>, status string, num_entities long")
+    return reports.sidecar(c).select("file_id", doc.alias("j")).select("file_id", F.col("j.files.input_path").alias("path"), F.col("j.files.output_path").alias("out_path"), "j.status", "j.num_entities")
