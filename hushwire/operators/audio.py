@@ -43,7 +43,7 @@ def fade(n: Column, fade_samples: Column) -> Column:
     )
 
 
-def beep(samples: Column, start: Column, stop: Column, rate: int, hertz: float = 1000.0, gain: float = 0.2, fade_ms: float = 8.0) -> Column:
+def beep(samples: Column, start: Column, stop: Column, rate: int, hertz: float = 1000.0, gain: float = 0.35, fade_ms: float = 8.0) -> Column:
     """A sine of gain times the peak within the span, faded in and out."""
     top = peak(samples) * gain
     n = F.least(stop, F.size(samples)) - start

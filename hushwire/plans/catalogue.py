@@ -494,7 +494,7 @@ _NOISY = "SELECT id, k, x, secs, k % 4 - 1 AS channel FROM ({p}) q"
 
 
 @query("mask_beep", f"""WITH a AS (SELECT id, list(x - 0.75 ORDER BY k, secs) AS xs FROM ({_PCM}) t GROUP BY id), b AS (SELECT *, CASE WHEN list_max(list_transform(xs, lambda v: abs(v))) = 0 THEN 1 ELSE list_max(list_transform(xs, lambda v: abs(v))) END AS p FROM a)
-  SELECT id, round(xs[1] + CASE WHEN len(xs) > 2 THEN 0.2 * p * sin(pi() / 4) ELSE 0 END + coalesce(list_sum(xs[4:]), 0), 6) AS total FROM b""")
+  SELECT id, round(xs[1] + CASE WHEN len(xs) > 2 THEN 0.35 * p * sin(pi() / 4) ELSE 0 END + coalesce(list_sum(xs[4:]), 0), 6) AS total FROM b""")
 def mask_beep(spark, d):
     t = view(spark, d, _PCM, "lineitem").groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "secs", "x"))), lambda s: s["x"] - 0.75).alias("xs"))
     return t.select("id", F.round(F.aggregate(audio.beep(F.col("xs"), F.lit(1), F.lit(3), 8000), F.lit(0.0), lambda a, v: a + v), 6).alias("total"))
