@@ -145,8 +145,9 @@ def pairs(found: DataFrame) -> DataFrame:
     both = led.groupBy("doc_id", F.col("lead.doc_id").alias("source_id")).agg(F.collect_list(hit).alias("hits"))
     both = both.where(F.size(F.array_distinct("hits.f")) >= ENOUGH)
     # collisions of one passage have nearly one shift: sorted by it, neighbours of two functions meet
-    both = both.withColumn("along", F.array_sort(F.transform("hits", lambda h: F.struct((h["b"] - h["a"]).alias("d"), h["f"].alias("f")))))
-    near = f"exists(sequence(1, size(along) - 1), i -> along[i].d - along[i - 1].d <= {SHIFT} AND along[i].f <> along[i - 1].f)"
+    # a one-element array binds the sorted hits once; as a column they would be sorted anew for every hit
+    near = f"""exists(array(array_sort(transform(hits, h -> struct(h.b - h.a AS d, h.f AS f)))),
+      along -> exists(sequence(1, size(along) - 1), i -> along[i].d - along[i - 1].d <= {SHIFT} AND along[i].f <> along[i - 1].f))"""
     return both.where(near).select("doc_id", "source_id", F.col("hits.b").alias("b"), F.col("hits.a").alias("a"))
 
 
