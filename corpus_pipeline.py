@@ -21,8 +21,10 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """One document, the first by doc_id, of every component of near copies; rows without doc_id stay."""
     ship(spark)
     found = simhash.near_duplicates(docs)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone"))
+    # packed rows clash with no name
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.join(gone, F.col("row.doc_id") == F.col("gone"), "left_anti").select("row.*")
 
 
 def passages_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -82,6 +82,14 @@ def as_batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that df does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_fold(column: str, mod: int):
     """crc32 of a key as text, modulo mod: the fixed folds of the learned operators."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(mod))

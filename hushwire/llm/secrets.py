@@ -110,8 +110,8 @@ def scan(docs: DataFrame) -> DataFrame:
 
 def masked(docs: DataFrame, mark: str = "<SECRET>") -> DataFrame:
     """docs with every secret span of `text` replaced by a mark and n_chars brought in line; texts
-    without secrets, null ones too, stay as they are."""
-    t = secret_spans(docs)
+    without secrets, null ones too, stay as they are.  Extra columns pass through, whatever their names."""
+    t = secret_spans(docs.select(F.struct("*").alias("row"), "text"))
     cover = f"""aggregate(_all, named_struct('at', 0, 'out', ''),
         (a, z) -> CASE WHEN z.stop <= a.at THEN a
           WHEN z.start < a.at THEN named_struct('at', z.stop, 'out', a.out)
@@ -124,9 +124,9 @@ def masked(docs: DataFrame, mark: str = "<SECRET>") -> DataFrame:
         if c == "text":
             out.append(F.col("_new").alias("text"))
         elif c == "n_chars":
-            out.append(F.when(hit, F.length("_new")).otherwise(F.col("n_chars")).cast("long").alias("n_chars"))
+            out.append(F.when(hit, F.length("_new")).otherwise(F.col("row.n_chars")).cast("long").alias("n_chars"))
         else:
-            out.append(F.col(c))
+            out.append(F.col(f"row.`{c}`"))
     return t.select(out)
 
 
