@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hushwire.llm.common import keep, map_arrow, table
+from hushwire.llm.common import free_name, keep, map_arrow, table
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Shortest passage in words, hash functions, and functions that must agree for a pair of texts.
@@ -209,7 +209,6 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     ids = met.select(F.explode(F.array("doc_id", "source_id")).alias("doc_id")).distinct()
     few = met.selectExpr("2 * count(*)").first()[0] <= BROADCAST_IDS or ids.count() <= BROADCAST_IDS
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = rows.join(F.broadcast(ids) if few else ids.hint("merge"), "doc_id", "left_semi")
 
     def signed():
         def run(c):
@@ -218,7 +217,12 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
         return run
 
-    words = keep(map_arrow(rows, signed, "doc_id long, words binary", "text").groupBy("doc_id").agg(F.max("words").alias("words")), "words")
+    def sign(df):
+        return map_arrow(df, signed, "doc_id long, words binary", "text")
+
+    # beyond the bound, words are signed before they are dealt out: two bytes a word instead of its text
+    paired = sign(rows.join(F.broadcast(ids), "doc_id", "left_semi")) if few else sign(rows).join(ids.hint("merge"), "doc_id", "left_semi")
+    words = keep(paired.groupBy("doc_id").agg(F.max("words").alias("words")), "words")
     both = met.join(words, "doc_id").join(words.select(F.col("doc_id").alias("source_id"), F.col("words").alias("source_words")), "source_id")
 
     def check():
@@ -239,31 +243,32 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
 
 def without_passages(docs: DataFrame) -> DataFrame:
     """docs without the passages that earlier documents have; n_chars is brought in line.  Documents of
-    which no word is left go; all others stay, null and empty texts too."""
-    spans = repeated_passages(docs).groupBy("doc_id").agg(F.collect_set(F.struct("start_word", "end_word")).alias("_spans"))
-    spans = keep(spans, "spans")
-    joined = docs.withColumn("_key", F.col("doc_id").cast("long")).join(spans.withColumnRenamed("doc_id", "_key"), "_key", "left").drop("_key")
-    clean = joined.where(F.col("_spans").isNull()).drop("_spans")
-    hit = joined.where(F.col("_spans").isNotNull())
-    schema = hit.drop("_spans").schema
+    which no word is left go; all others stay, null and empty texts too.  Extra columns pass through,
+    whatever their names."""
+    key, mine = free_name(docs, "_key"), free_name(docs, "_spans")
+    spans = repeated_passages(docs).groupBy(F.col("doc_id").alias(key)).agg(F.collect_set(F.struct("start_word", "end_word")).alias(mine))
+    # one join, always by shuffle: texts are dealt out once at any size, and spans need no bound
+    joined = docs.withColumn(key, F.col("doc_id").cast("long")).join(spans.hint("merge"), key, "left").drop(key)
 
     def make():
         def run(c):
-            kept, texts = [], []
-            for k, (text, spans_) in enumerate(zip(c["text"].to_pylist(), c["_spans"].to_pylist(), strict=True)):
-                new = cut(text or "", [(s["start_word"], s["end_word"]) for s in spans_])
-                if WORD.search(new):
+            kept, texts, changed = [], [], []
+            for k, (text, spans_) in enumerate(zip(c["text"].to_pylist(), c[mine].to_pylist(), strict=True)):
+                new = text if spans_ is None else cut(text or "", [(s["start_word"], s["end_word"]) for s in spans_])
+                if spans_ is None or WORD.search(new):
                     kept.append(k)
                     texts.append(new)
-            out = {k: v.take(kept) for k, v in c.items() if k != "_spans"}
-            out["text"] = texts
-            if "n_chars" in out:
-                out["n_chars"] = [len(t) for t in texts]
+                    changed.append(spans_ is not None)
+            out = {k: v.take(kept) for k, v in c.items() if k != mine}
+            if any(changed):
+                out["text"] = texts
+                if "n_chars" in out:
+                    out["n_chars"] = [len(t) if x else n for t, x, n in zip(texts, changed, out["n_chars"].to_pylist(), strict=True)]
             return out
 
         return run
 
-    return clean.unionByName(map_arrow(hit, make, schema, "text"))
+    return map_arrow(joined, make, docs.schema, "text")
 
 
 def cut(text: str, spans: list[tuple[int, int]]) -> str:
