@@ -6,7 +6,8 @@ compact windows (l, c, r): every subsequence within l..r that holds c has its le
 wide as the shortest passage are kept, about two for each such width.  Windows of one least hash are
 joined: later texts with the first that has it, so a passage in thousands of texts gives as many
 pairs and not their square.  For every pair of texts the intervals that collide are gathered; where
-enough functions agree, the passages are extended and verified on all their words.
+enough functions agree, the passages are extended and verified on all their words.  Where the first text
+has another passage, what is left over is looked up by exact stretches around the keys.
 """
 
 from __future__ import annotations
@@ -93,54 +94,80 @@ def compact_windows(h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray,
     return lo[ok], at[ok], hi[ok]
 
 
-WINDOWS = "key long, doc_id long, c int"
+#: A place packs its token, how far its window reaches to the left and to the right of it (as far as a
+#: shortest passage can), and whether its text has the key elsewhere too.
+WINDOWS = "key long, doc_id long, place long"
+REACH, PLACE = WIDTH - 1, 1 << 15
+
+
+def laid(c: dict):
+    """Tokens of all long enough texts of a batch with a 0 between, before and after them; where they are
+    real; where each text starts; and the texts' ids and rows."""
+    ids = c["doc_id"].to_pylist()
+    tokens = [shingles(word_hashes(t)) for t in c["text"].to_pylist()]
+    used = [k for k, s in enumerate(tokens) if len(s) >= WIDTH]
+    if not used:
+        return None
+    zero = np.zeros(1, bool)
+    real = np.concatenate([zero, *(x for k in used for x in (np.ones(len(tokens[k]), bool), zero))])
+    start = np.cumsum([1, *(len(tokens[k]) + 1 for k in used)])
+    flat = np.zeros(len(real), np.uint64)
+    flat[real] = np.concatenate([tokens[k] for k in used])
+    return flat, real, start, np.array([ids[k] for k in used], np.int64), used
+
+
+def keyed(flat: np.ndarray, real: np.ndarray, start: np.ndarray):
+    """For each function: the keys of all compact windows, their texts, and l, c, r in the flat tokens."""
+    for f in range(HASHES):
+        h = (mixed(flat, f + 1) & np.uint64((1 << 64) - 8)) | np.uint64(f)
+        h[h < 8] += np.uint64(8)
+        h[~real] = 0
+        lo, at, hi = compact_windows(h, WIDTH)
+        yield h[at].view(np.int64), np.searchsorted(start, at, side="right") - 1, lo, at, hi
 
 
 def windows(docs: DataFrame) -> DataFrame:
     """All compact windows of all texts: their least hash (the function's number in its low bits) and its
-    position."""
+    place."""
 
     def make():
         def run(c):
-            ids = c["doc_id"].to_pylist()
-            tokens = [shingles(word_hashes(t)) for t in c["text"].to_pylist()]
-            used = [k for k, s in enumerate(tokens) if len(s) >= WIDTH]
-            if not used:
+            if (found := laid(c)) is None:
                 return {}
-            zero = np.zeros(1, bool)
-            real = np.concatenate([zero, *(x for k in used for x in (np.ones(len(tokens[k]), bool), zero))])
-            start = np.cumsum([1, *(len(tokens[k]) + 1 for k in used)])
-            flat = np.zeros(len(real), np.uint64)
-            flat[real] = np.concatenate([tokens[k] for k in used])
-            doc = np.array([ids[k] for k in used], np.int64)
-            out: dict[str, list] = {"key": [], "doc_id": [], "c": []}
-            for f in range(HASHES):
-                h = (mixed(flat, f + 1) & np.uint64((1 << 64) - 8)) | np.uint64(f)
-                h[h < 8] += np.uint64(8)
-                h[~real] = 0
-                _, at, _ = compact_windows(h, WIDTH)
-                of = np.searchsorted(start, at, side="right") - 1
+            flat, real, start, doc, _ = found
+            out: dict[str, list] = {"key": [], "doc_id": [], "place": []}
+            for key, of, lo, at, hi in keyed(flat, real, start):
                 # a text that repeats itself has one key at many places; the first stands for them all
-                first = np.unique(np.stack([of, h[at].view(np.int64)], 1), axis=0, return_index=True)[1]
-                at, of = at[first], of[first]
-                out["key"].append(h[at].view(np.int64))
+                _, first, many = np.unique(np.stack([of, key], 1), axis=0, return_index=True, return_counts=True)
+                key, of, lo, at, hi = (x[first] for x in (key, of, lo, at, hi))
+                left, right = np.minimum(at - lo, REACH), np.minimum(hi - at, REACH)
+                out["key"].append(key)
                 out["doc_id"].append(doc[of])
-                out["c"].append((at - start[of]).astype(np.int32))
+                out["place"].append((at - start[of]) * PLACE + left * 128 + right * 2 + (many > 1))
             return {k: np.concatenate(v) for k, v in out.items()}
 
         return run
 
-    rows = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return map_arrow(rows, make, WINDOWS, "text")
+    return map_arrow(texts(docs), make, WINDOWS, "text")
+
 
+def texts(docs: DataFrame) -> DataFrame:
+    return docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
-def pairs(found: DataFrame) -> DataFrame:
+
+def followers(found: DataFrame) -> DataFrame:
+    """Every text that has a key after the first text that has it: with that first one, the one before,
+    and the number of texts so far."""
+    order = Window.partitionBy("key").orderBy("doc_id", "place")
+    here = F.struct("doc_id", F.expr(f"CAST(place DIV {PLACE} AS int)").alias("c"))
+    led = found.withColumns({"lead": F.first(here).over(order), "prev": F.lag(here).over(order), "nth": F.row_number().over(order)})
+    return led.where(F.col("lead.doc_id") != F.col("doc_id"))
+
+
+def pairs(led: DataFrame) -> DataFrame:
     """Pairs of a text with the first text of one of its keys, and with the one before it (whose passage
     may differ from the first's), where enough functions agree, and the positions (b, a) that collide."""
-    order = Window.partitionBy("key").orderBy("doc_id", "c")
-    here = F.struct("doc_id", "c")
-    led = found.withColumn("lead", F.first(here).over(order)).withColumn("prev", F.lag(here).over(order)).where(F.col("lead.doc_id") != F.col("doc_id"))
-    led = led.select("key", "doc_id", "c", F.explode(F.array_distinct(F.array("lead", "prev"))).alias("lead")).where(F.col("lead.doc_id") != F.col("doc_id"))
+    led = led.select("key", "doc_id", F.expr(f"CAST(place DIV {PLACE} AS int)").alias("c"), F.explode(F.array_distinct(F.array("lead", "prev"))).alias("lead")).where(F.col("lead.doc_id") != F.col("doc_id"))
     hit = F.struct(F.col("c").alias("b"), F.col("lead.c").alias("a"), F.expr("CAST(key & 7 AS int)").alias("f"))
     both = led.groupBy("doc_id", F.col("lead.doc_id").alias("source_id")).agg(F.collect_list(hit).alias("hits"))
     both = both.where(F.size(F.array_distinct("hits.f")) >= ENOUGH)
@@ -151,6 +178,87 @@ def pairs(found: DataFrame) -> DataFrame:
     return both.where(near).select("doc_id", "source_id", F.col("hits.b").alias("b"), F.col("hits.a").alias("a"))
 
 
+#: Tokens of the exact runs by which near passages left over are looked up.  With a word changed for every
+#: twenty, some run has twelve; shorter ones also find a part of it that other variants lack.
+RUN = 6
+
+
+def spanned(x: np.ndarray, width: int) -> np.ndarray:
+    """A hash of every `width` tokens side by side, in log(width) passes."""
+    n = len(x) - width + 1
+    out, done, cur, w, m = np.zeros(n, np.uint64), 0, x, 1, int(MULTIPLIER)
+    while w <= width:
+        if width & w:
+            out = out * np.uint64(m) + cur[done : done + n]
+            done += w
+        cur, m, w = cur[:-w] * np.uint64(m) + cur[w:], m * m & (1 << 64) - 1, 2 * w
+    return mixed(out, 6)
+
+
+def rest(docs: DataFrame, led: DataFrame, found: DataFrame) -> DataFrame:
+    """The pairs of texts that the first and previous texts of the keys leave out.  A key is open where a
+    text, the fourth or a later one to have it, has a window of it that no found passage covers.  Around
+    the open keys each stretch as wide as the shortest passage is looked up exactly, so that an exact
+    passage leads to the first text that has it, whatever else its keys occur in; shorter exact runs are
+    looked up for near passages.  Rows grow with the texts, whatever the size of a key's group."""
+    spans = found.groupBy("doc_id").agg(F.collect_set(F.struct(F.col("start_word").alias("i"), (F.col("end_word") - SHINGLE + 1).alias("j"))).alias("spans"))
+    late = led.where("nth > 3").select("key", "doc_id", "place").join(spans.hint("merge"), "doc_id", "left")
+    covered = f"place % 2 = 0 AND exists(spans, s -> s.i <= place DIV {PLACE} - place DIV 128 % 64 AND place DIV {PLACE} + place DIV 2 % 64 < s.j)"
+    opened = late.where(F.coalesce(~F.expr(covered), F.lit(True))).select("key").distinct()
+    members = led.join(opened.hint("merge"), "key", "left_semi").select("key", F.explode(F.array("doc_id", "lead.doc_id")).alias("doc_id"))
+    members = members.groupBy("doc_id").agg(F.collect_set("key").alias("keys"))
+    rows = texts(docs).join(members.hint("merge"), "doc_id").join(spans.hint("merge"), "doc_id", "left")
+
+    def make():
+        def run(c):
+            if (found := laid(c)) is None:
+                return {}
+            flat, real, start, doc, used = found
+            keys, own = c["keys"].to_pylist(), c["spans"].to_pylist()
+            mark = lambda of, key: mixed(key.view(np.uint64), 7) + of.astype(np.uint64) * MULTIPLIER
+            wanted = np.unique(np.concatenate([mark(np.full(len(keys[k]), n), np.array(keys[k], np.int64)) for n, k in enumerate(used)]))
+            wide, near = np.zeros(len(flat) + 1, np.int64), np.zeros(len(flat) + 1, np.int64)
+            for key, of, lo, at, hi in keyed(flat, real, start):
+                ok = np.isin(mark(of, key), wanted)
+                of, lo, at, hi = (x[ok] for x in (of, lo, at, hi))
+                np.add.at(wide, np.maximum(lo, at - REACH), 1)
+                np.add.at(wide, np.minimum(at, hi - REACH) + 1, -1)
+                a, b = np.maximum(start[of], at - REACH), np.minimum(start[of + 1] - 2, at + REACH)
+                np.add.at(near, a, 1)
+                np.add.at(near, b - RUN + 2, -1)
+            # how far the found passages that start at or before a token reach
+            reach = np.zeros(len(flat), np.int64)
+            for n, k in enumerate(used):
+                for s in own[k] or ():
+                    i = start[n] + s["i"]
+                    reach[i] = max(reach[i], start[n] + s["j"])
+            reach = np.maximum.accumulate(reach)
+            out: dict[str, list] = {"key": [], "doc_id": [], "place": []}
+            for kind, (count, width) in enumerate(((wide, WIDTH), (near, RUN))):
+                at = np.flatnonzero(np.cumsum(count)[: len(flat)] > 0)
+                of = np.searchsorted(start, at, side="right") - 1
+                key = ((spanned(flat, width)[at] & np.uint64((1 << 64) - 2)) | np.uint64(kind)).view(np.int64)
+                done = reach[at] >= at + width
+                # of equal stretches one that no found passage covers stands for all
+                order = np.lexsort((at, done))
+                first = order[np.unique(np.stack([of, key], 1)[order], axis=0, return_index=True)[1]]
+                at, of, key, done = (x[first] for x in (at, of, key, done))
+                out["key"].append(key)
+                out["doc_id"].append(doc[of])
+                out["place"].append((at - start[of]) * 2 + done)
+            return {k: np.concatenate(v) for k, v in out.items()}
+
+        return run
+
+    looked = map_arrow(rows, make, WINDOWS, "text")
+    order = Window.partitionBy("key").orderBy("doc_id", "place")
+    lead = F.first(F.struct("doc_id", "place")).over(order)
+    new = looked.withColumn("lead", lead).where((F.col("lead.doc_id") != F.col("doc_id")) & (F.col("place") % 2 == 0))
+    at = F.struct(F.expr("CAST(place DIV 2 AS int)").alias("b"), F.expr("CAST(lead.place DIV 2 AS int)").alias("a"))
+    both = new.groupBy("doc_id", F.col("lead.doc_id").alias("source_id")).agg(F.collect_list(at).alias("hits"))
+    return both.select("doc_id", "source_id", F.col("hits.b").alias("b"), F.col("hits.a").alias("a"))
+
+
 def runs(matched: np.ndarray, gap: int) -> list[tuple[int, int]]:
     """Stretches of matched positions with at most `gap` unmatched ones between."""
     at = np.flatnonzero(matched)
@@ -205,7 +313,15 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     document and the span there.  Null and short texts have none; rows without doc_id take no part; of
     rows with one doc_id each is compared with other ids alone; an empty table gives an empty result;
     extra columns are ignored."""
-    met = keep(pairs(windows(docs)), "pairs")
+    led = keep(followers(windows(docs)), "followers")
+    met = keep(pairs(led), "pairs")
+    found = keep(verified(docs, met), "passages")
+    more = keep(rest(docs, led, found).join(met.select("doc_id", "source_id").hint("merge"), ["doc_id", "source_id"], "left_anti"), "rest")
+    return found.unionByName(verified(docs, more))
+
+
+def verified(docs: DataFrame, met: DataFrame) -> DataFrame:
+    """The passages of pairs of texts (kept, for it is read twice)."""
     ids = met.select(F.explode(F.array("doc_id", "source_id")).alias("doc_id")).distinct()
     few = met.selectExpr("2 * count(*)").first()[0] <= BROADCAST_IDS or ids.count() <= BROADCAST_IDS
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
