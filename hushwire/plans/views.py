@@ -17,7 +17,7 @@ SELECT conv_id * 1000 + turn AS file_id, 0 AS channel, e.engine AS engine, e.ord
  CASE WHEN e.ord = 3 AND turn % 7 = 0 THEN NULL WHEN e.ord = 0 THEN b WHEN e.ord = 1 THEN CASE WHEN turn % 5 = 1 THEN 'something else ' || b ELSE upper(b) END
   WHEN e.ord = 2 THEN CASE WHEN turn % 3 = 0 THEN b || ' indeed so it is said' ELSE b END ELSE CASE WHEN turn % 4 = 1 THEN 'quite another text here' ELSE b || '.' END END AS transcript,
  CASE WHEN e.ord = 3 AND turn % 7 = 0 THEN 'Timeout: no answer' END AS error
-FROM (SELECT conv_id, turn, substr(trim(regexp_replace(text, '[^A-Za-z ]+', ' '{g})), 1, 60) AS b FROM conversations) t
+FROM (SELECT conv_id, turn, trim(regexp_replace(text, '[^A-Za-z ]+', ' '{g})) AS b FROM conversations) t
 CROSS JOIN (SELECT 'alpha' AS engine, 0 AS ord UNION ALL SELECT 'beta', 1 UNION ALL SELECT 'gamma', 2 UNION ALL SELECT 'delta', 3) e"""
 
 SPANS = """
