@@ -107,13 +107,15 @@ _serial = itertools.count()
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all machines share: spark.checkpoint.dir.  Only where it is unset (tests in
-    local mode) is a folder made for this process."""
+    local mode) is a folder made for this process; a cluster without it is an error."""
     place = spark.conf.get("spark.checkpoint.dir", "")
     if place:
         return place
     set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
     if set_dir.isDefined():
         return set_dir.get()
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
     if not _local_dir:
         _local_dir.append(tempfile.mkdtemp(prefix="hushwire-"))
     return f"file://{_local_dir[0]}"
@@ -128,6 +130,25 @@ def keep(df: DataFrame, name: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(place)
 
 
+def hot_keys(counts: DataFrame, key: str, total: int) -> DataFrame:
+    """Of counts (key, n), which add up to total: the keys that hold more than their share of the rows, with
+    the number of parts that each is to be cut into.  A share is an eighth of a task's, so there are at
+    most 8 * partitions such keys, whatever the size of the tables: small enough to broadcast."""
+    part = max(1, total // (8 * partitions(counts.sparkSession)))
+    return counts.where(F.col("n") > part).select(key, F.ceil(F.col("n") / part).cast("int").alias("_parts"))
+
+
+def join_hot(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, spread: list[str]) -> DataFrame:
+    """Inner join of left, where a key may hold any number of rows, with right, which has a key once (or a
+    few times).  Rows of hot keys (see hot_keys) are dealt over that many parts by the columns `spread`,
+    and what right has for such a key is repeated for each part.  Null keys join nothing."""
+    salt = F.when(F.col("_parts").isNull(), 0).otherwise(F.expr(f"pmod(xxhash64({', '.join(spread)}), _parts)")).cast("int")
+    dealt = left.join(F.broadcast(hot), key, "left").withColumn("_salt", salt).drop("_parts")
+    parts = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts") - 1, F.lit(0))))
+    repeated = right.join(F.broadcast(hot), key, "left").withColumn("_salt", parts).drop("_parts")
+    return dealt.join(repeated, [key, "_salt"]).drop("_salt")
+
+
 def kept_path(df: DataFrame) -> str:
     return df.inputFiles()[0].rpartition("/")[0] if df.inputFiles() else ""
 
