@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from hushwire.llm.common import as_batch, keep, map_arrow, partitions, table
+from hushwire.llm.common import as_batch, hot_keys, join_hot, keep, map_arrow, partitions, table
 from hushwire.llm.graph import components
 
 SEED = 42
@@ -28,14 +28,10 @@ DISTANCE = 2
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Generator polynomial of the binary Golay code.
 GENERATOR = 0b101011100011
-#: Members of a key up to which pairs are compared directly; larger keys are keyed anew by their bits.
+#: Members of a key up to which pairs are compared directly; what larger keys hold is keyed anew by its bits.
 PAIRWISE = 48
 
 
-def _bits() -> np.ndarray:
-    return np.arange(64, dtype=np.uint64)
-
-
 def fingerprint(text: str | None) -> int:
     """SimHash of the word shingles of a whole text."""
     from xxhash import xxh64_intdigest as h
@@ -109,44 +105,26 @@ def keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(at), np.concatenate(out)
 
 
-def near_in_group(p: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Links of the different fingerprints of one key, enough to connect all that are within DISTANCE.
-    Few members are compared in pairs.  Many are keyed anew: two words differ in at most two bits
-    exactly if one word is within one bit of both, so every member is entered under itself and its 64
-    neighbours and linked to the first member there - all such links are within DISTANCE, and their
-    number grows as the members do."""
-    if len(p) <= PAIRWISE:
-        a, b = np.triu_indices(len(p), 1)
-        ok = np.bitwise_count(p[a] ^ p[b]) <= DISTANCE
-        return [(p[a[ok]], p[b[ok]])]
-    flips = np.concatenate([np.zeros(1, np.uint64), np.uint64(1) << _bits()])
-    out = []
-    near = (p[:, None] ^ flips).ravel()
-    who = np.repeat(np.arange(len(p)), 65)
-    order = np.argsort(near, kind="stable")
-    near, who = near[order], who[order]
-    first = np.concatenate([[True], near[1:] != near[:-1]])
-    lead = who[np.maximum.accumulate(np.where(first, np.arange(len(near)), 0))]
-    pairs = np.unique(np.stack([lead, who], 1)[lead != who], axis=0)
-    out.append((p[pairs[:, 0]], p[pairs[:, 1]]))
-    return out
-
-
 def fingerprints(docs: DataFrame) -> DataFrame:
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """doc_id, text_hash (XXH64 of the text, by which rows of one doc_id are told apart) and print of every row."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
 
     def make():
         def run(c):
             p = np.array([fingerprint(t) for t in c["text"].to_pylist()], np.uint64)
-            return {"doc_id": c["doc_id"], "print": p.view(np.int64)}
+            return {"doc_id": c["doc_id"], "text_hash": c["text_hash"], "print": p.view(np.int64)}
 
         return run
 
-    return map_arrow(rows, make, "doc_id long, print long", "text")
+    return map_arrow(rows, make, "doc_id long, text_hash long, print long", "text")
 
 
 def near_links(prints: DataFrame) -> DataFrame:
-    """Links a, b between different fingerprints (column print, distinct) within DISTANCE."""
+    """Links a, b between different fingerprints (column print, distinct) within DISTANCE, enough to connect
+    all that are.  Of a key with few members all pairs are compared.  What a key with many holds is keyed
+    anew: two words differ in at most two bits exactly if one word is within one bit of both, so every
+    member is entered under itself and its 64 neighbours and linked to the least member there.  All such
+    links are within DISTANCE, no word has more than 65 members, and no key is held whole in a task."""
     spark = prints.sparkSession
 
     def make():
@@ -162,15 +140,29 @@ def near_links(prints: DataFrame) -> DataFrame:
     arrow = to_arrow_schema(StructType.fromDDL("a long, b long"))
 
     def verify(batches):
+        """Links of keys with few members; of all others each member, with a null in place of a partner."""
         held_key, held = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        large = None  # a key with many members that may go on
         for batch in batches:
             k = np.concatenate([held_key, batch.column(0).to_numpy()])
             p = np.concatenate([held, batch.column(1).to_numpy()])
-            cut = int(np.searchsorted(k, k[-1])) if len(k) else 0
+            if large is not None:
+                same = int(np.searchsorted(k, large, side="right"))
+                yield many(p[:same])
+                k, p = k[same:], p[same:]
+            if not len(k):
+                continue
+            cut = int(np.searchsorted(k, k[-1]))
             yield from links_of(k[:cut], p[:cut])
-            held_key, held = k[cut:], p[cut:]
+            held_key, held, large = k[cut:], p[cut:], None
+            if len(held) > PAIRWISE:
+                yield many(held)
+                held_key, held, large = held_key[:0], held[:0], int(k[-1])
         yield from links_of(held_key, held)
 
+    def many(p):
+        return as_batch({"a": pa.array(p), "b": pa.nulls(len(p), pa.int64())}, arrow)
+
     def links_of(k, p):
         if not len(k):
             return
@@ -181,33 +173,69 @@ def near_links(prints: DataFrame) -> DataFrame:
         ok = np.bitwise_count(p[two].view(np.uint64) ^ p[two + 1].view(np.uint64)) <= DISTANCE
         out.append((p[two][ok], p[two + 1][ok]))
         for a, n in zip(edge[:-1][size > 2], size[size > 2], strict=True):
-            out += [(x.view(np.int64), y.view(np.int64)) for x, y in near_in_group(p[a : a + n].view(np.uint64))]
+            q = p[a : a + n]
+            if n > PAIRWISE:
+                yield many(q)
+                continue
+            i, j = np.triu_indices(n, 1)
+            ok = np.bitwise_count((q[i] ^ q[j]).view(np.uint64)) <= DISTANCE
+            out.append((q[i[ok]], q[j[ok]]))
         a, b = np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])
         if len(a):
             pairs = np.unique(np.stack([a, b], 1), axis=0)
             yield as_batch({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])}, arrow)
 
-    return keyed.mapInArrow(verify, "a long, b long")
+    met = keep(keyed.mapInArrow(verify, "a long, b long"), "met")
+    crowded = met.where("b IS NULL").select(F.col("a").alias("print")).distinct()
+    flips = F.array(F.lit(0).cast("long"), *(F.lit(-(1 << 63) if i == 63 else 1 << i).cast("long") for i in range(64)))
+    near = crowded.select("print", F.explode(F.transform(flips, lambda f: F.col("print").bitwiseXOR(f))).alias("word"))
+    # at most 65 members a word
+    leads = near.groupBy("word").agg(F.min("print").alias("a"), F.collect_list("print").alias("all")).select("a", F.explode("all").alias("b"))
+    return met.where("b IS NOT NULL").unionByName(leads.where("a <> b").distinct())
+
+
+def members(docs: DataFrame) -> DataFrame:
+    """doc_id, text_hash, print of every row, and `first`, the least (no doc_id, doc_id, text_hash) among the
+    rows whose fingerprints are reachable from its own."""
+    own = keep(fingerprints(docs), "prints")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    nodes = keep(own.groupBy("print").agg(F.min(rank).alias("first"), F.count("*").alias("n")), "nodes")
+    reach = components(near_links(nodes.select("print")))
+    rooted = keep(nodes.join(reach.select(F.col("node").alias("print"), "root"), "print", "left").withColumn("root", F.coalesce("root", "print")), "rooted")
+    least = rooted.groupBy("root").agg(F.min("first").alias("first"), F.count("*").alias("n"))
+    total, rows = rooted.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    # a component may hold most fingerprints, and a fingerprint most rows
+    named = join_hot(rooted.select("print", "root"), least.select("root", "first"), "root", hot_keys(least, "root", total), ["print"])
+    return join_hot(own, named.select("print", "first"), "print", hot_keys(rooted.select("print", "n"), "print", rows), ["doc_id", "text_hash"])
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every row.  Texts without words (null and
     empty ones too) have fingerprint zero and are linked like any others.  Rows of one fingerprint are
     one node; rows without a doc_id keep their fingerprint and take part, but name no component (null
-    only where no member has a doc_id).  Repeated rows each give a row; an empty table an empty result."""
-    own = keep(fingerprints(docs), "prints")
-    nodes = own.groupBy("print").agg(F.min("doc_id").alias("least"))
-    nodes = keep(nodes, "nodes")
-    reach = components(near_links(nodes.select("print")))
-    rooted = nodes.join(reach.select(F.col("node").alias("print"), "root"), "print", "left").withColumn("root", F.coalesce("root", "print"))
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(least, "root").select("print", "component_id")
-    # a fingerprint may hold a third of all rows: salt its copies
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(16)).cast("int")
-    left = own.withColumn("salt", salt)
-    right = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
-    return left.join(right, ["print", "salt"]).select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+    only where no member has a doc_id).  Repeated rows and rows of one doc_id each give a row; an empty
+    table gives an empty result; a very long text is hashed in parts; extra columns are ignored."""
+    return members(docs).select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), F.col("first.doc_id").alias("component_id"))
+
+
+def thinned(docs: DataFrame) -> DataFrame:
+    """One row of every component of near copies, with all its columns: the first by doc_id, of several
+    texts under that doc_id the first by hash; rows without doc_id come last.  Of rows that agree in doc_id
+    and text one stays.  Null and empty texts are copies of each other.  An empty table gives an empty
+    result; extra columns keep their names and values."""
+    found = keep(members(docs), "members")
+    mine = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    gone = found.where(mine != F.col("first")).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
+    twice = found.where(mine == F.col("first")).groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
+    # packed rows clash with no name
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("hash"))
+    same = F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("hash") == F.col("gone_hash"))
+    once = rows.join(gone.unionByName(twice), same, "left_anti")
+    # of rows that agree in all that decides, whichever comes first: partial aggregation keeps one a task
+    again = rows.join(twice, same, "left_semi").groupBy("id", "hash").agg(F.first("row").alias("row"))
+    return once.select("row.*").unionByName(again.select("row.*"))
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SimHash components of all documents; see near_duplicates for nulls, ties, repeats and empty tables."""
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))

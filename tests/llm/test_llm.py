@@ -166,6 +166,24 @@ def test_cutting_stock():
     assert (sizes * demand).sum() / 32 <= sum(u for _, u in found) <= len(packing.first_fit(sizes, demand, 32))
 
 
+def plain_fingerprint(text):
+    """Word by word, bit by bit."""
+    import xxhash
+
+    words = re.findall("[^\\x20\\x09-\\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text))
+    grams = [" ".join(words[i : i + 3]) for i in range(len(words) - 2)] if len(words) > 2 else [" ".join(words)] if words else []
+    values = [xxhash.xxh64(g.encode(), seed=42).intdigest() for g in grams]
+    return f"{sum(1 << b for b in range(64) if 2 * sum(v >> b & 1 for v in values) > len(values)):016x}"
+
+
+def test_thinned(spark):
+    rows = [(1, "a b c d", 0), (1, "e f g h", 1), (2, "a b c d", 2), (2, "x y z", 3), (3, None, 4), (4, "", 5), (None, "a b c d", 6), (None, "q r s", 7), (None, "q r s", 8), (5, "u v w", 9), (5, "u v w", 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, first long")
+    got = sorted((x["doc_id"] or 0, x["text"] or "") for x in simhash.thinned(docs).collect())
+    assert got == [(0, "q r s"), (1, "a b c d"), (1, "e f g h"), (2, "x y z"), (3, ""), (5, "u v w")]
+    assert simhash.thinned(docs).columns == docs.columns and simhash.thinned(docs.where("false")).count() == 0
+
+
 def test_simhash(spark, docs, none):
     r = random.Random(6)
     base = [r.getrandbits(64) for _ in range(30)]
@@ -192,7 +210,10 @@ def test_simhash(spark, docs, none):
         for b in prints[:i]:
             if (a ^ b).bit_count() <= 2:
                 assert find(signed(a)) == find(signed(b))
+    assert len(found) < 20 * len(prints)
     got = {x["doc_id"]: x for x in simhash.near_duplicates(docs).collect()}
+    for doc, text, _ in ROWS:
+        assert got[doc]["fingerprint"] == plain_fingerprint(text or "")
     assert got[1]["fingerprint"] == got[2]["fingerprint"] == "0" * 16 and got[5]["component_id"] == 4
     assert simhash.near_duplicates(none).count() == 0
 
