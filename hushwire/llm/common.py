@@ -138,15 +138,15 @@ def hot_keys(counts: DataFrame, key: str, total: int) -> DataFrame:
     return counts.where(F.col("n") > part).select(key, F.ceil(F.col("n") / part).cast("int").alias("_parts"))
 
 
-def join_hot(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, spread: list[str]) -> DataFrame:
-    """Inner join of left, where a key may hold any number of rows, with right, which has a key once (or a
+def join_hot(left: DataFrame, right: DataFrame, key: str, hot: DataFrame, spread: list[str], how: str = "inner") -> DataFrame:
+    """Join (inner or left) of left, where a key may hold any number of rows, with right, which has a key once (or a
     few times).  Rows of hot keys (see hot_keys) are dealt over that many parts by the columns `spread`,
     and what right has for such a key is repeated for each part.  Null keys join nothing."""
     salt = F.when(F.col("_parts").isNull(), 0).otherwise(F.expr(f"pmod(xxhash64({', '.join(spread)}), _parts)")).cast("int")
     dealt = left.join(F.broadcast(hot), key, "left").withColumn("_salt", salt).drop("_parts")
     parts = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts") - 1, F.lit(0))))
     repeated = right.join(F.broadcast(hot), key, "left").withColumn("_salt", parts).drop("_parts")
-    return dealt.join(repeated, [key, "_salt"]).drop("_salt")
+    return dealt.join(repeated, [key, "_salt"], how).drop("_salt")
 
 
 def kept_path(df: DataFrame) -> str:

@@ -29,14 +29,3 @@ def test_extra_columns(spark):
         for i, x in out.items():
             assert list(x.asDict()) == docs.columns and [x[n] for n in NAMES] == [f"{n}{i}" for n in NAMES]
 
-
-def test_both_ways_of_pairing(spark, monkeypatch):
-    """Passages are the same whether the ids of paired texts are broadcast or dealt out."""
-    r = random.Random(5)
-    words = [f"w{i}" for i in range(300)]
-    shared = [" ".join(r.choices(words, k=60)) for _ in range(3)]
-    rows = [(i, f"{' '.join(r.choices(words, k=30))} {shared[i % 3] if i % 2 else ''}") for i in range(24)]
-    docs = spark.createDataFrame([*rows, rows[5], (None, shared[0]), (90, None)], "doc_id long, text string")
-    few = sorted(passages.repeated_passages(docs).collect())
-    monkeypatch.setattr(passages, "BROADCAST_IDS", -1)
-    assert few and sorted(passages.repeated_passages(docs).collect()) == few
