@@ -1,11 +1,13 @@
 """Embedding near-duplicates by hierarchical navigable small-world graphs.
 
 Vectors of one label are dealt into shards of a bounded size by a hash of their id.  Every shard gets a
-graph; every vector queries every shard of its label.  A search descends the layers to the query's
-neighbourhood, collects the nearest by a beam, and goes on from there through every vector within the
-wanted cosine, so that the number found has no cap.  In each task some queries are compared with all of
-the shard; while they find too little, the beam is widened.  Links are verified in double precision and
-their components are joined.
+graph; every vector queries every shard of its label, but of two shards one is asked by the other, so a pair
+is met once.  A search descends the layers to the query's neighbourhood and collects the nearest by a beam.
+Where half the beam or more is within the wanted cosine the neighbourhood may go on beyond it, and the
+query is compared with the whole shard.  In each task queries that have links are compared with the
+whole shard; while the searches find too few of theirs, the beam is widened.  Links are verified in double
+precision.  A task returns, for each vector, the number of its links and one link towards the task's
+smallest vector that it reaches: pairs within a group are counted, never listed.  Components join these.
 """
 
 from __future__ import annotations
@@ -18,24 +20,28 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hushwire.llm.common import keep, table
+from hushwire.llm.common import hot_keys, join_hot, keep, table
 from hushwire.llm.graph import components
 
 COSINE = 0.98
-#: Vectors to a shard, and queries to a block, on average.
-SHARD, BLOCK = 8192, 4096
+#: Vectors to a shard, on average.
+SHARD = 8192
 #: Neighbours kept (twice as many in the lowest layer), beam of building and of searching.
 M, BUILD_BEAM, BEAM = 12, 40, 24
-#: Audited queries of a task, the share of links that they must find, and the widest beam tried.
+#: Queries of a task that are audited, each with links in the shard, the share of its links that a query
+#: must find on average, and the widest beam tried; beyond it all of the task's queries meet the whole shard.
 AUDIT, RECALL, WIDEST = 48, 0.995, 1536
+#: Queries compared with a whole shard at once.
+AT_ONCE = 128
+
 
 
 class Graph:
     """HNSW over unit vectors."""
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray):
-        """x: rows of unit length, in double precision."""
-        self.ids, self.x = ids, x
+    def __init__(self, ids: np.ndarray, x: np.ndarray, copies: np.ndarray | None = None):
+        """x: rows of unit length, in double precision; ids ascend; copies: vectors that each stands for."""
+        self.ids, self.x, self.copies = ids, x, np.ones(len(ids), np.int64) if copies is None else copies
         self.near = x.astype(np.float32)
         rng = np.random.default_rng(5)
         self.level = np.minimum((-np.log(1 - rng.random(len(ids))) / np.log(M)).astype(int), 8)
@@ -43,10 +49,6 @@ class Graph:
         self.entry, self.top = -1, -1
         for i in range(len(ids)):
             self._insert(i)
-        self.arrays()
-
-    def arrays(self) -> None:
-        self.flat = [{i: np.array(v, np.int64) for i, v in layer.items()} for layer in self.links]
 
     def _search(self, q, entries, beam, layer, links):
         """(similarity, node) of the nearest `beam` found, unordered."""
@@ -110,43 +112,84 @@ class Graph:
         if own > self.top:
             self.entry, self.top = i, own
 
-    def within(self, q: np.ndarray, beam: int, least: float) -> np.ndarray:
-        """Nodes of similarity `least` or more that the search with this beam meets."""
+    def within(self, q: np.ndarray, beam: int, least: float) -> np.ndarray | None:
+        """Nodes of similarity `least` or more that the search with this beam meets; None where there may
+        be more than the beam holds."""
         q32 = q.astype(np.float32)
         at = [self.entry]
         for layer in range(self.top, 0, -1):
             at = [max(self._search(q32, at, 1, layer, self.links[layer]))[1]]
         found = self._search(q32, at, beam, 0, self.links[0])
         hits = [j for s, j in found if s >= least - 1e-4]
-        seen, wave = set(hits), hits
-        if len(hits) >= beam // 2:  # the beam may have ended within the neighbourhood: go on through it
-            while wave:
-                around = np.unique(np.concatenate([self.flat[0][j] for j in wave])) if len(wave) else np.zeros(0, int)
-                around = np.array([j for j in around.tolist() if j not in seen], np.int64)
-                wave = around[self.near[around] @ q32 >= least - 1e-4].tolist() if len(around) else []
-                seen.update(wave)
-        return np.fromiter(seen, np.int64, len(seen))
-
-
-def linked(graph: Graph, ids: np.ndarray, x: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Verified links (query id, found id).  The beam doubles until the audited queries, compared with
-    the whole shard, find what they should; if the widest does not, all are compared."""
-    audited = np.linspace(0, len(ids) - 1, min(AUDIT, len(ids))).astype(int)
-    truth = (x[audited] @ graph.x.T >= least).sum()
-    beam = BEAM
+        return None if len(hits) >= beam // 2 and len(self.ids) > beam else np.array(hits, np.int64)
+
+
+class Links:
+    """Numbers of links by place, and stars that connect them."""
+
+    def __init__(self, n: int):
+        self.count, self.root = np.zeros(n, np.int64), np.arange(n)
+
+    def add(self, one: int, others: np.ndarray, weights: np.ndarray) -> None:
+        """Links of one place with others; weights: vectors that a place stands for."""
+        self.count[one] += weights[others].sum()
+        self.count[others] += weights[one]
+        roots = np.unique(self.root[np.append(others, one)])
+        if len(roots) > 1:
+            self.root[np.isin(self.root, roots[1:])] = roots[0]
+
+
+def linked(graph: Graph, ids: np.ndarray, x: np.ndarray, copies: np.ndarray, own: bool, least: float):
+    """(ids, numbers of links, stars' centres) of all vectors with links between queries (ids, x) and a
+    graph, and (audited queries, share of their links found, beam).  own: the queries are of the graph's
+    own shard; each pair then counts once, and nothing links with itself."""
+    n = len(graph.ids)
+    every = np.concatenate([graph.ids, np.zeros(0, np.int64) if own else ids])
+    weights = np.concatenate([graph.copies, np.zeros(0, np.int64) if own else copies])
+    place = np.searchsorted(graph.ids, ids) if own else n + np.arange(len(ids))
+    exact = lambda ks: x[ks] @ graph.x.T >= least
+    # spread over the queries: those that have a link, selves excluded
+    order = np.random.default_rng(7).permutation(len(ids))
+    audited: list[tuple[int, np.ndarray]] = []
+    for a in range(0, len(order), AT_ONCE):
+        ks = order[a : a + AT_ONCE]
+        for k, row in zip(ks.tolist(), exact(ks), strict=True):
+            hits = np.flatnonzero(row)
+            hits = hits[hits != place[k]] if own else hits
+            if len(hits):
+                audited.append((k, hits))
+        if len(audited) >= AUDIT:
+            break
+    beam, share = BEAM, 1.0
     while beam <= WIDEST:
-        got = sum(int((graph.x[n] @ x[k] >= least).sum()) for k in audited for n in [graph.within(x[k], beam, least)])
-        if got >= RECALL * truth:
+        got = []
+        for k, hits in audited[:AUDIT]:
+            found = graph.within(x[k], beam, least)
+            got.append(1.0 if found is None else np.isin(hits, found).mean())
+        share = float(np.mean(got)) if got else 1.0
+        if share >= RECALL:
             break
         beam *= 2
-    a, b = [], []
+    links, whole = Links(len(every)), []
     for k in range(len(ids)):
-        n = graph.within(x[k], beam, least) if beam <= WIDEST else np.arange(len(graph.ids))
-        n = n[graph.x[n] @ x[k] >= least]
-        n = graph.ids[n[graph.ids[n] != ids[k]]]
-        a.append(np.full(len(n), ids[k]))
-        b.append(n)
-    return np.concatenate(a), np.concatenate(b)
+        found = graph.within(x[k], beam, least) if beam <= WIDEST else None
+        if found is None:
+            whole.append(k)
+            continue
+        found = found[graph.x[found] @ x[k] >= least]
+        # within a shard a pair is counted from its smaller place alone
+        found = found[found > place[k]] if own else found
+        if len(found):
+            links.add(int(place[k]), found, weights)
+    for a in range(0, len(whole), AT_ONCE):
+        ks = np.array(whole[a : a + AT_ONCE])
+        for k, row in zip(ks.tolist(), exact(ks), strict=True):
+            found = np.flatnonzero(row)
+            found = found[found > place[k]] if own else found
+            if len(found):
+                links.add(int(place[k]), found, weights)
+    at = np.flatnonzero(links.count)
+    return every[at], links.count[at], every[links.root[at]], (min(len(audited), AUDIT), 1.0 if beam > WIDEST else share, beam)
 
 
 def _unit(v) -> np.ndarray:
@@ -155,65 +198,85 @@ def _unit(v) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def near_vectors(vectors: DataFrame, least: float = COSINE) -> DataFrame:
-    """vec_id, n_links, component_id, kept for every row.  Vectors that are null, empty, zero or hold null
-    or non-finite components, and rows without label, link with nothing; vectors of different lengths
-    neither.  Equal vectors of one label are one node and link with each other.  Rows without vec_id
-    take no part and have no component.  An empty table gives an empty result; extra columns are
-    ignored."""
+#: What tasks return: a vector's links in one shard and the centre of their star; or, with no node, an audit.
+MET = "grp string, shard int, other int, node long, links long, root long, audited long, recall double, beam int"
+FINE = (
+    "vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND size(embedding) > 0 "
+    "AND forall(embedding, v -> v IS NOT NULL AND NOT isnan(v) AND abs(v) < CAST('Infinity' AS DOUBLE)) AND exists(embedding, v -> v <> 0)"
+)
+
+
+def searched(vectors: DataFrame, least: float, size: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Vectors with the hashes that name their node; the nodes (equal vectors of one label) with their copies
+    and an id; and what the searches met (see MET)."""
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.col("label").cast("string").alias("label"))
-    fine = F.expr(
-        "vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND size(embedding) > 0 "
-        "AND forall(embedding, v -> v IS NOT NULL AND NOT isnan(v) AND abs(v) < CAST('Infinity' AS DOUBLE)) AND exists(embedding, v -> v <> 0)"
-    )
-    hashed = rows.where(fine).select(
+    hashed = rows.where(FINE).select(
         "vec_id", "embedding", F.concat_ws(":", F.size("embedding"), "label").alias("grp"), F.xxhash64("embedding").alias("h1"), F.xxhash64(F.lit(1), "embedding", F.lit(2)).alias("h2")
     )
-    nodes = hashed.groupBy("grp", "h1", "h2").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
-    nodes = keep(nodes, "nodes")
-    data = hashed.select(F.col("vec_id").alias("node"), "embedding").join(nodes, "node", "left_semi")
-    data = data.join(nodes, "node").select("grp", "node", "embedding")
-    sizes = nodes.groupBy("grp").agg(F.count("*").alias("n"))
-    sizes = sizes.select("grp", F.ceil(F.col("n") / SHARD).cast("int").alias("shards"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    dealt = data.join(sizes, "grp")
-    index_rows = dealt.select("grp", F.expr("CAST(pmod(xxhash64(node), shards) AS int)").alias("shard"), "blocks", "node", "embedding")
+    # two hashes stand for a vector; a vec_id may hold several vectors, so a node goes by its own hash
+    node = F.xxhash64("grp", "h1", "h2").alias("node")
+    nodes = hashed.groupBy("grp", "h1", "h2").agg(F.min("vec_id").alias("least"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
+    nodes = keep(nodes.select("grp", "h1", "h2", node, "least", "copies", "embedding"), "nodes")
+    sizes = nodes.groupBy("grp").agg(F.ceil(F.count("*") / size).cast("int").alias("shards"))
+    dealt = nodes.join(sizes, "grp").select("grp", F.expr("CAST(pmod(xxhash64(node), shards) AS int)").alias("shard"), "shards", "node", "copies", "embedding")
+    dealt = keep(dealt, "dealt")
 
     def build(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node")
-        g = Graph(pdf["node"].to_numpy(), _unit(pdf["embedding"]))
-        return pd.DataFrame({"grp": [pdf["grp"].iloc[0]], "shard": [pdf["shard"].iloc[0]], "blocks": [pdf["blocks"].iloc[0]], "graph": [pickle.dumps(g)]})
+        g = Graph(pdf["node"].to_numpy(), _unit(pdf["embedding"]), pdf["copies"].to_numpy())
+        return pd.DataFrame({"grp": [pdf["grp"].iloc[0]], "shard": [pdf["shard"].iloc[0]], "graph": [pickle.dumps(g)]})
 
-    graphs = keep(index_rows.groupBy("grp", "shard").applyInPandas(build, "grp string, shard int, blocks int, graph binary"), "graphs")
-    queries = dealt.select(
-        "grp", F.explode(F.expr("sequence(0, shards - 1)")).alias("shard"), F.expr("CAST(pmod(xxhash64(node, 3), blocks) AS int)").alias("block"), "node", "embedding"
-    )
-    to = graphs.select("grp", "shard", F.explode(F.expr("sequence(0, blocks - 1)")).alias("block"), "graph")
+    graphs = keep(dealt.groupBy("grp", "shard").applyInPandas(build, "grp string, shard int, graph binary"), "graphs")
+    queries = dealt.select("grp", "shard", F.explode(F.expr("sequence(shard, shards - 1)")).alias("other"), "node", "copies", "embedding")
+    asked = graphs.select("grp", F.explode(F.expr("sequence(0, shard)")).alias("shard"), F.col("shard").alias("other"), "graph")
 
     def query(key, q: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(g):
-            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-        a, b = linked(pickle.loads(g["graph"].iloc[0]), q["node"].to_numpy(), _unit(q["embedding"]), least)
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
-
-    by = ["grp", "shard", "block"]
-    pairs = queries.groupBy(*by).cogroup(to.groupBy(*by)).applyInPandas(query, "a long, b long").distinct()
-    pairs = keep(pairs, "pairs")
-    reach = components(pairs)
-    copies = nodes.select("node", "copies")
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = both.join(copies, both.b == copies.node).groupBy("a").agg(F.sum("copies").alias("others"))
-    named = (
-        nodes.join(degree, nodes.node == degree.a, "left")
-        .join(reach.withColumnRenamed("node", "r"), F.col("r") == nodes.node, "left")
-        .select("grp", "h1", "h2", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("root", "node").alias("component_id"))
+            return pd.DataFrame({n: [] for n in ("grp", "shard", "other", "node", "links", "root", "audited", "recall", "beam")})
+        q = q.sort_values("node")
+        ids, links, roots, audit = linked(pickle.loads(g["graph"].iloc[0]), q["node"].to_numpy(), _unit(q["embedding"]), q["copies"].to_numpy(), key[1] == key[2], least)
+        found = pd.DataFrame({"node": pd.array(ids, "Int64"), "links": pd.array(links, "Int64"), "root": pd.array(roots, "Int64")})
+        last = pd.DataFrame({"audited": pd.array([audit[0]], "Int64"), "recall": [audit[1]], "beam": pd.array([audit[2]], "Int32")})
+        out = pd.concat([found, last])
+        return out.assign(grp=key[0], shard=key[1], other=key[2])[["grp", "shard", "other", "node", "links", "root", "audited", "recall", "beam"]]
+
+    by = ["grp", "shard", "other"]
+    return hashed, nodes, keep(queries.groupBy(*by).cogroup(asked.groupBy(*by)).applyInPandas(query, MET), "met")
+
+
+def shard_recall(vectors: DataFrame, least: float = COSINE, size: int = SHARD) -> DataFrame:
+    """For each pair of shards of a label: how many queries with links were audited against the whole shard
+    (selves excluded), the mean share of their links that the search found, and the beam that it took.
+    An empty table gives an empty result."""
+    return searched(vectors, least, size)[2].where("node IS NULL").select("grp", "shard", "other", "audited", "recall", "beam")
+
+
+def near_vectors(vectors: DataFrame, least: float = COSINE, size: int = SHARD) -> DataFrame:
+    """vec_id, n_links, component_id, kept for every row.  Vectors that are null, empty, zero or hold null
+    or non-finite components, and rows without label, link with nothing; vectors of different lengths
+    neither.  Equal vectors of one label are one node and link with each other.  Each row of a vec_id
+    counts as a vector of its own, whatever its vector and label.  Rows without vec_id take no part and have
+    no component.  An empty table gives an empty result; extra columns are ignored; vectors of any length
+    will do as long as a shard of them fits in a task."""
+    hashed, nodes, met = searched(vectors, least, size)
+    stars = met.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b"))
+    reach = components(stars)
+    degree = met.where("node IS NOT NULL").groupBy("node").agg(F.sum("links").alias("others"))
+    rooted = keep(
+        nodes.select("grp", "h1", "h2", "node", "least", "copies").join(degree, "node", "left").join(reach, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted"
     )
-    # equal vectors may be a third of all rows: salt them
-    salted = hashed.select("vec_id", "grp", "h1", "h2", F.expr("CAST(pmod(xxhash64(vec_id, 4), 16) AS int)").alias("salt"))
-    right = named.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(15))))
-    found = salted.join(right, ["grp", "h1", "h2", "salt"]).select("vec_id", "n_links", "component_id")
-    rest = rows.where(~F.coalesce(fine, F.lit(False))).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    first = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
+    total, vectors_ = rooted.agg(F.count("*"), F.coalesce(F.sum("copies"), F.lit(0))).first()
+    # a component may hold most nodes, and a node most vectors
+    named = join_hot(rooted, first.select("root", "component_id"), "root", hot_keys(first, "root", total), ["node"])
+    named = named.select("node", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"), "component_id")
+    hot = hot_keys(rooted.select("node", F.col("copies").alias("n")), "node", vectors_)
+    found = join_hot(hashed.select("vec_id", F.xxhash64("grp", "h1", "h2").alias("node")), named, "node", hot, ["vec_id"]).select("vec_id", "n_links", "component_id")
+    rest = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", "label").where(f"NOT coalesce({FINE}, false)")
+    rest = rest.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     return found.unionByName(rest).withColumn("kept", F.col("vec_id") == F.col("component_id"))
 
 
 def op10_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all embeddings; see near_vectors for nulls, ties, repeats and empty tables."""
     return near_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))

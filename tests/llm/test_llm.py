@@ -285,13 +285,34 @@ def test_vectors(spark):
         v = centres[i % 20] + r.normal(size=16) * 0.08
         rows.append((i, [float(x) for x in v], i % 2))
     rows += [(400, rows[0][1], 0), (401, None, 0), (402, [0.0] * 16, 0), (403, [float("nan")] * 16, 0), (404, rows[0][1], None)]
+    rows += [(405, rows[7][1], 0), (405, rows[3][1], 1), (406, [1.0], 0), (407, [], 1)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
-    got = {x["vec_id"]: x for x in vectors.near_vectors(df).collect()}
-    good = [x for x in rows if x[0] < 401]
+    good = [x for x in rows if x[0] < 401 or x[0] == 405]
     x = np.array([v for _, v, _ in good])
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     link = (x @ x.T >= 0.98) & (np.array([a[2] for a in good])[:, None] == np.array([a[2] for a in good]))
     np.fill_diagonal(link, False)
-    assert sum(got[i]["n_links"] for i in range(401)) >= 0.99 * link.sum() and len(got) == len(rows)
-    assert got[400]["component_id"] == 0 and not got[400]["kept"]
-    assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in (401, 402, 403, 404))
+    for size in (8192, 60):  # one shard a label, and several
+        out = vectors.near_vectors(df, size=size).collect()
+        got = {x["vec_id"]: x for x in out}
+        assert len(out) == len(rows) and sum(x["n_links"] for x in out) <= link.sum()
+        assert sum(x["n_links"] for x in out) >= 0.99 * link.sum()
+        assert sorted(x["n_links"] for x in out if x["vec_id"] == 405) == sorted(int(link[k].sum()) for k in (401, 402))
+        assert got[400]["component_id"] == 0 and not got[400]["kept"]
+        assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in (401, 402, 403, 404, 406, 407))
+    audits = vectors.shard_recall(df, size=60).collect()
+    assert len(audits) > 4 and all(a["recall"] >= vectors.RECALL for a in audits)
+    assert vectors.near_vectors(df.where("false")).count() == 0
+
+
+def test_dense_vectors():
+    """A group larger than the beam: the number of links is exact, and what is returned grows with the vectors."""
+    r = np.random.default_rng(6)
+    x = vectors._unit(list(np.concatenate([np.ones(24) + r.normal(size=(300, 24)) * 0.05, r.normal(size=(200, 24))])))
+    ids = np.arange(500) * 3
+    truth = x @ x.T >= 0.98
+    np.fill_diagonal(truth, False)
+    graph = vectors.Graph(ids, x)
+    nodes, links, roots, (audited, share, _) = vectors.linked(graph, ids, x, np.ones(500, np.int64), True, 0.98)
+    assert dict(zip((nodes // 3).tolist(), links.tolist(), strict=True)) == {i: int(n) for i, n in enumerate(truth.sum(1)) if n}
+    assert len(nodes) <= 500 and set(roots) <= set(nodes) and audited and share >= 0.995
