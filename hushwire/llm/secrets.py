@@ -19,8 +19,8 @@ from hushwire.llm.common import table
 ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
-#: Candidates of the entropy scan: long runs.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+#: Candidates of the entropy scan: long runs.  The look-behind spares attempts within a run.
+CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
 WINDOW = 20
 #: Least window entropy in bits by character class: the first class that a candidate is of decides.  Without
 #: digits a candidate must hold both cases and hardly repeat a character, for words are of this class too.
