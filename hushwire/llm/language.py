@@ -20,8 +20,10 @@ HOLD_OUT = 3
 #: Bound, in expectation, of the documents that piece counts are learned from.
 SAMPLE = 12_000
 MARK = "▁"
-#: Longest piece tried, and longest stretch of one word scored at once; longer words go on in stretches.
-LONGEST, STRETCH = 16, 24
+#: Longest piece of the vocabulary, and characters after which sums are brought back to scale.
+LONGEST, RESCALE = 16, 8
+#: Characters of the words that are scored at once.
+AT_ONCE = 480_000
 #: Words whose likelihoods a task keeps.
 KEPT = 300_000
 SMOOTHING = 0.05
@@ -45,38 +47,36 @@ class Forward:
 
     def words(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), self.probs.shape[1]))
-        by: dict[int, list[tuple[int, str]]] = {}
+        by: dict[int, list[int]] = {}
         for k, w in enumerate(words):
-            w = MARK + w
-            for a in range(0, len(w), STRETCH):
-                s = w[a : a + STRETCH]
-                by.setdefault(len(s), []).append((k, s))
+            by.setdefault(len(w) + 1, []).append(k)
         for n, found in by.items():
-            for a in range(0, len(found), 20_000):
-                part = found[a : a + 20_000]
-                np.add.at(out, [k for k, _ in part], self._same_length([s for _, s in part], n))
+            step = max(1, AT_ONCE // n)
+            for a in range(0, len(found), step):
+                part = found[a : a + step]
+                out[part] = self._same_length([MARK + words[k] for k in part], n)
         return out
 
     def _same_length(self, words: list[str], n: int) -> np.ndarray:
-        spans = [(j, i) for i in range(1, n + 1) for j in range(max(0, i - LONGEST), i)]
+        """The forward sums of words of n characters.  Only the last LONGEST sums are held."""
         get, none = self.index.get, self.none
-        ids = np.array([[get(w[j:i], none) for j, i in spans] for w in words], np.int32)
-        alpha = np.ones((n + 1, len(words), self.probs.shape[1]))
-        at, scale = 0, np.zeros((len(words), self.probs.shape[1]))
+        held = [np.ones((len(words), self.probs.shape[1]))]
+        scale = np.zeros_like(held[0])
         for i in range(1, n + 1):
-            total = np.zeros_like(alpha[0])
-            for j in range(max(0, i - LONGEST), i):
-                col = ids[:, at]
-                if j == i - 1:
-                    col = np.where(col == none, self.unknown, col)
-                    total += alpha[j] * self.probs[col]
-                else:
-                    hit = np.flatnonzero(col != none)
-                    if len(hit):
-                        total[hit] += alpha[j][hit] * self.probs[col[hit]]
-                at += 1
-            alpha[i] = total
-        return np.log(np.maximum(alpha[n], 1e-300)) + scale
+            low = max(0, i - LONGEST)
+            ids = np.array([[get(w[j:i], none) for j in range(low, i)] for w in words], np.int32)
+            last = ids[:, -1]
+            total = held[-1] * self.probs[np.where(last == none, self.unknown, last)]
+            for k in range(i - low - 1):
+                hit = np.flatnonzero(ids[:, k] != none)
+                if len(hit):
+                    total[hit] += held[k][hit] * self.probs[ids[hit, k]]
+            held = [*held[-(LONGEST - 1) :], total]
+            if i % RESCALE == 0:
+                top = np.maximum(total, 1e-300)
+                held = [h / top for h in held]
+                scale += np.log(top)
+        return np.log(np.maximum(held[-1], 1e-300)) + scale
 
 
 def learn(docs: DataFrame, vocab_path: str, sample: int = SAMPLE):
@@ -123,8 +123,9 @@ SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 def identify(docs: DataFrame, model, keep_words: int = KEPT) -> DataFrame:
     """Best language and its posterior for every row, from the text alone.  A null text or one without a
-    letter, and any text where nothing was learned, is `und` with score 0.  Repeated rows are each
-    scored; extra columns are ignored."""
+    letter, and any text where nothing was learned, is `und` with score 0; of languages that tie the
+    first by name is taken.  Repeated rows are each scored; an empty table gives an empty result; extra
+    columns are ignored.  Words of any length are summed over all their segmentations."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (text_fold("doc_id", HOLD_OUT) == 1).alias("held_out"), "text")
 
     shared = docs.sparkSession.sparkContext.broadcast(model[1:3]) if model else None
@@ -163,6 +164,7 @@ def identify(docs: DataFrame, model, keep_words: int = KEPT) -> DataFrame:
 
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents; see identify for nulls, ties, repeats and empty tables."""
     import public_tokenizers
 
     path = public_tokenizers.path("piece_bpe_32k.model")

@@ -289,6 +289,21 @@ def test_forward():
 
     for w in ("ab", "abba", "b", "axb"):
         assert abs(f.words([w])[0, 0] - np.log(total("▁" + w))) < 1e-9
+    r = random.Random(3)
+    words = ["ab" * 13, *("".join(r.choice("abx") for _ in range(n)) for n in (23, 24, 25, 60, 61, 3000))]
+    for w, got in zip(words, f.words(words)[:, 0], strict=True):
+        t, sums, logs = "▁" + w, [1.0], 0.0
+        for i in range(1, len(t) + 1):
+            sums.append(sum(p[pieces.index(t[j:i])][0] * sums[j] if t[j:i] in pieces else p[-1][0] * sums[j] if j == i - 1 else 0.0 for j in range(max(0, i - 2), i)))
+            if sums[i] < 1e-100:  # the last two sums are all that the next needs
+                logs, sums[i - 1], sums[i] = logs + np.log(1e-100), sums[i - 1] * 1e100, sums[i] * 1e100
+        assert abs(got - np.log(sums[-1]) - logs) < 1e-6 * len(t)
+
+
+def test_held_out_languages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    got = language.identify(docs, language.learn(docs, public_tokenizers.path("piece_bpe_32k.model"))).join(docs, "doc_id").where("held_out AND lang IS NOT NULL AND lang_pred <> 'und'").collect()
+    assert len(got) > 30 and sum(x["lang_pred"] == x["lang"] for x in got) >= 0.95 * len(got)
 
 
 def test_vectors(spark):
