@@ -31,19 +31,21 @@ PIVOTS = 4000
 def byte_level_encoder(path: str, room: int = 500_000) -> ChunkEncoder:
     """Encoder for a byte-level BPE file of the tokenizers library.  The file's vocabulary is read as
     merge ranks (its ids are in order of merging), which gives the library's ids at several times the
-    speed; special tokens' strings are ordinary text."""
+    speed.  As in the library, texts are split at the file's added tokens first, which keep their own ids."""
     import public_tokenizers
     import tiktoken
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    special = {t["content"] for t in spec["added_tokens"]}
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    if any(" " in t or "\n" in t for t in special) or any(t[k] for t in spec["added_tokens"] for k in ("lstrip", "rstrip", "single_word", "normalized")):
+        raise ValueError("added tokens with white space or conditions are not supported")
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     rest = [b for b in range(256) if b not in set(plain)]
     back = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
     ranks = {bytes(back[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
-    coder = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    return ChunkEncoder(lambda t: np.array(coder.encode_ordinary(t), "<u4").tobytes(), room)
+    coder = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    return ChunkEncoder(lambda t: np.array(coder.encode(t, allowed_special="all", disallowed_special=()), "<u4").tobytes(), room)
 
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
@@ -180,9 +182,9 @@ def slots(found: list[tuple[np.ndarray, int]], m: int) -> list[tuple[np.ndarray,
 
 
 def pack(docs: DataFrame, path: str) -> DataFrame:
-    """Every piece with its sequence and its offset there.  Empty texts are documents of one id.  Rows of
-    one doc_id are documents of their own; an empty table gives an empty result; extra columns are
-    ignored."""
+    """Every piece with its sequence and its offset there.  Null and empty texts are documents of one id.
+    Rows of one doc_id, repeated ones and those without doc_id too, are documents of their own; an empty
+    table gives an empty result; extra columns are ignored; a very long text is cut into many pieces."""
     spark = docs.sparkSession
     cut = keep(pieces(docs, path), "pieces")
     top = LENGTH // UNIT
@@ -224,6 +226,7 @@ def pack(docs: DataFrame, path: str) -> DataFrame:
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed; see pack for nulls, repeats and empty tables."""
     import public_tokenizers
 
     return pack(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("byte_bpe_50k.json"))
