@@ -243,24 +243,38 @@ class Decoder:
                 self.step[s, i] = to
         self.odd = (self.step[DONE] != DONE) & (self.gather.length > 0)
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return self.gather.join(ids)
+    def decode(self, ids: np.ndarray, part: int = 1 << 16) -> tuple[bytes, int]:
+        """Bytes of the ids, and the state of the UTF-8 machine after them: DONE if they end a well-formed
+        text.  Ids are decoded by parts; each part is handed on up to the last whole character, and the
+        bytes of an unfinished one are held until the next part completes it, as in a stream."""
+        out, held, state = [], b"", DONE
+        for a in range(0, len(ids), part):
+            some = ids[a : a + part]
+            raw = held + self.gather.join(some)
+            state = self.run(some, state)
+            cut = len(raw)
+            if state not in (DONE, BAD):  # back to where the unfinished character begins
+                cut -= 1
+                while raw[cut] & 0xC0 == 0x80:
+                    cut -= 1
+            out.append(raw[:cut])
+            held = raw[cut:]
+        return b"".join(out) + held, state
 
-    def final_state(self, ids: np.ndarray, state: int = DONE) -> int:
-        """State of the UTF-8 machine after these tokens: DONE if they end a well-formed text.  Only
-        tokens that leave the machine within a character are stepped one by one."""
+    def run(self, ids: np.ndarray, state: int = DONE) -> int:
+        """State of the machine after these tokens; BAD holds.  Only tokens that leave the machine within a
+        character are stepped one by one."""
         at = 0
-        while at < len(ids):
+        while at < len(ids) and state != BAD:
             if state == DONE:
-                odd = self.odd[ids[at : at + 4096]].argmax() if len(ids) > at else 0
-                if not self.odd[ids[at + odd]]:
-                    at += min(4096, len(ids) - at)
+                some = self.odd[ids[at : at + 4096]]
+                odd = int(some.argmax())
+                if not some[odd]:
+                    at += len(some)
                     continue
                 at += odd
             state = int(self.step[state, ids[at]])
             at += 1
-            if state == BAD:
-                break
         return state
 
     def stream(self, ids, state: int = DONE, held: bytes = b""):
@@ -304,7 +318,7 @@ SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string,
 def encode_decode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Ids of every whole text (null counts as empty) and their decoding, as digests; well_formed says
     that the decoded bytes end a well-formed UTF-8 text.  Repeated rows are each encoded, an empty table
-    gives an empty result, extra columns are ignored."""
+    gives an empty result, extra columns are ignored; long texts are encoded and decoded whole."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     spaced = pattern_with_space(pattern)
 
@@ -318,8 +332,9 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
                 ids = np.frombuffer(raw, "<u4")
                 out["n_tokens"].append(len(ids))
                 out["ids_sha256"].append(hashlib.sha256(names.join(ids)[:-1]).hexdigest())
-                out["decoded_sha256"].append(hashlib.sha256(decoder.decode(ids)).hexdigest())
-                out["well_formed"].append(decoder.final_state(ids) == DONE)
+                raw, state = decoder.decode(ids)
+                out["decoded_sha256"].append(hashlib.sha256(raw).hexdigest())
+                out["well_formed"].append(state == DONE)
             return out | {"doc_id": c["doc_id"]}
 
         return run
@@ -328,6 +343,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
 
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoding of all documents; see encode_decode for nulls, repeats and empty tables."""
     import public_tokenizers
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

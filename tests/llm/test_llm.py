@@ -138,7 +138,7 @@ def test_bpe(docs, none):
     for t in texts:
         ids = np.frombuffer(chunks.ids(t), "<u4")
         assert ids.tolist() == public.encode_ordinary(t)
-        assert decoder.decode(ids) == t.encode() and decoder.final_state(ids) == bpe.DONE
+        assert decoder.decode(ids) == decoder.decode(ids, 3) == (t.encode(), bpe.DONE)
         assert "".join(decoder.stream(ids.tolist())) == t
     assert bpe.encode_decode(none, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).count() == 0
     for raw in (b"\xc0\x80", b"\xed\xa0\x80", b"\xf5", b"\xe2\x82", "é漢😀".encode()):
@@ -152,19 +152,22 @@ def test_bpe(docs, none):
             assert state != bpe.DONE
 
 
-def test_packing(docs, none):
+def test_packing(spark, docs, none):
     from tokenizers import Tokenizer
 
     path = public_tokenizers.path("byte_bpe_50k.json")
     t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
-    got = packing.pack(docs, path).toPandas()
-    for doc, text, _ in ROWS:
+    more = [(20, "a <|endoftext|> b"), (21, "x<|endoftext|>y <|endoftext|><|endoftext|>\n\n a  <|endoftext|>"), (22, "<|endoftext"), (7, "again")]
+    got = packing.pack(docs.select("doc_id", "text").unionByName(spark.createDataFrame([*more, more[0], (None, "no id")], "doc_id long, text string")), path).toPandas()
+    assert (got.doc_id == 20).sum() == 2 and got.doc_id.isna().sum() == 1 and (got.doc_id == 7).sum() == 2
+    got = got[~got.duplicated(["doc_id", "start", "ids_crc32"])]
+    for doc, text in [*((d, x) for d, x, _ in ROWS if d != 7), *more[:3]]:
         ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
         own = got[got.doc_id == doc].sort_values("start")
         assert own.length.sum() == len(ids) == own.doc_tokens.iloc[0]
         for p in own.itertuples():
             assert zlib.crc32(ids[p.start : p.start + p.length].tobytes()) == p.ids_crc32
+    got = packing.pack(docs, path).toPandas()
     by = got.sort_values(["sequence_id", "offset"]).groupby("sequence_id")
     assert by.length.sum().max() <= 1024 and ((by.length.cumsum() - got.length).loc[got.index] == got.offset).all()
     assert packing.pack(none, path).count() == 0
