@@ -3,8 +3,8 @@
 Trusted positives are the labelled-good documents of the learning folds; the unlabelled web text is a
 share of all documents of those folds.  A linear scorer over the whole text's byte-class statistics
 minimises the non-negative unbiased risk  pi * R_p+ + max(0, R_u- - pi * R_p-)  under logistic loss.  The class
-prior pi is estimated from the labels of the learning folds, where both classes occur, and otherwise by
-comparing the positives' and the unlabelled rows' mean score of a positive-against-unlabelled scorer.
+prior pi is estimated from positives and unlabelled rows alone, by comparing their mean scores under a
+positive-against-unlabelled scorer.  Labels of bad documents are never read.
 """
 
 from __future__ import annotations
@@ -105,13 +105,11 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     """Fit on a bounded sample; None where there is no trusted positive.  Labels are read only from the
     learning folds; of several labels of one document any good one counts."""
     spark = docs.sparkSession
-    folds = labels.where((text_fold("doc_id", HOLD_OUT) != 0) & F.col("quality").isNotNull())
-    per = folds.groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    n, good = per.agg(F.count("*"), F.coalesce(F.sum("quality"), F.lit(0))).first()
-    total = docs.count()
+    known = labels.where((text_fold("doc_id", HOLD_OUT) != 0) & (F.col("quality") == 1)).select("doc_id").distinct()
+    good, total = known.count(), docs.count()
     if not good or not total:
         return None
-    trusted = per.where((F.col("quality") == 1) & share("doc_id", 11, sample / good)).select("doc_id")
+    trusted = known.where(share("doc_id", 11, sample / good))
     # bounded by `sample` rows in expectation, whatever the size of the tables
     ids = [r[0] for r in trusted.collect()]
     small = spark.createDataFrame([(i,) for i in ids], "doc_id long").withColumn("pos", F.lit(True))
@@ -136,8 +134,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model | N
     p, u = (rows[k].to_numpy().astype(bool) for k in ("pos", "unl"))
     if not p.any() or not u.any():
         return None
-    prior = good / n if good < n else mixture_prior(x[p], x[u])
-    return fit(x[p], x[u], float(np.clip(prior, 0.05, 0.98)))
+    return fit(x[p], x[u], mixture_prior(x[p], x[u]))
 
 
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
@@ -145,8 +142,8 @@ SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
 def score_quality(docs: DataFrame, model: Model | None) -> DataFrame:
     """A score for every row from its text alone (null counts as empty).  Empty texts get the score of
-    the zero vector; without a model every score is 0.5.  Repeated rows are each scored; extra columns
-    are ignored."""
+    the zero vector; without a model every score is 0.5.  Repeated rows are each scored; an empty table gives
+    an empty result; extra columns are ignored; long texts are read whole."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (text_fold("doc_id", HOLD_OUT) == 0).alias("held_out"), "text")
 
     def make():
@@ -162,12 +159,15 @@ def score_quality(docs: DataFrame, model: Model | None) -> DataFrame:
 
 
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents; see score_quality for nulls, repeats and empty tables."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return score_quality(docs, learn(docs, table(spark, sf_dir, "labels").select("doc_id", "quality")))
 
 
 def accepted(docs: DataFrame, model: Model | None) -> DataFrame:
-    """The rows of docs, all columns, whose score reaches the threshold; all rows without a model."""
+    """The rows of docs, all columns, whose score reaches the threshold; all rows without a model.  Null
+    texts count as empty ones, whose score decides; repeated rows stay or go together; an empty table gives
+    an empty result; extra columns keep their names and values."""
     if model is None:
         return docs
 

@@ -68,6 +68,25 @@ def test_risk_separates():
     assert (model.score(good[8000:]) > 0.3).mean() > 0.9 and (model.score(bad[1667:]) < 0.3).mean() > 0.8
 
 
+def test_prior_without_bad_labels():
+    r = np.random.default_rng(1)
+    for prior in (0.3, 0.6, 0.85):
+        good, bad = r.normal(2, 1, (6000, 4)), r.normal(-2, 1, (4000, 4))
+        n = int(4000 * prior)
+        assert abs(quality.mixture_prior(good[:2000], np.concatenate([good[2000 : 2000 + n], bad[: 4000 - n]])) - prior) < 0.05
+
+
+def test_held_out_quality(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.learn(docs, labels)
+    got = quality.score_quality(docs, model).join(labels, "doc_id").where("held_out").collect()
+    good, bad = ([x["predicted"] for x in got if x["quality"] == q] for q in (1, 0))
+    assert len(good) > 40 and len(bad) > 3 and sum(good) >= 0.97 * len(good) and sum(bad) <= 0.2 * len(bad)
+    clash = docs.limit(50).selectExpr("doc_id", "text", "'a' AS score", "'b' AS f", "1 AS pos")
+    kept = quality.accepted(clash, model)
+    assert kept.columns == clash.columns and {(x["score"], x["f"], x["pos"]) for x in kept.collect()} == {("a", "b", 1)}
+
+
 def base_secrets(t):
     a = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
     out = [(m.start(), 0, "assign", m.end()) for m in a.finditer(t) if len(m[2]) >= 8]
