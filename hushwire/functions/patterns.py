@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from hushwire.functions.offsets import located
+
 # Patterns, word lists and lookup tables that results depend on.
 EMAIL = r"\b[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[A-Za-z]{2,}\b"
 URL = r"(?i)\b(?:https?://|www\.)[^\s<>()]+"
@@ -62,6 +64,8 @@ TAGGER_LABELS = {
     "DRIVERLICENSENUM": "DRIVER_LICENSE", "EMAIL": "EMAIL", "GIVENNAME": "PERSON_NAME", "IDCARDNUM": "ID_NUMBER", "PASSWORD": "PASSWORD",
     "SOCIALNUM": "SSN", "STREET": "LOCATION", "SURNAME": "PERSON_NAME", "TAXNUM": "ID_NUMBER", "TELEPHONENUM": "PHONE", "USERNAME": "USERNAME", "ZIPCODE": "ZIP",
 }
+#: Labels of a named-entity tagger that are entities here.
+ENTITY_LABELS = {"PERSON": "PERSON_NAME", "ORG": "INSTITUTION_NAME", "GPE": "LOCATION", "LOC": "LOCATION", "DATE": "DATE"}
 #: name, pattern, group, type, score, source: in the order that ties are broken by.
 DETECTORS = (
     ("email", EMAIL, 0, "EMAIL", 1.0, "regex"),
@@ -91,19 +95,12 @@ def entities(text: str, pattern: str, group: int, kind: str, score: float, sourc
     matches and the matches; a context pattern ends with its group.  (?U) makes classes, boundaries and
     case folding Unicode-aware.  Nothing beyond one test is evaluated where the pattern never matches."""
     p = quoted("(?U)" + pattern)
-    start = "a.at + length(z.`1`) + length(z.`0`) - length(z.`2`)"
-    return F.expr(f"""
-      CASE WHEN rlike({text}, {p}) THEN aggregate(
-        arrays_zip(regexp_extract_all({text}, {p}, 0), split({text}, {p}, -1), regexp_extract_all({text}, {p}, {group})),
-        named_struct('at', 0, 'out', CAST(array() AS {ENTITY})),
-        (a, z) -> CASE WHEN z.`0` IS NULL THEN a ELSE named_struct('at', a.at + length(z.`1`) + length(z.`0`),
-          'out', concat(a.out, array(named_struct('text', z.`2`, 'type', '{kind}', 'start', {start}, 'end', {start} + length(z.`2`),
-            'score', {score}D, 'source', '{source}')))) END,
-        a -> a.out) ELSE CAST(array() AS {ENTITY}) END""")
+    each = f"named_struct('text', g, 'type', '{kind}', 'start', s + length(m) - length(g), 'end', s + length(m), 'score', {score}D, 'source', '{source}')"
+    return F.expr(f"CASE WHEN rlike({text}, {p}) THEN {located(text, p, each, group)} ELSE CAST(array() AS {ENTITY}) END")
 
 
 def name_pattern(lead: str, stops: str) -> str:
-    return rf"(?i)\b{lead.replace(' ', ' ')}\s+{NAME}(?=\s+(?:{stops})\b|[.,;!?]|$)"
+    return rf"(?i)\b{lead}\s+{NAME}(?=\s+(?:{stops})\b|[.,;!?]|$)"
 
 
 def lookup(table: dict, key: Column, default: Column | None = None) -> Column:

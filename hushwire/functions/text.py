@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from hushwire.functions.offsets import located
 from hushwire.functions.patterns import TAGGER_LABELS, TOKEN, TYPE_ALIASES, TYPE_PRIORITY, lookup, quoted
 
 
@@ -62,12 +63,8 @@ def similarity(ref: str, hyp: str) -> Column:
 
 def tokens(text: str, keep_empty: bool = False) -> Column:
     """Tokens with code-point spans: array of (token, norm, start, stop)."""
-    p = quoted(TOKEN)
-    out = F.expr(f"""aggregate(arrays_zip(regexp_extract_all({text}, {p}, 0), split({text}, {p}, -1)),
-      named_struct('at', 0, 'out', CAST(array() AS array<struct<token:string,norm:string,start:int,stop:int>>)),
-      (a, z) -> CASE WHEN z.`0` IS NULL THEN a ELSE named_struct('at', a.at + length(z.`1`) + length(z.`0`),
-        'out', concat(a.out, array(named_struct('token', z.`0`, 'norm', regexp_replace(lower(z.`0`), '[^a-z0-9]+', ''),
-          'start', a.at + length(z.`1`), 'stop', a.at + length(z.`1`) + length(z.`0`))))) END, a -> a.out)""")
+    each = "named_struct('token', m, 'norm', regexp_replace(lower(m), '[^a-z0-9]+', ''), 'start', s, 'stop', s + length(m))"
+    out = F.expr(located(text, quoted(TOKEN), each))
     return out if keep_empty else F.filter(out, lambda t: t["norm"] != "")
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hushwire.functions import patterns as P
+from hushwire.functions.offsets import let, located
 from hushwire.functions.text import normalize_type, priority
 
 
@@ -35,56 +36,49 @@ def name_entities(text: str) -> Column:
 
 
 def saved_entities(text: str, saved: str) -> Column:
-    """Entities saved as JSON (list of text, type, category): each PII or PHI text is searched for
-    literally, in any case."""
-    parsed = F.from_json(saved, "array<struct<text:string,type:string,category:string>>")
-    parsed = F.filter(parsed, lambda e: F.upper(e["category"]).isin("PII", "PHI") & (F.trim(e["text"]) != ""))
-    low = F.lower(F.col(text))
-
-    def places(e):
-        gone = F.split(low, F.concat(F.lit(r"\Q"), F.lower(e["text"]), F.lit(r"\E")), -1)
-        step = F.length(e["text"])
-        starts = F.transform(F.slice(gone, 1, F.size(gone) - 1), lambda _, i: F.aggregate(F.slice(gone, 1, i + 1), F.lit(0), lambda a, x: a + F.length(x)) + i * step)
-        return F.transform(
-            starts,
-            lambda s: F.struct(
-                F.substring(F.col(text), s + 1, step).alias("text"), normalize_type(e["type"]).alias("type"), s.cast("int").alias("start"),
-                (s + step).cast("int").alias("end"), F.lit(1.0).alias("score"), F.lit("saved_pii_json").alias("source"),
-            ),
-        )
-
-    return F.flatten(F.transform(F.coalesce(parsed, F.array().cast("array<struct<text:string,type:string,category:string>>")), places))
+    """Entities saved as a JSON object with a list `entities` (text, type, category): each PII or PHI text,
+    trimmed, is searched for literally, in any case.  What is no such object gives none."""
+    listed = "from_json({0}, 'entities array<struct<text:string,type:string,category:string>>').entities".format(saved)
+    wanted = f"filter({listed}, e -> upper(e.category) IN ('PII', 'PHI') AND trim(e.text) <> '')"
+    # within \Q..\E nothing is special but \E itself
+    literal = r"concat('(?iu)\\Q', replace(trim(e.text), '\\E', '\\E\\\\E\\Q'), '\\E')"
+    kind = "translate(upper(trim(coalesce(nullif(e.type, ''), 'PII'))), ' -', '__')"
+    each = f"named_struct('text', m, 'type', {kind}, 'start', s, 'end', s + length(m), 'score', 1.0D, 'source', 'saved_pii_json')"
+    found = F.expr(f"flatten(transform(coalesce({wanted}, CAST(array() AS array<struct<text:string,type:string,category:string>>)), e -> {located(text, literal, each)}))")
+    return F.transform(found, lambda e: e.withField("type", normalize_type(e["type"])))
+
+
+def spoken_entities(text: str) -> Column:
+    """Runs of spoken digits: islands of tokens that are separators, digits, number words or repeaters of
+    what follows.  Seven digits or more are an entity; under ten they need a hint word nearby.  A fold
+    within the row: a text is never dealt out, nor mixed with another of the same key."""
+    listed = lambda values: ", ".join(map(P.quoted, values))
+    words = "map(" + ", ".join(f"{P.quoted(w)}, {P.quoted(d)}" for w, d in P.NUMBER_WORDS.items()) + ")"
+    times = "CASE get(k, i - 1).norm " + " ".join(f"WHEN {P.quoted(w)} THEN {n}" for w, n in P.NUMBER_REPEATERS.items()) + " ELSE 1 END"
+    single = lambda c: f"({c} IN ({listed(P.NUMBER_WORDS)}) OR rlike({c}, '^[0-9]$'))"
+    digits = "coalesce(try_element_at(w, t.norm), CASE WHEN rlike(t.norm, '^[0-9]+$') THEN t.norm END)"
+    ok = f"(t.norm IN ({listed(P.NUMBER_SEPARATORS)}) OR (t.norm IN ({listed(P.NUMBER_REPEATERS)}) AND coalesce({single('get(k, i + 1).norm')}, false)) OR {digits} IS NOT NULL)"
+    n = f"coalesce(length({digits}) * CASE WHEN {single('t.norm')} THEN {times} ELSE 1 END, 0)"
+    flags = f"transform(k, (t, i) -> named_struct('ok', {ok}, 'n', {n}, 'a', t.start, 'b', t.stop))"
+    closed = "CASE WHEN r.n >= 7 THEN concat(r.out, array(named_struct('a', r.a, 'b', r.b, 'n', r.n))) ELSE r.out END"
+    runs = f"""aggregate({flags}, named_struct('a', -1, 'b', -1, 'n', 0, 'out', CAST(array() AS array<struct<a:int,b:int,n:int>>)),
+        (r, f) -> CASE WHEN f.ok THEN named_struct('a', CASE WHEN r.a < 0 THEN f.a ELSE r.a END, 'b', f.b, 'n', r.n + f.n, 'out', r.out)
+          ELSE named_struct('a', -1, 'b', -1, 'n', 0, 'out', {closed}) END, r -> {closed})"""
+    left = "greatest(0, r.a - 100)"
+    near = f"lower(substring({text}, {left} + 1, r.b + 100 - {left}))"
+    each = f"named_struct('text', substring({text}, r.a + 1, r.b - r.a), 'type', CASE WHEN r.n >= 10 THEN 'PHONE' ELSE 'ID_NUMBER' END, 'start', r.a, 'end', r.b, 'score', 0.92D, 'source', 'spoken_number_rule')"
+    tokens = located(text, P.quoted(P.TOKEN), TOKEN_OF)
+    body = let(words, "w", let(tokens, "k", f"transform(filter({runs}, r -> r.n >= 10 OR rlike({near}, {P.quoted(P.NUMBER_HINTS)})), r -> {each})"))
+    some = P.quoted(r"[0-9]|(?i)\b(" + "|".join(P.NUMBER_WORDS) + r")\b")
+    return F.expr(f"CASE WHEN rlike({text}, {some}) THEN {body} ELSE CAST(array() AS {P.ENTITY}) END")
+
+
+TOKEN_OF = "named_struct('norm', regexp_replace(lower(m), '[^a-z0-9]+', ''), 'start', s, 'stop', s + length(m))"
 
 
 def spoken_numbers(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Runs of spoken digits: islands of tokens that are separators, digits, number words or repeaters
-    of what follows.  Seven digits or more are an entity; under ten they need a hint word nearby."""
-    some = F.col(text).rlike(r"[0-9]|(?i)\b(" + "|".join(P.NUMBER_WORDS) + r")\b")
-    # tokens and the pieces between them, a row each: offsets are running sums, linear in the text
-    pieces = F.arrays_zip(F.regexp_extract_all(text, F.lit(P.TOKEN), F.lit(0)).alias("m"), F.split(text, P.TOKEN, -1).alias("s"))
-    t = df.where(some).select(key, F.col(text).alias("text"), F.posexplode(pieces).alias("i", "z"))
-    by = Window.partitionBy(key).orderBy("i")
-    stop = F.sum(F.length("z.s") + F.length("z.m")).over(by)
-    t = t.where("z.m IS NOT NULL").select(
-        key, "text", "i", F.struct(F.regexp_replace(F.lower("z.m"), "[^a-z0-9]+", "").alias("norm"), (stop - F.length("z.m")).cast("int").alias("start"), stop.cast("int").alias("stop")).alias("t")
-    )
-    norm, nxt = F.col("t.norm"), F.lead("t.norm").over(by)
-    word = lambda c: c.isin(*P.NUMBER_WORDS)
-    single = lambda c: word(c) | c.rlike("^[0-9]$")
-    digits = P.lookup(P.NUMBER_WORDS, norm, F.when(norm.rlike("^[0-9]+$"), norm))
-    repeats = norm.isin(*P.NUMBER_REPEATERS) & F.coalesce(single(nxt), F.lit(False))
-    times = F.when(single(norm), P.lookup(P.NUMBER_REPEATERS, F.lag("t.norm").over(by), F.lit(1))).otherwise(1)
-    flags = t.withColumns(
-        {"ok": norm.isin(*P.NUMBER_SEPARATORS) | repeats | digits.isNotNull(), "n": F.coalesce(F.length(digits) * times, F.lit(0)), "text": F.col("text")}
-    )
-    runs = flags.withColumn("run", F.sum((~F.col("ok")).cast("int")).over(by)).where("ok")
-    found = runs.groupBy(key, "run").agg(F.min("t.start").alias("start"), F.max("t.stop").alias("stop"), F.sum("n").alias("digits"), F.any_value("text").alias("text")).where("digits >= 7")
-    left = F.greatest(F.lit(0), F.col("start") - 100)
-    near = F.lower(F.substring(F.col("text"), left + 1, F.col("stop") + 100 - left))
-    kind = F.when(F.col("digits") >= 10, "PHONE").otherwise("ID_NUMBER")
-    return found.where((F.col("digits") >= 10) | near.rlike(P.NUMBER_HINTS)).select(
-        key, F.expr("substring(text, start + 1, stop - start)").alias("text"), kind.alias("type"), "start", F.col("stop").alias("end"), F.lit(0.92).alias("score"), F.lit("spoken_number_rule").alias("source")
-    )
+    """The spoken numbers of every row, under its key."""
+    return df.select(key, F.inline(spoken_entities(text)))
 
 
 def all_rule_entities(text: str, detectors: tuple[str, ...] = tuple(d[0] for d in P.DETECTORS)) -> Column:
@@ -113,8 +107,12 @@ def resolve(df: DataFrame, key: list[str]) -> DataFrame:
     return packed.select(*key, F.inline(fold)).select(*key, "text", "type", "start", "end", "score", "source")
 
 
-def detect(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """Rule entities of every text, resolved: (key, text, type, start, end, score, source)."""
-    found = df.select(key, F.col(text).alias("_t")).select(key, F.posexplode(all_rule_entities("_t")).alias("ord", "e")).select(key, "ord", "e.*")
-    spoken = spoken_numbers(df, key, text).withColumn("ord", F.lit(100_000))
-    return resolve(dedupe(found.unionByName(spoken), [key]), [key])
+def detect(df: DataFrame, key: str, text: str = "text", saved: str | None = None, detectors: tuple[str, ...] = tuple(d[0] for d in P.DETECTORS), spoken: bool = True) -> DataFrame:
+    """Entities of every text by the chosen rules, spoken numbers and saved annotations (a JSON column),
+    resolved: (key, text, type, start, end, score, source).  Texts that share a key are kept apart."""
+    parts = [all_rule_entities("_t", detectors)]
+    parts += [spoken_entities("_t")] if spoken else []
+    parts += [saved_entities("_t", "_s")] if saved else []
+    rows = df.select(key, F.col(text).alias("_t"), *([F.col(saved).alias("_s")] if saved else []), F.xxhash64(text).alias("_h"))
+    found = rows.select(key, "_h", F.posexplode(F.concat(*(F.coalesce(p, F.array().cast(P.ENTITY)) for p in parts))).alias("ord", "e")).select(key, "_h", "ord", "e.*")
+    return resolve(dedupe(found, [key, "_h"]), [key, "_h"]).drop("_h")

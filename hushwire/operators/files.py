@@ -29,13 +29,23 @@ def exclude(files: DataFrame, dirs: list[str], globs: list[str], root: str) -> D
     return files.where(~gone)
 
 
+#: Slices that numbered() cuts a table into, and values sampled for each cut.
+SLICES, PER_CUT = 64, 40
+
+
 def numbered(files: DataFrame, by: str = "path") -> DataFrame:
-    """Position in the order of `by`, from 0, without one task sorting it all: rows are range-dealt and
-    sorted, ranked within their slice, and shifted by the slices' sizes."""
-    sliced = files.repartitionByRange(by).withColumn("_s", F.spark_partition_id())
-    local = sliced.withColumn("_r", F.row_number().over(Window.partitionBy("_s").orderBy(by)))
-    sizes = local.groupBy("_s").agg(F.count("*").alias("_c"))
+    """Position in the order of `by`, from 0, without one task sorting it all: rows are cut into slices by
+    values of a small sample, ranked within their slice, and shifted by the slices' sizes.  The cuts are
+    constants of the plan, so every use of it sees the same slices; a table of equal values is one slice."""
+    scale = 1 << 30
+    rate = min(1.0, SLICES * PER_CUT / max(1, files.count()))
+    some = sorted(r[0] for r in files.where(F.col(by).isNotNull() & (F.pmod(F.xxhash64(by), F.lit(scale)) < int(rate * scale))).select(by).distinct().limit(4 * SLICES * PER_CUT).collect())
+    cuts = some[:: max(1, len(some) // SLICES)][1:]
+    slice_ = F.aggregate(F.array(*map(F.lit, cuts)), F.lit(0), lambda a, c: a + (c <= F.col(by)).cast("int")) if cuts else F.lit(0)
+    sliced = files.withColumn("_s", F.coalesce(slice_, F.lit(-1)))
+    sizes = sliced.groupBy("_s").agg(F.count("*").alias("_c"))
     base = sizes.select("_s", F.coalesce(F.sum("_c").over(Window.orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
+    local = sliced.withColumn("_r", F.row_number().over(Window.partitionBy("_s").orderBy(by)))
     return local.join(F.broadcast(base), "_s").withColumn("idx", F.col("_r") - 1 + F.col("_b")).drop("_s", "_r", "_b")
 
 
@@ -66,11 +76,18 @@ def strategy(duration: Column, most: float | None = None, single_up_to: float =
     return F.when(duration > most, "too_long").otherwise(route) if most else route
 
 
-def output_path(path: Column, root: str, out: str, suffix: str = ".opus") -> Column:
-    """Below the output root as below the input root (else by name alone), with another suffix."""
+def output_path(path: Column, root: str, out: str, suffix: str | None = ".opus", relative: bool = True) -> Column:
+    """Below the output root as below the input root (else by name alone), with another suffix.  Null where
+    that would be the input itself, which is never written over."""
     base = root.rstrip("/") + "/"
-    relative = F.when(path.startswith(base), F.expr(f"substring({{}}, {len(base) + 1})".format("path"))).otherwise(F.element_at(F.split(path, "/"), -1))
-    return F.concat(F.lit(out.rstrip("/") + "/"), F.regexp_replace(relative, r"\.[^./]+$", ""), F.lit(suffix))
+    name = F.element_at(F.split(path, "/"), -1)
+    below = F.when(path.startswith(base), F.substring(path, len(base) + 1, 1 << 30)).otherwise(name) if relative else name
+    to = F.concat(F.lit(out.rstrip("/") + "/"), F.regexp_replace(below, r"\.[^./]+$", "") if suffix else below, F.lit(suffix or ""))
+    return F.when(to != path, to)
+
+
+def sidecar_path(out_path: Column, suffix: str = ".json") -> Column:
+    return F.concat(out_path, F.lit(suffix))
 
 
 def decoded_gb(files: DataFrame, keys: list[str], rate: int = 48000, channels: int = 2) -> DataFrame:
@@ -110,8 +127,10 @@ def probed(df: DataFrame, column: str) -> DataFrame:
 
 
 def validated(df: DataFrame, delta: float = 0.2) -> DataFrame:
-    """Checks of an output against its input; valid if all hold.  Unknown durations are let pass."""
+    """Checks of an output against its input; valid if all hold.  An output exists if its size (out_bytes) is
+    known; unknown durations are let pass."""
     checks = {
+        "output_exists": F.col("out_bytes").isNotNull(),
         "codec_ok": F.lower(F.coalesce("out_codec", F.lit(""))) == "opus",
         "rate_ok": F.coalesce("out_rate", F.lit(0)) == 48000,
         "channels_ok": F.coalesce("out_channels", F.lit(0)) == 2,

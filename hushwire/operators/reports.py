@@ -54,14 +54,26 @@ def detection_items(bundles: DataFrame) -> DataFrame:
     return items.withColumn("_n", F.row_number().over(by)).where("_n = 1").select("file_id", "channel", "source", "text")
 
 
-FINAL = """CASE WHEN no_transcript AND duration IS NULL THEN 'failed' WHEN no_transcript THEN 'success'
-  WHEN entities > 0 AND mapped = 0 AND duration IS NULL THEN 'failed' WHEN entities > 0 AND mapped = 0 THEN 'success_unmapped_fallback'
-  WHEN entities = 0 AND matches THEN 'success_no_pii_fast_copy' WHEN entities = 0 THEN 'success_no_pii_transcoded' ELSE 'success' END"""
-
-
-def final_status(files: DataFrame) -> DataFrame:
-    """Status by the finalize table: files with no_transcript, entities, mapped, duration, matches."""
-    return files.withColumn("status", F.expr(FINAL))
+def any_transcript(transcripts: DataFrame) -> DataFrame:
+    """Files of which some transcript (column text), of the consensus or of an engine, is not blank."""
+    return transcripts.where(F.trim(F.coalesce("text", F.lit(""))) != "").select("file_id").distinct()
+
+
+def final_status(files: DataFrame, transcripts: DataFrame, entities: DataFrame, fail_unmapped: bool = False, copy_clean: bool = True) -> DataFrame:
+    """files (file_id, duration, matches: has the output's format) with a status.  transcripts: file_id, text;
+    entities: file_id, mapped (has a span).  No transcript is no proof of no entity: such a file is masked
+    as a whole, or failed where its duration is unknown.  So is one with any entity that has no span; it
+    fails by policy too.  Files without entities are copied if they match and may be, else transcoded."""
+    per = entities.groupBy("file_id").agg(F.count_if(F.col("mapped")).alias("_mapped"), F.count_if(~F.coalesce("mapped", F.lit(False))).alias("_unmapped"))
+    spoken = any_transcript(transcripts).withColumn("_spoken", F.lit(True))
+    j = files.join(spoken, "file_id", "left").join(per, "file_id", "left")
+    silent, unmapped = F.col("_spoken").isNull(), F.coalesce("_unmapped", F.lit(0)) > 0
+    clean = F.when(F.col("matches"), "success_no_pii_fast_copy").otherwise("success_no_pii_transcoded") if copy_clean else F.lit("success")
+    status = (
+        F.when((silent | unmapped) & F.col("duration").isNull(), "failed").when(unmapped & ~silent & F.lit(fail_unmapped), "failed").when(silent | unmapped, "success_unmapped_fallback")
+        .when(F.coalesce("_mapped", F.lit(0)) > 0, "success").otherwise(clean)
+    )
+    return j.withColumn("status", status).drop("_spoken", "_mapped", "_unmapped")
 
 
 def result_rows(transcripts: DataFrame, entities: DataFrame, spans: DataFrame) -> DataFrame:
@@ -92,8 +104,10 @@ def merged_metrics(parts: DataFrame, keys: list[str], shared: bool = False) -> D
 def report_tail(spark: SparkSession, path: str, skip: int, schema: str) -> DataFrame:
     """The records of a JSON-lines report after its first `skip` physical lines, blank lines counted but not
     read: line (from 0) and the record.  Lines are numbered within the blocks that tasks read, and blocks
-    shifted by the sizes of those before; one row a block is all that is ordered in one place."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_i"))
+    shifted by the sizes of those before, files in order of their paths; one row a block is all that is
+    ordered in one place."""
+    block = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at")).alias("_block")
+    lines = spark.read.text(path).select("value", block, F.monotonically_increasing_id().alias("_i"))
     local = lines.withColumn("_r", F.row_number().over(Window.partitionBy("_block").orderBy("_i")))
     sizes = lines.groupBy("_block").agg(F.count("*").alias("_n"))
     base = sizes.select("_block", F.coalesce(F.sum("_n").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
@@ -118,9 +132,14 @@ def enriched(found: DataFrame) -> DataFrame:
 
 
 def sidecar(files: DataFrame) -> DataFrame:
-    """files: file_id, path, out_path, status, entities (array), spans (array) as one JSON document a file."""
+    """files: file_id, path, out_path, status, entities (array), raw_spans, spans (arrays), and where they are
+    there elapsed_sec, duration, codec, sample_rate, channels, transcripts, valid, stages: one JSON document
+    a file, with what was found, what was done and what the output was checked for."""
+    have = lambda *names: [c for c in names if c in files.columns]
     body = F.struct(
-        F.struct(F.col("path").alias("input_path"), F.col("out_path").alias("output_path")).alias("files"), "status",
-        F.size("entities").alias("num_entities"), F.size("spans").alias("num_spans"), "entities", "spans",
+        F.struct(F.col("path").alias("input_path"), F.col("out_path").alias("output_path")).alias("files"), "status", *have("elapsed_sec", "valid"),
+        *([F.struct(*have("duration", "codec", "sample_rate", "channels")).alias("input")] if have("duration", "codec", "sample_rate", "channels") else []),
+        *have("transcripts"), F.size("entities").alias("num_entities"), F.size("spans").alias("num_spans"), "entities", *have("raw_spans"), "spans",
+        F.struct((F.col("status") == "success_no_pii_fast_copy").alias("fast_copy"), (F.col("status") == "success_unmapped_fallback").alias("unmapped_fallback")).alias("decisions"), *have("stages"),
     )
     return files.select("file_id", F.to_json(body).alias("document"))

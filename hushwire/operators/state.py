@@ -2,11 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-STATUS_SCHEMA = "input_path string, output_path string, status string, error string, duration_sec double, num_words long, num_entities long, num_spans long, updated_at double"
-RESULT_SCHEMA = "input_path string, engine string, channel int, transcript string, words string, language string, error string, updated_at double"
+STATUS_SCHEMA = (
+    "input_path string, output_path string, sidecar_path string, status string, error string, duration_sec double, elapsed_sec double, num_words long, "
+    "num_entities long, num_spans long, valid boolean, started_at double, updated_at double"
+)
+RESULT_SCHEMA = "input_path string, engine string, channel int, transcript string, words array<struct<word:string,start:double,end:double>>, language string, error string, updated_at double"
+CACHE_KEYS = ["input_path", "engine", "channel"]
+
+
+def create_if_absent(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table at path; an empty one of this schema is written where there is none."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        spark.createDataFrame([], schema).write.parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def upsert_asr_cache(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Cached recogniser results, one for each file, engine and channel: the last one written."""
+    return upsert(old, new, CACHE_KEYS, ["updated_at"])
+
+
+def cached_results(cache: DataFrame, engines: list[str], path: str | None = None) -> DataFrame:
+    """Cached rows, of one file if named, in order of file, channel and the engines as listed; other engines
+    come last, by name."""
+    rank = F.array_position(F.array(*map(F.lit, engines)), F.col("engine"))
+    rows = cache.where(F.col("input_path") == path) if path is not None else cache
+    return rows.withColumn("_k", F.when(rank == 0, len(engines) + 1).otherwise(rank)).orderBy("input_path", "channel", "_k", "engine").drop("_k")
+
+
+def without_files(cache: DataFrame, gone: DataFrame) -> DataFrame:
+    """The cache without the rows of finished files."""
+    return cache.join(gone.select("input_path").distinct(), "input_path", "left_anti")
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

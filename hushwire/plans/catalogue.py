@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hushwire import ports
 from hushwire.functions import patterns as P
 from hushwire.functions import text as T
 from hushwire.operators import audio, consensus, entities, files, reports, spans, state
 from hushwire.operators import words as timed
 from hushwire.plans import views
+from hushwire.sources import io
+from hushwire.streaming import resume
 
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
@@ -140,12 +143,19 @@ def spoken_numbers(spark, d):
     return entities.spoken_numbers(pii(spark, d), "id", "text").select("id", "text", "type", "start", "end")
 
 
-@query("saved_json_entities", f"SELECT id, substr(text, strpos(text, 'mail '), 4) AS text, 'PERSON_NAME' AS type, CAST(strpos(text, 'mail ') - 1 AS INT) AS \"start\" FROM {PII} v")
+@query(
+    "saved_json_entities",
+    f"""SELECT id, substr(text, p, n) AS text, type, CAST(p - 1 AS INT) AS "start", CAST(p - 1 + n AS INT) AS "end" FROM (
+      SELECT id, text, strpos(text, 'mail user' || id || '@') AS p, length('mail user' || id) AS n, 'PERSON_NAME' AS type FROM {PII} v UNION ALL
+      SELECT id, text, strpos(text, '415-555-'), 12, 'PHONE' FROM {PII} v) u WHERE id % 7 <> 0""",
+)
 def saved_json_entities(spark, d):
-    saved = F.lit('[{"text": "MAIL USER", "type": "first name", "category": "pii"}, {"text": "card", "type": "x", "category": "other"}]')
-    t = pii(spark, d).withColumn("saved", saved)
-    out = t.select("id", F.inline(entities.saved_entities("text", "saved")))
-    return out.select("id", F.substring("text", 1, 4).alias("text"), "type", "start")
+    saved = F.expr("""CASE WHEN id % 14 = 0 THEN 'no json' WHEN id % 7 = 0 THEN '[]' ELSE '{"entities": [{"text": "  MAIL User' || id || ' ", "type": "first name", "category": "pii"}, {"text": "card", "type": "x", "category": "other"}, '
+      || '{"text": " ", "category": "PII"}, {"text": "' || regexp_extract(text, '415-555-[0-9]+', 0) || '", "type": "phone-number", "category": "PHI"}]}' END""")
+    found = pii(spark, d).withColumn("saved", saved).select("id", "text", F.explode(entities.saved_entities("text", "saved")).alias("e"))
+    # a number may end an address's name too; the check is for the first place
+    first = found.groupBy("id", "e.type").agg(F.min_by("e", "e.start").alias("e"))
+    return first.select("id", "e.text", "e.type", "e.start", "e.end")
 
 
 _LABELS = "SELECT p_partkey AS id, CASE p_partkey % 6 WHEN 0 THEN ' phone-number' WHEN 1 THEN 'Date of Birth' WHEN 2 THEN 'drug' WHEN 3 THEN '' WHEN 4 THEN NULL ELSE p_brand END AS label, CASE p_partkey % 3 WHEN 0 THEN 'b-city' WHEN 1 THEN 'I-SURNAME' ELSE 'O' END AS tag FROM part"
@@ -225,7 +235,18 @@ def entity_dedupe(spark, d):
     return entities.dedupe(view(spark, d, _ENT, "lineitem", s="start", e="end"), ["file_id"]).select("file_id", "start", "end", "type", "score")
 
 
-@query("entity_resolve")
+_PRIORITY = "CASE type WHEN 'SSN' THEN 1 WHEN 'PHONE' THEN 5 WHEN 'ZIP' THEN 23 ELSE 999 END"
+
+
+@query(
+    "entity_resolve",
+    f"""WITH d AS (SELECT * FROM (SELECT *, {_PRIORITY} AS p, row_number() OVER (PARTITION BY file_id, s, e, lower(trim(text)) ORDER BY {_PRIORITY}, score DESC, ord) AS n FROM ({_ENT.format(s='s', e='e')}) t WHERE e > s) u WHERE n = 1),
+    l AS (SELECT file_id, list([struct_pack(a := s, b := e, p := p, score := score, ord := ord, type := type, text := text, source := source)] ORDER BY s, e DESC, p, score DESC, ord) AS es FROM d GROUP BY file_id),
+    f AS (SELECT file_id, unnest(list_reduce(es, lambda kept, x: CASE WHEN len(list_filter(kept, lambda k: k.a < x[1].b AND x[1].a < k.b)) = 0 THEN kept || x
+      ELSE list_transform(kept, lambda k, i: CASE WHEN i = list_position(list_transform(kept, lambda q: q.a < x[1].b AND x[1].a < q.b), true)
+        AND (x[1].p < k.p OR (x[1].p = k.p AND (x[1].score > k.score OR (x[1].score = k.score AND x[1].b - x[1].a > k.b - k.a)))) THEN x[1] ELSE k END) END)) AS r FROM l)
+    SELECT file_id, r.text AS text, r.type AS type, r.a AS "start", r.b AS "end", r.score AS score, r.source AS source FROM f""",
+)
 def entity_resolve(spark, d):
     return entities.resolve(entities.dedupe(view(spark, d, _ENT, "lineitem", s="start", e="end"), ["file_id"]), ["file_id"])
 
@@ -274,10 +295,16 @@ def entity_word_overlap(spark, d):
     return spans.entity_spans(e, w, ["file_id"]).select("file_id", "text", F.round("start_sec", 6).alias("start_sec"), F.round("end_sec", 6).alias("end_sec"))
 
 
-@query("unmapped_entities", f"SELECT file_id, CAST(60.0 AS DOUBLE) AS end_sec, substr(string_agg(text, ' | ' ORDER BY ord), 1, 500) AS text FROM ({_ENTS.format(w=_W)}) e WHERE s >= 36 GROUP BY file_id")
+@query(
+    "unmapped_entities",
+    f"""SELECT file_id, CAST(60.0 AS DOUBLE) AS end_sec, substr(string_agg(text, ' | ' ORDER BY ord), 1, 500) AS text FROM ({_ENTS.format(w=_W)}) e
+    WHERE NOT EXISTS (SELECT 1 FROM ({_TIMED.format(w=_W)}) w WHERE w.file_id = e.file_id AND w.end_char > e.s AND w.start_char < e.e) GROUP BY file_id""",
+)
 def unmapped_entities(spark, d):
-    e = spark.sql(_ENTS.format(w=_W).replace("FROM orders", "FROM {t}"), t=table(spark, d, "orders")).where("s >= 36").withColumn("duration", F.lit(60.0))
-    return spans.unmapped_spans(e, ["file_id"]).select("file_id", "end_sec", "text")
+    orders = {"t": table(spark, d, "orders")}
+    w = spark.sql(_TIMED.format(w=_W).replace("FROM orders", "FROM {t}"), **orders).selectExpr("file_id", "CAST(duration AS DOUBLE) duration", "CAST(w_start AS DOUBLE) w_start", "CAST(w_end AS DOUBLE) w_end", "start_char", "end_char")
+    e = spark.sql(_ENTS.format(w=_W).replace("FROM orders", "FROM {t}"), **orders).withColumnsRenamed({"s": "start", "e": "end"})
+    return spans.unmapped_spans(spans.entity_spans(e, w, ["file_id"]).where("start_sec IS NULL"), ["file_id"]).select("file_id", "end_sec", "text")
 
 
 @query("failsafe_spans", f"SELECT file_id, CAST(unnest(range(0, greatest(1, least(CASE WHEN channels = 0 THEN 2 ELSE channels END, 2)))) AS INT) AS channel, CAST(greatest(0, duration) AS DOUBLE) AS end_sec FROM {CALLS} t")
@@ -343,10 +370,15 @@ def strategy_route(spark, d):
     return calls(spark, d).select("file_id", files.strategy(F.col("duration"), 5000.0).alias("strategy"))
 
 
-@query("output_paths", f"SELECT file_id, '/out/' || regexp_replace(substr(path, 8), '\\.[^./]+$', '') || '.opus' AS out_path, '/out/' || regexp_replace(substr(path, 8), '\\.[^./]+$', '') || '.opus.json' AS sidecar FROM {CALLS} t")
+_OUT = "'/out/' || regexp_replace(substr(path, 8), '\\.[^./]+$', '') || '.opus'"
+
+
+@query("output_paths", f"SELECT file_id, {_OUT} AS out_path, {_OUT} || '.json' AS sidecar, CASE WHEN file_id % 2 = 0 THEN '/calls/' || regexp_replace(substr(path, 8), '\\.[^./]+$', '') || '.opus' END AS beside FROM {CALLS} t")
 def output_paths(spark, d):
+    c = calls(spark, d).withColumn("other", F.when(F.col("file_id") % 2 == 0, F.col("path")).otherwise(F.regexp_replace("path", r"\.wav$", ".opus")))
     out = files.output_path(F.col("path"), "/calls", "/out")
-    return calls(spark, d).select("file_id", out.alias("out_path"), F.concat(out, F.lit(".json")).alias("sidecar"))
+    # an output below the input root is refused where it is the input
+    return c.select("file_id", out.alias("out_path"), files.sidecar_path(out).alias("sidecar"), files.output_path(F.col("other"), "/calls", "/calls").alias("beside"))
 
 
 @query("decoded_gb_guard", f"SELECT file_id % 50 AS grp, CASE WHEN count(*) = count(duration) THEN round(CAST(sum(duration) AS DOUBLE) * 48000 * 2 * 4 / 1073741824, 6) END AS gb FROM {CALLS} t GROUP BY 1")
@@ -373,9 +405,11 @@ def probe_json_parse(spark, d):
     return files.probed(view(spark, d, _PROBE, "documents"), "j").select("id", "sample_rate", "channels", "duration", "bit_rate")
 
 
-@query("validate_outputs", f"SELECT file_id, lower(codec) = 'opus' AND rate = 48000 AND channels = 2 AND coalesce(abs((duration + (file_id % 3) * 0.15) - duration) <= 0.2, true) AS valid FROM {CALLS} t")
+@query("validate_outputs", f"SELECT file_id, file_id % 5 <> 0 AND lower(codec) = 'opus' AND rate = 48000 AND channels = 2 AND coalesce(abs((duration + (file_id % 3) * 0.15) - duration) <= 0.2, true) AS valid FROM {CALLS} t")
 def validate_outputs(spark, d):
-    t = calls(spark, d).withColumns({"out_codec": F.col("codec"), "out_rate": F.col("rate"), "out_channels": F.col("channels"), "out_duration": F.expr("duration + (file_id % 3) * 0.15")})
+    t = calls(spark, d).withColumns(
+        {"out_bytes": F.expr("CASE WHEN file_id % 5 <> 0 THEN file_id END"), "out_codec": F.col("codec"), "out_rate": F.col("rate"), "out_channels": F.col("channels"), "out_duration": F.expr("duration + (file_id % 3) * 0.15")}
+    )
     return files.validated(t).select("file_id", "valid")
 
 
@@ -411,10 +445,12 @@ def resume_anti(spark, d):
     return state.pending(table(spark, d, "customer").select(F.col("c_custkey").alias("file_id")), view(spark, d, views.STATUS, "orders"))
 
 
-@query("run_counters", f"SELECT file_id % 10 AS shard, count(*) AS processed, count(*) FILTER (WHERE starts_with(status, 'success') OR status = 'skipped_existing') AS success, count(*) FILTER (WHERE status = 'failed') AS failed, count(*) FILTER (WHERE status = 'skipped_existing') AS skipped FROM {STATUS} t GROUP BY 1")
+_STATES = "SELECT o_custkey AS file_id, CASE o_orderkey % 5 WHEN 0 THEN 'failed' WHEN 1 THEN 'skipped_existing' WHEN 2 THEN 'success_unmapped_fallback' WHEN 3 THEN 'probe_failed' ELSE 'success' END AS status FROM orders"
+
+
+@query("run_counters", f"SELECT file_id % 10 AS shard, count(*) AS processed, count(*) FILTER (WHERE starts_with(status, 'success') OR status = 'skipped_existing') AS success, count(*) FILTER (WHERE status = 'failed') AS failed, count(*) FILTER (WHERE status = 'skipped_existing') AS skipped, count(*) FILTER (WHERE status = 'success_unmapped_fallback') AS failsafe FROM ({_STATES}) t GROUP BY 1")
 def run_counters(spark, d):
-    s = view(spark, d, views.STATUS, "orders").withColumn("shard", F.col("file_id") % 10)
-    return reports.run_counters(s, ["shard"]).drop("failsafe")
+    return reports.run_counters(view(spark, d, _STATES, "orders").withColumn("shard", F.col("file_id") % 10), ["shard"])
 
 
 @query("last_n_report", f"SELECT file_id, updated_at FROM {STATUS} t ORDER BY updated_at DESC LIMIT 100")
@@ -444,12 +480,23 @@ def stage_timing(spark, d):
     return reports.stage_timing(e, ["user_id"]).select("user_id", F.explode("stages").alias("stage", "seconds")).withColumn("seconds", F.round("seconds", 4))
 
 
-_FINAL = "SELECT file_id, file_id % 13 = 0 AS no_transcript, file_id % 3 AS entities, file_id % 2 AS mapped, duration, lower(codec) = 'opus' AS matches FROM ({c}) t"
+_SPOKEN_TEXTS = "SELECT doc_id AS file_id, CASE WHEN doc_id % 13 = 0 THEN '  ' WHEN doc_id % 26 = 1 THEN NULL ELSE text END AS text FROM documents UNION ALL SELECT doc_id, CASE WHEN doc_id % 39 = 0 THEN text ELSE '' END FROM documents"
+_MAPPED = "SELECT l_orderkey AS file_id, l_linenumber % 5 <> 0 AS mapped FROM lineitem WHERE l_linenumber > 2"
 
 
-@query("finalize_status", f"SELECT file_id, {reports.FINAL} AS status FROM ({_FINAL.format(c=views.CALLS)}) u")
+@query(
+    "finalize_status",
+    f"""WITH s AS (SELECT c.*, lower(codec) = 'opus' AND rate = 48000 AS matches, EXISTS (SELECT 1 FROM ({_SPOKEN_TEXTS}) x WHERE x.file_id = c.file_id AND trim(x.text) <> '') AS spoken,
+      (SELECT count(*) FROM ({_MAPPED}) m WHERE m.file_id = c.file_id) AS found, (SELECT count(*) FROM ({_MAPPED}) m WHERE m.file_id = c.file_id AND NOT mapped) AS lost FROM {CALLS} c)
+    SELECT file_id, 'failed' AS status FROM s WHERE duration IS NULL AND (NOT spoken OR lost > 0)
+    UNION ALL SELECT file_id, 'success_unmapped_fallback' FROM s WHERE duration IS NOT NULL AND (NOT spoken OR lost > 0)
+    UNION ALL SELECT file_id, 'success' FROM s WHERE spoken AND lost = 0 AND found > 0
+    UNION ALL SELECT file_id, CASE WHEN matches THEN 'success_no_pii_fast_copy' ELSE 'success_no_pii_transcoded' END FROM s WHERE spoken AND found = 0""",
+)
 def finalize_status(spark, d):
-    return reports.final_status(view(spark, d, _FINAL.format(c=views.CALLS), "documents")).select("file_id", "status")
+    c = calls(spark, d).withColumn("matches", (F.lower("codec") == "opus") & (F.col("rate") == 48000))
+    texts = spark.sql(_SPOKEN_TEXTS.replace("FROM documents", "FROM {t}"), t=table(spark, d, "documents"))
+    return reports.final_status(c, texts, view(spark, d, _MAPPED, "lineitem")).select("file_id", "status")
 
 
 @query("engine_maps", f"SELECT file_id, engine, transcript FROM {ASR} t WHERE error IS NULL")
@@ -664,3 +711,120 @@ def sidecar_json(spark, d):
     c = calls(spark, d).select("file_id", "path", F.expr("'/out/' || file_id").alias("out_path"), F.lit("success").alias("status"), F.array_repeat(F.struct("codec"), F.col("channels")).alias("entities"), F.array(F.struct("rate")).alias("spans"))
     doc = F.from_json("document", "files struct<input_path:string,output_path:string>, status string, num_entities long")
     return reports.sidecar(c).select("file_id", doc.alias("j")).select("file_id", F.col("j.files.input_path").alias("path"), F.col("j.files.output_path").alias("out_path"), "j.status", "j.num_entities")
+
+
+# ---- masks over several spans and channels
+
+_FRAMES = "SELECT o_orderkey AS id, i, round(((o_orderkey * 31 + i * 7) % 64) / 64 - 0.5, 6) AS a, round(((o_orderkey * 17 + i * 11) % 32) / 32 - 0.5, 6) AS b FROM orders CROSS JOIN ({n}) n"
+_STEPS = " UNION ALL ".join(f"SELECT {i} AS i" for i in range(40))
+_MASKS = ((2, 9, 0), (15, 22, -1), (20, 30, 1), (34, 99, 5))
+
+
+def stereo(spark, d):
+    t = spark.sql(_FRAMES.format(n=_STEPS).replace("FROM orders", "FROM {t}"), t=table(spark, d, "orders"))
+    t = t.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("i", F.col("a").cast("float").alias("a"), F.col("b").cast("float").alias("b")))).alias("f"))
+    spans_ = F.array(*(F.struct(F.lit(a / 8000).alias("start"), F.lit(b / 8000).alias("end"), F.lit(c).alias("channel")) for a, b, c in _MASKS))
+    return t.select("id", F.array(F.transform("f", lambda x: x["a"]), F.transform("f", lambda x: x["b"])).alias("channels"), spans_.alias("spans"))
+
+
+def _covered(channel: int) -> str:
+    return "(" + " OR ".join(f"(i >= {a} AND i < {b})" for a, b, c in _MASKS if c not in (0, 1) or c == channel) + ")"
+
+
+@query("mask_silence", f"SELECT id, round(sum(CASE WHEN {_covered(0)} THEN 0 ELSE a * (i + 1) END), 3) AS left_sum, round(sum(CASE WHEN {_covered(1)} THEN 0 ELSE b * (i + 1) END), 3) AS right_sum FROM ({_FRAMES.format(n=_STEPS)}) f GROUP BY id")
+def mask_silence(spark, d):
+    m = audio.mask(stereo(spark, d), 8000, "silence")
+    weighed = lambda k: F.round(F.aggregate(F.transform(F.col("channels")[k], lambda v, i: v.cast("double") * (i + 1)), F.lit(0.0), lambda a, v: a + v), 3)
+    return m.select("id", weighed(0).alias("left_sum"), weighed(1).alias("right_sum"))
+
+
+def _tone(channel: int, column: str) -> str:
+    """A later span wins; a span ends with the recording."""
+    cases = ""
+    for a, b, c in reversed(_MASKS):
+        if c not in (0, 1) or c == channel:
+            n = min(b, 40) - a
+            f = min(32, max(1, n // 2))
+            cases += f" WHEN i >= {a} AND i < {b} THEN 0.35 * top * sin(2 * pi() * 1000 * (i - {a}) / 8000) * least(1, (i - {a}) / {max(1, f - 1)}, ({n} - 1 - (i - {a})) / {max(1, f - 1)})"
+    return f"CASE{cases} ELSE {column} END"
+
+
+@query("mask_beep_spans", f"SELECT id, CAST(floor(sum(abs({_tone(0, 'a')})) * 100 + 0.5) AS BIGINT) AS left_sum, CAST(floor(sum(abs({_tone(1, 'b')})) * 100 + 0.5) AS BIGINT) AS right_sum FROM (SELECT *, max(greatest(abs(a), abs(b))) OVER (PARTITION BY id) AS top FROM ({_FRAMES.format(n=_STEPS)}) f) g GROUP BY id")
+def mask_beep_spans(spark, d):
+    m = audio.mask(stereo(spark, d), 8000, "beep")
+    total = lambda k: F.floor(F.aggregate(F.col("channels")[k], F.lit(0.0), lambda a, v: a + F.abs(v.cast("double"))) * 100 + 0.5)
+    return m.select("id", total(0).alias("left_sum"), total(1).alias("right_sum"))
+
+
+# ---- caches, taggers, tails and streams
+
+_CACHE = "SELECT '/calls/' || (o_custkey % 500) AS input_path, CASE o_orderkey % 3 WHEN 0 THEN 'alpha' WHEN 1 THEN 'beta' ELSE 'zeta' END AS engine, CAST(o_orderkey % 2 AS INT) AS channel, o_orderpriority AS transcript, o_orderkey AS updated_at FROM orders"
+_LAST = f"SELECT input_path, engine, channel, max_by(transcript, updated_at) AS transcript, max(updated_at) AS updated_at FROM ({_CACHE}) c GROUP BY 1, 2, 3"
+
+
+@query("upsert_asr_cache", _LAST)
+def upsert_asr_cache(spark, d):
+    c = view(spark, d, _CACHE, "orders")
+    half = table(spark, d, "orders").agg(F.percentile_approx("o_orderkey", 0.5)).first()[0]
+    return state.upsert_asr_cache(c.where(F.col("updated_at") <= half), c.where(F.col("updated_at") > half))
+
+
+@query("cached_scan", f"SELECT input_path, channel, string_agg(engine, ',' ORDER BY CASE engine WHEN 'zeta' THEN 1 WHEN 'beta' THEN 2 ELSE 3 END) AS engines FROM ({_LAST}) c WHERE input_path NOT IN ('/calls/1', '/calls/2') GROUP BY 1, 2")
+def cached_scan(spark, d):
+    gone = spark.createDataFrame([("/calls/1",), ("/calls/2",)], "input_path string")
+    rows = state.cached_results(state.without_files(upsert_asr_cache(spark, d), gone), ["zeta", "beta"])
+    placed = rows.withColumn("k", F.monotonically_increasing_id())
+    return placed.groupBy("input_path", "channel").agg(F.array_join(F.array_sort(F.collect_list(F.struct("k", "engine")))["engine"], ",").alias("engines"))
+
+
+_TAGS = "SELECT p_partkey AS key, CAST(p_size AS INT) AS start, CAST(p_partkey % 9 - 1 AS INT) AS a, CAST(p_partkey % 9 + p_partkey % 4 AS INT) AS b, CASE p_partkey % 5 WHEN 0 THEN 'b-city' WHEN 1 THEN 'I-SURNAME' WHEN 2 THEN 'PERSON' WHEN 3 THEN 'ORG' ELSE 'O' END AS label, p_partkey % 10 / 10 AS score FROM part"
+
+
+@query(
+    "tagger_filter",
+    f"""WITH r AS (SELECT t.*, p_name AS whole, start + a AS f, least(start + b, length(p_name)) AS e FROM ({_TAGS}) t JOIN part ON p_partkey = key)
+    SELECT key, 'token' AS source, substr(whole, f + 1, e - f) AS text, CASE label WHEN 'b-city' THEN 'LOCATION' ELSE 'PERSON_NAME' END AS type, f AS "start", e AS "end" FROM r WHERE f >= 0 AND e > f AND score >= 0.5 AND label IN ('b-city', 'I-SURNAME')
+    UNION ALL SELECT key, 'ner', substr(whole, f + 1, e - f), CASE label WHEN 'ORG' THEN 'INSTITUTION_NAME' ELSE 'PERSON_NAME' END, f, e FROM r WHERE f >= 0 AND e > f AND label IN ('PERSON', 'ORG')""",
+)
+def tagger_filter(spark, d):
+    raw = view(spark, d, _TAGS, "part").selectExpr("key", "start", "'' AS chunk", "label", "a AS `from`", "b AS `to`", "CAST(score AS DOUBLE) AS score")
+    texts = table(spark, d, "part").selectExpr("p_partkey AS key", "p_name AS text")
+    both = ports.kept_tags(raw, texts, "token").unionByName(ports.kept_tags(raw, texts, "ner"))
+    return both.select("key", "source", "text", "type", "start", "end")
+
+
+@query("report_tail", "SELECT c_custkey AS id, CAST(row_number() OVER (ORDER BY c_custkey) - 1 AS BIGINT) AS line FROM customer QUALIFY line >= 40")
+def report_tail(spark, d):
+    place = io.scratch(spark)
+    rows = table(spark, d, "customer").select(F.col("c_custkey").alias("id"))
+    rows.repartitionByRange(3, "id").sortWithinPartitions("id").write.json(place)
+    return reports.report_tail(spark, place, 40, "id long").select("record.id", "line")
+
+
+@query("stream_resume", "SELECT s_suppkey AS file_id, CASE WHEN s_suppkey % 3 = 0 THEN 'failed' ELSE 'success' END AS status FROM supplier")
+def stream_resume(spark, d):
+    place = io.scratch(spark)
+    kind, rows = "file_id long", table(spark, d, "supplier").select(F.col("s_suppkey").alias("file_id"))
+    rows.repartition(2, "file_id").write.json(f"{place}/in")
+    done = lambda b: b.selectExpr("file_id", "if(file_id % 3 = 0, 'failed', 'success') AS status", "unix_micros(current_timestamp()) AS updated_at")
+    resume.resume(spark, f"{place}/in", kind, f"{place}/state", done, 1).awaitTermination()
+    return resume.current(spark, f"{place}/state").select("file_id", "status")
+
+
+_ENGINES = ["alpha", "beta", "gamma", "delta"]
+
+
+@query(
+    "consensus_methods",
+    f"""WITH n AS (SELECT file_id, channel, engine, engine_ord, trim(coalesce(transcript, '')) AS raw, {_NORM.replace("text", "transcript")} AS x FROM {ASR} t WHERE error IS NULL AND trim(coalesce(transcript, '')) <> ''),
+    g AS (SELECT file_id, x, count(*) AS n, max(CASE WHEN engine = 'alpha' THEN 1 ELSE 0 END) AS has, min(engine_ord) AS o, arg_min(engine, CASE WHEN engine = 'alpha' THEN -1 ELSE engine_ord END) AS engine FROM n WHERE x <> '' GROUP BY file_id, x),
+    r AS (SELECT *, row_number() OVER (PARTITION BY file_id ORDER BY n DESC, has DESC, length(x) DESC, o) AS k FROM g),
+    m AS (SELECT file_id, engine, n FROM r WHERE k = 1 AND n >= 3),
+    p AS (SELECT file_id, arg_min(engine, engine_ord) AS engine FROM n GROUP BY file_id),
+    c AS (SELECT f.file_id, CASE WHEN m.engine IS NOT NULL THEN 'strict_majority' WHEN p.engine IS NOT NULL THEN 'fallback_priority' ELSE 'all_empty' END AS method, coalesce(m.engine, p.engine) AS selected_engine,
+      CAST(coalesce(m.n, CASE WHEN p.engine IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS agreement_count FROM (SELECT DISTINCT file_id FROM {ASR} t) f LEFT JOIN m USING (file_id) LEFT JOIN p USING (file_id))
+    SELECT c.file_id, method, selected_engine, agreement_count, coalesce(n.raw, '') AS final_transcript FROM c LEFT JOIN n ON n.file_id = c.file_id AND n.engine = c.selected_engine""",
+)
+def consensus_methods(spark, d):
+    """Majority, fallback and emptiness with every column; no similarity reaches 2, so none is soft."""
+    return consensus.consensus(asr(spark, d), "alpha", _ENGINES, soft=2.0).select("file_id", "method", "selected_engine", "agreement_count", "final_transcript")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from hushwire.operators.reports import union_all
 
@@ -27,6 +29,17 @@ def write_manifest(files: DataFrame, path: str) -> None:
     write_csv([files], f"{path}/csv")
 
 
-def sidecars(files: DataFrame) -> DataFrame:
-    """One JSON document a file of all its columns."""
-    return files.select("file_id", F.to_json(F.struct(*[c for c in files.columns if c != "file_id"])).alias("sidecar"))
+_made: list[str] = []
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new folder below the one that all machines share (spark.checkpoint.dir); where that is unset, in
+    local mode only, below a temporary folder of this process."""
+    place = spark.conf.get("spark.checkpoint.dir", "")
+    if not place:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+        if not _made:
+            _made.append(tempfile.mkdtemp(prefix="hushwire-"))
+        place = f"file://{_made[0]}"
+    return f"{place}/{uuid.uuid4().hex}"

@@ -1,31 +1,49 @@
-"""Micro-batches of call rows with exactly-once status by keyed upsert."""
+"""Micro-batches of call rows with exactly-once status in an append-only log."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from hushwire.operators.state import upsert
+LOG = "file_id long, status string, valid boolean, updated_at long, batch int"
 
 
-def status_after(old: DataFrame, batch: DataFrame, process: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Status rows after one batch: files with a success are not processed again."""
-    done = old.where(F.col("status").startswith("success")).select("file_id")
-    return upsert(old, process(batch.join(done, "file_id", "left_anti")), ["file_id"], ["updated_at"])
+def status_log(spark: SparkSession, state: str, before: int | None = None) -> DataFrame:
+    """All rows of the log, or those of earlier batches than `before`."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{state}/log")
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([], LOG)
+    rows = spark.read.schema(LOG).parquet(f"{state}/log")
+    return rows if before is None else rows.where(F.col("batch") < before)
+
+
+def current(spark: SparkSession, state: str) -> DataFrame:
+    """The last status of every file: by batch, then by time.  Skipped files keep the status that they have."""
+    last = Window.partitionBy("file_id").orderBy(F.desc("batch"), F.desc("updated_at"))
+    rows = status_log(spark, state).where("status <> 'skipped_existing'")
+    return rows.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
+
+
+def statuses(done: DataFrame, batch: DataFrame, process: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Status rows of one batch: files in `done` are skipped, the others are processed."""
+    finished = done.where(F.col("status").startswith("success") & F.coalesce("valid", F.lit(True))).select("file_id").distinct()
+    now = F.unix_micros(F.current_timestamp())
+    skipped = batch.join(finished, "file_id", "left_semi").select("file_id", F.lit("skipped_existing").alias("status"), F.lit(True).alias("valid"), now.alias("updated_at"))
+    rows = process(batch.join(finished, "file_id", "left_anti"))
+    rows = rows if "valid" in rows.columns else rows.withColumn("valid", F.lit(True))
+    return rows.select("file_id", "status", "valid", F.col("updated_at").cast("long").alias("updated_at")).unionByName(skipped)
 
 
 def resume(spark: SparkSession, source: str, schema: str, state: str, process: Callable[[DataFrame], DataFrame], files_per_batch: int = 100) -> StreamingQuery:
-    """Read the JSON call rows that came since the last run, process those without a success, and write
-    each batch's status beside the last (state/<batch>), which is idempotent for a batch tried twice."""
+    """Read the JSON call rows that came since the last run, process those without a valid success, and
+    append the batch's status rows to the log (state/log/batch=N): a batch tried again writes the same
+    folder, and what is written grows with the batch and not with the table."""
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(source)
-    kind = "file_id long, status string, updated_at long"
 
     def step(batch: DataFrame, number: int) -> None:
-        s = batch.sparkSession
-        old = s.read.schema(kind).parquet(f"{state}/status-{number - 1}") if number else s.createDataFrame([], kind)
-        status_after(old, batch, process).select("file_id", "status", "updated_at").write.mode("overwrite").parquet(f"{state}/status-{number}")
+        statuses(status_log(batch.sparkSession, state, number), batch, process).write.mode("overwrite").parquet(f"{state}/log/batch={number}")
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{state}/checkpoint").trigger(availableNow=True).start()
