@@ -154,8 +154,8 @@ def kept_path(df: DataFrame) -> str:
 
 
 def drop_kept(spark: SparkSession, df: DataFrame) -> None:
-    """Delete a table made by keep() once nothing reads it any more."""
+    """Delete the table made by keep() that df is (or, of the first one that it reads), once nothing reads it."""
     place = kept_path(df)
-    if place:
+    if place and shared_dir(spark).rpartition("://")[2].rstrip("/") in place:
         path = spark._jvm.org.apache.hadoop.fs.Path(place)
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from hushwire.llm.common import as_batch, free_name, hot_keys, join_hot, keep, map_arrow, partitions, table
+from hushwire.llm.common import as_batch, drop_kept, free_name, hot_keys, join_hot, keep, map_arrow, partitions, table
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Shortest passage in words, hash functions, and functions that must agree for a pair of texts.
@@ -190,7 +190,9 @@ def crowded(sketch: DataFrame) -> DataFrame:
     This decides how rows are dealt out and nothing else."""
     some = windows(sketch.where(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(SAMPLED)) == 0))
     counts = keep(some.groupBy("key").agg(F.count("*").alias("n")), "sampled")
-    return keep(hot_keys(counts, "key", counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]), "crowded")
+    hot = keep(hot_keys(counts, "key", counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]), "crowded")
+    drop_kept(sketch.sparkSession, counts)
+    return hot
 
 
 def followers(found: DataFrame, hot: DataFrame) -> DataFrame:
@@ -611,6 +613,7 @@ def verified(sketch: DataFrame, met: DataFrame) -> DataFrame:
                 yield row["doc_id"], text, i, j, row["source_id"], p + row["first"], q + row["first"], like
 
     slices = keep(beside(texts, asked, "source_id", "doc_id", cut_out, SLICES), "slices")
+    drop_kept(sketch.sparkSession, asked)
     return beside(texts, slices, "doc_id", "source_id, first", check, FOUND)
 
 
@@ -621,13 +624,17 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     with other ids alone, and repeated rows give their passages once.  Null and short texts have none; rows
     without doc_id take no part; an empty table gives an empty result; extra columns are ignored.  A very
     long text is sketched in one task and compared with others by the parts that they can share."""
+    spark = docs.sparkSession
     sketch = keep(sketches(docs), "sketches")
     hot = crowded(sketch)
     led = followers(windows(sketch), hot)
     met = keep(pairs(led), "pairs")
     found = keep(verified(sketch, met), "passages")
     more = keep(rest(sketch, led, hot, found).join(met.select("doc_id", "source_id").hint("merge"), ["doc_id", "source_id"], "left_anti"), "rest")
-    return found.unionByName(verified(sketch, more))
+    out = keep(found.unionByName(verified(sketch, more)), "found")
+    for done in (sketch, hot, led, met, found, more):
+        drop_kept(spark, done)
+    return out
 
 
 def without_passages(docs: DataFrame) -> DataFrame:

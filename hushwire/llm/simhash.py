@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from hushwire.llm.common import as_batch, hot_keys, join_hot, keep, map_arrow, partitions, table
+from hushwire.llm.common import as_batch, drop_kept, hot_keys, join_hot, keep, map_arrow, partitions, table
 from hushwire.llm.graph import components
 
 SEED = 42
@@ -197,6 +197,7 @@ def near_links(prints: DataFrame) -> DataFrame:
 def members(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, print of every row, and `first`, the least (no doc_id, doc_id, text_hash) among the
     rows whose fingerprints are reachable from its own."""
+    spark = docs.sparkSession
     own = keep(fingerprints(docs), "prints")
     rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     nodes = keep(own.groupBy("print").agg(F.min(rank).alias("first"), F.count("*").alias("n")), "nodes")
@@ -206,7 +207,10 @@ def members(docs: DataFrame) -> DataFrame:
     total, rows = rooted.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     # a component may hold most fingerprints, and a fingerprint most rows
     named = join_hot(rooted.select("print", "root"), least.select("root", "first"), "root", hot_keys(least, "root", total), ["print"])
-    return join_hot(own, named.select("print", "first"), "print", hot_keys(rooted.select("print", "n"), "print", rows), ["doc_id", "text_hash"])
+    out = keep(join_hot(own, named.select("print", "first"), "print", hot_keys(rooted.select("print", "n"), "print", rows), ["doc_id", "text_hash"]), "members")
+    for done in (own, nodes, rooted):
+        drop_kept(spark, done)
+    return out
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -223,7 +227,7 @@ def thinned(docs: DataFrame) -> DataFrame:
     texts under that doc_id the first by hash; rows without doc_id come last.  Of rows that agree in doc_id
     and text one stays.  Null and empty texts are copies of each other.  An empty table gives an empty
     result; extra columns keep their names and values."""
-    found = keep(members(docs), "members")
+    found = members(docs)
     mine = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
     gone = found.where(mine != F.col("first")).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
     twice = found.where(mine == F.col("first")).groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))

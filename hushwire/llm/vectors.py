@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hushwire.llm.common import hot_keys, join_hot, keep, table
+from hushwire.llm.common import drop_kept, hot_keys, join_hot, keep, table
 from hushwire.llm.graph import components
 
 COSINE = 0.98
@@ -241,7 +241,10 @@ def searched(vectors: DataFrame, least: float, size: int) -> tuple[DataFrame, Da
         return out.assign(grp=key[0], shard=key[1], other=key[2])[["grp", "shard", "other", "node", "links", "root", "audited", "recall", "beam"]]
 
     by = ["grp", "shard", "other"]
-    return hashed, nodes, keep(queries.groupBy(*by).cogroup(asked.groupBy(*by)).applyInPandas(query, MET), "met")
+    met = keep(queries.groupBy(*by).cogroup(asked.groupBy(*by)).applyInPandas(query, MET), "met")
+    for done in (dealt, graphs):
+        drop_kept(vectors.sparkSession, done)
+    return hashed, nodes, met
 
 
 def shard_recall(vectors: DataFrame, least: float = COSINE, size: int = SHARD) -> DataFrame:
@@ -265,6 +268,8 @@ def near_vectors(vectors: DataFrame, least: float = COSINE, size: int = SHARD) -
     rooted = keep(
         nodes.select("grp", "h1", "h2", "node", "least", "copies").join(degree, "node", "left").join(reach, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted"
     )
+    for done in (nodes, met):
+        drop_kept(vectors.sparkSession, done)
     first = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
     total, vectors_ = rooted.agg(F.count("*"), F.coalesce(F.sum("copies"), F.lit(0))).first()
     # a component may hold most nodes, and a node most vectors
