@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from hushwire.llm.common import as_batch, drop_kept, free_name, hot_keys, join_hot, keep, map_arrow, partitions, table
+from hushwire.llm.common import as_batch, drop_kept, free_name, hot_keys, join_hot, keep, map_arrow, partitions, slices, table
 
 SHINGLE, SIMILARITY = 5, 0.8
 #: Shortest passage in words, hash functions, and functions that must agree for a pair of texts.
@@ -361,7 +361,7 @@ def rest(sketch: DataFrame, led: DataFrame, hot: DataFrame, found: DataFrame) ->
 
         return run
 
-    looked = keep(map_arrow(rows, make, "key long, doc_id long, place long"), "looked")
+    looked = keep(map_arrow(rows, make, "key long, doc_id long, place long", "words"), "looked")
     leads = looked.groupBy("key").agg(F.min(F.struct("doc_id", "place")).alias("lead"), F.count("*").alias("n")).where("n > 1")
     new = join_hot(looked.where("place % 2 = 0"), leads.select("key", "lead"), "key", hot_keys(leads, "key", looked.count()), ["doc_id"]).where("lead.doc_id <> doc_id")
     return new.groupBy("doc_id", F.col("lead.doc_id").alias("source_id")).agg(F.collect_set(F.expr("CAST(lead.place DIV 2 AS int)")).alias("at")).withColumn("whole", F.lit(False))
@@ -566,7 +566,7 @@ def beside(texts: DataFrame, rows: DataFrame, key: str, spread: str, work, schem
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, []
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, "_words")):
             out: list[tuple] = []
             for row in batch.to_pylist():
                 if (row[key], row["_part"]) != at:
@@ -612,9 +612,9 @@ def verified(sketch: DataFrame, met: DataFrame) -> DataFrame:
             for i, j, p, q, like in passages(as_words(words), wa):
                 yield row["doc_id"], text, i, j, row["source_id"], p + row["first"], q + row["first"], like
 
-    slices = keep(beside(texts, asked, "source_id", "doc_id", cut_out, SLICES), "slices")
+    cuts = keep(beside(texts, asked, "source_id", "doc_id", cut_out, SLICES), "slices")
     drop_kept(sketch.sparkSession, asked)
-    return beside(texts, slices, "doc_id", "source_id, first", check, FOUND)
+    return beside(texts, cuts, "doc_id", "source_id, first", check, FOUND)
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
