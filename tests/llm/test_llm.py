@@ -139,6 +139,84 @@ def test_long_and_covered_secrets(spark):
     assert got[6]["spans"] == pii.listed(base_secrets(rows[5][1]))
 
 
+def plain_base(t):
+    """The base spans character by character, without the operator's patterns."""
+    alnum, digit = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"), set("0123456789")
+
+    def run(i, chars):
+        j = i
+        while j < len(t) and t[j] in chars:
+            j += 1
+        return j
+
+    def email(i):
+        j = run(i, alnum | set("._%+-"))
+        if j == i or j >= len(t) or t[j] != "@":
+            return None
+        k = run(j + 1, alnum | {"-"})
+        end = None
+        while k > j + 1 and k < len(t) and t[k] == "." and (n := run(k + 1, alnum | {"-"})) > k + 1:
+            k = end = n
+        return end
+
+    def ip(i):
+        j = i
+        for part in range(4):
+            k = run(j, digit)
+            if k == j:
+                return None
+            j = k + 1 if part < 3 else k
+            if part < 3 and (k >= len(t) or t[k] != "."):
+                return None
+        return j
+
+    def card(i):
+        if t[i] not in digit:
+            return None
+        j = i + 1
+        while j < len(t) and (t[j] in digit or (t[j] in " -" and j + 1 < len(t) and t[j + 1] in digit)):
+            j += 1 if t[j] in digit else 2
+        return j if j > i + 1 else None
+
+    def phone(i):
+        if t[i] != "+" or i + 1 >= len(t) or t[i + 1] not in digit:
+            return None
+        j = run(i + 2, digit | set(" ().-"))
+        while j > i + 3 and t[j - 1] not in digit:
+            j -= 1
+        return j if j > i + 3 and t[j - 1] in digit else None
+
+    def luhn(ds):
+        return sum(int(c) if k % 2 == 0 else sum(divmod(2 * int(c), 10)) for k, c in enumerate(reversed(ds))) % 10 == 0
+
+    def fits(kind, s):
+        ds = "".join(c for c in s if c in digit)
+        return {"email": True, "ip": all(int(x) <= 255 for x in s.split(".")) if kind == "ip" else True, "card": 14 <= len(ds) <= 19 and luhn(ds), "phone": 10 <= len(ds) <= 15}[kind]
+
+    out = []
+    for rank, (kind, at) in enumerate((("email", email), ("ip", ip), ("card", card), ("phone", phone))):
+        i = 0
+        while i < len(t):
+            end = at(i)
+            if end is None:
+                i += 1
+                continue
+            if fits(kind, t[i:end]):
+                out.append((i, rank, kind, end))
+            i = end
+    return sorted(out)
+
+
+def test_base_pii(spark):
+    r = random.Random(7)
+    bits = ["a.b", "@", "x-y.org", ".", "com", "1.2.3.4", "255.255.0.256", "+1 (415) 555-1234", "+44 20 7946 0958", "4111 1111 1111 1111", "4111-1111-1111-1112", "12", " ", "é", "+", "-", "00001.2.3.4", "(", ")", "a_b%c"]
+    rows = [(i, "".join(r.choice(bits) for _ in range(r.randint(0, 12)))) for i in range(400)] + [(400, None), (400, "again 1.2.3.4"), (401, "1.2.3.4 " * 3000)]
+    got = pii.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = sorted((i, pii.hashlib.sha256(pii.listed(plain_base(t or "")).encode()).hexdigest()) for i, t in rows)
+    assert sorted((x["doc_id"], x["base_sha256"]) for x in got) == want
+    assert all(set(filter(None, pii.listed(plain_base(rows[x["doc_id"]][1] or "")).split(","))) <= set(x["spans"].split(",")) for x in got if x["doc_id"] < 400)
+
+
 def test_pii(docs, none):
     got = {r["doc_id"]: r for r in pii.scan(docs).collect()}
     assert (got[7]["n_email"], got[7]["n_phone"]) == (1, 1) and got[2]["spans"] == "" and pii.scan(none).count() == 0
