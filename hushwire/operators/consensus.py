@@ -24,10 +24,12 @@ def consensus(results: DataFrame, prefer: str, fallback: list[str], min_agreemen
     )
     best = Window.partitionBy(*KEYS).orderBy(F.desc("n"), F.desc("has"), F.desc(F.length("norm")), "first")
     major = groups.withColumn("_k", F.row_number().over(best)).where((F.col("_k") == 1) & (F.col("n") >= min_agreement)).select(*KEYS, F.col("engine").alias("m_engine"), F.col("n").alias("m_n"), F.col("agreed").alias("m_agreed"))
+    # similarities are needed only where no majority decides, and equal texts need no distance
+    solid = solid.join(major.select(*KEYS), KEYS, "left_anti")
     left = solid.select(*KEYS, "engine", F.col("norm").alias("x"), "liked", "rank", "engine_ord")
     right = solid.select(*KEYS, F.col("engine").alias("other"), F.col("norm").alias("y"))
     # pairs of engines within a channel: as many as engines squared, a handful
-    pairs = left.join(right, KEYS).withColumn("sim", F.round(similarity("x", "y"), 9))
+    pairs = left.join(right, KEYS).withColumn("sim", F.when(F.col("x") == F.col("y"), 1.0).otherwise(F.round(similarity("x", "y"), 9)))
     medoid = pairs.groupBy(*KEYS, "engine").agg(
         F.sum((F.col("sim") >= soft).cast("int")).alias("s_n"), F.round(F.avg("sim"), 9).alias("s_avg"), F.max("liked").alias("liked"), F.max("rank").alias("rank"),
         F.max(F.length("x")).alias("len"), F.max("engine_ord").alias("engine_ord"), F.array_join(F.array_sort(F.collect_list(F.when(F.col("sim") >= soft, F.col("other")))), ",").alias("s_agreed"),
