@@ -121,12 +121,21 @@ def shared_dir(spark: SparkSession) -> str:
     return f"file://{_local_dir[0]}"
 
 
+#: Whether Spark deletes the shuffle files of a query when it ends, and not when the driver next collects garbage.
+FILE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def keep(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write df as a Parquet table in the shared folder and read it back: cuts the lineage, survives
-    lost executors, and is computed once however often it is used."""
+    lost executors, and is computed once however often it is used.  The shuffle files of the write go with it."""
     spark = df.sparkSession
     place = f"{shared_dir(spark)}/{name}-{os.getpid()}-{next(_serial)}-{uuid.uuid4().hex[:8]}"
-    df.write.parquet(place)
+    before = spark.conf.get(FILE_CLEANUP, "false")
+    spark.conf.set(FILE_CLEANUP, "true")
+    try:
+        df.write.parquet(place)
+    finally:
+        spark.conf.set(FILE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(place)
 
 

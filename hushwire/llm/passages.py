@@ -294,8 +294,8 @@ def as_words(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, "<u4").astype(np.uint64) + np.uint64(1)
 
 
-def rest(sketch: DataFrame, led: DataFrame, hot: DataFrame, found: DataFrame) -> DataFrame:
-    """The pairs of texts that the first and previous texts of the keys leave out.  A key is open where a
+def rest(sketch: DataFrame, led: DataFrame, hot: DataFrame, found: DataFrame, tried: DataFrame) -> DataFrame:
+    """The pairs of texts that the first and previous texts of the keys (the pairs tried) leave out.  A key is open where a
     text, the fourth or a later one to have it, has a window of it that no found passage covers.  Where
     windows of all functions, one of an open key, hold a stretch as wide as the shortest passage, the stretch
     is looked up exactly, so that an exact passage leads to the first text that has it, whatever else its
@@ -364,7 +364,11 @@ def rest(sketch: DataFrame, led: DataFrame, hot: DataFrame, found: DataFrame) ->
     looked = keep(map_arrow(rows, make, "key long, doc_id long, place long", "words"), "looked")
     leads = looked.groupBy("key").agg(F.min(F.struct("doc_id", "place")).alias("lead"), F.count("*").alias("n")).where("n > 1")
     new = join_hot(looked.where("place % 2 = 0"), leads.select("key", "lead"), "key", hot_keys(leads, "key", looked.count()), ["doc_id"]).where("lead.doc_id <> doc_id")
-    return new.groupBy("doc_id", F.col("lead.doc_id").alias("source_id")).agg(F.collect_set(F.expr("CAST(lead.place DIV 2 AS int)")).alias("at")).withColumn("whole", F.lit(False))
+    new = new.groupBy("doc_id", F.col("lead.doc_id").alias("source_id")).agg(F.collect_set(F.expr("CAST(lead.place DIV 2 AS int)")).alias("at")).withColumn("whole", F.lit(False))
+    out = keep(new.join(tried.select("doc_id", "source_id").hint("merge"), ["doc_id", "source_id"], "left_anti"), "rest")
+    for done in (met, looked):
+        drop_kept(sketch.sparkSession, done)
+    return out
 
 
 # ---- verification
@@ -614,7 +618,9 @@ def verified(sketch: DataFrame, met: DataFrame) -> DataFrame:
 
     cuts = keep(beside(texts, asked, "source_id", "doc_id", cut_out, SLICES), "slices")
     drop_kept(sketch.sparkSession, asked)
-    return beside(texts, cuts, "doc_id", "source_id, first", check, FOUND)
+    found = keep(beside(texts, cuts, "doc_id", "source_id, first", check, FOUND), "passages")
+    drop_kept(sketch.sparkSession, cuts)
+    return found
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
@@ -629,10 +635,12 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     hot = crowded(sketch)
     led = followers(windows(sketch), hot)
     met = keep(pairs(led), "pairs")
-    found = keep(verified(sketch, met), "passages")
-    more = keep(rest(sketch, led, hot, found).join(met.select("doc_id", "source_id").hint("merge"), ["doc_id", "source_id"], "left_anti"), "rest")
-    out = keep(found.unionByName(verified(sketch, more)), "found")
-    for done in (sketch, hot, led, met, found, more):
+    found = verified(sketch, met)
+    more = rest(sketch, led, hot, found, met)
+    for done in (hot, led, met):
+        drop_kept(spark, done)
+    out = found.unionByName(verified(sketch, more))
+    for done in (sketch, more):
         drop_kept(spark, done)
     return out
 
