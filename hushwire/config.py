@@ -82,6 +82,8 @@ class Runtime:
     shard_count: int = 1
     shard_index: int = 0
     report_rows: int = 10_000
+    limit: int | None = None
+    resume: bool = True
 
 
 @dataclass(frozen=True)
@@ -208,6 +210,7 @@ def validate(c: Config) -> Config:
         (t.decoded_gb > 0, "decoded_gb must be positive"),
         (t.least_free_gb >= 0, "least_free_gb must not be negative"),
         (t.report_rows >= 0, "report_rows must not be negative"),
+        (t.limit is None or t.limit >= 0, "limit must not be negative"),
         (t.copy_method in ("hardlink_or_copy", "copy"), "copy_method must link or copy; symbolic links are not allowed"),
         (Path(p.output_root).resolve() != Path(p.input_root).resolve(), "output_root must not be input_root"),
         (Path(p.work_dir).resolve() != Path(p.input_root).resolve(), "work_dir must not be input_root"),

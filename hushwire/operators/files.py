@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 
 def discover(spark: SparkSession, root: str, glob: str = "*") -> DataFrame:
-    """All files below root whose name matches, by path; contents are not read."""
+    """All files below root whose name matches, by path; contents are not read.  Empty files are not listed,
+    for this source leaves them out."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(root)
     return files.select("path", "length", "modificationTime").orderBy("path")
 
