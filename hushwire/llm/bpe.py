@@ -14,6 +14,7 @@ A piece that is itself a token is that token, as in the public library.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from functools import lru_cache
 
@@ -30,6 +31,8 @@ SPACE = r"\t-\r \x85\xa0  -     　"
 STATES = 200_000
 #: Chunks and split pieces whose ids a task keeps.
 CHUNKS, PIECES = 250_000, 250_000
+#: Bytes after which the ids of a piece are handed on as far as they are final.
+WINDOW = 256
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -53,29 +56,67 @@ def merge(ranks: dict[bytes, int], piece: bytes) -> list[int]:
     return [ranks[p] for p in parts]
 
 
-class State:
-    """suffix: the longest suffix read that begins some token; lasts: for the position before it and for
-    each position in it, the token that ends there (-1: the beginning of the piece)."""
+class Place:
+    """A suffix that begins some token, with what reading a byte does whatever the tokens before: which
+    tokens may end there, what suffix is left, and which positions some token begins at."""
 
-    __slots__ = ("arcs", "lasts", "suffix")
+    __slots__ = ("live", "shapes", "states", "suffix")
 
-    def __init__(self, suffix: bytes, lasts: tuple[int, ...]):
-        self.suffix, self.lasts = suffix, lasts
-        self.arcs: dict[int, tuple[State, int]] = {}
+    def __init__(self, suffix: bytes, begins: set[bytes]):
+        self.suffix = suffix
+        self.live = [i for i in range(len(suffix)) if suffix[i:] in begins] + [len(suffix)]
+        self.shapes: dict[int, tuple[list[tuple[int, int]], list[int], Place]] = {}
+        self.states: dict[tuple[int, ...], State] = {}
+
+
+class State(dict):
+    """Byte -> the state after it, made when first asked for.  place: the longest suffix read that begins
+    some token; lasts: for the positions in it that some token begins at, and for its end, the token that
+    ends there (-1: the beginning of the piece).  The last of them is the state's own token."""
+
+    __slots__ = ("lasts", "machine", "packed", "place", "size", "token")
+
+    def __init__(self, machine: Transducer, place: Place, lasts: tuple[int, ...]):
+        self.machine, self.place, self.lasts, self.token = machine, place, lasts, lasts[-1]
+        self.size, self.packed = len(machine.tokens.get(self.token, b"")), machine.packed.get(self.token)
+
+    def __missing__(self, byte: int) -> State:
+        found = self[byte] = self.machine.arc(self, byte)
+        return found
 
 
 class Transducer:
     def __init__(self, ranks: dict[bytes, int], most: int = STATES):
         self.ranks, self.most = ranks, most
         self.tokens = {i: b for b, i in ranks.items()}
+        self.packed = {i: i.to_bytes(4, "little") for i in ranks.values()}
         self.begins = {b[:n] for b in ranks for n in range(1, len(b) + 1)}
         self.edges: dict[int, tuple[tuple[int, ...], tuple[int, ...]] | None] = {}
         self.pairs: dict[tuple[int, int], bool] = {}
         self.reset()
 
     def reset(self) -> None:
-        self.start = State(b"", (-1,))
-        self.states = {(b"", (-1,)): self.start}
+        for place in getattr(self, "places", {}).values():  # states lead to each other: untied, they go at once
+            for state in place.states.values():
+                state.clear()
+            place.states.clear()
+            place.shapes.clear()
+        self.places: dict[bytes, Place] = {}
+        self.made = 0
+        self.start = self.state(self.place(b""), (-1,))
+
+    def place(self, suffix: bytes) -> Place:
+        found = self.places.get(suffix)
+        if found is None:
+            found = self.places[suffix] = Place(suffix, self.begins)
+        return found
+
+    def state(self, place: Place, lasts: tuple[int, ...]) -> State:
+        found = place.states.get(lasts)
+        if found is None:
+            found = place.states[lasts] = State(self, place, lasts)
+            self.made += 1
+        return found
 
     def edge(self, token: int) -> tuple[tuple[int, ...], tuple[int, ...]] | None:
         """The tokens that stand, one after the other, at the left and at the right end while a token is
@@ -126,27 +167,27 @@ class Transducer:
         self.pairs[a, b] = ok
         return ok
 
-    def arc(self, state: State, byte: int) -> tuple[State, int]:
-        """The state after one more byte, and the token that ends there."""
-        read = state.suffix + bytes((byte,))
-        ranks, lasts, pairs = self.ranks, state.lasts, self.pairs
-        for k in range(len(read)):
-            token = ranks.get(read[k:])
-            if token is not None and lasts[k] != -2:
-                ok = pairs.get((lasts[k], token))
-                if ok or ok is None and self.follows(lasts[k], token):
-                    break
-        k = 0
+    def shape(self, place: Place, byte: int) -> tuple[list[tuple[int, int]], list[int], Place]:
+        """The tokens that may end after one more byte, longest first, each with where the token before it is
+        in a state's lasts; which of the lasts stay; and the place after it."""
+        read, live, k = place.suffix + bytes((byte,)), place.live, 0
+        ends = [(n, self.ranks[read[i:]]) for n, i in enumerate(live) if read[i:] in self.ranks]
         while read[k:] not in self.begins:
             k += 1
-        suffix, begins = read[k:], self.begins
         # where no token begins with what follows a position, its last token cannot matter
-        lasts = [t if suffix[i:] in begins else -2 for i, t in enumerate(state.lasts[k:])]
-        key = (suffix, (*lasts, token))
-        to = self.states.get(key)
-        if to is None:
-            to = self.states[key] = State(*key)
-        return to, token
+        stay = [n for n, i in enumerate(live) if i >= k and read[i:] in self.begins]
+        found = place.shapes[byte] = ends, stay, self.place(read[k:])
+        return found
+
+    def arc(self, state: State, byte: int) -> State:
+        """The state after one more byte."""
+        ends, stay, to = state.place.shapes.get(byte) or self.shape(state.place, byte)
+        lasts, pairs = state.lasts, self.pairs
+        for n, token in ends:
+            ok = pairs.get((lasts[n], token))
+            if ok or ok is None and self.follows(lasts[n], token):
+                break
+        return self.state(to, (*[lasts[n] for n in stay], token))
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
@@ -154,20 +195,38 @@ class Transducer:
             return [whole]
         return [i for part in self.stream(piece) for i in part]
 
-    def stream(self, piece: bytes, window: int = 256):
+    def encode_packed(self, piece: bytes) -> bytes:
+        """The ids as little-endian unsigned 32-bit bytes; short pieces need no stream."""
+        packed = self.packed
+        whole = self.ranks.get(piece)
+        if whole is not None:
+            return packed[whole]
+        if len(piece) >= WINDOW:
+            return np.array([i for part in self.stream(piece) for i in part], "<u4").tobytes()
+        if self.made > self.most:
+            self.reset()
+        state, path = self.start, []
+        for byte in piece:
+            state = state[byte]
+            path.append(state)
+        at, out = len(path), []
+        while at > 0:
+            state = path[at - 1]
+            out.append(state.packed)
+            at -= state.size
+        return b"".join(out[::-1])
+
+    def stream(self, piece: bytes, window: int = WINDOW):
         """Yield tokens as soon as every continuation shares them; looks at most `window` bytes, or the
         longest token if that is more, beyond what was yielded."""
-        if len(self.states) > self.most:
+        if self.made > self.most:
             self.reset()
         state, ends = self.start, []  # ends[i]: the token that ends after byte i of those not yielded
         for byte in piece:
-            found = state.arcs.get(byte)
-            if found is None:
-                found = state.arcs[byte] = self.arc(state, byte)
-            state = found[0]
-            ends.append(found[1])
+            state = state[byte]
+            ends.append(state.token)
             if len(ends) >= window and len(ends) % window == 0:
-                live = {len(ends) - k for k in range(len(state.suffix) + 1)}
+                live = {len(ends) - k for k in range(len(state.place.suffix) + 1)}
                 while len(live) > 1:  # back to where all pending paths meet
                     top = max(live)
                     live.remove(top)
@@ -307,7 +366,7 @@ def tools(ranks_path: str, spaced: str):
     ranks = load_ranks(ranks_path)
     machine = Transducer(ranks)
     split = regex.compile(spaced).findall
-    pieces = Table(lambda p: np.array(machine.encode(p.encode("utf-8", "surrogatepass")), "<u4").tobytes(), "", PIECES)
+    pieces = Table(lambda p: machine.encode_packed(p.encode("utf-8", "surrogatepass")), "", PIECES)
     chunks = ChunkEncoder(lambda text: b"".join([pieces[p] for p in split_chunk(text, split)]), CHUNKS)
     return chunks, Decoder(ranks), Gather([b"%d," % i for i in range(max(ranks.values()) + 1)])
 
@@ -326,6 +385,13 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
         chunks, decoder, names = tools(ranks_path, spaced)
 
         def run(c):
+            gc.disable()  # it would walk the machine's states again and again; a batch leaves no cycles
+            try:
+                return digests(c)
+            finally:
+                gc.enable()
+
+        def digests(c):
             out: dict[str, list] = {"n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "well_formed": []}
             for text in c["text"].to_pylist():
                 raw = chunks.ids(text or "")
