@@ -47,8 +47,13 @@ BATCH_BYTES = 4 << 20
 
 
 def slices(batch: pa.RecordBatch, column: str, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a batch so that its texts stay under `most` bytes a part (one row at least)."""
-    size = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    """Cut a batch so that its texts, or lists, stay under `most` bytes a part (one row at least)."""
+    c = batch.column(column)
+    if pa.types.is_list(c.type):
+        held = c.flatten()
+        size = pc.list_value_length(c).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64) * held.nbytes // max(1, len(held))
+    else:
+        size = pc.binary_length(c).fill_null(0).to_numpy(zero_copy_only=False)
     part = np.cumsum(size) // most
     edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for a, b in itertools.pairwise(edges):
@@ -56,17 +61,17 @@ def slices(batch: pa.RecordBatch, column: str, most: int = BATCH_BYTES) -> Itera
             yield batch.slice(a, b - a)
 
 
-def map_arrow(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema: str | StructType, text: str | None = None) -> DataFrame:
+def map_arrow(df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema: str | StructType, text: str | None = None, most: int = BATCH_BYTES) -> DataFrame:
     """Map Arrow batches.  make() runs once a task and returns the batch function, which takes and
     returns a dict of columns (lists or Arrow arrays); an empty dict yields no rows.  With `text`,
-    batches are cut by the bytes of that column, so memory follows bytes and not rows."""
+    batches are cut by the bytes of that column (at most `most`), so memory follows bytes and not rows."""
     kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     arrow = to_arrow_schema(kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for whole in batches:
-            for batch in slices(whole, text) if text else [whole]:
+            for batch in slices(whole, text, most) if text else [whole]:
                 out = work({n: batch.column(i) for i, n in enumerate(batch.schema.names)})
                 if out:
                     yield as_batch(out, arrow)

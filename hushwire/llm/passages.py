@@ -39,6 +39,8 @@ GAP = 2 * SHINGLE
 #: Tokens of the runs by which near passages left over are looked up, and the runs side by side of which
 #: the least by hash is taken: any ten equal tokens give both texts one of them.
 RUN, SPARSE = 6, 5
+#: Bytes of texts, words or collisions that a task works on at once; its arrays take many times that.
+PART_BYTES = 1 << 20
 #: One text of so many is looked at to tell which keys are crowded.
 SAMPLED = 64
 
@@ -147,7 +149,7 @@ def sketches(docs: DataFrame) -> DataFrame:
 
         return run
 
-    return map_arrow(rows, make, SKETCH, "text")
+    return map_arrow(rows, make, SKETCH, "text", PART_BYTES)
 
 
 def laid(tokens: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -267,7 +269,7 @@ def pairs(led: DataFrame) -> DataFrame:
 
         return run
 
-    return map_arrow(both, make, PAIRS)
+    return map_arrow(both, make, PAIRS, "hits", PART_BYTES)
 
 
 def spanned(x: np.ndarray, width: int) -> np.ndarray:
@@ -361,7 +363,7 @@ def rest(sketch: DataFrame, led: DataFrame, hot: DataFrame, found: DataFrame, tr
 
         return run
 
-    looked = keep(map_arrow(rows, make, "key long, doc_id long, place long", "words"), "looked")
+    looked = keep(map_arrow(rows, make, "key long, doc_id long, place long", "words", PART_BYTES), "looked")
     leads = looked.groupBy("key").agg(F.min(F.struct("doc_id", "place")).alias("lead"), F.count("*").alias("n")).where("n > 1")
     new = join_hot(looked.where("place % 2 = 0"), leads.select("key", "lead"), "key", hot_keys(leads, "key", looked.count()), ["doc_id"]).where("lead.doc_id <> doc_id")
     new = new.groupBy("doc_id", F.col("lead.doc_id").alias("source_id")).agg(F.collect_set(F.expr("CAST(lead.place DIV 2 AS int)")).alias("at")).withColumn("whole", F.lit(False))
