@@ -36,14 +36,60 @@ def vocabulary(path: str) -> list[str]:
     return [sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
 
 
+class Trie:
+    """What pieces begin with, as numbered nodes; whole arrays of nodes take a step at once, by a table of
+    node and character with linear probing."""
+
+    MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+
+    def __init__(self, pieces: list[str]):
+        steps: dict[int, int] = {}
+        ends = []
+        for p in pieces:
+            node = 0
+            for c in p:
+                node = steps.setdefault(node << 21 | ord(c), len(steps) + 1)
+            ends.append(node)
+        #: Node -> number of the piece that ends there, or -1.
+        self.piece = np.full(len(steps) + 1, -1, np.int64)
+        self.piece[ends] = np.arange(len(pieces))
+        bits = max(4, (4 * len(steps)).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.to = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int64)
+        slots = self.slots(np.fromiter(steps, np.int64, len(steps))).tolist()
+        for (key, node), slot in zip(steps.items(), slots, strict=True):
+            while self.keys[slot] >= 0:
+                slot = slot + 1 & self.last
+            self.keys[slot], self.to[slot] = key, node
+
+    def slots(self, key: np.ndarray) -> np.ndarray:
+        return (key.view(np.uint64) * self.MULTIPLIER >> self.shift).view(np.int64)
+
+    def step(self, node: np.ndarray, char: np.ndarray) -> np.ndarray:
+        """The nodes after one more character, -1 where no piece goes on so."""
+        key = node << 21 | char
+        slot = self.slots(key)
+        seen, to = self.keys[slot], self.to[slot]
+        other = seen != key
+        to[other] = -1
+        look = np.flatnonzero(other & (seen >= 0))
+        while len(look):
+            slot[look] = slot[look] + 1 & self.last
+            seen = self.keys[slot[look]]
+            right = seen == key[look]
+            to[look[right]] = self.to[slot[look[right]]]
+            look = look[~right & (seen >= 0)]
+        return to
+
+
 class Forward:
     """Words to log likelihoods by language."""
 
     def __init__(self, pieces: list[str], probs: np.ndarray):
         """probs: pieces x languages; its last row is for a character that no piece has."""
-        self.index = {p: i for i, p in enumerate(pieces) if len(p) <= LONGEST}
-        self.probs = np.vstack([probs, np.zeros((1, probs.shape[1]))])
-        self.unknown, self.none = len(pieces), len(pieces) + 1
+        used = [i for i, p in enumerate(pieces) if len(p) <= LONGEST]
+        self.trie = Trie([pieces[i] for i in used])
+        self.probs = np.vstack([probs[used], probs[len(pieces) :]])
 
     def words(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), self.probs.shape[1]))
@@ -59,18 +105,30 @@ class Forward:
 
     def _same_length(self, words: list[str], n: int) -> np.ndarray:
         """The forward sums of words of n characters.  Only the last LONGEST sums are held."""
-        get, none = self.index.get, self.none
-        held = [np.ones((len(words), self.probs.shape[1]))]
+        codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(words), n)
+        trie, probs, every = self.trie, self.probs, np.arange(len(words))
+        held = [np.ones((len(words), probs.shape[1]))]
         scale = np.zeros_like(held[0])
+        # what pieces may go on: their words, where they start and their nodes, in order of starts
+        row, start, node = (np.zeros(0, np.int64) for _ in range(3))
         for i in range(1, n + 1):
             low = max(0, i - LONGEST)
-            ids = np.array([[get(w[j:i], none) for j in range(low, i)] for w in words], np.int32)
-            last = ids[:, -1]
-            total = held[-1] * self.probs[np.where(last == none, self.unknown, last)]
+            row, start, node = np.concatenate([row, every]), np.append(start, np.full(len(words), i - 1)), np.append(node, np.zeros(len(words), np.int64))
+            node = trie.step(node, codes[:, i - 1].astype(np.int64)[row])
+            on = np.flatnonzero(node >= 0)
+            row, start, node = row[on], start[on], node[on]
+            piece = trie.piece[node]
+            whole = np.flatnonzero(piece >= 0)
+            at, piece = row[whole], piece[whole]
+            edges = np.searchsorted(start[whole], np.arange(low, i + 1))
+            one = np.full(len(words), -1)  # a character that is no piece has the last row of all
+            one[at[edges[-2] :]] = piece[edges[-2] :]
+            total = held[-1] * probs[one]
             for k in range(i - low - 1):
-                hit = np.flatnonzero(ids[:, k] != none)
+                some = slice(edges[k], edges[k + 1])
+                hit = at[some]
                 if len(hit):
-                    total[hit] += held[k][hit] * self.probs[ids[hit, k]]
+                    total[hit] += held[k][hit] * probs[piece[some]]
             held = [*held[-(LONGEST - 1) :], total]
             if i % RESCALE == 0:
                 top = np.maximum(total, 1e-300)
@@ -128,11 +186,11 @@ def identify(docs: DataFrame, model, keep_words: int = KEPT) -> DataFrame:
     columns are ignored.  Words of any length are summed over all their segmentations."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (text_fold("doc_id", HOLD_OUT) == 1).alias("held_out"), "text")
 
-    shared = docs.sparkSession.sparkContext.broadcast(model[1:3]) if model else None
+    shared = docs.sparkSession.sparkContext.broadcast(Forward(*model[1:3])) if model else None
     langs, prior = (model[0], model[3]) if model else ([], np.zeros(0))
 
     def make():
-        forward = Forward(*shared.value) if shared else None
+        forward = shared.value if shared else None
         index: dict[str, int] = {}
         logs = [np.zeros((0, len(langs)))]
 
