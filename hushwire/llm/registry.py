@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hushwire.llm import bpe, fingerprints, language, packing, passages, pii, quality, secrets, simhash, vectors
+from hushwire.llm import bpe, fingerprints, language, packing, passages, phrases, pii, quality, search, secrets, sharding, simhash, vectors
 
 
 def queries() -> dict:
@@ -20,9 +20,12 @@ def queries() -> dict:
         "op8_simhash": simhash.op8_simhash,
         "op9_language": language.op9_language,
         "op10_embeddings": vectors.op10_embeddings,
+        "op11_phrases": phrases.op11_phrases,
+        "op12_search": search.op12_search,
+        "op13_sharding": sharding.op13_sharding,
     }
 
 
 def oracle_sql() -> dict:
-    """None of these has an SQL form that is tractable on whole tables; tests compare with brute force."""
-    return {}
+    """Those whose results SQL can give on whole tables; tests compare the others with brute force."""
+    return {"op11_phrases": phrases.SQL, "op12_search": search.SQL}
