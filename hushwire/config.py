@@ -54,6 +54,7 @@ class Detection:
     rules: bool = True
     spoken: bool = True
     saved: bool = True
+    taggers: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -84,6 +85,10 @@ class Runtime:
     report_rows: int = 10_000
     limit: int | None = None
     resume: bool = True
+    validate: bool = True
+    validate_existing: bool = True
+    longest_delta_sec: float = 0.2
+    delete_results: bool = False
 
 
 @dataclass(frozen=True)
@@ -203,6 +208,8 @@ def validate(c: Config) -> Config:
         (d.chunk_chars >= 256, "chunk_chars must be at least 256"),
         (d.chunk_overlap >= 0, "chunk_overlap must not be negative"),
         (0 <= d.tag_threshold <= 1, "tag_threshold must be within 0 and 1"),
+        (t.longest_delta_sec >= 0, "longest_delta_sec must not be negative"),
+        (len(enabled(c)) < 64, "at most 63 engines can be enabled"),
         (t.shard_count >= 1, "shard_count must be positive"),
         (0 <= t.shard_index < t.shard_count, "shard_index must be below shard_count"),
         (t.file_batch >= 1, "file_batch must be positive"),

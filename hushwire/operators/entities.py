@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hushwire.functions import patterns as P
 from hushwire.functions.offsets import let, located
 from hushwire.functions.text import normalize_type, priority
+from hushwire.workers import Tagger, tagged
 
 
 def rule_entities(text: str, name: str) -> Column:
@@ -107,12 +108,19 @@ def resolve(df: DataFrame, key: list[str]) -> DataFrame:
     return packed.select(*key, F.inline(fold)).select(*key, "text", "type", "start", "end", "score", "source")
 
 
-def detect(df: DataFrame, key: str, text: str = "text", saved: str | None = None, detectors: tuple[str, ...] = tuple(d[0] for d in P.DETECTORS), spoken: bool = True) -> DataFrame:
-    """Entities of every text by the chosen rules, spoken numbers and saved annotations (a JSON column),
-    resolved: (key, text, type, start, end, score, source).  Texts that share a key are kept apart."""
+def detect(
+    df: DataFrame, key: str, text: str = "text", saved: str | None = None, detectors: tuple[str, ...] = tuple(d[0] for d in P.DETECTORS), spoken: bool = True,
+    taggers: tuple[Tagger, ...] = (), chunk_chars: int = 1800, chunk_overlap: int = 240,
+) -> DataFrame:
+    """Entities of every text by the chosen rules, spoken numbers, saved annotations (a JSON column) and taggers
+    (on chunks), resolved: (key, text, type, start, end, score, source).  Texts that share a key are kept apart."""
     parts = [all_rule_entities("_t", detectors)]
     parts += [spoken_entities("_t")] if spoken else []
     parts += [saved_entities("_t", "_s")] if saved else []
     rows = df.select(key, F.col(text).alias("_t"), *([F.col(saved).alias("_s")] if saved else []), F.xxhash64(text).alias("_h"))
     found = rows.select(key, "_h", F.posexplode(F.concat(*(F.coalesce(p, F.array().cast(P.ENTITY)) for p in parts))).alias("ord", "e")).select(key, "_h", "ord", "e.*")
+    more = tagged(rows.select(key, "_h", "_t").distinct(), taggers, "_t", chunk_chars, chunk_overlap)
+    if more is not None:
+        # after all rules, in an order of their own
+        found = found.unionByName(more.withColumn("ord", F.lit(1 << 30) + F.col("start")))
     return resolve(dedupe(found, [key, "_h"]), [key, "_h"]).drop("_h")

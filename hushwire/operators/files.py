@@ -127,15 +127,47 @@ def probed(df: DataFrame, column: str) -> DataFrame:
     )
 
 
-def validated(df: DataFrame, delta: float = 0.2) -> DataFrame:
+CHECKS = ("output_exists", "codec_ok", "rate_ok", "channels_ok", "duration_ok")
+
+
+def validated(df: DataFrame, delta: float = 0.2, rate: int = 48000, channels: int = 2) -> DataFrame:
     """Checks of an output against its input; valid if all hold.  An output exists if its size (out_bytes) is
     known; unknown durations are let pass."""
     checks = {
         "output_exists": F.col("out_bytes").isNotNull(),
         "codec_ok": F.lower(F.coalesce("out_codec", F.lit(""))) == "opus",
-        "rate_ok": F.coalesce("out_rate", F.lit(0)) == 48000,
-        "channels_ok": F.coalesce("out_channels", F.lit(0)) == 2,
+        "rate_ok": F.coalesce("out_rate", F.lit(0)) == rate,
+        "channels_ok": F.coalesce("out_channels", F.lit(0)) == channels,
         "duration_ok": F.coalesce(F.abs(F.col("out_duration") - F.col("duration")) <= delta, F.lit(True)),
     }
     out = df.withColumns(checks)
     return out.withColumn("valid", F.forall(F.array(*checks), lambda c: c))
+
+
+def checked_outputs(files: DataFrame, outputs: DataFrame, delta: float = 0.2, rate: int = 48000, channels: int = 2) -> DataFrame:
+    """files (file_id, duration, any others) with what was found at their outputs (file_id, out_bytes, side_there,
+    out_probe: a probe's JSON), the five checks, valid, and failed_checks, the names of those that do not
+    hold.  An output that cannot be probed has neither codec nor rate, so it is not valid."""
+    seen = probed(outputs, "out_probe").select("file_id", "out_bytes", "side_there", F.col("codec").alias("out_codec"), F.col("sample_rate").alias("out_rate"), F.col("channels").alias("out_channels"), F.col("duration").alias("out_duration"))
+    out = validated(files.join(seen, "file_id", "left"), delta, rate, channels)
+    broken = F.array_compact(F.array(*(F.when(~F.col(c), F.lit(c)) for c in CHECKS)))
+    return out.withColumns({"side_there": F.coalesce("side_there", F.lit(False)), "failed_checks": F.array_join(broken, ",")})
+
+
+def reusable(checked: DataFrame, must_hold: bool = True) -> DataFrame:
+    """file_id of files whose output and sidecar are there already; with must_hold only valid outputs count, so
+    one that was damaged is made anew."""
+    there = F.col("side_there") & (F.col("valid") if must_hold else F.col("output_exists"))
+    return checked.where(there).select("file_id")
+
+
+def settled(written: DataFrame, checked: DataFrame) -> DataFrame:
+    """Status rows (file_id, status, error, valid) decided from both passes: what the writer says (file_id, status,
+    error) and what its output was checked for.  A success whose output does not hold has failed."""
+    j = written.join(checked.select("file_id", F.col("valid").alias("_ok"), "failed_checks"), "file_id", "left")
+    made = F.col("status").startswith("success")
+    broken = made & ~F.coalesce("_ok", F.lit(False))
+    return j.select(
+        "file_id", F.when(broken, "failed").otherwise(F.col("status")).alias("status"),
+        F.when(broken, F.concat(F.lit("invalid output: "), F.coalesce("failed_checks", F.lit("not probed")))).otherwise(F.col("error")).alias("error"), (made & ~broken).alias("valid"),
+    )

@@ -54,6 +54,16 @@ def detection_items(bundles: DataFrame) -> DataFrame:
     return items.withColumn("_n", F.row_number().over(by)).where("_n = 1").select("file_id", "channel", "source", "text")
 
 
+def validation(skipped: bool = False) -> Column:
+    """What a sidecar says of the checks (columns of files.checked_outputs); the difference of durations is to 6 places."""
+    if skipped:
+        return F.struct(F.lit(True).alias("valid"), F.lit(True).alias("validation_skipped"))
+    return F.struct(
+        F.col("valid"), F.struct("output_exists", "codec_ok", "rate_ok", "channels_ok", "duration_ok").alias("checks"), F.round(F.abs(F.col("out_duration") - F.col("duration")), 6).alias("duration_delta_sec"),
+        F.struct(F.col("out_codec").alias("codec"), F.col("out_rate").alias("sample_rate"), F.col("out_channels").alias("channels"), F.col("out_duration").alias("duration")).alias("output"),
+    )
+
+
 def any_transcript(transcripts: DataFrame) -> DataFrame:
     """Files of which some transcript (column text), of the consensus or of an engine, is not blank."""
     return transcripts.where(F.trim(F.coalesce("text", F.lit(""))) != "").select("file_id").distinct()
@@ -133,13 +143,13 @@ def enriched(found: DataFrame) -> DataFrame:
 
 def sidecar(files: DataFrame) -> DataFrame:
     """files: file_id, path, out_path, status, entities (array), raw_spans, spans (arrays), and where they are
-    there elapsed_sec, duration, codec, sample_rate, channels, transcripts, valid, stages: one JSON document
-    a file, with what was found, what was done and what the output was checked for."""
+    there elapsed_sec, duration, codec, sample_rate, channels, transcripts, valid, validation, settings, stages:
+    one JSON document a file, with what was found, what was done and what the output was checked for."""
     have = lambda *names: [c for c in names if c in files.columns]
     body = F.struct(
         F.struct(F.col("path").alias("input_path"), F.col("out_path").alias("output_path")).alias("files"), "status", *have("elapsed_sec", "valid"),
         *([F.struct(*have("duration", "codec", "sample_rate", "channels")).alias("input")] if have("duration", "codec", "sample_rate", "channels") else []),
         *have("transcripts"), F.size("entities").alias("num_entities"), F.size("spans").alias("num_spans"), "entities", *have("raw_spans"), "spans",
-        F.struct((F.col("status") == "success_no_pii_fast_copy").alias("fast_copy"), (F.col("status") == "success_unmapped_fallback").alias("unmapped_fallback")).alias("decisions"), *have("stages"),
+        F.struct((F.col("status") == "success_no_pii_fast_copy").alias("fast_copy"), (F.col("status") == "success_unmapped_fallback").alias("unmapped_fallback")).alias("decisions"), *have("validation", "settings", "stages"),
     )
     return files.select("file_id", F.to_json(body).alias("document"))

@@ -1,5 +1,6 @@
-"""Replaceable edges: recognisers and taggers.  What stands here are deterministic stubs; real ones take
-and return the same columns and load their model once for each worker process.  Codecs and probes are in
+"""Replaceable edges: recognisers and taggers, by name.  What stands here are deterministic stubs; real ones
+are engines and taggers of hushwire.workers, whose loaders make the model once for each worker process, or
+functions over tables that take and return the same columns.  Codecs and probes are in
 hushwire.sources.media."""
 
 from __future__ import annotations
@@ -13,9 +14,13 @@ from pyspark.sql import functions as F
 from hushwire.functions.patterns import ENTITY_LABELS, lookup
 from hushwire.functions.text import normalize_tag, normalize_type
 from hushwire.operators.files import short_error
+from hushwire.workers import Engine, Tagger, recognised
 
 RECOGNISERS: dict[str, Callable[[DataFrame], DataFrame]] = {}
 TAGGERS: dict[str, Callable[[DataFrame], DataFrame]] = {}
+#: Engines and taggers that hold a model in the workers.
+ENGINES: dict[str, Engine] = {}
+MODELS: dict[str, Tagger] = {}
 #: What a tagger gives for a chunk: places within it, its label and score.
 RAW = "key, start, chunk, label, from, to, score"
 
@@ -48,16 +53,23 @@ def failed(audio: DataFrame, name: str, error: str) -> DataFrame:
 
 
 def transcribe(audio: DataFrame, engines: list[str]) -> DataFrame:
-    """All engines' rows; an engine that is not there gives error rows and no exception."""
-    rows = [(RECOGNISERS[n](audio) if n in RECOGNISERS else failed(audio, n, "NotInstalled")).withColumn("engine_ord", F.lit(i)) for i, n in enumerate(engines)]
-    return reduce(DataFrame.unionByName, rows)
+    """All engines' rows, each engine in one pass of its own; one that is not there gives error rows and no exception."""
 
+    def of(n: str) -> DataFrame:
+        if n in ENGINES:
+            return recognised(audio, ENGINES[n]).drop("retried")
+        return (RECOGNISERS[n](audio) if n in RECOGNISERS else failed(audio, n, "NotInstalled"))
 
-def retried(first: DataFrame, again: Callable[[DataFrame], DataFrame], keys: list[str]) -> DataFrame:
-    """Results of a timed recogniser's batched form; files with a word of suspicious times (column
-    `suspicious` of its rows) are taken from its plain form instead."""
-    odd = first.where("suspicious").select(*keys).distinct()
-    return first.join(odd, keys, "left_anti").unionByName(again(odd), allowMissingColumns=True)
+    rows = [of(n).withColumn("engine_ord", F.lit(i)) for i, n in enumerate(engines)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+
+
+def taggers(names: tuple[str, ...]) -> tuple[Tagger, ...]:
+    """The taggers of these names; one that is not there is an error, for its entities would be missed."""
+    missing = [n for n in names if n not in MODELS]
+    if missing:
+        raise ValueError(f"unknown taggers: {', '.join(missing)}")
+    return tuple(MODELS[n] for n in names)
 
 
 @tagger("stub_zero_shot")

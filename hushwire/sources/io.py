@@ -43,3 +43,25 @@ def scratch(spark: SparkSession) -> str:
             _made.append(tempfile.mkdtemp(prefix="hushwire-"))
         place = f"file://{_made[0]}"
     return f"{place}/{uuid.uuid4().hex}"
+
+
+class Scratch:
+    """Tables that a run needs between its steps: written once below scratch(), deleted together."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.places = spark, []
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        place = scratch(self.spark)
+        self.places.append(place)
+        df.write.parquet(place)
+        return self.spark.read.schema(df.schema).parquet(place)
+
+    def clear(self, but: DataFrame | None = None) -> None:
+        """Delete all tables, but for the one that `but` is read from."""
+        spared = {f.rpartition("/")[0].rpartition("/")[2] for f in but.inputFiles()} if but is not None else set()
+        gone = [p for p in self.places if p.rpartition("/")[2] not in spared]
+        for p in gone:
+            place = self.spark._jvm.org.apache.hadoop.fs.Path(p)
+            place.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(place, True)
+        self.places = [p for p in self.places if p not in gone]

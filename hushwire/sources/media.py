@@ -51,6 +51,29 @@ def probe(files: DataFrame, port: Callable[[str], str] = probe_command) -> DataF
     return files.select("path").mapInPandas(run, "path string, status string, probe string, error string")
 
 
+def probe_outputs(files: DataFrame, port: Callable[[str], str] = probe_command) -> DataFrame:
+    """file_id, out_bytes (null: there is none), side_there, out_probe (JSON; null: it cannot be probed) of the
+    outputs and sidecars of files (file_id, out_path, sidecar_path)."""
+
+    def one(file_id: int, out: str | None, side: str | None) -> tuple:
+        size = os.path.getsize(out) if out and os.path.isfile(out) else None
+        found = None
+        if size is not None:
+            try:
+                found = port(out)
+                json.loads(found)
+            except Exception:  # what cannot be probed is no valid output
+                found = None
+        return file_id, size, bool(side) and os.path.isfile(side), found
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = pd.DataFrame([one(*r) for r in b.itertuples(index=False)], columns=["file_id", "out_bytes", "side_there", "out_probe"])
+            yield out.astype({"out_bytes": "Int64"})
+
+    return files.select("file_id", "out_path", "sidecar_path").mapInPandas(run, "file_id long, out_bytes long, side_there boolean, out_probe string")
+
+
 def split_frames(raw: bytes, channels: int) -> list[np.ndarray]:
     """Channels of interleaved 32-bit little-endian samples; an incomplete last frame is dropped."""
     whole = len(raw) // (4 * channels) * 4 * channels
