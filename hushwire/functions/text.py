@@ -1,10 +1,11 @@
-"""Text normalisers, distances and small scalar functions, all within the JVM."""
+"""Text normalisers, rates of agreement and small scalar functions; edit distances are hushwire.functions.distance's."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from hushwire.functions.distance import distances, rate
 from hushwire.functions.offsets import located
 from hushwire.functions.patterns import TAGGER_LABELS, TOKEN, TYPE_ALIASES, TYPE_PRIORITY, lookup, quoted
 
@@ -40,23 +41,20 @@ def jaccard(a: Column, b: Column) -> Column:
 
 
 def cer(ref: Column, hyp: Column) -> Column:
-    return F.levenshtein(ref, hyp) / F.greatest(F.lit(1), F.length(ref))
+    return rate(distances(ref, hyp)["chars"], F.length(ref))
 
 
 def wer(ref: str, hyp: str) -> Column:
-    """Word error rate of two columns: each different word becomes one code point, so that the edit
-    distance over characters is the one over words."""
-    code = "transform({0}, w -> decode(unhex(lpad(hex(19968 + array_position(v, w)), 4, '0')), 'UTF-16BE'))"
-    a, b = (f"filter(split(trim({c}), '\\\\s+'), w -> w <> '')" for c in (ref, hyp))
-    x, y = (f"array_join({code.format(w)}, '')" for w in (a, b))
-    # a one-element transform binds the common vocabulary once
-    return F.expr(f"element_at(transform(array(array_union({a}, {b})), v -> levenshtein({x}, {y}) / greatest(1, size({a}))), 1)")
+    """Word error rate of two columns, whatever the number of different words."""
+    return rate(distances(F.col(ref), F.col(hyp))["words"], F.size(words(F.col(ref))))
 
 
-def similarity(ref: str, hyp: str) -> Column:
-    """0.45 of word agreement, 0.35 of character agreement and 0.2 of word overlap; not symmetric."""
+def similarity(ref: str, hyp: str, edits: Column | None = None) -> Column:
+    """0.45 of word agreement, 0.35 of character agreement and 0.2 of word overlap; not symmetric.  edits:
+    the texts' distances(), where they are known already."""
     a, b = F.col(ref), F.col(hyp)
-    mix = 0.45 * (1 - wer(ref, hyp)) + 0.35 * (1 - cer(a, b)) + 0.2 * jaccard(a, b)
+    d = distances(a, b) if edits is None else edits
+    mix = 0.45 * (1 - rate(d["words"], F.size(words(a)))) + 0.35 * (1 - rate(d["chars"], F.length(a))) + 0.2 * jaccard(a, b)
     empty_a, empty_b = a == "", b == ""
     return F.when(empty_a & empty_b, 1.0).when(empty_a | empty_b, 0.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), mix)))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hushwire.functions.distance import distances
 from hushwire.functions.text import normalize_for_consensus, similarity
 
 KEYS = ["file_id", "channel"]
@@ -26,10 +27,15 @@ def consensus(results: DataFrame, prefer: str, fallback: list[str], min_agreemen
     major = groups.withColumn("_k", F.row_number().over(best)).where((F.col("_k") == 1) & (F.col("n") >= min_agreement)).select(*KEYS, F.col("engine").alias("m_engine"), F.col("n").alias("m_n"), F.col("agreed").alias("m_agreed"))
     # similarities are needed only where no majority decides, and equal texts need no distance
     solid = solid.join(major.select(*KEYS), KEYS, "left_anti")
-    left = solid.select(*KEYS, "engine", F.col("norm").alias("x"), "liked", "rank", "engine_ord")
-    right = solid.select(*KEYS, F.col("engine").alias("other"), F.col("norm").alias("y"))
-    # pairs of engines within a channel: as many as engines squared, a handful
-    pairs = left.join(right, KEYS).withColumn("sim", F.when(F.col("x") == F.col("y"), 1.0).otherwise(F.round(similarity("x", "y"), 9)))
+    of = F.struct("engine", F.col("norm").alias("x"), "liked", "rank", "engine_ord")
+    one, two = solid.select(*KEYS, of.alias("a")), solid.select(*KEYS, of.alias("b"))
+    # pairs of engines within a channel: as many as engines squared, a handful.  Each is measured once
+    met = one.join(two, KEYS).where(F.struct("a.engine_ord", "a.engine") < F.struct("b.engine_ord", "b.engine"))
+    met = met.withColumns({"p": F.col("a.x"), "q": F.col("b.x")}).withColumn("d", distances(F.col("p"), F.col("q")))
+    alike = lambda x, y: F.when(F.col(x) == F.col(y), 1.0).otherwise(F.round(similarity(x, y, F.col("d")), 9))
+    both = met.select(*KEYS, "a", "b", alike("p", "q").alias("ab"), alike("q", "p").alias("ba"))
+    told = F.array(F.struct(F.col("a").alias("own"), F.col("b.engine").alias("other"), F.col("ab").alias("sim")), F.struct(F.col("b").alias("own"), F.col("a.engine").alias("other"), F.col("ba").alias("sim")))
+    pairs = both.select(*KEYS, F.explode(told).alias("t")).select(*KEYS, "t.*").unionByName(one.select(*KEYS, F.col("a").alias("own"), F.col("a.engine").alias("other"), F.lit(1.0).alias("sim"))).select(*KEYS, "own.*", "other", "sim")
     medoid = pairs.groupBy(*KEYS, "engine").agg(
         F.sum((F.col("sim") >= soft).cast("int")).alias("s_n"), F.round(F.avg("sim"), 9).alias("s_avg"), F.max("liked").alias("liked"), F.max("rank").alias("rank"),
         F.max(F.length("x")).alias("len"), F.max("engine_ord").alias("engine_ord"), F.array_join(F.array_sort(F.collect_list(F.when(F.col("sim") >= soft, F.col("other")))), ",").alias("s_agreed"),

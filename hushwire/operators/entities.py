@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from hushwire.functions import patterns as P
 from hushwire.functions.offsets import let, located
@@ -93,19 +97,41 @@ def dedupe(df: DataFrame, key: list[str]) -> DataFrame:
     return df.where("end > start").withColumn("_n", F.row_number().over(by)).where("_n = 1").drop("_n")
 
 
+def swept(start: list, end: list, rank: list, first: int, last: int) -> list[int]:
+    """Places of the entities first..last (in order of their start) that are kept.  Starts only grow, so a kept
+    entity that has ended is never met again, and the first that is still open is the first that overlaps."""
+    kept, low = [], 0
+    for i in range(first, last):
+        while low < len(kept) and end[kept[low]] <= start[i]:
+            low += 1
+        if low == len(kept):
+            kept.append(i)
+        elif rank[i] < rank[kept[low]]:
+            kept[low] = i
+    return kept
+
+
 def resolve(df: DataFrame, key: list[str]) -> DataFrame:
-    """Greedy resolution of overlaps, a fold over the entities of one text by start, length and
-    priority: an entity that overlaps an earlier kept one takes its place only if it ranks better."""
+    """Greedy resolution of overlaps, a sweep over the entities of one text by start, length and priority:
+    an entity that overlaps kept ones takes the place of the first of them, if it ranks better, else it goes.
+    A text's entities are one row, and the work on it is linear in them."""
     e = F.struct("start", (F.col("start") - F.col("end")).alias("neg_len"), priority(F.col("type")).alias("p"), (-F.col("score")).alias("neg_score"), "end", "ord", "type", "text", "score", "source")
     packed = df.groupBy(*key).agg(F.array_sort(F.collect_list(e)).alias("es"))
-    kind = packed.schema["es"].dataType.simpleString()
-    fold = F.expr(f"""aggregate(es, CAST(array() AS {kind}), (kept, e) ->
-      element_at(transform(array(coalesce(array_position(transform(kept, k -> k.start < e.end AND e.start < k.end), true), 0L)), at ->
-        CASE WHEN at = 0 THEN concat(kept, array(e))
-             WHEN named_struct('p', e.p, 's', e.neg_score, 'l', e.neg_len) < named_struct('p', kept[CAST(at - 1 AS int)].p, 's', kept[CAST(at - 1 AS int)].neg_score, 'l', kept[CAST(at - 1 AS int)].neg_len)
-             THEN transform(kept, (k, i) -> CASE WHEN i = at - 1 THEN e ELSE k END)
-             ELSE kept END), 1))""")
-    return packed.select(*key, F.inline(fold)).select(*key, "text", "type", "start", "end", "score", "source")
+    out = packed.select(*key, F.inline("es")).select(*key, "text", "type", "start", "end", "score", "source").schema
+    arrow = to_arrow_schema(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lists = b.column(b.num_columns - 1)
+            at, held = lists.offsets.to_pylist(), lists.values
+            start, end, *parts = (held.field(n).to_pylist() for n in ("start", "end", "p", "neg_score", "neg_len"))
+            rank = [(p, s is not None, s or 0.0, n) for p, s, n in zip(*parts, strict=True)]
+            kept = [swept(start, end, rank, at[r], at[r + 1]) for r in range(b.num_rows)]
+            places, rows = pa.array([i for own in kept for i in own], pa.int64()), pa.array([r for r, own in enumerate(kept) for _ in own], pa.int64())
+            columns = [b.column(i).take(rows) for i in range(len(key))] + [held.field(n).take(places) for n in arrow.names[len(key) :]]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+
+    return packed.mapInArrow(run, out)
 
 
 def detect(

@@ -6,19 +6,34 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Characters of a block of a text: entities and words meet in the blocks that they reach into.
+BLOCK = 64
+
+
+def _in_blocks(df: DataFrame, start: str, end: str) -> DataFrame:
+    """df with a row for every block (_block) that start..end reaches into, and one at least."""
+    first = F.coalesce(F.floor(F.col(start) / BLOCK), F.lit(0))
+    return df.withColumn("_block", F.explode(F.sequence(first, F.greatest(first, F.floor((F.col(end) - 1) / BLOCK)))))
+
+
 def entity_spans(entities: DataFrame, words: DataFrame, keys: list[str], pad: float = 0.12, least: float = 0.3) -> DataFrame:
-    """Time span of every entity from the words it overlaps (words as an array a key, so that no range
-    join arises): padded, clamped to the duration, then widened to the least length.  start_sec and
-    end_sec are null for entities that overlap no word."""
-    one = words.groupBy(*keys).agg(F.collect_list(F.struct("w_start", "w_end", "start_char", "end_char")).alias("ws"), F.max("duration").alias("duration"))
-    hit = F.filter("ws", lambda w: (w["end_char"] > F.col("start")) & (w["start_char"] < F.col("end")))
-    j = entities.join(one, keys, "left").withColumn("hit", F.nullif(hit, F.array().cast(one.schema["ws"].dataType)))
-    j = j.withColumn("lo", F.when(F.col("hit").isNotNull(), F.greatest(F.lit(0.0), F.array_min(F.transform("hit", lambda w: w["w_start"])) - pad)))
-    j = j.withColumn("hi", F.when(F.col("hit").isNotNull(), F.least(F.col("duration"), F.array_max(F.transform("hit", lambda w: w["w_end"])) + pad)))
+    """Time span of every entity from the words it overlaps: padded, clamped to the duration, then widened to
+    the least length.  start_sec and end_sec are null for entities that overlap no word.  Entities and words are
+    joined by key and block of the text, so a long text is spread over tasks and no row meets all its words."""
+    names = entities.columns
+    held = entities.select(*keys, F.struct(*names).alias("_row"), F.monotonically_increasing_id().alias("_eid"), F.col("start").alias("_a"), F.col("end").alias("_b"))
+    near = _in_blocks(words.select(*keys, "w_start", "w_end", "start_char", "end_char").where("start_char IS NOT NULL AND end_char IS NOT NULL"), "start_char", "end_char")
+    j = _in_blocks(held, "_a", "_b").join(near, [*keys, "_block"], "left")
+    hit = (F.col("end_char") > F.col("_a")) & (F.col("start_char") < F.col("_b"))
+    j = j.groupBy("_eid").agg(F.first("_row").alias("_row"), F.min(F.when(hit, F.col("w_start"))).alias("_from"), F.max(F.when(hit, F.col("w_end"))).alias("_to"), F.max(hit.cast("int")).alias("_hit"))
+    lasting = words.groupBy(*keys).agg(F.max("duration").alias("duration"))
+    j = j.select(*(F.col(f"_row.`{n}`") for n in names), "_from", "_to", "_hit").join(lasting, keys, "left")
+    met = F.col("_hit") == 1
+    j = j.withColumn("lo", F.when(met, F.greatest(F.lit(0.0), F.col("_from") - pad))).withColumn("hi", F.when(met, F.least(F.col("duration"), F.col("_to") + pad)))
     short, mid = (F.col("hi") - F.col("lo")) < least, (F.col("lo") + F.col("hi")) / 2
     lo = F.when(short, F.greatest(F.lit(0.0), mid - least / 2)).otherwise(F.col("lo"))
     j = j.withColumn("start_sec", lo)
-    return j.withColumn("end_sec", F.when(short, F.least(F.col("duration"), F.col("start_sec") + least)).otherwise(F.col("hi"))).drop("ws", "hit", "lo", "hi")
+    return j.withColumn("end_sec", F.when(short, F.least(F.col("duration"), F.col("start_sec") + least)).otherwise(F.col("hi"))).drop("_from", "_to", "_hit", "lo", "hi")
 
 
 def unmapped_spans(entities: DataFrame, keys: list[str]) -> DataFrame:

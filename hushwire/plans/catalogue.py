@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hushwire import ports
+from hushwire import ports, workers
 from hushwire.functions import patterns as P
 from hushwire.functions import text as T
+from hushwire.functions.distance import distances, rate
 from hushwire.operators import audio, consensus, entities, files, reports, spans, state
 from hushwire.operators import words as timed
 from hushwire.plans import views
-from hushwire.sources import io
+from hushwire.sources import io, store
 from hushwire.streaming import resume
 
 QUERIES: dict = {}
@@ -205,16 +206,26 @@ _PAIRS = "SELECT a.file_id, a.engine AS e1, b.engine AS e2, {n}(a.transcript) AS
     FROM n a JOIN n b ON a.file_id = b.file_id""",
 )
 def cer_jaccard(spark, d):
+    n, j = engine_pairs(spark, d)
+    two = lambda a, b, x, y: F.struct(F.col(a).alias("e1"), F.col(b).alias("e2"), F.round(rate(F.col("d.chars"), F.length(x)), 6).alias("cer"), "jaccard")
+    j = j.withColumn("jaccard", F.round(T.jaccard(F.col("x"), F.col("y")), 6))
+    own = n.select("file_id", "e1", F.col("e1").alias("e2"), F.lit(0.0).alias("cer"), F.lit(1.0).alias("jaccard"))
+    return j.select("file_id", F.inline(F.array(two("e1", "e2", "x", "y"), two("e2", "e1", "y", "x")))).unionByName(own)
+
+
+def engine_pairs(spark, d):
+    """Normalised texts by engine (file_id, e1, x), and every two engines of a file once, with their distances d."""
     n = asr(spark, d).where("error IS NULL").select("file_id", F.col("engine").alias("e1"), T.normalize_for_consensus(F.col("transcript")).alias("x"))
-    j = n.join(n.select("file_id", F.col("e1").alias("e2"), F.col("x").alias("y")), "file_id")
-    return j.select("file_id", "e1", "e2", F.round(T.cer(F.col("x"), F.col("y")), 6).alias("cer"), F.round(T.jaccard(F.col("x"), F.col("y")), 6).alias("jaccard"))
+    j = n.join(n.select("file_id", F.col("e1").alias("e2"), F.col("x").alias("y")), "file_id").where("e1 < e2")
+    return n, j.withColumn("d", distances(F.col("x"), F.col("y")))
 
 
 @query("similarity_pairs")
 def similarity_pairs(spark, d):
-    n = asr(spark, d).where("error IS NULL").select("file_id", F.col("engine").alias("e1"), T.normalize_for_consensus(F.col("transcript")).alias("x"))
-    j = n.join(n.select("file_id", F.col("e1").alias("e2"), F.col("x").alias("y")), "file_id")
-    return j.select("file_id", "e1", "e2", F.round(T.wer("x", "y"), 6).alias("wer"), F.round(T.similarity("x", "y"), 6).alias("similarity"))
+    n, j = engine_pairs(spark, d)
+    two = lambda a, b, x, y: F.struct(F.col(a).alias("e1"), F.col(b).alias("e2"), F.round(rate(F.col("d.words"), F.size(T.words(F.col(x)))), 6).alias("wer"), F.round(T.similarity(x, y, F.col("d")), 6).alias("similarity"))
+    own = n.select("file_id", "e1", F.col("e1").alias("e2"), F.lit(0.0).alias("wer"), F.lit(1.0).alias("similarity"))
+    return j.select("file_id", F.inline(F.array(two("e1", "e2", "x", "y"), two("e2", "e1", "y", "x")))).unionByName(own)
 
 
 _RATES = "SELECT p_partkey AS id, CASE p_partkey % 7 WHEN 0 THEN '64k' WHEN 1 THEN '96000' WHEN 2 THEN '24.5k' WHEN 3 THEN 'fast' WHEN 4 THEN '' WHEN 5 THEN ' 128K ' ELSE CAST(p_size AS STRING) END AS v, p_size FROM part"
@@ -828,3 +839,100 @@ _ENGINES = ["alpha", "beta", "gamma", "delta"]
 def consensus_methods(spark, d):
     """Majority, fallback and emptiness with every column; no similarity reaches 2, so none is soft."""
     return consensus.consensus(asr(spark, d), "alpha", _ENGINES, soft=2.0).select("file_id", "method", "selected_engine", "agreement_count", "final_transcript")
+
+
+# ---- passes over outputs, models in workers, keyed stores and states
+
+_OUTPUT_COLUMNS = (
+    "file_id", "codec", "rate", "CASE WHEN file_id % 13 <> 0 THEN file_id % 4 + 0.25 + CASE WHEN file_id % 6 = 0 THEN 0.5 ELSE 0 END END AS duration", "CASE WHEN file_id % 5 <> 0 THEN file_id END AS out_bytes", "file_id % 3 <> 0 AS side_there",
+    """CASE WHEN file_id % 7 = 0 THEN 'no json' WHEN file_id % 5 <> 0 THEN '{"streams": [{"codec_name": "' || codec || '", "sample_rate": "' || rate || '", "channels": 2, "duration": "' || (file_id % 4) || '.25"}]}' END AS out_probe""",
+    "CASE file_id % 9 WHEN 0 THEN 'failed' WHEN 1 THEN 'success_no_pii_fast_copy' ELSE 'success' END AS status", "CASE WHEN file_id % 9 = 0 THEN 'no mask can be made' END AS error",
+)
+_OUTPUTS = f"SELECT {', '.join(_OUTPUT_COLUMNS)} FROM"
+
+
+@query(
+    "settled_outputs",
+    f"""WITH o AS ({_OUTPUTS} {CALLS} t), p AS (SELECT *, out_bytes IS NOT NULL AS a, out_probe LIKE '{{%' AS seen FROM o),
+    c AS (SELECT *, coalesce(seen AND lower(codec) = 'opus', false) AS b, coalesce(seen AND rate = 48000, false) AS r, coalesce(seen, false) AS n, NOT coalesce(seen AND duration IS NOT NULL AND file_id % 6 = 0, false) AS d FROM p),
+    v AS (SELECT *, a AND b AND r AND n AND d AS ok, concat_ws(',', CASE WHEN NOT a THEN 'output_exists' END, CASE WHEN NOT b THEN 'codec_ok' END, CASE WHEN NOT r THEN 'rate_ok' END, CASE WHEN NOT n THEN 'channels_ok' END, CASE WHEN NOT d THEN 'duration_ok' END) AS broken FROM c)
+    SELECT file_id, CASE WHEN ok THEN status ELSE 'failed' END AS status, CASE WHEN starts_with(status, 'success') AND NOT ok THEN 'invalid output: ' || broken ELSE error END AS error, ok AND starts_with(status, 'success') AS valid, ok AND side_there AS reused FROM v""",
+)
+def settled_outputs(spark, d):
+    """The second pass over what was written: checks, statuses decided from both passes, and what a later run skips."""
+    o = calls(spark, d).selectExpr(*_OUTPUT_COLUMNS).withColumn("duration", F.col("duration").cast("double"))
+    checked = files.checked_outputs(o.select("file_id", "duration"), o.select("file_id", "out_bytes", "side_there", "out_probe"))
+    reused = files.reusable(checked).withColumn("reused", F.lit(True))
+    return files.settled(o.select("file_id", "status", "error"), checked).join(reused, "file_id", "left").withColumn("reused", F.coalesce("reused", F.lit(False)))
+
+
+@query(
+    "engine_rows",
+    """SELECT conv_id * 1000 + turn AS file_id, CASE WHEN f % 7 = 0 THEN NULL WHEN f % 5 = 1 THEN 'plain ' || length(text) ELSE text END AS transcript, CASE WHEN f % 7 <> 0 AND f % 5 <> 1 THEN len(regexp_extract_all(text, '[^ ]+')) END AS num_words,
+     CASE WHEN f % 7 = 0 THEN 'ValueError(''seven'')' END AS error, f % 7 <> 0 AND f % 5 = 1 AS retried FROM (SELECT *, conv_id * 1000 + turn AS f FROM conversations) t""",
+)
+def engine_rows(spark, d):
+    """A model held in the workers: batches that fail are tried row by row, suspicious times go to the plain model."""
+
+    def load():
+        def model(rows):
+            if any(r["file_id"] % 7 == 0 for r in rows):
+                raise ValueError("seven")
+            odd = lambda r, i: i - 1.0 if r["file_id"] % 5 == 1 else i + 0.5
+            return [(r["said"], [{"word": w, "start": float(i), "end": odd(r, i)} for i, w in enumerate([w for w in r["said"].split(" ") if w] or ["-"])]) for r in rows]
+
+        return model
+
+    engine = workers.Engine("said", load, 8, lambda: lambda rows: [(f"plain {len(r['said'])}", None) for r in rows])
+    inputs = table(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("file_id"), F.lit(0).alias("channel"), F.col("text").alias("said"))
+    return workers.recognised(inputs, engine).select("file_id", "transcript", F.when(F.col("words").isNotNull(), F.size("words")).cast("long").alias("num_words"), "error", "retried")
+
+
+@query("tag_documents", offsets_sql("[0-9]+", 0, "(SELECT doc_id AS id, text FROM documents)"))
+def tag_documents(spark, d):
+    """A tagger on lateral chunks of whole documents; what chunks share is one entity, at its place in the text."""
+
+    def load():
+        import re
+
+        return lambda chunks: [[{"label": "id number", "start": m.start(), "end": m.end(), "score": 0.9} for m in re.finditer("[0-9]+", c)] for c in chunks]
+
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text")
+    return workers.tagged(docs, (workers.Tagger("digits", "zero_shot", load, 32),)).select("id", "text", "start", "end")
+
+
+_KEPT = "SELECT CAST(o_custkey AS STRING) AS input_path, o_orderpriority AS engine, CAST(o_custkey % 2 AS INT) AS channel, {v} AS transcript, CAST({at} AS DOUBLE) AS updated_at FROM orders"
+
+
+@query(
+    "result_store",
+    f"""WITH a AS (SELECT *, 0 AS g FROM ({_KEPT.format(v="'old ' || o_orderkey", at="o_orderkey")}) x UNION ALL SELECT *, 1 FROM ({_KEPT.format(v="'new ' || o_orderkey", at="-o_orderkey")} WHERE o_orderkey % 10 = 0) y),
+    r AS (SELECT *, row_number() OVER (PARTITION BY input_path, engine, channel ORDER BY g DESC, updated_at DESC) AS n FROM a)
+    SELECT input_path, engine, channel, transcript FROM r WHERE n = 1 AND CAST(input_path AS BIGINT) % 11 <> 0""",
+)
+def result_store(spark, d):
+    """Two upserts and a deletion through the keyed store, each rewriting the buckets that it touches."""
+    kept = store.result_store(io.scratch(spark), 16)
+    kept.upsert(with_nulls(view(spark, d, _KEPT, "orders", v="'old ' || o_orderkey", at="o_orderkey")))
+    kept.upsert(with_nulls(view(spark, d, f"{_KEPT} WHERE o_orderkey % 10 = 0", "orders", v="'new ' || o_orderkey", at="-o_orderkey")))
+    kept.delete(table(spark, d, "orders").where("o_custkey % 11 = 0").select(F.col("o_custkey").cast("string").alias("input_path")))
+    return kept.read(spark).select("input_path", "engine", "channel", "transcript")
+
+
+def with_nulls(rows: DataFrame) -> DataFrame:
+    """Rows of the results' schema, null where they have no such column."""
+    empty = rows.sparkSession.createDataFrame([], state.RESULT_SCHEMA)
+    return empty.unionByName(rows, allowMissingColumns=True)
+
+
+@query(
+    "stream_by_state",
+    """SELECT o_custkey AS file_id, CASE WHEN o_custkey % 3 = 0 THEN 'failed' ELSE 'success' END AS status, CASE WHEN o_custkey % 3 = 0 THEN count(*) ELSE 1 END AS handled, CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE count(*) - 1 END AS skipped FROM orders GROUP BY o_custkey""",
+)
+def stream_by_state(spark, d):
+    """Calls that come again and again: failures are tried again, successes skipped, by each file's own state."""
+    place = io.scratch(spark)
+    table(spark, d, "orders").select(F.col("o_custkey").alias("file_id")).repartition(3).write.json(f"{place}/in")
+    resume.resume_by_state(spark, f"{place}/in", "file_id long", f"{place}/state", lambda row: ("failed", False) if row["file_id"] % 3 == 0 else ("success", True), 1).awaitTermination()
+    log = resume.status_log(spark, f"{place}/state").groupBy("file_id").agg(F.count_if(F.col("status") != "skipped_existing").alias("handled"), F.count_if(F.col("status") == "skipped_existing").alias("skipped"))
+    return resume.current(spark, f"{place}/state").select("file_id", "status").join(log, "file_id")

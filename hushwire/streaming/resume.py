@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 LOG = "file_id long, status string, valid boolean, updated_at long, batch int"
 
@@ -47,3 +50,41 @@ def resume(spark: SparkSession, source: str, schema: str, state: str, process: C
         statuses(status_log(batch.sparkSession, state, number), batch, process).write.mode("overwrite").parquet(f"{state}/log/batch={number}")
 
     return stream.writeStream.foreachBatch(step).option("checkpointLocation", f"{state}/checkpoint").trigger(availableNow=True).start()
+
+
+STATE = "status string, valid boolean, updated_at long"
+
+
+def resume_by_state(spark: SparkSession, source: str, schema: str, place: str, handle: Callable[[dict], tuple[str, bool]], files_per_batch: int = 100) -> StreamingQuery:
+    """As resume(), for work that is done a call at a time: handle takes a row (its file_id among others) and gives
+    its status and whether that is valid.  What is known of a file is its state in the stream's own store, so
+    no batch reads the log; the store has one row a file.  A file whose last status is a valid success is
+    skipped_existing.  A batch that is broken off is done again as a whole, from the states before it, and writes
+    the same folder of the log; rows without a file_id are one file."""
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(source)
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        status, valid, at = state.get if state.exists else (None, False, 0)
+        out = []
+        for frame in frames:
+            for row in frame.to_dict("records"):
+                now = max(time.time_ns() // 1000, at + 1)
+                if status is not None and status.startswith("success") and valid:
+                    out.append((key[0], "skipped_existing", True, now))
+                    continue
+                try:
+                    status, valid = handle(row)
+                except Exception:  # any failure of a call is that call's row
+                    status, valid = "failed", False
+                at = now
+                out.append((key[0], status, valid, at))
+        state.update((status, valid, at))
+        yield pd.DataFrame(out, columns=["file_id", "status", "valid", "updated_at"])
+
+    kept = ", ".join(LOG.split(", ")[:-1])
+    told = stream.groupBy("file_id").applyInPandasWithState(step, kept, STATE, "append", GroupStateTimeout.NoTimeout)
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{place}/log/batch={number}")
+
+    return told.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", f"{place}/checkpoint").trigger(availableNow=True).start()

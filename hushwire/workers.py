@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import udtf
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from hushwire.functions.patterns import ENTITY_LABELS, lookup
 from hushwire.functions.text import normalize_tag, normalize_type
@@ -135,7 +136,7 @@ def _timed(words: list[dict] | None) -> list[dict] | None:
     return None if words is None else [{"word": w["word"], "start": _number(w.get("start")), "end": _number(w.get("end"))} for w in words]
 
 
-@udtf(returnType="start int, chunk string")
+@udtf(returnType=StructType([StructField("start", IntegerType()), StructField("chunk", StringType())]))
 class Chunks:
     """text -> its chunks with their places (code points); a blank text has none."""
 
