@@ -4,9 +4,9 @@ Vectors of one label are dealt into shards of a bounded size by a hash of their
 graph; every vector queries every shard of its label, but of two shards one is asked by the other, so a pair
 is met once.  A search descends the layers to the query's neighbourhood and collects the nearest by a beam.
 Where half the beam or more is within the wanted cosine the neighbourhood may go on beyond it, and the
-query is compared with the whole shard.  In each task queries that have links are compared with the
-whole shard; while the searches find too few of theirs, the beam is widened.  Links are verified in double
-precision.  A task returns, for each vector, the number of its links and one link towards the task's
+query is compared with the whole shard.  In each task a fixed number of queries, drawn at random, are
+compared with the whole shard; while the searches find too few of their nearest, or of their links, the beam is
+widened.  Links are verified in double precision.  A task returns, for each vector, the number of its links and one link towards the task's
 smallest vector that it reaches: pairs within a group are counted, never listed.  Components join these.
 """
 
@@ -28,9 +28,9 @@ COSINE = 0.98
 SHARD = 8192
 #: Neighbours kept (twice as many in the lowest layer), beam of building and of searching.
 M, BUILD_BEAM, BEAM = 12, 40, 24
-#: Queries of a task that are audited, each with links in the shard, the share of its links that a query
-#: must find on average, and the widest beam tried; beyond it all of the task's queries meet the whole shard.
-AUDIT, RECALL, WIDEST = 48, 0.995, 1536
+#: Queries of a task that are audited, the shares of their links and of their NEAREST nearest that they must find on
+#: average, and the widest beam tried; beyond it all of the task's queries meet the whole shard.
+AUDIT, RECALL, NEAR_RECALL, NEAREST, WIDEST = 48, 0.995, 0.9, 10, 1536
 #: Queries compared with a whole shard at once.
 AT_ONCE = 128
 
@@ -43,6 +43,7 @@ class Graph:
         """x: rows of unit length, in double precision; ids ascend; copies: vectors that each stands for."""
         self.ids, self.x, self.copies = ids, x, np.ones(len(ids), np.int64) if copies is None else copies
         self.near = x.astype(np.float32)
+        self.compared = 0
         rng = np.random.default_rng(5)
         self.level = np.minimum((-np.log(1 - rng.random(len(ids))) / np.log(M)).astype(int), 8)
         self.links: list[dict[int, list[int]]] = [{} for _ in range(int(self.level.max(initial=0)) + 1)]
@@ -112,17 +113,25 @@ class Graph:
         if own > self.top:
             self.entry, self.top = i, own
 
-    def within(self, q: np.ndarray, beam: int, least: float) -> np.ndarray | None:
-        """Nodes of similarity `least` or more that the search with this beam meets; None where there may
-        be more than the beam holds."""
+    def met(self, q: np.ndarray, beam: int) -> list[tuple[float, int]]:
+        """(similarity, node) of what the search with this beam meets."""
         q32 = q.astype(np.float32)
         at = [self.entry]
         for layer in range(self.top, 0, -1):
             at = [max(self._search(q32, at, 1, layer, self.links[layer]))[1]]
-        found = self._search(q32, at, beam, 0, self.links[0])
-        hits = [j for s, j in found if s >= least - 1e-4]
+        return self._search(q32, at, beam, 0, self.links[0])
+
+    def within(self, q: np.ndarray, beam: int, least: float) -> np.ndarray | None:
+        """Nodes of similarity `least` or more that the search with this beam meets; None where there may
+        be more than the beam holds."""
+        hits = [j for s, j in self.met(q, beam) if s >= least - 1e-4]
         return None if len(hits) >= beam // 2 and len(self.ids) > beam else np.array(hits, np.int64)
 
+    def compare(self, qs: np.ndarray) -> np.ndarray:
+        """The queries' cosines with all nodes."""
+        self.compared += len(qs)
+        return qs @ self.x.T
+
 
 class Links:
     """Numbers of links by place, and stars that connect them."""
@@ -139,37 +148,46 @@ class Links:
             self.root[np.isin(self.root, roots[1:])] = roots[0]
 
 
+def audit(graph: Graph, x: np.ndarray, place: np.ndarray | None, least: float) -> tuple[int, float | None, float | None, int]:
+    """(queries audited, share of their links found, share of their nearest found, beam) for queries x against a
+    graph; place: the queries' own nodes in it, which count for nothing.  Shares are null where there was nothing
+    to find.  Beyond the widest beam all is compared, and shares are 1."""
+    chosen = np.random.default_rng(7).permutation(len(x))[:AUDIT]
+    rows = graph.compare(x[chosen])
+    if place is not None:
+        rows[np.arange(len(chosen)), place[chosen]] = -2.0
+    wanted = []
+    for row in rows:
+        top = np.argsort(-row, kind="stable")[:NEAREST]
+        wanted.append((np.flatnonzero(row >= least), top[row[top] > -2.0]))
+    mean = lambda got: float(np.mean(got)) if got else None
+    beam = BEAM
+    while beam <= WIDEST:
+        links, near = [], []
+        for k, (hits, top) in zip(chosen.tolist(), wanted, strict=True):
+            found = {j for _, j in graph.met(x[k], beam)}
+            if len(top):
+                near.append(np.mean([j in found for j in top.tolist()]))
+            if len(hits):
+                some = graph.within(x[k], beam, least)
+                links.append(1.0 if some is None else np.isin(hits, some).mean())
+        recall, close = mean(links), mean(near)
+        if (recall is None or recall >= RECALL) and (close is None or close >= NEAR_RECALL):
+            return len(near), recall, close, beam
+        beam *= 2
+    return len(chosen), 1.0, 1.0, beam
+
+
 def linked(graph: Graph, ids: np.ndarray, x: np.ndarray, copies: np.ndarray, own: bool, least: float):
     """(ids, numbers of links, stars' centres) of all vectors with links between queries (ids, x) and a
-    graph, and (audited queries, share of their links found, beam).  own: the queries are of the graph's
-    own shard; each pair then counts once, and nothing links with itself."""
+    graph, and the audit().  own: the queries are of the graph's own shard; each pair then counts once, and
+    nothing links with itself."""
     n = len(graph.ids)
     every = np.concatenate([graph.ids, np.zeros(0, np.int64) if own else ids])
     weights = np.concatenate([graph.copies, np.zeros(0, np.int64) if own else copies])
     place = np.searchsorted(graph.ids, ids) if own else n + np.arange(len(ids))
-    exact = lambda ks: x[ks] @ graph.x.T >= least
-    # spread over the queries: those that have a link, selves excluded
-    order = np.random.default_rng(7).permutation(len(ids))
-    audited: list[tuple[int, np.ndarray]] = []
-    for a in range(0, len(order), AT_ONCE):
-        ks = order[a : a + AT_ONCE]
-        for k, row in zip(ks.tolist(), exact(ks), strict=True):
-            hits = np.flatnonzero(row)
-            hits = hits[hits != place[k]] if own else hits
-            if len(hits):
-                audited.append((k, hits))
-        if len(audited) >= AUDIT:
-            break
-    beam, share = BEAM, 1.0
-    while beam <= WIDEST:
-        got = []
-        for k, hits in audited[:AUDIT]:
-            found = graph.within(x[k], beam, least)
-            got.append(1.0 if found is None else np.isin(hits, found).mean())
-        share = float(np.mean(got)) if got else 1.0
-        if share >= RECALL:
-            break
-        beam *= 2
+    seen = audit(graph, x, place if own else None, least)
+    beam = seen[3]
     links, whole = Links(len(every)), []
     for k in range(len(ids)):
         found = graph.within(x[k], beam, least) if beam <= WIDEST else None
@@ -183,13 +201,13 @@ def linked(graph: Graph, ids: np.ndarray, x: np.ndarray, copies: np.ndarray, own
             links.add(int(place[k]), found, weights)
     for a in range(0, len(whole), AT_ONCE):
         ks = np.array(whole[a : a + AT_ONCE])
-        for k, row in zip(ks.tolist(), exact(ks), strict=True):
+        for k, row in zip(ks.tolist(), graph.compare(x[ks]) >= least, strict=True):
             found = np.flatnonzero(row)
             found = found[found > place[k]] if own else found
             if len(found):
                 links.add(int(place[k]), found, weights)
     at = np.flatnonzero(links.count)
-    return every[at], links.count[at], every[links.root[at]], (min(len(audited), AUDIT), 1.0 if beam > WIDEST else share, beam)
+    return every[at], links.count[at], every[links.root[at]], seen
 
 
 def _unit(v) -> np.ndarray:
@@ -199,7 +217,7 @@ def _unit(v) -> np.ndarray:
 
 
 #: What tasks return: a vector's links in one shard and the centre of their star; or, with no node, an audit.
-MET = "grp string, shard int, other int, node long, links long, root long, audited long, recall double, beam int"
+MET = "grp string, shard int, other int, node long, links long, root long, audited long, recall double, near double, beam int"
 FINE = (
     "vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND size(embedding) > 0 "
     "AND forall(embedding, v -> v IS NOT NULL AND NOT isnan(v) AND abs(v) < CAST('Infinity' AS DOUBLE)) AND exists(embedding, v -> v <> 0)"
@@ -232,13 +250,13 @@ def searched(vectors: DataFrame, least: float, size: int) -> tuple[DataFrame, Da
 
     def query(key, q: pd.DataFrame, g: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(g):
-            return pd.DataFrame({n: [] for n in ("grp", "shard", "other", "node", "links", "root", "audited", "recall", "beam")})
+            return pd.DataFrame({n: [] for n in ("grp", "shard", "other", "node", "links", "root", "audited", "recall", "near", "beam")})
         q = q.sort_values("node")
-        ids, links, roots, audit = linked(pickle.loads(g["graph"].iloc[0]), q["node"].to_numpy(), _unit(q["embedding"]), q["copies"].to_numpy(), key[1] == key[2], least)
+        ids, links, roots, audited = linked(pickle.loads(g["graph"].iloc[0]), q["node"].to_numpy(), _unit(q["embedding"]), q["copies"].to_numpy(), key[1] == key[2], least)
         found = pd.DataFrame({"node": pd.array(ids, "Int64"), "links": pd.array(links, "Int64"), "root": pd.array(roots, "Int64")})
-        last = pd.DataFrame({"audited": pd.array([audit[0]], "Int64"), "recall": [audit[1]], "beam": pd.array([audit[2]], "Int32")})
+        last = pd.DataFrame({"audited": pd.array([audited[0]], "Int64"), "recall": pd.array([audited[1]], "Float64"), "near": pd.array([audited[2]], "Float64"), "beam": pd.array([audited[3]], "Int32")})
         out = pd.concat([found, last])
-        return out.assign(grp=key[0], shard=key[1], other=key[2])[["grp", "shard", "other", "node", "links", "root", "audited", "recall", "beam"]]
+        return out.assign(grp=key[0], shard=key[1], other=key[2])[["grp", "shard", "other", "node", "links", "root", "audited", "recall", "near", "beam"]]
 
     by = ["grp", "shard", "other"]
     met = keep(queries.groupBy(*by).cogroup(asked.groupBy(*by)).applyInPandas(query, MET), "met")
@@ -248,10 +266,10 @@ def searched(vectors: DataFrame, least: float, size: int) -> tuple[DataFrame, Da
 
 
 def shard_recall(vectors: DataFrame, least: float = COSINE, size: int = SHARD) -> DataFrame:
-    """For each pair of shards of a label: how many queries with links were audited against the whole shard
-    (selves excluded), the mean share of their links that the search found, and the beam that it took.
-    An empty table gives an empty result."""
-    return searched(vectors, least, size)[2].where("node IS NULL").select("grp", "shard", "other", "audited", "recall", "beam")
+    """For each pair of shards of a label: how many random queries were audited against the whole shard (selves
+    excluded), the mean shares of their links (recall; null: they have none) and of their nearest (near) that the
+    search found, and the beam that it took.  An empty table gives an empty result."""
+    return searched(vectors, least, size)[2].where("node IS NULL").select("grp", "shard", "other", "audited", "recall", "near", "beam")
 
 
 def near_vectors(vectors: DataFrame, least: float = COSINE, size: int = SHARD) -> DataFrame:

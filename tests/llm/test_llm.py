@@ -430,7 +430,7 @@ def test_vectors(spark):
         assert got[400]["component_id"] == 0 and not got[400]["kept"]
         assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in (401, 402, 403, 404, 406, 407))
     audits = vectors.shard_recall(df, size=60).collect()
-    assert len(audits) > 4 and all(a["recall"] >= vectors.RECALL for a in audits)
+    assert len(audits) > 4 and all((a["recall"] is None or a["recall"] >= vectors.RECALL) and (a["near"] is None or a["near"] >= vectors.NEAR_RECALL) for a in audits)
     assert vectors.near_vectors(df.where("false")).count() == 0
 
 
@@ -442,6 +442,6 @@ def test_dense_vectors():
     truth = x @ x.T >= 0.98
     np.fill_diagonal(truth, False)
     graph = vectors.Graph(ids, x)
-    nodes, links, roots, (audited, share, _) = vectors.linked(graph, ids, x, np.ones(500, np.int64), True, 0.98)
+    nodes, links, roots, (audited, share, _, _) = vectors.linked(graph, ids, x, np.ones(500, np.int64), True, 0.98)
     assert dict(zip((nodes // 3).tolist(), links.tolist(), strict=True)) == {i: int(n) for i, n in enumerate(truth.sum(1)) if n}
     assert len(nodes) <= 500 and set(roots) <= set(nodes) and audited and share >= 0.995
