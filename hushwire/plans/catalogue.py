@@ -60,6 +60,10 @@ def calls(spark, d):
 PII, ASR, SPANS, CALLS, STATUS = (f"({x})" for x in (views.PII_TEXT, views.ASR.format(g=", 'g'"), views.SPANS.format(end="stop"), views.CALLS, views.STATUS))
 
 
+#: All documents, as the pattern queries name their columns.
+DOCS = "(SELECT doc_id AS id, text FROM documents)"
+
+
 def sql(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -75,6 +79,10 @@ def offsets_sql(pattern: str, group: int, source: str, where: str = "") -> str:
     SELECT id, text, "start", CAST("start" + length(text) AS INT) AS "end" FROM c {where}"""
 
 
+#: Patterns that both engines read: pattern, group and what a match must fulfil, by name.
+ON_TEXTS: dict = {}
+
+
 def _pattern_query(name: str, pattern: str, group: int) -> None:
     where = ""
     if name == "card":
@@ -88,11 +96,36 @@ def _pattern_query(name: str, pattern: str, group: int) -> None:
     QUERIES[f"rx_{name}"] = run
     if name != "phone":  # its look-behind has no form there; see rx_phone below
         ORACLE_SQL[f"rx_{name}"] = offsets_sql(pattern, group, PII, where)
+        ON_TEXTS[name] = (pattern, group, where)
 
 
 for _d in P.DETECTORS:
     _pattern_query(_d[0], _d[1], _d[2])
 
+
+def _patterns_sql(source: str) -> str:
+    return " UNION ALL ".join(f"(SELECT '{n}' AS kind, * FROM ({offsets_sql(p, g, source, where)}) o)" for n, (p, g, where) in ON_TEXTS.items())
+
+
+def every_pattern(texts: DataFrame) -> DataFrame:
+    """What each pattern finds in whole texts (id, text), in one pass over them."""
+
+    def named(n: str):
+        return F.transform(entities.rule_entities("text", n), lambda e: e.withField("kind", F.lit(n)))
+
+    return texts.select("id", F.inline(F.concat(*map(named, ON_TEXTS)))).select("kind", "id", "text", "start", "end")
+
+
+@query("document_patterns", _patterns_sql(DOCS))
+def document_patterns(spark, d):
+    return every_pattern(table(spark, d, "documents").select(F.col("doc_id").alias("id"), "text"))
+
+
+@query("page_patterns", _patterns_sql("(SELECT page_id AS id, html AS text FROM pages)"))
+def page_patterns(spark, d):
+    return every_pattern(table(spark, d, "pages").select(F.col("page_id").alias("id"), F.col("html").alias("text")))
+
+
 ORACLE_SQL["rx_phone_texts"] = rf"""SELECT id, unnest(regexp_extract_all(text, '(?:^|\D)((?:\+?\d{{1,3}}[-.\s]?)?(?:\(?\d{{3}}\)?[-.\s]?)?\d{{3}}[-.\s]?\d{{4}})(?:\D|$)', 1)) AS text
   FROM (SELECT id, substr(text, strpos(text, ' call '), 20) AS text FROM {PII} v) w"""
 
@@ -888,7 +921,7 @@ def engine_rows(spark, d):
     return workers.recognised(inputs, engine).select("file_id", "transcript", F.when(F.col("words").isNotNull(), F.size("words")).cast("long").alias("num_words"), "error", "retried")
 
 
-@query("tag_documents", offsets_sql("[0-9]+", 0, "(SELECT doc_id AS id, text FROM documents)"))
+@query("tag_documents", offsets_sql("[0-9]+", 0, DOCS))
 def tag_documents(spark, d):
     """A tagger on lateral chunks of whole documents; what chunks share is one entity, at its place in the text."""
 
