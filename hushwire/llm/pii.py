@@ -1,10 +1,12 @@
 """Personal data by candidate gradient boosting.
 
 High-recall generators propose overlapping spans: the fixed base patterns, whose matches always stay, and
-looser ones (spelled-out addresses, telephone numbers without a plus, grouped digits, national numbers,
+looser ones (spelled-out addresses, telephone numbers without a plus, digits in groups, national numbers,
 long network addresses).  Boosted regression trees over format and context features score the loose
 candidates; per kind the lowest threshold that keeps the wanted precision on held-out examples selects.
-The trees are trained here on examples drawn from templates with a fixed seed.
+The trees are trained here on examples drawn from templates with a fixed seed.  Both truths share their
+forms and, for a part of the examples, their context, so that scores of the two overlap and the thresholds
+have something to weigh.  Every scanner takes time in proportion to the text.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import string
+from bisect import bisect_left
 from functools import lru_cache
 
 import numpy as np
@@ -20,23 +24,30 @@ from pyspark.sql import functions as F
 
 from hushwire.llm.common import map_arrow, table
 
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
-CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+#: What may stand before an @, and the @ with its domain.
+LOCAL = string.ascii_letters + string.digits + "._%+-"
+DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+#: No digit precedes: within a run of digits what follows the run decides for all its starts alike.
+IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 BASE = ("email", "ip", "card", "phone")
 DIGIT = re.compile(r"[0-9]")
 
-#: Loose generators: kind, what the text must hold, pattern.
+#: What follows the local part of a spelled-out address.
+SPELLED = re.compile(r" ?(?i:\(at\)|\[at\]|\{at\}| at ) ?(?:[A-Za-z0-9-]++ ?(?i:\(dot\)|\[dot\]|\{dot\}| dot |\.) ?)+[A-Za-z]{2,}+\b")
+#: Other loose generators: kind, pattern.  Lengths in them are those of the format; runs have no upper bound.
 LOOSE = (
-    ("spelled_email", "at", re.compile(r"[A-Za-z0-9._%+-]{2,40} ?(?:\(at\)|\[at\]|\{at\}| at ) ?[A-Za-z0-9-]{2,40} ?(?:\(dot\)|\[dot\]|\{dot\}| dot |\.) ?[A-Za-z]{2,10}\b")),
-    ("local_phone", "", re.compile(r"(?<![0-9+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")),
-    ("national_id", "-", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")),
-    ("digits", "", re.compile(r"(?<![0-9.])[0-9](?:[ -]?[0-9]){8,24}(?![0-9])")),
-    ("ip6", ":", re.compile(r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){5,7}(?![0-9A-Fa-f:])")),
+    ("local_phone", re.compile(r"(?<![0-9+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")),
+    ("national_id", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")),
+    ("digits", re.compile(r"(?<![0-9.])[0-9](?:[ -]?[0-9]){8,}+")),
+    ("grouped", re.compile(r"(?<![0-9])[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}(?![0-9])")),
+    ("ip6", re.compile(r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){5,7}(?![0-9A-Fa-f:])")),
 )
-KINDS = tuple(k for k, _, _ in LOOSE)
+KINDS = ("spelled_email", *(k for k, _ in LOOSE))
 HINTS = ("mail", "contact", "call", "phone", "tel", "mobile", "fax", "card", "visa", "ssn", "social", "account", "host", "address", "server", "order", "version", "invoice", "isbn", "total", "year", "page")
+#: Endings of addresses that speak for a spelled-out one.
+ENDINGS = frozenset("com org net edu gov io info de fr uk us eu es it nl ch jp cn in br ru".split())
 #: Precision wanted of the selected loose spans on held-out examples.
 PRECISION = 0.97
 
@@ -61,44 +72,87 @@ def small(digits: str) -> bool:
     return len(d) <= 3 and int(d or 0) <= 255
 
 
+def emails(text: str) -> list[tuple[int, int]]:
+    """Start and end of every address: an @ with its domain, and all before it that may be a local part."""
+    out, past = [], 0
+    for m in DOMAIN.finditer(text):
+        start = past + len(text[past : m.start()].rstrip(LOCAL))
+        if start < m.start():
+            out.append((start, m.end()))
+        past = m.end() if start < m.start() else m.start() + 1
+    return out
+
+
 def base_spans(text: str) -> list[tuple[int, int, str, int]]:
     """(start, rank, kind, end) of the base patterns, in order; failing matches are stepped over."""
-    out = []
-    if "@" in text:
-        out += [(m.start(), 0, "email", m.end()) for m in EMAIL.finditer(text)]
+    out = [(a, 0, "email", b) for a, b in emails(text)]
     if DIGIT.search(text):
-        if "." in text:
-            out += [(m.start(), 1, "ip", m.end()) for m in IP.finditer(text) if all(small(x) for x in m[0].split("."))]
+        out += [(m.start(), 1, "ip", m.end()) for m in IP.finditer(text) if all(small(x) for x in m[0].split("."))]
         for m in CARD.finditer(text):
-            if m.end() - m.start() >= 14:
+            if 14 <= m.end() - m.start() <= 37:  # 19 digits with separators at most
                 d = only_digits(m[0])
                 if 14 <= len(d) <= 19 and luhn(d):
                     out.append((m.start(), 2, "card", m.end()))
-        if "+" in text:
-            out += [(m.start(), 3, "phone", m.end()) for m in PHONE.finditer(text) if 10 <= len(only_digits(m[0])) <= 15]
+        out += [(m.start(), 3, "phone", m.end()) for m in PHONE.finditer(text) if 10 <= len(only_digits(m[0])) <= 15]
     return sorted(out)
 
 
+def spelled(text: str) -> list[tuple[int, int]]:
+    """Start and end of every spelled-out address, its local part as long as it goes."""
+    out, past = [], 0
+    for m in SPELLED.finditer(text):
+        start = past + len(text[past : m.start()].rstrip(LOCAL))
+        if start < m.start():
+            out.append((start, m.end()))
+        past = m.end()
+    return out
+
+
 def candidates(text: str) -> list[tuple[int, int, str, int]]:
-    out = []
-    has_digit = DIGIT.search(text) is not None
-    for rank, (kind, need, pattern) in enumerate(LOOSE, 4):
-        if (has_digit or kind == "spelled_email") and need in text:
-            if kind == "spelled_email" and not ("(at)" in text or "[at]" in text or "{at}" in text or " dot " in text):
-                continue
-            out += [(m.start(), rank, kind, m.end()) for m in pattern.finditer(text)]
+    """(start, rank, kind, end) of all loose generators; those of different kinds may overlap."""
+    out = [(a, 4, "spelled_email", b) for a, b in spelled(text)]
+    for rank, (kind, pattern) in enumerate(LOOSE, 5):
+        out += [(m.start(), rank, kind, m.end()) for m in pattern.finditer(text)]
+    return out
+
+
+def apart(spans: list, taken: list) -> list:
+    """Those of spans that overlap none of taken (sorted by start)."""
+    starts, furthest, most = [t[0] for t in taken], [-1], -1
+    for t in taken:
+        most = max(most, t[3])
+        furthest.append(most)
+    return [c for c in spans if furthest[bisect_left(starts, c[3])] <= c[0]]
+
+
+def best_apart(scored: list[tuple[float, tuple]]) -> list:
+    """Spans by falling score, each kept unless it overlaps one kept before.  Spans that reach into one
+    another form a run; runs are settled one by one."""
+    out, run, end = [], [], -1
+    for item in [*sorted(scored, key=lambda x: x[1]), (0.0, None)]:
+        if item[1] is None or item[1][0] >= end:
+            kept: list = []
+            for _, c in sorted(run, key=lambda x: (-x[0], x[1])):
+                if not any(k[0] < c[3] and c[0] < k[3] for k in kept):
+                    kept.append(c)
+            out.extend(kept)
+            run = []
+        if item[1] is not None:
+            run.append(item)
+            end = max(end, item[1][3])
     return out
 
 
 def span_features(text: str, start: int, end: int, kind: str) -> list[float]:
     s, before, after = text[start:end], text[max(0, start - 40) : start].lower(), text[end : end + 20].lower()
-    digits = only_digits(s)
+    digits, low = only_digits(s), s.lower()
     seps = [s.count(c) for c in " -.():"]
+    ending = low.rstrip(string.ascii_lowercase)
     return [
         KINDS.index(kind), len(s), len(digits), len(digits) / max(1, len(s)), *seps,
         float(bool(digits) and luhn(digits)), float(digits[:1] in ("0", "1")), float(len(set(digits))), float(before[-1:].isalnum()),
-        float(after[:1].isalnum()), float(before.rstrip()[-1:] in ":#="), float("(at)" in s or "[at]" in s or "{at}" in s),
-        float(s.rstrip("abcdefghijklmnopqrstuvwxyz").endswith((".", "dot "))), *(float(h in before) for h in HINTS),
+        float(after[:1].isalnum()), float(before.rstrip()[-1:] in ":#="), float("(at)" in low or "[at]" in low or "{at}" in low),
+        float(ending.endswith((". ", " .", " . "))), float(low[len(ending) :] in ENDINGS), float(ending.endswith("dot ")), *(float(h in before) for h in HINTS),
     ]
 
 
@@ -145,84 +199,90 @@ class Trees:
         return 1 / (1 + np.exp(-z))
 
 
-def examples(n: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features, truth and kind of candidates in sentences drawn from templates."""
-    r = random.Random(seed)
+#: Words before a span that speak for it and against it, by kind; a part of the examples has neither.
+FOR = {
+    "spelled_email": ("mail ", "contact: ", "write to ", "e-mail "), "local_phone": ("call ", "phone: ", "tel ", "mobile ", "fax: ", "contact "), "national_id": ("ssn ", "social security ", "ssn: "),
+    "digits": ("card ", "visa ", "account ", "card: "), "grouped": ("card ", "visa ", "account ", "card: "), "ip6": ("host ", "server ", "address "),
+}
+AGAINST = ("order ", "invoice ", "version ", "total ", "page ", "isbn ", "year ")
+#: Share of examples, of either truth, whose context says nothing.
+NEUTRAL = 0.2
+#: The same for spelled-out addresses, whose like stands in any prose.
+PROSE = 0.6
+
+
+def example(r: random.Random, kind: str, truth: bool) -> tuple[str, int, int]:
+    """A sentence with one span of a kind, and where that is."""
     digits = lambda k: "".join(r.choice("0123456789") for _ in range(k))
     word = lambda: "".join(r.choice("aeioubcdfglmnprst") for _ in range(r.randint(2, 9)))
+    fours = lambda d, c: c.join(d[i : i + 4] for i in range(0, len(d), 4))
 
-    def card() -> str:
-        d = r.choice("3456") + digits(14)
+    def card(k: int) -> str:
+        d = r.choice("3456") + digits(k - 2)
         return next(d + c for c in "0123456789" if luhn(d + c))
 
-    def good() -> str:
-        k = r.randrange(5)
-        if k == 0:
-            return r.choice(["mail ", "contact: ", "write to ", ""]) + f"{word()}.{word()} {r.choice(['(at)', '[at]', '{at}'])} {word()} {r.choice(['(dot)', '[dot]', '.'])} {r.choice(['com', 'org', 'net', 'de'])}"
-        if k == 1:
-            return r.choice(["call ", "phone: ", "tel ", "mobile ", "fax: ", "reach me on "]) + f"({digits(3)}) {digits(3)}-{digits(4)}"
-        if k == 2:
-            return r.choice(["ssn ", "social security ", "ssn: ", "id "]) + f"{digits(3)}-{digits(2)}-{digits(4)}"
-        if k == 3:
-            c = card()
-            return r.choice(["card ", "visa ", "account ", "pay with card: "]) + r.choice([c, " ".join(c[i : i + 4] for i in range(0, 16, 4))])
-        return r.choice(["host ", "server ", "address ", ""]) + ":".join("".join(r.choice("0123456789abcdef") for _ in range(4)) for _ in range(8))
-
-    def bad() -> str:
-        k = r.randrange(5)
-        if k == 0:
-            return f"{word()} {word()} at {word()} dot {word()}"
-        if k == 1:
-            return r.choice(["version ", "order ", "total ", "page "]) + f"{digits(3)} {digits(3)} {digits(4)}"
-        if k == 2:
-            return r.choice(["order ", "invoice ", "version "]) + f"{digits(3)}-{digits(2)}-{digits(4)}"
-        if k == 3:
-            d = digits(r.choice([16, 16, 16, r.randint(9, 24)]))
-            while luhn(d):
-                d = digits(len(d))
-            return r.choice(["order ", "invoice ", "isbn ", "total ", "", ""]) + d
-        return f"{digits(2)}:{digits(2)}:{digits(2)}:{digits(2)}:{digits(2)}:{digits(2)}"
+    if kind == "spelled_email" and truth:
+        mark = r.choice([" (at) ", " [at] ", "{at}", "(at)", " (AT) ", " at ", " at "])
+        span = word() + r.choice(["", "." + word(), digits(2)]) + mark + word() + r.choice([" (dot) ", "[dot]", ".", " dot ", "."]) + r.choice([*sorted(ENDINGS), "com", "org", word()])
+    elif kind == "spelled_email":
+        end = r.choice([word(), word(), r.choice(sorted(ENDINGS))])  # many endings are words too
+        span = f"{word()} at {word()}" + r.choice([f". {end.title()}", f". {end.title()}", f". {end}", f". {end}", f".{word()}", f" dot {word()}"])
+    elif kind == "local_phone":
+        span = (f"({digits(3)}) " if truth and r.random() < 0.5 else digits(3) + r.choice(" .-")) + digits(3) + r.choice(" .-") + digits(4)
+    elif kind == "national_id":
+        span = f"{digits(3)}-{digits(2)}-{digits(4)}"
+    elif kind == "digits":
+        span = card(r.choice([13, 15, 16, 16, 16])) if truth else digits(r.choice([16, 16, r.randint(9, 40)]))
+    elif kind == "grouped":
+        span = fours(card(16) if truth else digits(16), r.choice(" -"))
+    else:
+        span = ":".join("".join(r.choice("0123456789abcdef") for _ in range(4)) for _ in range(8)) if truth else ":".join(digits(2) if r.random() < 0.5 else f"{r.randrange(256):02x}" for _ in range(r.choice([6, 6, 8])))
+    plain = PROSE if kind == "spelled_email" else NEUTRAL
+    lead = "" if r.random() < plain else r.choice(FOR[kind] if truth else AGAINST)
+    before = f"{word()} {word()} {lead}"
+    return f"{before}{span} {word()}.", len(before), len(before) + len(span)
+
 
+def examples(n: int, seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, truth and kind of n or a few more candidates in sentences drawn from templates."""
+    r = random.Random(seed)
     x, y, kind = [], [], []
     while len(x) < n:
         truth = r.random() < 0.5
-        text = f"{word()} {word()} {good() if truth else bad()} {word()}."
+        text, start, end = example(r, r.choice(KINDS), truth)
         for a, rank, k, b in candidates(text):
             x.append(span_features(text, a, b, k))
-            y.append(float(truth))
+            y.append(float(truth and (a, b) == (start, end)))
             kind.append(rank - 4)
     return np.array(x), np.array(y), np.array(kind)
 
 
+def lowest(scores: np.ndarray, truth: np.ndarray, wanted: float = PRECISION) -> float:
+    """The least score from which on the precision is as wanted; above 1 where there is none."""
+    order = np.argsort(-scores, kind="stable")
+    s, y = scores[order], truth[order]
+    last = np.append(s[1:] < s[:-1], True)  # equal scores are selected together
+    ok = np.flatnonzero(last & (np.cumsum(y) / np.arange(1, len(y) + 1) >= wanted))
+    return float(s[ok[-1]]) if len(ok) else 1.01
+
+
 @lru_cache(1)
 def model() -> tuple[Trees, np.ndarray]:
-    """The trees and each kind's threshold: the least score from which on held-out precision is kept."""
-    x, y, _ = examples(3000, 7)
+    """The trees and each kind's threshold, taken on examples that the trees have not seen."""
+    x, y, _ = examples(6000, 7)
     trees = Trees(x, y)
-    x, y, kind = examples(3000, 8)
+    x, y, kind = examples(6000, 8)
     s = trees.score(x)
-    limits = np.ones(len(KINDS)) * 1.01
-    for k in range(len(KINDS)):
-        order = np.argsort(-s[kind == k])
-        sk, yk = s[kind == k][order], y[kind == k][order]
-        ok = np.flatnonzero(np.cumsum(yk) / np.arange(1, len(yk) + 1) >= PRECISION)
-        if len(ok):
-            limits[k] = max(0.5, sk[ok[-1]])
-    return trees, limits
+    return trees, np.array([lowest(s[kind == k], y[kind == k]) for k in range(len(KINDS))])
 
 
 def find(text: str, trees: Trees, limits: np.ndarray) -> tuple[list, list]:
     """Base spans, and all spans: of overlapping loose candidates the one with the best score stays."""
     base = base_spans(text)
-    loose = [c for c in candidates(text) if not any(b[0] < c[3] and c[0] < b[3] for b in base)]
+    loose = apart(candidates(text), base)
     if loose:
         s = trees.score(np.array([span_features(text, c[0], c[3], c[2]) for c in loose]))
-        picked: list = []
-        for i in sorted(range(len(loose)), key=lambda i: (-s[i], loose[i])):
-            c = loose[i]
-            if s[i] >= limits[c[1] - 4] and not any(p[0] < c[3] and c[0] < p[3] for p in picked):
-                picked.append(c)
-        return base, sorted(base + picked)
+        return base, sorted(base + best_apart([(v, c) for v, c in zip(s.tolist(), loose, strict=True) if v >= limits[c[1] - 4]]))
     return base, base
 
 
@@ -235,7 +295,9 @@ SCHEMA = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_
 
 def scan(docs: DataFrame) -> DataFrame:
     """Personal data of every whole text.  A null text counts as empty; repeated rows are each scanned;
-    an empty table gives an empty result; extra columns are ignored."""
+    an empty table gives an empty result; extra columns are ignored.  Very long texts are scanned whole, in
+    time in proportion to their length.  Spans of one start are told apart by kind; of loose candidates
+    with equal scores the one that starts first stays, then the kind listed first."""
     trees, limits = model()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
 
@@ -257,4 +319,5 @@ def scan(docs: DataFrame) -> DataFrame:
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data, one row a document; odd input as in `scan`."""
     return scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
