@@ -27,21 +27,22 @@ from hushwire.llm.common import map_arrow, table
 #: What may stand before an @, and the @ with its domain.
 LOCAL = string.ascii_letters + string.digits + "._%+-"
 DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
-#: No digit precedes: within a run of digits what follows the run decides for all its starts alike.
-IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
+#: No digit precedes: within a run of digits what follows the run decides for all its starts alike.  (Patterns
+#: begin with what they look for and look back from there, which lets the search step over all else.)
+IP = re.compile(r"[0-9](?<![0-9][0-9])[0-9]*+(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 BASE = ("email", "ip", "card", "phone")
 DIGIT = re.compile(r"[0-9]")
 
-#: What follows the local part of a spelled-out address.
-SPELLED = re.compile(r" ?(?i:\(at\)|\[at\]|\{at\}| at ) ?(?:[A-Za-z0-9-]++ ?(?i:\(dot\)|\[dot\]|\{dot\}| dot |\.) ?)+[A-Za-z]{2,}+\b")
+#: What follows the local part of a spelled-out address, but for a space.
+SPELLED = re.compile(r"[ (\[{][Aa][Tt](?:(?<= ..) |(?<=\(..)\)|(?<=\[..)\]|(?<=\{..)\}) ?(?:[A-Za-z0-9-]++ ?(?i:\(dot\)|\[dot\]|\{dot\}| dot |\.) ?)+[A-Za-z]{2,}+\b")
 #: Other loose generators: kind, pattern.  Lengths in them are those of the format; runs have no upper bound.
 LOOSE = (
-    ("local_phone", re.compile(r"(?<![0-9+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")),
-    ("national_id", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")),
-    ("digits", re.compile(r"(?<![0-9.])[0-9](?:[ -]?[0-9]){8,}+")),
-    ("grouped", re.compile(r"(?<![0-9])[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}(?![0-9])")),
+    ("local_phone", re.compile(r"[(0-9](?<![0-9+.-].)(?:(?<=\()[0-9]{3}|(?<!\()[0-9]{2})\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")),
+    ("national_id", re.compile(r"[0-9](?<![0-9-].)[0-9]{2}-[0-9]{2}-[0-9]{4}(?![0-9-])")),
+    ("digits", re.compile(r"[0-9](?<![0-9.].)(?:[ -]?[0-9]){8,}+")),
+    ("grouped", re.compile(r"[0-9](?<![0-9].)[0-9]{3}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}(?![0-9])")),
     ("ip6", re.compile(r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){5,7}(?![0-9A-Fa-f:])")),
 )
 KINDS = ("spelled_email", *(k for k, _ in LOOSE))
@@ -101,8 +102,9 @@ def spelled(text: str) -> list[tuple[int, int]]:
     """Start and end of every spelled-out address, its local part as long as it goes."""
     out, past = [], 0
     for m in SPELLED.finditer(text):
-        start = past + len(text[past : m.start()].rstrip(LOCAL))
-        if start < m.start():
+        before = text[past : m.start()].removesuffix(" ")
+        start = past + len(before.rstrip(LOCAL))
+        if start < past + len(before):
             out.append((start, m.end()))
         past = m.end()
     return out
@@ -111,8 +113,11 @@ def spelled(text: str) -> list[tuple[int, int]]:
 def candidates(text: str) -> list[tuple[int, int, str, int]]:
     """(start, rank, kind, end) of all loose generators; those of different kinds may overlap."""
     out = [(a, 4, "spelled_email", b) for a, b in spelled(text)]
+    holds = {"ip6": text.count(":") >= 5}  # what every match holds; a digit in the other kinds
+    digit = DIGIT.search(text) is not None
     for rank, (kind, pattern) in enumerate(LOOSE, 5):
-        out += [(m.start(), rank, kind, m.end()) for m in pattern.finditer(text)]
+        if holds.get(kind, digit):
+            out += [(m.start(), rank, kind, m.end()) for m in pattern.finditer(text)]
     return out
 
 
