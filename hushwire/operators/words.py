@@ -5,12 +5,12 @@ Words are rows with file_id, channel and ord (their order in the channel) unless
 from __future__ import annotations
 
 from collections.abc import Iterator
-from difflib import SequenceMatcher
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hushwire.functions.runs import common_runs
 from hushwire.functions.text import normalize_token, tokens
 
 KEYS = ["file_id", "channel"]
@@ -77,9 +77,13 @@ def alike(a: str, b: str) -> bool:
 def matched(said: list[str], timed: list[str]) -> list[tuple[int, int]]:
     """Pairs of positions of two token lists that correspond: equal runs, and replaced runs of one length
     where the tokens are alike.  What was put in or left out has no partner."""
-    blocks = SequenceMatcher(None, said, timed, autojunk=False).get_opcodes()
-    level = [(range(a, b), range(c, d), kind) for kind, a, b, c, d in blocks if kind in ("equal", "replace") and b - a == d - c]
-    return [(i, j) for left, right, kind in level for i, j in zip(left, right, strict=True) if kind == "equal" or alike(said[i], timed[j])]
+    pairs, i0, j0 = [], 0, 0
+    for i, j, k in [*common_runs(said, timed), (len(said), len(timed), 0)]:
+        if i - i0 == j - j0:
+            pairs += [(x, y) for x, y in zip(range(i0, i), range(j0, j), strict=True) if alike(said[x], timed[y])]
+        pairs += zip(range(i, i + k), range(j, j + k), strict=True)
+        i0, j0 = i + k, j + k
+    return pairs
 
 
 ALIGNED = "file_id long, channel int, word string, start_char int, end_char int, start double, end double, anchor_word string"
