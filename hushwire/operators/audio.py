@@ -79,23 +79,34 @@ def low_pass(up: int, down: int, half: int = 10) -> np.ndarray:
     return taps * (up / taps.sum())
 
 
-def resampled(x: np.ndarray, source: int, target: int) -> np.ndarray:
-    """x at another rate: ceil(n * target / source) samples.  Each output phase is one short filter over
-    the input, so zeros between samples are never made."""
+def ratio(source: int, target: int) -> tuple[int, int]:
     g = math.gcd(source, target)
-    up, down = target // g, source // g
+    return target // g, source // g
+
+
+def outputs_before(n: int, up: int, down: int) -> int:
+    """How many resampled samples begin before sample n of the source."""
+    return -(-n * up // down)
+
+
+def resampled_part(x: np.ndarray, first: int, lo: int, hi: int, up: int, down: int, taps: np.ndarray) -> np.ndarray:
+    """Outputs lo..hi of a whole recording of which x is the part from sample `first`; beyond x all is taken
+    as zero.  Each output phase is one short filter over the input, so zeros between samples are never made."""
+    middle, out = len(taps) // 2, np.zeros(max(0, hi - lo))
+    for k0 in range(lo, min(lo + up, hi)):
+        place = np.arange(k0, hi, up) * down + middle  # in the upsampled signal, delayed by the filter
+        full = np.convolve(x.astype(np.float64), taps[place[0] % up :: up])
+        k = place // up - first
+        out[k0 - lo :: up] = np.where((k >= 0) & (k < len(full)), full[np.clip(k, 0, len(full) - 1)], 0.0)
+    return out.astype(np.float32)
+
+
+def resampled(x: np.ndarray, source: int, target: int) -> np.ndarray:
+    """x at another rate: ceil(n * target / source) samples."""
+    up, down = ratio(source, target)
     if up == down or not len(x):
         return x.astype(np.float32)
-    taps = low_pass(up, down)
-    middle, n = len(taps) // 2, -(-len(x) * up // down)
-    out = np.zeros(n)
-    for phase in range(min(up, n)):
-        place = np.arange(phase, n, up) * down + middle  # in the upsampled signal, delayed by the filter
-        own = taps[place[0] % up :: up]
-        full = np.convolve(x.astype(np.float64), own)
-        k = place // up
-        out[phase::up] = np.where(k < len(full), full[np.minimum(k, len(full) - 1)], 0.0)
-    return out.astype(np.float32)
+    return resampled_part(x, 0, 0, outputs_before(len(x), up, down), up, down, low_pass(up, down))
 
 
 def resample(recordings: DataFrame, source: int, target: int) -> DataFrame:
@@ -108,27 +119,37 @@ def resample(recordings: DataFrame, source: int, target: int) -> DataFrame:
     return recordings.select("id", "samples").mapInPandas(run, "id long, samples array<float>")
 
 
-def envelope(n: int, fade_samples: int) -> np.ndarray:
-    """The envelope of `fade`, for whole recordings."""
+def envelope(n: int, fade_samples: int, lo: int = 0, hi: int | None = None) -> np.ndarray:
+    """Places lo..hi of the envelope of `fade` over n samples."""
     f = min(fade_samples, max(1, n // 2))
+    i = np.arange(lo, n if hi is None else hi)
     if f <= 1 or n <= 2:
-        return np.ones(n)
-    i = np.arange(n)
+        return np.ones(len(i))
     return np.minimum(1.0, np.minimum(i, n - 1 - i) / (f - 1))
 
 
+def noise_at(lo: int, hi: int, seed: int) -> np.ndarray:
+    """Normal noise of samples lo..hi of a recording: a function of place and seed, so any part of it can be
+    made alone."""
+    draw = np.random.Philox(key=seed)
+    draw.advance(lo // 2)  # a step of the generator gives the four numbers of two samples
+    u = draw.random_raw(4 * ((hi + 1) // 2 - lo // 2)).reshape(-1, 2)[lo % 2 :][: hi - lo]
+    u = ((u >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+    return np.sqrt(-2 * np.log(u[:, 0])) * np.cos(2 * np.pi * u[:, 1])
+
+
 def noise(recordings: DataFrame, rate: int, gain: float = 0.03, fade_ms: float = 8.0, seed: int = 42) -> DataFrame:
     """recordings (id, samples, spans: array of start, end in seconds) with each span replaced by faded
-    noise of gain times the peak.  One generator a recording gives the spans their noise in order,
-    so a task that runs again gives the same samples."""
+    noise of gain times the peak.  Noise is a function of seed and place, so a task that runs again gives the
+    same samples."""
 
     def masked(samples, spans) -> np.ndarray:
-        x, draw = np.array(samples, np.float32), np.random.default_rng(seed)
+        x = np.array(samples, np.float32)
         top = float(np.abs(x).max(initial=0.0)) or 1.0
         for s in () if spans is None else spans:
             a, b = max(0, round(s["start"] * rate)), min(len(x), round(s["end"] * rate))
             if b > a:
-                x[a:b] = draw.normal(0.0, gain * top, b - a).astype(np.float32) * envelope(b - a, max(1, int(rate * fade_ms / 1000)))
+                x[a:b] = replacement("noise", a, b, a, b, rate, top, 0.0, gain, max(1, int(rate * fade_ms / 1000)), seed)
         return x
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -139,28 +160,34 @@ def noise(recordings: DataFrame, rate: int, gain: float = 0.03, fade_ms: float =
 
 
 MODES = ("silence", "beep", "noise")
+#: Loudness of a replacement, as a share of the peak.
+GAIN = {"silence": 0.0, "beep": 0.35, "noise": 0.03}
 
 
-def replacement(mode: str, n: int, rate: int, top: float, hertz: float, gain: float, fade_samples: int, draw: np.random.Generator) -> np.ndarray:
+def replacement(mode: str, a: int, b: int, lo: int, hi: int, rate: int, top: float, hertz: float, gain: float, fade_samples: int, seed: int) -> np.ndarray:
+    """Samples lo..hi of what replaces the span a..b of a recording."""
     if mode == "silence":
-        return np.zeros(n, np.float32)
-    wave = draw.normal(0.0, gain * top, n) if mode == "noise" else gain * top * np.sin(2 * np.pi * hertz * np.arange(n, dtype=np.float32) / np.float32(rate))
-    return wave.astype(np.float32) * envelope(n, fade_samples).astype(np.float32)
+        return np.zeros(hi - lo, np.float32)
+    if mode == "noise":
+        wave = gain * top * noise_at(lo, hi, seed)
+    else:
+        wave = gain * top * np.sin(2 * np.pi * hertz * np.arange(lo - a, hi - a).astype(np.float32) / np.float32(rate))
+    return wave.astype(np.float32) * envelope(b - a, fade_samples, lo - a, hi - a).astype(np.float32)
 
 
 def masked(channels: list[np.ndarray], spans, rate: int, mode: str, both: bool, hertz: float, gain: float, fade_ms: float, seed: int) -> list[np.ndarray]:
     """Channels with every span replaced, in order, so that a later span wins.  One channel is made two.  A
     span is for its channel; for all where that is null, -1 or not there, or with `both`.  The peak is that
-    of the whole recording as it came, and one generator gives all spans of a recording their noise."""
+    of the whole recording as it came."""
     x = [np.array(c, np.float32) for c in channels]
     x = x * 2 if len(x) == 1 else x
     x = [c.copy() for c in x]
     top = max((float(np.abs(c).max(initial=0.0)) for c in x), default=0.0) or 1.0
-    draw, fade_samples = np.random.default_rng(seed), max(1, int(rate * fade_ms / 1000))
+    fade_samples = max(1, int(rate * fade_ms / 1000))
     for s in () if spans is None else spans:
         a, b = max(0, round(s["start"] * rate)), min(len(x[0]) if x else 0, round(s["end"] * rate))
         if b > a:
-            new = replacement(mode, b - a, rate, top, hertz, gain, fade_samples, draw)
+            new = replacement(mode, a, b, a, b, rate, top, hertz, gain, fade_samples, seed)
             k = s["channel"]
             for c in x if both or k is None or not 0 <= k < len(x) else [x[int(k)]]:
                 c[a:b] = new
@@ -173,7 +200,7 @@ def mask(recordings: DataFrame, rate: int = 48000, mode: str = "silence", both:
     empty; a recording is held whole by one task, and tasks share nothing."""
     if mode not in MODES:
         raise ValueError(f"unknown masking mode: {mode}")
-    level = {"silence": 0.0, "beep": 0.35, "noise": 0.03}[mode] if gain is None else gain
+    level = GAIN[mode] if gain is None else gain
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
