@@ -9,7 +9,7 @@ from hushwire import ports, workers
 from hushwire.functions import patterns as P
 from hushwire.functions import text as T
 from hushwire.functions.distance import distances, rate
-from hushwire.operators import audio, consensus, entities, files, reports, spans, state
+from hushwire.operators import audio, blocks, consensus, entities, files, reports, spans, state
 from hushwire.operators import words as timed
 from hushwire.plans import views
 from hushwire.sources import io, store
@@ -800,6 +800,36 @@ def mask_beep_spans(spark, d):
     return m.select("id", total(0).alias("left_sum"), total(1).alias("right_sum"))
 
 
+#: Samples a block: spans begin, end and go over its edges.
+_BLOCK = 7
+
+
+def _masked_blocks(spark, d, mode: str):
+    """Samples (id, i, a, b) of the stereo recordings, masked block by block."""
+    t = stereo(spark, d)
+    spans_ = t.select("id", F.posexplode("spans").alias("ord", "s")).select("id", "ord", "s.*")
+    m = blocks.mask(blocks.cut(t, _BLOCK), spans_, _BLOCK, 8000, mode)
+    frames = m.select("id", "block", F.posexplode(F.arrays_zip(F.col("channels")[0].alias("a"), F.col("channels")[1].alias("b"))).alias("i", "f"))
+    return frames.select("id", (F.col("block") * _BLOCK + F.col("i")).alias("i"), F.col("f.a").cast("double").alias("a"), F.col("f.b").cast("double").alias("b"))
+
+
+@query("mask_silence_blocks", ORACLE_SQL["mask_silence"])
+def mask_silence_blocks(spark, d):
+    weighed = lambda c: F.round(F.sum(F.col(c) * (F.col("i") + 1)), 3)
+    return _masked_blocks(spark, d, "silence").groupBy("id").agg(weighed("a").alias("left_sum"), weighed("b").alias("right_sum"))
+
+
+@query("mask_beep_blocks", ORACLE_SQL["mask_beep_spans"])
+def mask_beep_blocks(spark, d):
+    total = lambda c: F.floor(F.sum(F.abs(c)) * 100 + 0.5)
+    return _masked_blocks(spark, d, "beep").groupBy("id").agg(total("a").alias("left_sum"), total("b").alias("right_sum"))
+
+
+@query("peaks_by_blocks", f"SELECT id, count(*) AS n, max(CAST(greatest(abs(a), abs(b)) AS FLOAT)) AS peak FROM ({_FRAMES.format(n=_STEPS)}) f GROUP BY id")
+def peaks_by_blocks(spark, d):
+    return blocks.totals(blocks.cut(stereo(spark, d), _BLOCK)).select("id", "n", F.col("peak").cast("float").alias("peak"))
+
+
 # ---- caches, taggers, tails and streams
 
 _CACHE = "SELECT '/calls/' || (o_custkey % 500) AS input_path, CASE o_orderkey % 3 WHEN 0 THEN 'alpha' WHEN 1 THEN 'beta' ELSE 'zeta' END AS engine, CAST(o_orderkey % 2 AS INT) AS channel, o_orderpriority AS transcript, o_orderkey AS updated_at FROM orders"

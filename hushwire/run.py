@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from hushwire import config as cfg
 from hushwire import ports
-from hushwire.operators import audio, consensus, entities, files, reports, spans, state, words
+from hushwire.operators import audio, blocks, consensus, entities, files, reports, spans, state, words
 from hushwire.sources import io, media, store
 
 #: Texts of one channel have numbers of their own: the consensus, then the engines.
@@ -176,7 +176,7 @@ def written(c: cfg.Config, planned: DataFrame, decode: Callable = decoded, encod
     leaves no output and no sidecar; files are put in place at once, so a task that runs again does no harm."""
     m, method = c.masking, c.runtime.copy_method
     rows = planned.select("file_id", "path", "out_path", "sidecar_path", "status", "spans", "kbps").repartition("file_id")
-    gain = {"silence": 0.0, "beep": 0.35, "noise": 0.03}[m.mode]
+    gain = audio.GAIN[m.mode]
 
     def one(row) -> tuple:
         if row.status == "failed":
@@ -203,6 +203,29 @@ def written(c: cfg.Config, planned: DataFrame, decode: Callable = decoded, encod
     return rows.mapInPandas(run, DONE)
 
 
+#: Samples a channel in a block of a long recording (2 MB for two channels).
+BLOCK_SAMPLES = 1 << 18
+
+
+def is_long(c: cfg.Config):
+    """Whether a recording that is to be masked is larger, decoded, than one task may hold."""
+    size = F.col("duration") * (c.masking.rate * c.masking.channels * 4) / float(1 << 30)
+    masked = ~F.col("status").isin("failed", "success_no_pii_fast_copy")
+    return F.coalesce((size > c.runtime.decoded_gb) & masked, F.lit(False))
+
+
+def written_long(c: cfg.Config, planned: DataFrame, made: io.Scratch, decode: Callable = media.decode_stream, encode: Callable = media.encode_stream, size: int = BLOCK_SAMPLES) -> DataFrame:
+    """`written` by blocks: no task holds a recording.  The time of a file is that of joining its blocks."""
+    m = c.masking
+    rows = planned.select(F.col("file_id").alias("id"), "path", "out_path", "sidecar_path", "status", "spans", "kbps")
+    found = made.keep(media.decoded_blocks(rows.repartition("id"), size, m.rate, m.channels, decode))
+    spans_ = rows.select("id", F.posexplode("spans").alias("ord", "s")).select("id", "ord", "s.*")
+    good = blocks.mask(found.where("error IS NULL").select("id", "block", "channels"), spans_, size, m.rate, m.mode, m.target_channels == "both")
+    all_ = good.withColumn("error", F.lit(None).cast("string")).unionByName(found.where("error IS NOT NULL"))
+    done = media.written_blocks(all_, rows, m.rate, encode)
+    return rows.join(done, "id").select(F.col("id").alias("file_id"), F.when(F.col("error").isNull(), F.col("status")).otherwise("failed").alias("status"), "error", "began", "elapsed_sec")
+
+
 def settings(c: cfg.Config):
     """What a sidecar says of the configuration that its file was made with."""
     r, m = c.recognisers, c.masking
@@ -229,11 +252,11 @@ def documented(documents: DataFrame) -> DataFrame:
     return documents.select("file_id", "sidecar_path", "document").mapInPandas(run, "file_id long, side_error string")
 
 
-def process(spark: SparkSession, c: cfg.Config, probed: DataFrame, recognise: Callable = ports.transcribe, decode: Callable = decoded, encode: Callable = media.encode_command, port: Callable[[str], str] = media.probe_command) -> DataFrame:
+def process(spark: SparkSession, c: cfg.Config, probed: DataFrame, recognise: Callable = ports.transcribe, decode: Callable = decoded, encode: Callable = media.encode_command, port: Callable[[str], str] = media.probe_command, decode_blocks: Callable = media.decode_stream, encode_blocks: Callable = media.encode_stream, block: int = BLOCK_SAMPLES) -> DataFrame:
     """All files of the manifest: their status rows, which are appended to the status log too.  With resume,
     files whose output and sidecar are there and hold are skipped_existing and not done again.  Every
     output is probed once it is written; one that does not hold makes its file failed, and is made anew by
-    the next run."""
+    the next run.  Recordings of more than decoded_gb are worked on by blocks."""
     log = f"{Path(c.paths.work_dir).resolve()}/status"
     state.create_if_absent(spark, log, state.STATUS_SCHEMA)
     made, t = io.Scratch(spark), c.runtime
@@ -243,7 +266,10 @@ def process(spark: SparkSession, c: cfg.Config, probed: DataFrame, recognise: Ca
         skipped = made.keep(skipped)
         todo = made.keep(ok.join(skipped, "file_id", "left_anti").drop("out_path", "sidecar_path"))
         planned = made.keep(plan(c, todo, recognise, made).files)
-        done = made.keep(written(c, planned, decode, encode))
+        done = made.keep(written(c, planned.where(~is_long(c)), decode, encode))
+        long = planned.where(is_long(c))
+        if not long.isEmpty():
+            done = done.unionByName(made.keep(written_long(c, long, made, decode_blocks, encode_blocks, block)))
         found = made.keep(checked(c, planned.select("file_id", "duration", "out_path", "sidecar_path"), port)) if t.validate else None
         end = files.settled(done, found) if t.validate else done.select("file_id", "status", "error", F.col("status").startswith("success").alias("valid"))
         rows = planned.drop("status").join(end, "file_id").join(done.select("file_id", "began", "elapsed_sec"), "file_id")

@@ -8,14 +8,19 @@ import json
 import os
 import shutil
 import subprocess
+import tempfile
+import time
 import uuid
 import wave
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from itertools import chain, groupby
 from pathlib import Path
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Characters of a failed command's error output that are kept.
 TAIL = 4000
@@ -94,6 +99,98 @@ def decode_command(path: str, rate: int = 48000, channels: int = 2, tool: str =
     return run_command([tool, "-v", "error", "-threads", str(threads), "-i", path, "-f", "f32le", "-ac", str(channels), "-ar", str(rate), "-"])
 
 
+@contextmanager
+def started(command: list[str], **pipes: int) -> Iterator[subprocess.Popen]:
+    """A running command; a RuntimeError as of run_command where it fails, and it is ended where its user fails."""
+    with tempfile.TemporaryFile() as said:
+        p = subprocess.Popen(command, stderr=said, **pipes)
+        try:
+            yield p
+            for pipe in (p.stdin, p.stdout):
+                if pipe:
+                    pipe.close()
+            ended = p.wait()
+        except BrokenPipeError:  # it ended before it took everything; why, it says itself
+            ended = p.wait() or 1
+        finally:
+            if p.poll() is None:
+                p.kill()
+                p.wait()
+        if ended:
+            said.seek(0)
+            raise RuntimeError(f"{command[0]} ended with {ended}: {said.read().decode('utf-8', 'replace')[-TAIL:]}")
+
+
+def decode_stream(path: str, size: int, rate: int = 48000, channels: int = 2, tool: str = "ffmpeg") -> Iterator[list[np.ndarray]]:
+    """A recording's channels by `size` samples at once; one block is held at a time."""
+    command = [tool, "-v", "error", "-threads", "1", "-i", path, "-f", "f32le", "-ac", str(channels), "-ar", str(rate), "-"]
+    with started(command, stdout=subprocess.PIPE) as p:
+        while raw := p.stdout.read(size * 4 * channels):
+            if len(raw) >= 4 * channels:
+                yield split_frames(raw, channels)
+
+
+def encode_stream(parts: Iterator[list[np.ndarray]], path: str, rate: int = 48000, kbps: int = 64, tool: str = "ffmpeg") -> None:
+    """Clipped samples of two channels, part after part, as Opus at path."""
+    command = [tool, "-v", "error", "-y", "-f", "f32le", "-ar", str(rate), "-ac", "2", "-i", "-", "-c:a", "libopus", "-b:a", f"{kbps}k", "-f", "opus", path]
+    with started(command, stdin=subprocess.PIPE, stdout=subprocess.DEVNULL) as p:
+        for x in parts:
+            p.stdin.write(np.clip(np.stack(x * 2 if len(x) == 1 else x, 1), -1, 1).astype("<f4").tobytes())
+
+
+BLOCKS = "id long, block int, channels array<array<float>>, error string"
+
+
+def decoded_blocks(files: DataFrame, size: int, rate: int, channels: int, stream: Callable = decode_stream) -> DataFrame:
+    """files (id, path) as numbered blocks of `size` samples.  A file that fails ends with a row that has an
+    error and no samples, and so does one without any."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for i, path in b[["id", "path"]].itertuples(index=False):
+                n, error = 0, None
+                try:
+                    for x in stream(path, size, rate, channels):
+                        yield pd.DataFrame({"id": [i], "block": [n], "channels": [x], "error": [None]})
+                        n += 1
+                    error = None if n else "no samples"
+                except Exception as e:  # any failure of a file is that file's row
+                    error = repr(e)[:TAIL]
+                if error:
+                    yield pd.DataFrame({"id": [i], "block": [n], "channels": [None], "error": [error]})
+
+    return files.select("id", "path").mapInPandas(run, BLOCKS)
+
+
+WRITTEN = "id long, error string, began double, elapsed_sec double"
+
+
+def written_blocks(blocks: DataFrame, places: DataFrame, rate: int, encode: Callable = encode_stream) -> DataFrame:
+    """Join the blocks (id, block, channels, error) of each file to its output (places: id, out_path, sidecar_path,
+    kbps): one row a file.  A file's blocks come to its writer in order and go on as they come, so they are never held
+    together; the file takes its place when the last is in, and nothing is left of one that fails."""
+
+    def parts(rows):
+        for r in rows:
+            if r.error is not None:
+                raise RuntimeError(r.error)
+            yield [np.asarray(c, np.float32) for c in r.channels]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = (r for b in batches for r in b.itertuples(index=False))
+        for i, own in groupby(rows, key=lambda r: r.id):
+            first, began, error = next(own), time.time(), None
+            try:
+                in_place(first.out_path, lambda part: encode(parts(chain([first], own)), part, rate, first.kbps))  # noqa: B023
+            except Exception as e:
+                error = repr(e)[:TAIL]
+                delete_partial([first.out_path, first.sidecar_path])
+            yield pd.DataFrame({"id": [i], "error": [error], "began": [began], "elapsed_sec": [time.time() - began]})
+
+    placed = blocks.join(places.select("id", "out_path", "sidecar_path", "kbps"), "id")
+    return placed.select(F.col("id").cast("long").alias("id"), "block", "channels", "error", "out_path", "sidecar_path", "kbps").repartition("id").sortWithinPartitions("id", "block").mapInPandas(run, WRITTEN)
+
+
 def extract_command(path: str, channel: int | None, rate: int = 16000, tool: str = "ffmpeg") -> bytes:
     """One channel as 16-bit WAV, or the mix of all where channel is None."""
     pick = ["-ac", "1"] if channel is None else ["-af", f"pan=mono|c0=c{channel}"]
