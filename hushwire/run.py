@@ -130,6 +130,8 @@ def mask_rows(c: cfg.Config, work: DataFrame, said: DataFrame, found: DataFrame)
 def plan(c: cfg.Config, work: DataFrame, recognise: Callable[[DataFrame, list[str]], DataFrame] = ports.transcribe, made: io.Scratch | None = None) -> Plan:
     """work: rows of the manifest whose probe is ok.  The recognisers take file_id, path, channel and duration, and
     give what ports.transcribe gives; engines that time their words add `words` (array of word, start, end)."""
+    if len(cfg.enabled(c)) >= ITEMS:
+        raise ValueError(f"texts are numbered for fewer than {ITEMS} engines")
     r, m, made = c.recognisers, c.masking, made or io.Scratch(work.sparkSession)
     inputs = made.keep(work.select("file_id", "path", "duration", F.explode(files.expected_channels(F.col("channels"), r.mode == "mono_mix")).alias("channel")))
     results = recognised_by_model(c, inputs, recognise, made) if c.runtime.schedule == "model_major" else with_words(recognise(inputs, cfg.enabled(c)))

@@ -9,7 +9,7 @@ import pytest
 from pyspark import cloudpickle
 from test_run import calls, decode, encode, probe, recognise, status_of  # noqa: F401
 
-from hushwire import run
+from hushwire import config, run
 from hushwire.sources import media
 
 # workers cannot import a test module
@@ -71,3 +71,9 @@ def test_streams_of_commands(tmp_path):
     copy = tool(tmp_path / "copy", "open(sys.argv[-1], 'wb').write(sys.stdin.buffer.read())")
     media.encode_stream(iter([[np.array([0.5, 2.0], np.float32)], [np.array([-3.0], np.float32)]]), str(tmp_path / "out"), tool=copy)
     assert np.frombuffer((tmp_path / "out").read_bytes(), "<f4").tolist() == [0.5, 0.5, 1.0, 1.0, -1.0, -1.0]
+
+
+def test_engines_have_numbers_of_their_own(monkeypatch):
+    monkeypatch.setattr(run, "ITEMS", len(config.enabled(config.load())))
+    with pytest.raises(ValueError, match="engines"):
+        run.plan(config.load(), None, None, object())
