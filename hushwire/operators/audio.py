@@ -7,9 +7,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hushwire.functions.batches import lists, parts, spread
+
 
 def sample_index(seconds: Column, rate: Column | int) -> Column:
     """Halves to even."""
@@ -109,14 +113,50 @@ def resampled(x: np.ndarray, source: int, target: int) -> np.ndarray:
     return resampled_part(x, 0, 0, outputs_before(len(x), up, down), up, down, low_pass(up, down))
 
 
+#: Outputs that are filtered at once.
+OUTPUTS = 1 << 15
+
+
+def resampled_rows(x: np.ndarray, lengths: np.ndarray, source: int, target: int) -> tuple[np.ndarray, np.ndarray]:
+    """`resampled` of many recordings that lie side by side in x, and their new lengths.  Between two of them
+    stand as many zeros as the filter reaches, so all are filtered together; the filter is made once."""
+    up, down = ratio(source, target)
+    if up == down:
+        return x.astype(np.float32), lengths
+    taps = low_pass(up, down)
+    middle, reach = len(taps) // 2, -(-len(taps) // up)
+    phases = np.zeros((up, reach))
+    for f in range(up):
+        own = taps[f::up]
+        phases[f, : len(own)] = own
+    phases = phases[:, ::-1]
+    gap = reach + 2
+    first = np.cumsum(lengths + gap) - lengths
+    wide = np.zeros(int(lengths.sum()) + gap * (len(lengths) + 1))
+    wide[spread(first, lengths)] = x.astype(np.float32)
+    windows = np.lib.stride_tricks.sliding_window_view(wide, reach)
+    new = -(-lengths * up // down)
+    place = spread(np.zeros(len(new), np.int64), new) * down + middle  # in the upsampled signal, delayed by the filter
+    at, phase = np.repeat(first, new) + place // up - reach + 1, place % up
+    out = np.empty(len(place), np.float32)
+    for a in range(0, len(place), OUTPUTS):
+        near, part = windows[at[a : a + OUTPUTS]], phase[a : a + OUTPUTS]
+        out[a : a + OUTPUTS] = near @ phases[0] if up == 1 else np.einsum("ij,ij->i", near, phases[part])
+    return out, new
+
+
 def resample(recordings: DataFrame, source: int, target: int) -> DataFrame:
     """recordings (id, samples) at another rate; a null recording stays null."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            yield pd.DataFrame({"id": b["id"], "samples": [None if s is None else resampled(np.asarray(s, np.float32), source, target) for s in b["samples"]]})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in parts(whole):
+                samples = b.column(1)
+                lengths = pc.list_value_length(samples).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                out, new = resampled_rows(samples.flatten().to_numpy(zero_copy_only=False), lengths, source, target)
+                yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), lists(out, new, samples.is_null().to_numpy(zero_copy_only=False))], names=["id", "samples"])
 
-    return recordings.select("id", "samples").mapInPandas(run, "id long, samples array<float>")
+    return recordings.select("id", "samples").mapInArrow(run, "id long, samples array<float>")
 
 
 def envelope(n: int, fade_samples: int, lo: int = 0, hi: int | None = None) -> np.ndarray:

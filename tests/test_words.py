@@ -83,3 +83,23 @@ def test_report_tail(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", size)
     assert got == [(i, i) for i in range(700, 2000) if i % 5 != 3]
+
+
+def test_resample_rows_together(spark):
+    r = np.random.default_rng(4)
+    rows = [None, [], *([float(v) for v in r.normal(size=n)] for n in (1, 2, 48, 61, 500, 3))]
+    table = spark.createDataFrame(list(enumerate(rows)), "id long, samples array<double>").coalesce(1)
+    for source, target in ((48000, 16000), (16000, 24000), (44100, 16000), (8000, 8000)):
+        got = {x["id"]: x["samples"] for x in audio.resample(table, source, target).collect()}
+        assert got[0] is None and got[1] == []
+        for i, x in enumerate(rows[2:], 2):
+            want = audio.resampled(np.array(x, np.float32), source, target)
+            assert len(got[i]) == len(want) and np.allclose(got[i], want, atol=1e-5)
+
+
+def test_filters_are_made_once_a_batch(spark, monkeypatch):
+    made = []
+    plain = audio.low_pass
+    monkeypatch.setattr(audio, "low_pass", lambda *a: made.append(a) or plain(*a))
+    audio.resampled_rows(np.ones(480), np.full(10, 48), 48000, 16000)
+    assert len(made) == 1
