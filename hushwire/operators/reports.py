@@ -138,7 +138,9 @@ def enriched(found: DataFrame) -> DataFrame:
     """Entities by text (file_id, channel, source, entities) as one list of rows with where they come
     from; an engine's text names that engine."""
     engine = F.when(F.col("source").startswith("engine:"), F.substring("source", 8, 1_000_000))
-    return found.select("file_id", "channel", F.col("source").alias("transcript_source"), engine.alias("asr_engine"), F.inline("entities"))
+    # not the bare column, for which Spark would infer a filter, and search every text for it once more before it is dealt out
+    held = F.coalesce("entities", F.array().cast(found.schema["entities"].dataType))
+    return found.select("file_id", "channel", F.col("source").alias("transcript_source"), engine.alias("asr_engine"), F.inline(held))
 
 
 def sidecar(files: DataFrame) -> DataFrame:
