@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
-from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 
 def edit_distance(a: Sequence, b: Sequence) -> int:
@@ -56,6 +56,19 @@ def distances(x: Column, y: Column) -> Column:
     return _distances(x, y)
 
 
+@pandas_udf(ArrayType(StructType([StructField("chars", IntegerType()), StructField("words", IntegerType())])))
+def _pair_distances(texts: pd.Series) -> pd.Series:
+    def told(own: Sequence[str]) -> list[dict]:
+        return [{"chars": edit_distance(a, b), "words": edit_distance(a.split(), b.split())} for i, a in enumerate(own) for b in own[i + 1 :]]
+
+    return pd.Series([None if t is None else told(list(t)) for t in texts])
+
+
+def pair_distances(texts: Column) -> Column:
+    """distances() of every two of a short array of normalised texts: (0, 1), (0, 2), ..., (1, 2), ..."""
+    return _pair_distances(texts)
+
+
 def rate(edits: Column, symbols: Column) -> Column:
     """Edits by the reference's symbols, of which an empty one has 1."""
     return edits / F.greatest(F.lit(1), symbols)

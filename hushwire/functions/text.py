@@ -15,11 +15,9 @@ def normalize_token(c: Column) -> Column:
 
 
 def normalize_for_consensus(c: Column) -> Column:
-    """Lower case, curly and grave quotes as ', other punctuation dropped, white space single."""
-    t = F.lower(F.trim(F.coalesce(c, F.lit(""))))
-    t = F.regexp_replace(F.translate(t, "’`", "''"), r"(?U)\s+", " ")
-    t = F.regexp_replace(t, r"[^a-z0-9\s']+", " ")
-    return F.trim(F.regexp_replace(t, r"\s+", " "))
+    """Lower case, curly and grave quotes as ', all between letters, digits and quotes a single space."""
+    t = F.translate(F.lower(F.coalesce(c, F.lit(""))), "’`", "''")
+    return F.trim(F.regexp_replace(t, "[^a-z0-9']+", " "))
 
 
 def collapse_space(c: Column) -> Column:
@@ -49,10 +47,10 @@ def wer(ref: str, hyp: str) -> Column:
     return rate(distances(F.col(ref), F.col(hyp))["words"], F.size(words(F.col(ref))))
 
 
-def similarity(ref: str, hyp: str, edits: Column | None = None) -> Column:
+def similarity(ref: str | Column, hyp: str | Column, edits: Column | None = None) -> Column:
     """0.45 of word agreement, 0.35 of character agreement and 0.2 of word overlap; not symmetric.  edits:
     the texts' distances(), where they are known already."""
-    a, b = F.col(ref), F.col(hyp)
+    a, b = (F.col(c) if isinstance(c, str) else c for c in (ref, hyp))
     d = distances(a, b) if edits is None else edits
     mix = 0.45 * (1 - rate(d["words"], F.size(words(a)))) + 0.35 * (1 - rate(d["chars"], F.length(a))) + 0.2 * jaccard(a, b)
     empty_a, empty_b = a == "", b == ""

@@ -2,55 +2,60 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hushwire.functions.distance import distances
+from hushwire.functions.distance import pair_distances
 from hushwire.functions.text import normalize_for_consensus, similarity
 
 KEYS = ["file_id", "channel"]
 
 
+def _likeness(own: Column, i: Column, j: Column, edits: Column) -> Column:
+    """Similarity of text i to text j of the array own, 1 for equal ones; edits: the pairs' distances."""
+    low, high, n = F.least(i, j), F.greatest(i, j), F.size(own)
+    at = low * n - F.floor(low * (low + 1) / 2) + high - low - 1
+    x, y = F.get(own, i)["norm"], F.get(own, j)["norm"]
+    return F.when(x == y, 1.0).otherwise(F.round(similarity(x, y, F.get(edits, at.cast("int"))), 9))
+
+
 def consensus(results: DataFrame, prefer: str, fallback: list[str], min_agreement: int = 3, soft: float = 0.78) -> DataFrame:
     """results: file_id, channel, engine, engine_ord, transcript, error.  Strict majority of normalised
-    texts; else the medoid by similarity; else the first fallback engine, then the first with a text."""
+    texts; else the medoid by similarity; else the first fallback engine, then the first with a text.  A
+    channel's engines, a handful, are one row: texts are normalised once and moved once."""
     rank = F.coalesce(F.array_position(F.array(*map(F.lit, fallback)), F.col("engine")), F.lit(0))
     rank = F.when(rank == 0, 999).otherwise(rank - 1)
     raw = F.trim(F.coalesce(F.col("transcript"), F.lit("")))
-    r = results.where("error IS NULL").withColumns({"raw": raw, "norm": normalize_for_consensus(F.col("transcript")), "rank": rank, "liked": (F.col("engine") == prefer).cast("int")}).where("raw <> ''")
-    solid = r.where("norm <> ''")
-    groups = solid.groupBy(*KEYS, "norm").agg(
-        F.count("*").alias("n"), F.max("liked").alias("has"), F.min("engine_ord").alias("first"), F.array_join(F.array_sort(F.collect_list("engine")), ",").alias("agreed"),
-        F.min_by("engine", F.struct(-F.col("liked"), "rank", "engine_ord")).alias("engine"),
+    good = F.col("error").isNull() & (raw != "")
+    told = F.struct("engine_ord", "engine", rank.alias("rank"), (F.col("engine") == prefer).cast("int").alias("liked"), raw.alias("raw"))
+    per = results.groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.when(good, told))).alias("all"))
+    # similarities are needed only where no majority decides
+    per = per.withColumn("own", F.filter(F.transform("all", lambda e: e.withField("norm", normalize_for_consensus(e["raw"]))), lambda e: e["norm"] != ""))
+    group = lambda e: F.filter("own", lambda o: o["norm"] == e["norm"])
+    ranked = F.transform(
+        "own",
+        lambda e: F.struct(
+            (-F.size(group(e))).alias("n"), (-F.array_max(F.transform(group(e), lambda o: o["liked"]))).alias("has"), (-F.length(e["norm"])).alias("len"), F.array_min(F.transform(group(e), lambda o: o["engine_ord"])).alias("first"),
+            (-e["liked"]).alias("liked"), e["rank"].alias("rank"), e["engine_ord"].alias("engine_ord"), e["engine"].alias("engine"), e["raw"].alias("raw"),
+        ),
     )
-    best = Window.partitionBy(*KEYS).orderBy(F.desc("n"), F.desc("has"), F.desc(F.length("norm")), "first")
-    major = groups.withColumn("_k", F.row_number().over(best)).where((F.col("_k") == 1) & (F.col("n") >= min_agreement)).select(*KEYS, F.col("engine").alias("m_engine"), F.col("n").alias("m_n"), F.col("agreed").alias("m_agreed"))
-    # similarities are needed only where no majority decides, and equal texts need no distance
-    solid = solid.join(major.select(*KEYS), KEYS, "left_anti")
-    of = F.struct("engine", F.col("norm").alias("x"), "liked", "rank", "engine_ord")
-    one, two = solid.select(*KEYS, of.alias("a")), solid.select(*KEYS, of.alias("b"))
-    # pairs of engines within a channel: as many as engines squared, a handful.  Each is measured once
-    met = one.join(two, KEYS).where(F.struct("a.engine_ord", "a.engine") < F.struct("b.engine_ord", "b.engine"))
-    met = met.withColumns({"p": F.col("a.x"), "q": F.col("b.x")}).withColumn("d", distances(F.col("p"), F.col("q")))
-    alike = lambda x, y: F.when(F.col(x) == F.col(y), 1.0).otherwise(F.round(similarity(x, y, F.col("d")), 9))
-    both = met.select(*KEYS, "a", "b", alike("p", "q").alias("ab"), alike("q", "p").alias("ba"))
-    told = F.array(F.struct(F.col("a").alias("own"), F.col("b.engine").alias("other"), F.col("ab").alias("sim")), F.struct(F.col("b").alias("own"), F.col("a.engine").alias("other"), F.col("ba").alias("sim")))
-    pairs = both.select(*KEYS, F.explode(told).alias("t")).select(*KEYS, "t.*").unionByName(one.select(*KEYS, F.col("a").alias("own"), F.col("a.engine").alias("other"), F.lit(1.0).alias("sim"))).select(*KEYS, "own.*", "other", "sim")
-    medoid = pairs.groupBy(*KEYS, "engine").agg(
-        F.sum((F.col("sim") >= soft).cast("int")).alias("s_n"), F.round(F.avg("sim"), 9).alias("s_avg"), F.max("liked").alias("liked"), F.max("rank").alias("rank"),
-        F.max(F.length("x")).alias("len"), F.max("engine_ord").alias("engine_ord"), F.array_join(F.array_sort(F.collect_list(F.when(F.col("sim") >= soft, F.col("other")))), ",").alias("s_agreed"),
+    per = per.withColumn("best", F.array_min(ranked))
+    per = per.withColumn("major", F.when(-F.col("best.n") >= min_agreement, F.col("best")))
+    texts = F.transform("own", lambda e: e["norm"])
+    per = per.withColumn("edits", pair_distances(F.when(F.col("major").isNull() & (F.size("own") >= min_agreement), texts)))
+    places = F.sequence(F.lit(0), F.size("own") - 1)
+    sims = F.when(F.col("edits").isNotNull(), F.transform(places, lambda i: F.struct(F.get("own", i).alias("e"), F.transform(places, lambda j: F.when(i == j, 1.0).otherwise(_likeness(F.col("own"), i, j, F.col("edits")))).alias("s"))))
+    medoid = F.transform(
+        sims,
+        lambda m: F.struct(
+            (-F.size(F.filter(m["s"], lambda v: v >= soft))).alias("n"), (-F.round(F.aggregate(m["s"], F.lit(0.0), lambda a, v: a + v) / F.size(m["s"]), 9)).alias("avg"), (-m["e"]["liked"]).alias("liked"), m["e"]["rank"].alias("rank"),
+            (-F.length(m["e"]["norm"])).alias("len"), m["e"]["engine_ord"].alias("engine_ord"), m["e"]["engine"].alias("engine"), m["e"]["raw"].alias("raw"),
+        ),
     )
-    top = Window.partitionBy(*KEYS).orderBy(F.desc("s_n"), F.desc("s_avg"), F.desc("liked"), "rank", F.desc("len"), "engine_ord")
-    soft_pick = medoid.withColumn("_k", F.row_number().over(top)).where("_k = 1").select(*KEYS, F.col("engine").alias("s_engine"), "s_n", "s_avg", "s_agreed")
-    fall = r.groupBy(*KEYS).agg(F.min_by("engine", F.struct("rank", "engine_ord")).alias("f_engine"), F.min("rank").alias("f_rank"))
-    every = results.select(*KEYS).distinct().join(major, KEYS, "left").join(soft_pick, KEYS, "left").join(fall, KEYS, "left")
-    is_major, is_soft = F.col("m_engine").isNotNull(), F.col("s_n") >= min_agreement
-    chosen = every.withColumns(
-        {
-            "method": F.when(is_major, "strict_majority").when(is_soft, "soft_similarity").when(F.col("f_rank") < 999, "fallback_priority").when(F.col("f_engine").isNotNull(), "fallback_first_available").otherwise("all_empty"),
-            "engine": F.when(is_major, F.col("m_engine")).when(is_soft, F.col("s_engine")).otherwise(F.col("f_engine")),
-            "agreement": F.when(is_major, F.col("m_n")).when(is_soft, F.col("s_n")).otherwise(F.when(F.col("f_engine").isNotNull(), 1).otherwise(0)),
-        }
-    )
-    text = r.select(*KEYS, "engine", F.col("raw").alias("final_transcript"))
-    return chosen.join(text, [*KEYS, "engine"], "left").select(*KEYS, "method", F.col("engine").alias("selected_engine"), F.col("agreement").cast("long").alias("agreement_count"), F.coalesce("final_transcript", F.lit("")).alias("final_transcript"))
+    per = per.withColumn("close", F.array_min(medoid))
+    per = per.withColumn("fall", F.array_min(F.transform("all", lambda e: F.struct(e["rank"].alias("rank"), e["engine_ord"].alias("engine_ord"), e["engine"].alias("engine"), e["raw"].alias("raw")))))
+    is_major, is_soft = F.col("major").isNotNull(), -F.col("close.n") >= min_agreement
+    chosen = lambda f: F.when(is_major, F.col(f"major.{f}")).when(is_soft, F.col(f"close.{f}")).otherwise(F.col(f"fall.{f}"))
+    method = F.when(is_major, "strict_majority").when(is_soft, "soft_similarity").when(F.col("fall.rank") < 999, "fallback_priority").when(F.col("fall").isNotNull(), "fallback_first_available").otherwise("all_empty")
+    agreement = F.when(is_major, -F.col("major.n")).when(is_soft, -F.col("close.n")).otherwise(F.when(F.col("fall").isNotNull(), 1).otherwise(0))
+    return per.select(*KEYS, method.alias("method"), chosen("engine").alias("selected_engine"), agreement.cast("long").alias("agreement_count"), F.coalesce(chosen("raw"), F.lit("")).alias("final_transcript"))
