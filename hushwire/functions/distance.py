@@ -65,8 +65,9 @@ def _pair_distances(texts: pd.Series) -> pd.Series:
 
 
 def pair_distances(texts: Column) -> Column:
-    """distances() of every two of a short array of normalised texts: (0, 1), (0, 2), ..., (1, 2), ..."""
-    return _pair_distances(texts)
+    """distances() of every two of a short array of normalised texts: (0, 1), (0, 2), ..., (1, 2), ...  Marked as
+    not deterministic, so that it is made once and no filter on what follows from it is moved below it."""
+    return _pair_distances.asNondeterministic()(texts)
 
 
 def rate(edits: Column, symbols: Column) -> Column:

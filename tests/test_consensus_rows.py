@@ -18,13 +18,13 @@ def test_soft_pick_and_one_exchange(spark):
         assert got[1, c]["final_transcript"] == dict(said)[got[1, c]["selected_engine"]]
     assert (got[2, 0]["method"], got[2, 0]["final_transcript"]) == ("fallback_first_available", "¿?")
     assert got[3, 0]["method"] == "all_empty" and got[4, 0]["selected_engine"] == "z"
-    plan = out._jdf.queryExecution().executedPlan().toString()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
 
 
 def test_pairs_are_placed(spark):
     """Pairs of the array's texts in order: the similarity of each is that of the two columns."""
-    texts = ["one two three", "one two tree", "four", "one", "two one three four"]
+    texts = ["one two three", "one two tree", "four"]
     own = spark.createDataFrame([(texts,)], "t array<string>").select(F.transform("t", lambda x: F.struct(x.alias("norm"))).alias("own"), consensus.pair_distances(F.col("t")).alias("edits"))
     for i, x in enumerate(texts):
         for j, y in enumerate(texts):
