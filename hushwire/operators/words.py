@@ -6,10 +6,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
+from hushwire.functions.batches import parts
 from hushwire.functions.runs import common_runs
 from hushwire.functions.text import normalize_token, tokens
 
@@ -99,18 +102,21 @@ def align(transcripts: DataFrame, anchors: DataFrame) -> DataFrame:
     timed = timed.withColumn("start", start).withColumn("end", F.greatest("start", F.coalesce("end", "start")))
     timed = timed.groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("ord", "word", "norm", "start", "end"))).alias("timed"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+    arrow = to_arrow_schema(StructType.fromDDL(ALIGNED))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in parts(whole, 1 << 20)):
             rows = []
-            for file_id, channel, own, other in batch.itertuples(index=False):
+            for file_id, channel, own, other in batch.to_pandas().itertuples(index=False):
                 own, other = list(own), list(other)
                 for i, j in matched([t["norm"] for t in own], [t["norm"] for t in other]):
                     t, w = own[i], other[j]
                     rows.append((file_id, channel, t["word"], t["a"], t["b"], w["start"], w["end"], w["word"]))
-            yield pd.DataFrame(rows, columns=["file_id", "channel", "word", "start_char", "end_char", "start", "end", "anchor_word"])
+            columns = zip(*rows, strict=True) if rows else [[] for _ in arrow]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
 
     both = said.join(timed, KEYS).select(F.col("file_id").cast("long"), F.col("channel").cast("int"), "said", "timed")
-    return both.mapInPandas(run, ALIGNED)
+    return both.mapInArrow(run, ALIGNED)
 
 
 # ---- chunks
@@ -140,15 +146,19 @@ def text_chunks(df: DataFrame, key: str, text: str = "text", most: int = 1800, o
     one chunk, an empty or null one too."""
     kind = df.schema[key].dataType.simpleString()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for k, t in batch.itertuples(index=False):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (part for whole in batches for part in parts(whole)):
+            rows, starts, chunks = [], [], []
+            for i, t in enumerate(batch.column(1).to_pylist()):
                 spans = chunk_bounds(t or "", most, overlap)
-                out += [(k, a, t[a:b] if t else "") for a, b in spans if len(spans) == 1 or t[a:b].strip()]
-            yield pd.DataFrame(out, columns=["key", "start", "chunk"])
-
-    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInPandas(run, f"key {kind}, start int, chunk string").withColumnRenamed("key", key)
+                for a, b in spans:
+                    if len(spans) == 1 or t[a:b].strip():
+                        rows.append(i)
+                        starts.append(a)
+                        chunks.append(t[a:b] if t else "")
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(starts, pa.int32()), pa.array(chunks, pa.string())], names=["key", "start", "chunk"])
+
+    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, start int, chunk string").withColumnRenamed("key", key)
 
 
 # ---- bundles
