@@ -8,8 +8,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from hushwire.functions import patterns as P
+from hushwire.functions import scan
+from hushwire.functions.batches import parts
 from hushwire.functions.offsets import let, located
 from hushwire.functions.text import normalize_type, priority
 from hushwire.workers import Tagger, tagged
@@ -74,20 +77,51 @@ def spoken_entities(text: str) -> Column:
     each = f"named_struct('text', substring({text}, r.a + 1, r.b - r.a), 'type', CASE WHEN r.n >= 10 THEN 'PHONE' ELSE 'ID_NUMBER' END, 'start', r.a, 'end', r.b, 'score', 0.92D, 'source', 'spoken_number_rule')"
     tokens = located(text, P.quoted(P.TOKEN), TOKEN_OF)
     body = let(words, "w", let(tokens, "k", f"transform(filter({runs}, r -> r.n >= 10 OR rlike({near}, {P.quoted(P.NUMBER_HINTS)})), r -> {each})"))
-    some = P.quoted(r"[0-9]|(?i)\b(" + "|".join(P.NUMBER_WORDS) + r")\b")
-    return F.expr(f"CASE WHEN rlike({text}, {some}) THEN {body} ELSE CAST(array() AS {P.ENTITY}) END")
+    return F.expr(f"CASE WHEN rlike({text}, {P.quoted(SPOKEN)}) THEN {body} ELSE CAST(array() AS {P.ENTITY}) END")
 
 
+#: Without a digit or a number word no number is spoken.
+SPOKEN = r"[0-9]|(?i)\b(" + "|".join(P.NUMBER_WORDS) + r")\b"
 TOKEN_OF = "named_struct('norm', regexp_replace(lower(m), '[^a-z0-9]+', ''), 'start', s, 'stop', s + length(m))"
 
 
-def spoken_numbers(df: DataFrame, key: str, text: str) -> DataFrame:
-    """The spoken numbers of every row, under its key."""
-    return df.select(key, F.inline(spoken_entities(text)))
+def scanned(df: DataFrame, text: str, rules: tuple[str, ...], names: bool = False, spoken: bool = False) -> DataFrame:
+    """Entities of a text column by rules, then spoken names, then spoken numbers: the other columns of df with rule, ord
+    (the order of detection in a text), text, type, start, end, score and source.  Texts are searched in tasks as they
+    come, by parts of bounded bytes; what a value must fulfil is checked on what is found."""
+    others = [c for c in df.columns if c != text]
+    some = F.col(text).rlike(SPOKEN) if spoken else F.lit(False)
+    rows = df.select(*others, F.col(text).alias("_t"), F.coalesce(some, F.lit(False)).alias("_spoken"))
+    out = StructType([*df.select(*others).schema.fields, *StructType.fromDDL(SCANNED).fields])
+    arrow = to_arrow_schema(out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (part for whole in batches for part in parts(whole)):
+            rows, held = [], []
+            for r, (t, spoken) in enumerate(zip(b.column(len(others)).to_pylist(), b.column(len(others) + 1).to_pylist(), strict=True)):
+                if t:
+                    own = [*scan.rule_matches(t, rules, names), *(scan.spoken_matches(t) if spoken else ())]
+                    held += [(m[0], i, *m[1:]) for i, m in enumerate(own)]
+                    rows += [r] * len(own)
+            if rows:
+                found = [pa.array(c, f.type) for c, f in zip(zip(*held, strict=True), list(arrow)[len(others) :], strict=True)]
+                kept = b.take(pa.array(rows, pa.int32()))
+                yield pa.RecordBatch.from_arrays([*(c.cast(f.type) for c, f in zip(kept.columns[: len(others)], arrow, strict=False)), *found], schema=arrow)
 
+    found = rows.mapInArrow(run, out)
+    found = found.withColumn("text", F.when(F.col("rule") == "name", F.regexp_replace(F.trim("text"), r"\s+", " ")).otherwise(F.col("text")))
+    norm = F.regexp_replace("text", "[^A-Za-z0-9]", "")
+    good = F.when(F.col("rule") == "card", F.length(F.regexp_replace("text", r"\D", "")).between(13, 19))
+    good = good.when(F.col("rule") == "id", (F.length(norm) >= 4) & norm.rlike("[0-9]")).when(F.col("rule") == "name", likely_name(F.col("text")))
+    return found.where(good.otherwise(True))
 
-def all_rule_entities(text: str, detectors: tuple[str, ...] = tuple(d[0] for d in P.DETECTORS)) -> Column:
-    return F.concat(*(rule_entities(text, d) for d in detectors), name_entities(text))
+
+SCANNED = "rule string, ord int, text string, type string, start int, end int, score double, source string"
+
+
+def spoken_numbers(df: DataFrame, key: str, text: str) -> DataFrame:
+    """The spoken numbers of every row, under its key."""
+    return scanned(df.select(F.col(key), F.col(text).alias("_text")), "_text", (), spoken=True).drop("rule", "ord")
 
 
 def dedupe(df: DataFrame, key: list[str]) -> DataFrame:
@@ -140,13 +174,15 @@ def detect(
 ) -> DataFrame:
     """Entities of every text by the chosen rules, spoken numbers, saved annotations (a JSON column) and taggers
     (on chunks), resolved: (key, text, type, start, end, score, source).  Texts that share a key are kept apart."""
-    parts = [all_rule_entities("_t", detectors)]
-    parts += [spoken_entities("_t")] if spoken else []
-    parts += [saved_entities("_t", "_s")] if saved else []
     rows = df.select(key, F.col(text).alias("_t"), *([F.col(saved).alias("_s")] if saved else []), F.xxhash64(text).alias("_h"))
-    found = rows.select(key, "_h", F.posexplode(F.concat(*(F.coalesce(p, F.array().cast(P.ENTITY)) for p in parts))).alias("ord", "e")).select(key, "_h", "ord", "e.*")
+    # each text's entities meet once, in the two steps after
+    found = scanned(rows.select(key, "_h", "_t"), "_t", detectors, names=True, spoken=spoken).drop("rule")
+    if saved:
+        # after all rules, as they are listed
+        listed = rows.select(key, "_h", F.posexplode(F.coalesce(saved_entities("_t", "_s"), F.array().cast(P.ENTITY))).alias("ord", "e"))
+        found = found.unionByName(listed.select(key, "_h", (F.lit(1 << 29) + F.col("ord")).alias("ord"), "e.*"))
     more = tagged(rows.select(key, "_h", "_t").distinct(), taggers, "_t", chunk_chars, chunk_overlap)
     if more is not None:
         # after all rules, in an order of their own
         found = found.unionByName(more.withColumn("ord", F.lit(1 << 30) + F.col("start")))
-    return resolve(dedupe(found, [key, "_h"]), [key, "_h"]).drop("_h")
+    return resolve(dedupe(found.repartition(key, "_h"), [key, "_h"]), [key, "_h"]).drop("_h")

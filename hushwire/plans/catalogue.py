@@ -115,11 +115,8 @@ def _patterns_sql(source: str) -> str:
 
 def every_pattern(texts: DataFrame) -> DataFrame:
     """What each pattern finds in whole texts (id, text), in one pass over them."""
-
-    def named(n: str):
-        return F.transform(entities.rule_entities("text", n), lambda e: e.withField("kind", F.lit(n)))
-
-    return texts.select("id", F.inline(F.concat(*map(named, ON_TEXTS)))).select("kind", "id", "text", "start", "end")
+    found = entities.scanned(texts.select("id", F.col("text").alias("_text")), "_text", tuple(ON_TEXTS))
+    return found.select(F.col("rule").alias("kind"), "id", "text", "start", "end")
 
 
 @query("document_patterns", _patterns_sql(DOCS))
