@@ -16,17 +16,24 @@ def _in_blocks(df: DataFrame, start: str, end: str) -> DataFrame:
     return df.withColumn("_block", F.explode(F.sequence(first, F.greatest(first, F.floor((F.col(end) - 1) / BLOCK)))))
 
 
-def entity_spans(entities: DataFrame, words: DataFrame, keys: list[str], pad: float = 0.12, least: float = 0.3) -> DataFrame:
+def entity_spans(entities: DataFrame, words: DataFrame, keys: list[str], pad: float = 0.12, least: float = 0.3, tasks: int | None = None) -> DataFrame:
     """Time span of every entity from the words it overlaps: padded, clamped to the duration, then widened to
     the least length.  start_sec and end_sec are null for entities that overlap no word.  Entities and words are
-    joined by key and block of the text, so a long text is spread over tasks and no row meets all its words."""
+    joined by key and block of the text, so a long text is spread over tasks and no row meets all its words.
+    tasks: over how many, where the caller knows the number of rows; what a task sorts then does not grow with them."""
+    deal = lambda df, *c: df.repartition(tasks, *c) if tasks else df
     names = entities.columns
     held = entities.select(*keys, F.struct(*names).alias("_row"), F.monotonically_increasing_id().alias("_eid"), F.col("start").alias("_a"), F.col("end").alias("_b"))
     near = _in_blocks(words.select(*keys, "w_start", "w_end", "start_char", "end_char").where("start_char IS NOT NULL AND end_char IS NOT NULL"), "start_char", "end_char")
-    j = _in_blocks(held, "_a", "_b").join(near, [*keys, "_block"], "left")
+    near = near.withColumnsRenamed({k: f"_w_{k}" for k in (*keys, "_block")})
     hit = (F.col("end_char") > F.col("_a")) & (F.col("start_char") < F.col("_b"))
-    j = j.groupBy("_eid").agg(F.first("_row").alias("_row"), F.min(F.when(hit, F.col("w_start"))).alias("_from"), F.max(F.when(hit, F.col("w_end"))).alias("_to"), F.max(hit.cast("int")).alias("_hit"))
-    lasting = words.groupBy(*keys).agg(F.max("duration").alias("duration"))
+    # only words that are hit leave the join: each brings its entity's row into the sort of the aggregation
+    same = [F.col(k) == F.col(f"_w_{k}") for k in (*keys, "_block")]
+    asked = deal(_in_blocks(held, "_a", "_b"), *keys, "_block")
+    j = asked.join(deal(near, *(f"_w_{k}" for k in (*keys, "_block"))), [*same, hit], "left")
+    j = deal(j.select(*keys, "_eid", "_row", "w_start", "w_end", "start_char"), *keys)
+    j = j.groupBy(*keys, "_eid").agg(F.first("_row").alias("_row"), F.min("w_start").alias("_from"), F.max("w_end").alias("_to"), F.max(F.col("start_char").isNotNull().cast("int")).alias("_hit"))
+    lasting = deal(words.groupBy(*keys).agg(F.max("duration").alias("duration")), *keys)
     j = j.select(*(F.col(f"_row.`{n}`") for n in names), "_from", "_to", "_hit").join(lasting, keys, "left")
     met = F.col("_hit") == 1
     j = j.withColumn("lo", F.when(met, F.greatest(F.lit(0.0), F.col("_from") - pad))).withColumn("hi", F.when(met, F.least(F.col("duration"), F.col("_to") + pad)))

@@ -329,6 +329,20 @@ _TIMED = "SELECT file_id, k, duration, i, i * 0.4 AS w_start, i * 0.4 + 0.3 AS w
 _ENTS = "SELECT file_id, k * 6 + 2 AS s, k * 6 + 2 + k AS e, 'e' || k AS text, k AS ord FROM ({w}) o"
 
 
+#: Orders of a task, of six words and one entity each.
+ORDER_ROWS = 100_000
+
+
+def placed(spark, d):
+    """Entities with the times of the words that they overlap; keys are spread by their number before words are made."""
+    keys = table(spark, d, "orders").select("o_orderkey")
+    tasks = max(8, -(-keys.count() // ORDER_ROWS))
+    orders = {"t": keys.repartition(tasks, "o_orderkey")}
+    w = spark.sql(_TIMED.format(w=_W).replace("FROM orders", "FROM {t}"), **orders).selectExpr("file_id", "CAST(duration AS DOUBLE) duration", "CAST(w_start AS DOUBLE) w_start", "CAST(w_end AS DOUBLE) w_end", "start_char", "end_char")
+    e = spark.sql(_ENTS.format(w=_W).replace("FROM orders", "FROM {t}"), **orders).withColumnsRenamed({"s": "start", "e": "end"})
+    return spans.entity_spans(e, w, ["file_id"], tasks=tasks)
+
+
 @query(
     "entity_word_overlap",
     f"""WITH w AS ({_TIMED.format(w=_W)}), e AS ({_ENTS.format(w=_W)}), j AS (SELECT e.file_id, e.text, min(w_start) AS a, max(w_end) AS b, 60.0 AS d FROM e LEFT JOIN w ON w.file_id = e.file_id AND w.end_char > e.s AND w.start_char < e.e GROUP BY e.file_id, e.text),
@@ -336,10 +350,7 @@ _ENTS = "SELECT file_id, k * 6 + 2 AS s, k * 6 + 2 + k AS e, 'e' || k AS text, k
     SELECT file_id, text, CAST(round(st, 6) AS DOUBLE) AS start_sec, CAST(round(CASE WHEN a IS NULL THEN NULL WHEN hi - lo < 0.3 THEN least(d, st + 0.3) ELSE hi END, 6) AS DOUBLE) AS end_sec FROM q""",
 )
 def entity_word_overlap(spark, d):
-    orders = {"t": table(spark, d, "orders")}
-    w = spark.sql(_TIMED.format(w=_W).replace("FROM orders", "FROM {t}"), **orders).selectExpr("file_id", "CAST(duration AS DOUBLE) duration", "CAST(w_start AS DOUBLE) w_start", "CAST(w_end AS DOUBLE) w_end", "start_char", "end_char")
-    e = spark.sql(_ENTS.format(w=_W).replace("FROM orders", "FROM {t}"), **orders).withColumnsRenamed({"s": "start", "e": "end"})
-    return spans.entity_spans(e, w, ["file_id"]).select("file_id", "text", F.round("start_sec", 6).alias("start_sec"), F.round("end_sec", 6).alias("end_sec"))
+    return placed(spark, d).select("file_id", "text", F.round("start_sec", 6).alias("start_sec"), F.round("end_sec", 6).alias("end_sec"))
 
 
 @query(
@@ -348,10 +359,7 @@ def entity_word_overlap(spark, d):
     WHERE NOT EXISTS (SELECT 1 FROM ({_TIMED.format(w=_W)}) w WHERE w.file_id = e.file_id AND w.end_char > e.s AND w.start_char < e.e) GROUP BY file_id""",
 )
 def unmapped_entities(spark, d):
-    orders = {"t": table(spark, d, "orders")}
-    w = spark.sql(_TIMED.format(w=_W).replace("FROM orders", "FROM {t}"), **orders).selectExpr("file_id", "CAST(duration AS DOUBLE) duration", "CAST(w_start AS DOUBLE) w_start", "CAST(w_end AS DOUBLE) w_end", "start_char", "end_char")
-    e = spark.sql(_ENTS.format(w=_W).replace("FROM orders", "FROM {t}"), **orders).withColumnsRenamed({"s": "start", "e": "end"})
-    return spans.unmapped_spans(spans.entity_spans(e, w, ["file_id"]).where("start_sec IS NULL"), ["file_id"]).select("file_id", "end_sec", "text")
+    return spans.unmapped_spans(placed(spark, d).where("start_sec IS NULL"), ["file_id"]).select("file_id", "end_sec", "text")
 
 
 @query("failsafe_spans", f"SELECT file_id, CAST(unnest(range(0, greatest(1, least(CASE WHEN channels = 0 THEN 2 ELSE channels END, 2)))) AS INT) AS channel, CAST(greatest(0, duration) AS DOUBLE) AS end_sec FROM {CALLS} t")
