@@ -11,9 +11,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
+from hushwire.functions.batches import parts
 from hushwire.operators import audio
 
 BLOCK = "id long, block int, channels array<array<float>>"
@@ -43,6 +48,11 @@ def span_pieces(spans: DataFrame, lengths: DataFrame, size: int, rate: int) -> D
     return per.groupBy("id", "block").agg(F.first("peak").alias("peak"), F.array_sort(F.collect_list("piece")).alias("pieces"))
 
 
+def numbers(c: pa.Array) -> np.ndarray:
+    """A column of numbers, null as 0."""
+    return c.fill_null(0).to_numpy(zero_copy_only=False)
+
+
 def mask(blocks: DataFrame, spans: DataFrame, size: int, rate: int = 48000, mode: str = "silence", both: bool = False, hertz: float = 1000.0, gain: float | None = None, fade_ms: float = 8.0, seed: int = 42) -> DataFrame:
     """`audio.mask` by blocks: blocks with the spans (id, ord, start, end in seconds, channel) replaced.  The
     peak comes with the spans, which are few, so blocks of one recording are never brought together."""
@@ -50,25 +60,38 @@ def mask(blocks: DataFrame, spans: DataFrame, size: int, rate: int = 48000, mode
         raise ValueError(f"unknown masking mode: {mode}")
     level, fade_samples = audio.GAIN[mode] if gain is None else gain, max(1, int(rate * fade_ms / 1000))
 
-    def masked(block: int, channels, peak: float, pieces) -> list[np.ndarray]:
-        x = [np.array(c, np.float32) for c in channels]
-        x = [x[0], x[0].copy()] if len(x) == 1 else x
-        first = block * size
-        for p in () if pieces is None else pieces:
-            a, b, k = int(p["a"]), int(p["b"]), p["channel"]
-            lo, hi = max(a, first), min(b, first + len(x[0]))
+    def replaced(values: np.ndarray, start: np.ndarray, n: int, first: int, peak: float, own: list[tuple]) -> None:
+        """Replace spans within one block, whose channels of n samples begin at `start` of values."""
+        for a, b, k in own:
+            lo, hi = max(a, first), min(b, first + n)
             new = audio.replacement(mode, a, b, lo, hi, rate, peak, hertz, level, fade_samples, seed)
-            for c in x if both or k is None or not 0 <= k < len(x) else [x[int(k)]]:
-                c[lo - first : hi - first] = new
-        return x
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            out = [masked(*r) for r in b[["block", "channels", "peak", "pieces"]].itertuples(index=False)]
-            yield pd.DataFrame({"id": b["id"], "block": b["block"], "channels": out})
+            for at in start if both or k is None or not 0 <= k < len(start) else start[int(k) : int(k) + 1]:
+                values[at + lo - first : at + hi - first] = new
+
+    arrow = to_arrow_schema(StructType.fromDDL(BLOCK))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in (part for whole in batches for part in parts(whole)):
+            held, pieces = b.column(2).flatten(), b.column(4)
+            channels = numbers(pc.list_value_length(b.column(2)))
+            if (channels == 1).any():  # one channel is made two
+                held = held.take(pa.array(np.repeat(np.arange(len(held)), np.repeat(np.where(channels == 1, 2, 1), channels))))
+                channels = np.where(channels == 1, 2, channels)
+            lengths = numbers(pc.list_value_length(held))
+            values = np.array(held.flatten().to_numpy(zero_copy_only=False), np.float32)
+            start, first = np.cumsum(lengths) - lengths, np.cumsum(channels) - channels
+            counts, own = numbers(pc.list_value_length(pieces)), pieces.flatten()
+            spans_ = list(zip(*(own.field(n).to_pylist() for n in ("a", "b", "channel")), strict=True))
+            after, block, peak = np.cumsum(counts), numbers(b.column(1)), b.column(3).to_pylist()
+            for r in np.flatnonzero(counts):
+                c = first[r]
+                replaced(values, start[c : c + channels[r]], int(lengths[c]), int(block[r]) * size, peak[r], spans_[after[r] - counts[r] : after[r]])
+            edges = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
+            out = pa.ListArray.from_arrays(edges(channels), pa.ListArray.from_arrays(edges(lengths), pa.array(values)))
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip([b.column(0), b.column(1), out], arrow, strict=True)], schema=arrow)
 
     pieces = span_pieces(spans, totals(blocks), size, rate)
-    return blocks.join(pieces, ["id", "block"], "left").select("id", "block", "channels", "peak", "pieces").mapInPandas(run, BLOCK)
+    return blocks.join(pieces, ["id", "block"], "left").select("id", "block", "channels", "peak", "pieces").mapInArrow(run, BLOCK)
 
 
 def resample(blocks: DataFrame, size: int, source: int, target: int) -> DataFrame:

@@ -775,11 +775,18 @@ _STEPS = " UNION ALL ".join(f"SELECT {i} AS i" for i in range(40))
 _MASKS = ((2, 9, 0), (15, 22, -1), (20, 30, 1), (34, 99, 5))
 
 
+#: Recordings of a task, made of small keys: blocks of all of them are sorted by one task.
+RECORDINGS = 20_000
+
+
 def stereo(spark, d):
-    t = spark.sql(_FRAMES.format(n=_STEPS).replace("FROM orders", "FROM {t}"), t=table(spark, d, "orders"))
-    t = t.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("i", F.col("a").cast("float").alias("a"), F.col("b").cast("float").alias("b")))).alias("f"))
+    """Recordings of the frames.  A frame is made of its order's key alone, so keys meet before frames are made: of a key
+    that comes n times every frame comes n times."""
+    keys = table(spark, d, "orders").select("o_orderkey")
+    keys = keys.repartition(max(8, -(-keys.count() // RECORDINGS)), "o_orderkey").groupBy("o_orderkey").agg(F.count("*").cast("int").alias("_n"))
+    samples = lambda x: F.expr(f"flatten(transform(sequence(0, 39), i -> array_repeat(CAST({x} AS float), _n)))")
     spans_ = F.array(*(F.struct(F.lit(a / 8000).alias("start"), F.lit(b / 8000).alias("end"), F.lit(c).alias("channel")) for a, b, c in _MASKS))
-    return t.select("id", F.array(F.transform("f", lambda x: x["a"]), F.transform("f", lambda x: x["b"])).alias("channels"), spans_.alias("spans"))
+    return keys.select(F.col("o_orderkey").alias("id"), F.array(samples("round(((o_orderkey * 31 + i * 7) % 64) / 64 - 0.5, 6)"), samples("round(((o_orderkey * 17 + i * 11) % 32) / 32 - 0.5, 6)")).alias("channels"), spans_.alias("spans"))
 
 
 def _covered(channel: int) -> str:
