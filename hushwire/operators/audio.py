@@ -215,6 +215,22 @@ def replacement(mode: str, a: int, b: int, lo: int, hi: int, rate: int, top: flo
     return wave.astype(np.float32) * envelope(b - a, fade_samples, lo - a, hi - a).astype(np.float32)
 
 
+def replacements(mode: str, a: np.ndarray, b: np.ndarray, lo: np.ndarray, hi: np.ndarray, rate: int, top: np.ndarray, hertz: float, gain: float, fade_samples: int, seed: int) -> np.ndarray:
+    """`replacement` of many spans, their samples side by side."""
+    lengths = hi - lo
+    if mode == "silence":
+        return np.zeros(int(lengths.sum()), np.float32)
+    n, i = np.repeat(b - a, lengths), spread(lo - a, lengths)
+    f = np.minimum(fade_samples, np.maximum(1, n // 2))
+    rise = np.where((f <= 1) | (n <= 2), 1.0, np.minimum(1.0, np.minimum(i, n - 1 - i) / np.maximum(1, f - 1)))
+    if mode == "noise":
+        drawn = [noise_at(x, y, seed) for x, y in zip(lo.tolist(), hi.tolist(), strict=True)]
+        wave = np.repeat(gain * top, lengths) * np.concatenate([*drawn, np.zeros(0)])
+    else:
+        wave = np.repeat((gain * top).astype(np.float32), lengths) * np.sin(2 * math.pi * hertz * i.astype(np.float32) / np.float32(rate))
+    return wave.astype(np.float32) * rise.astype(np.float32)
+
+
 def masked(channels: list[np.ndarray], spans, rate: int, mode: str, both: bool, hertz: float, gain: float, fade_ms: float, seed: int) -> list[np.ndarray]:
     """Channels with every span replaced, in order, so that a later span wins.  One channel is made two.  A
     span is for its channel; for all where that is null, -1 or not there, or with `both`.  The peak is that

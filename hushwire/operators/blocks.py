@@ -2,7 +2,7 @@
 
 Blocks are rows id, block (from 0) and channels (one array of samples for each channel); all but the last
 of a recording hold `size` samples a channel.  What is carried between blocks is small: the length and peak
-of a recording by aggregation, the spans that reach into a block, and as many samples of its neighbours as the
+of a recording by aggregation, the spans of a recording, and as many samples of its neighbours as the
 resampling filter is long.  All results are those of the whole recording, whatever the size."""
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from hushwire.functions.batches import parts
+from hushwire.functions.batches import parts, spread
 from hushwire.operators import audio
 
 BLOCK = "id long, block int, channels array<array<float>>"
@@ -27,52 +27,70 @@ BLOCK = "id long, block int, channels array<array<float>>"
 def cut(recordings: DataFrame, size: int) -> DataFrame:
     """Blocks of recordings (id, channels) that are rows already; null and empty recordings have none."""
     length = F.size(F.get("channels", F.lit(0)))
-    numbered = recordings.where(F.coalesce(length, F.lit(0)) > 0).select("id", "channels", F.explode(F.sequence(F.lit(0), F.floor((length - 1) / size).cast("int"))).alias("block"))
-    return numbered.select(F.col("id").cast("long").alias("id"), "block", F.transform("channels", lambda c: F.slice(c, F.col("block") * size + 1, size)).alias("channels"))
+    # null where there is nothing to cut, which has no rows: a filter would be moved below and make the channels twice
+    numbers_ = F.when(length > 0, F.sequence(F.lit(0), F.floor((length - 1) / size).cast("int")))
+    numbered = recordings.select("id", "channels", F.explode(numbers_).alias("block"))
+    part = lambda c: F.slice(c, F.col("block") * size + 1, size)
+    # two channels, as most have, need no function over arrays, which runs interpreted
+    two = F.when(F.size("channels") == 2, F.array(part(F.col("channels")[0]), part(F.col("channels")[1]))).otherwise(F.transform("channels", part))
+    return numbered.select(F.col("id").cast("long").alias("id"), "block", two.alias("channels"))
 
 
 def totals(blocks: DataFrame) -> DataFrame:
     """id, n (samples a channel) and peak (1 where all is silent) of every recording."""
-    most = F.array_max(F.transform(F.flatten("channels"), lambda v: F.abs(v)))
+    every = F.flatten("channels")
+    most = F.greatest(F.array_max(every), -F.array_min(every))
     own = blocks.select("id", F.size(F.get("channels", F.lit(0))).alias("n"), most.cast("double").alias("peak"))
     return own.groupBy("id").agg(F.sum("n").alias("n"), F.max("peak").alias("peak")).select("id", "n", F.coalesce(F.nullif("peak", F.lit(0.0)), F.lit(1.0)).alias("peak"))
 
 
-def span_pieces(spans: DataFrame, lengths: DataFrame, size: int, rate: int) -> DataFrame:
-    """id, block, peak, pieces (in order: a, b, channel) of every block that spans (id, ord, start, end, channel)
-    reach into; a, b are the whole span in samples."""
-    at = lambda c: audio.sample_index(F.col(c), rate)
-    placed = spans.join(lengths, "id").select("id", "ord", "peak", "channel", F.greatest(F.lit(0), at("start")).alias("a"), F.least("n", at("end")).alias("b")).where("b > a")
-    blocks = F.sequence(F.floor(F.col("a") / size).cast("int"), F.floor((F.col("b") - 1) / size).cast("int"))
-    per = placed.select("id", "peak", F.struct("ord", "a", "b", "channel").alias("piece"), F.explode(blocks).alias("block"))
-    return per.groupBy("id", "block").agg(F.first("peak").alias("peak"), F.array_sort(F.collect_list("piece")).alias("pieces"))
-
-
 def numbers(c: pa.Array) -> np.ndarray:
     """A column of numbers, null as 0."""
     return c.fill_null(0).to_numpy(zero_copy_only=False)
 
 
+def placed(spans: DataFrame, lengths: DataFrame) -> DataFrame:
+    """id, n, peak and spans (in order: start, end, channel) of every recording with spans.  Spans are rows id, ord,
+    start, end, channel, or id and spans, an array of them in order."""
+    if "spans" not in spans.columns:
+        spans = spans.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("ord", "start", "end", "channel"))).alias("spans"))
+    return spans.join(lengths, "id").select("id", "n", "peak", "spans")
+
+
 def mask(blocks: DataFrame, spans: DataFrame, size: int, rate: int = 48000, mode: str = "silence", both: bool = False, hertz: float = 1000.0, gain: float | None = None, fade_ms: float = 8.0, seed: int = 42) -> DataFrame:
-    """`audio.mask` by blocks: blocks with the spans (id, ord, start, end in seconds, channel) replaced.  The
-    peak comes with the spans, which are few, so blocks of one recording are never brought together."""
+    """`audio.mask` by blocks: blocks with the spans (of `placed`, in seconds) replaced.  The peak comes with the spans,
+    which are few: each block is given all spans of its recording and keeps those that reach into it.  They meet by the
+    id alone, so tables that are dealt out by it already stay where they are, and blocks go past one by one."""
     if mode not in audio.MODES:
         raise ValueError(f"unknown masking mode: {mode}")
     level, fade_samples = audio.GAIN[mode] if gain is None else gain, max(1, int(rate * fade_ms / 1000))
 
-    def replaced(values: np.ndarray, start: np.ndarray, n: int, first: int, peak: float, own: list[tuple]) -> None:
-        """Replace spans within one block, whose channels of n samples begin at `start` of values."""
-        for a, b, k in own:
-            lo, hi = max(a, first), min(b, first + n)
-            new = audio.replacement(mode, a, b, lo, hi, rate, peak, hertz, level, fade_samples, seed)
-            for at in start if both or k is None or not 0 <= k < len(start) else start[int(k) : int(k) + 1]:
-                values[at + lo - first : at + hi - first] = new
+    def replaced(values: np.ndarray, start: np.ndarray, first: np.ndarray, channels: np.ndarray, begin: np.ndarray, lengths: np.ndarray, n: np.ndarray, peak: np.ndarray, spans: pa.Array) -> None:
+        """Replace the spans of many blocks at once: the channels of block r, from first[r] on, begin at `start` in values
+        and hold lengths[r] samples each, from sample begin[r] of the n[r] of its recording."""
+        row, own = np.repeat(np.arange(len(n)), numbers(pc.list_value_length(spans))), spans.flatten()
+        sample = lambda c, empty: np.clip(np.rint(own.field(c).cast(pa.float64()).fill_null(empty).to_numpy(zero_copy_only=False) * rate), 0, n[row]).astype(np.int64)
+        a, b, channel = sample("start", 0.0), sample("end", np.inf), numbers(own.field("channel").fill_null(-1))
+        lo, hi = np.maximum(a, begin[row]), np.minimum(b, (begin + lengths)[row])
+        reach = np.flatnonzero(lo < hi)
+        counts = np.bincount(row[reach], minlength=len(n))
+        before = np.cumsum(counts) - counts
+        # one span of each block at a time, so that a later one wins
+        for turn in range(int(counts.max(initial=0))):
+            r = np.flatnonzero(counts > turn)
+            s = reach[before[r] + turn]
+            new, long = audio.replacements(mode, a[s], b[s], lo[s], hi[s], rate, peak[r], hertz, level, fade_samples, seed), hi[s] - lo[s]
+            every = both | (channel[s] < 0) | (channel[s] >= channels[r])
+            for c in range(int(channels[r].max())):
+                hit = (c < channels[r]) & (every | (channel[s] == c))
+                at = start[first[r[hit]] + c] + (lo[s] - begin[r])[hit]
+                values[spread(at, long[hit])] = new[np.repeat(hit, long)]
 
     arrow = to_arrow_schema(StructType.fromDDL(BLOCK))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (part for whole in batches for part in parts(whole)):
-            held, pieces = b.column(2).flatten(), b.column(4)
+            held = b.column(2).flatten()
             channels = numbers(pc.list_value_length(b.column(2)))
             if (channels == 1).any():  # one channel is made two
                 held = held.take(pa.array(np.repeat(np.arange(len(held)), np.repeat(np.where(channels == 1, 2, 1), channels))))
@@ -80,18 +98,14 @@ def mask(blocks: DataFrame, spans: DataFrame, size: int, rate: int = 48000, mode
             lengths = numbers(pc.list_value_length(held))
             values = np.array(held.flatten().to_numpy(zero_copy_only=False), np.float32)
             start, first = np.cumsum(lengths) - lengths, np.cumsum(channels) - channels
-            counts, own = numbers(pc.list_value_length(pieces)), pieces.flatten()
-            spans_ = list(zip(*(own.field(n).to_pylist() for n in ("a", "b", "channel")), strict=True))
-            after, block, peak = np.cumsum(counts), numbers(b.column(1)), b.column(3).to_pylist()
-            for r in np.flatnonzero(counts):
-                c = first[r]
-                replaced(values, start[c : c + channels[r]], int(lengths[c]), int(block[r]) * size, peak[r], spans_[after[r] - counts[r] : after[r]])
+            own = np.append(lengths, 0)[first]  # samples a channel of each block
+            replaced(values, start, first, channels, numbers(b.column(1)).astype(np.int64) * size, own, numbers(b.column(3)), numbers(b.column(4)), b.column(5))
             edges = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
             out = pa.ListArray.from_arrays(edges(channels), pa.ListArray.from_arrays(edges(lengths), pa.array(values)))
             yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip([b.column(0), b.column(1), out], arrow, strict=True)], schema=arrow)
 
-    pieces = span_pieces(spans, totals(blocks), size, rate)
-    return blocks.join(pieces, ["id", "block"], "left").select("id", "block", "channels", "peak", "pieces").mapInArrow(run, BLOCK)
+    met = blocks.join(placed(spans, totals(blocks)), "id", "left")
+    return met.select("id", "block", "channels", "n", "peak", "spans").mapInArrow(run, BLOCK)
 
 
 def resample(blocks: DataFrame, size: int, source: int, target: int) -> DataFrame:

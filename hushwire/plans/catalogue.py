@@ -779,14 +779,20 @@ _MASKS = ((2, 9, 0), (15, 22, -1), (20, 30, 1), (34, 99, 5))
 RECORDINGS = 20_000
 
 
+def _samples(key: str, step: int, parts: int):
+    """The frames of a channel, each _n times.  Sixty-fourths have six digits, so they are round as they are; spelt out
+    one by one they are compiled code, where a function over an array runs interpreted."""
+    once = F.array(*(F.expr(f"CAST((({key} + {i * step}) % {parts}) / {parts} - 0.5 AS float)") for i in range(40)))
+    return F.when(F.col("_n") == 1, once).otherwise(F.flatten(F.transform(once, lambda v: F.array_repeat(v, F.col("_n")))))
+
+
 def stereo(spark, d):
     """Recordings of the frames.  A frame is made of its order's key alone, so keys meet before frames are made: of a key
     that comes n times every frame comes n times."""
     keys = table(spark, d, "orders").select("o_orderkey")
     keys = keys.repartition(max(8, -(-keys.count() // RECORDINGS)), "o_orderkey").groupBy("o_orderkey").agg(F.count("*").cast("int").alias("_n"))
-    samples = lambda x: F.expr(f"flatten(transform(sequence(0, 39), i -> array_repeat(CAST({x} AS float), _n)))")
     spans_ = F.array(*(F.struct(F.lit(a / 8000).alias("start"), F.lit(b / 8000).alias("end"), F.lit(c).alias("channel")) for a, b, c in _MASKS))
-    return keys.select(F.col("o_orderkey").alias("id"), F.array(samples("round(((o_orderkey * 31 + i * 7) % 64) / 64 - 0.5, 6)"), samples("round(((o_orderkey * 17 + i * 11) % 32) / 32 - 0.5, 6)")).alias("channels"), spans_.alias("spans"))
+    return keys.select(F.col("o_orderkey").alias("id"), F.array(_samples("o_orderkey * 31", 7, 64), _samples("o_orderkey * 17", 11, 32)).alias("channels"), spans_.alias("spans"))
 
 
 def _covered(channel: int) -> str:
@@ -825,8 +831,7 @@ _BLOCK = 7
 def _masked_blocks(spark, d, mode: str):
     """Samples (id, i, a, b) of the stereo recordings, masked block by block."""
     t = stereo(spark, d)
-    spans_ = t.select("id", F.posexplode("spans").alias("ord", "s")).select("id", "ord", "s.*")
-    m = blocks.mask(blocks.cut(t, _BLOCK), spans_, _BLOCK, 8000, mode)
+    m = blocks.mask(blocks.cut(t, _BLOCK), t.select("id", "spans"), _BLOCK, 8000, mode)
     frames = m.select("id", "block", F.posexplode(F.arrays_zip(F.col("channels")[0].alias("a"), F.col("channels")[1].alias("b"))).alias("i", "f"))
     return frames.select("id", (F.col("block") * _BLOCK + F.col("i")).alias("i"), F.col("f.a").cast("double").alias("a"), F.col("f.b").cast("double").alias("b"))
 
